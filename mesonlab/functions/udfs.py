@@ -79,7 +79,7 @@ B_MASS_BATCH_SCHEMA = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_
 def b_mass_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     """B mass from the three hadron momenta of one batch (nulls propagate),
     in the same operation order as the column expressions."""
-    col = batch.column_by_name
+    col = batch.column
     m2 = KAON_MASS_MEV * KAON_MASS_MEV
 
     def sq(a):
