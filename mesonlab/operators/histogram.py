@@ -33,7 +33,9 @@ from pyspark.sql import types as T
 
 from pyspark import StorageLevel
 
-from mesonlab.operators.stats import exact_quantiles, percentile_approx_column, valid_values
+from mesonlab.operators.stats import (
+    exact_quantiles, percentile_approx_column, projected_values, valid, value_stats,
+)
 
 # Fixed value: the out-of-range sentinel bin (Java Double.MAX_VALUE).
 SENTINEL = sys.float_info.max
@@ -81,25 +83,20 @@ def fd_binning(df: DataFrame, column: str, quantiles: str = "exact",
     """
     if quantiles not in ("exact", "approx"):
         raise ValueError("quantiles must be 'exact' or 'approx'")
-    w = df.select(F.col(column).cast("double").alias("v"))
-    if persist:
-        w = w.persist(StorageLevel.MEMORY_AND_DISK)
+    w = projected_values(df, column, persist)
     try:
-        ok = F.col("v").isNotNull() & ~F.isnan("v")
-        x = F.when(ok, F.col("v"))
-        aggs = [F.count(F.lit(1)).alias("n"), F.count(x).alias("n_valid"),
-                F.min(x).alias("lo"), F.max(x).alias("hi")]
+        extra = []
         if quantiles == "approx":
-            aggs.append(percentile_approx_column(x, [0.25, 0.75], relative_error).alias("q"))
-        row = w.agg(*aggs).first()
+            x = F.when(valid("v"), F.col("v"))
+            extra.append(percentile_approx_column(x, [0.25, 0.75], relative_error).alias("q"))
+        row = value_stats(w, *extra)
         n_all, n_valid, lo, hi = row["n"], row["n_valid"], row["lo"], row["hi"]
         if n_valid == 0:
             return Binning(n_all, 0, None, None, None, None, None)
         if quantiles == "approx":
             q1, q3 = row["q"]
         else:
-            q1, q3 = exact_quantiles(None, None, [0.25, 0.75], known=(n_valid, lo, hi),
-                                     values=w.where(ok))
+            q1, q3 = exact_quantiles(None, None, [0.25, 0.75], known=(n_valid, lo, hi), values=w)
     finally:
         if persist:
             w.unpersist()
@@ -171,15 +168,22 @@ def histogram_edges(df: DataFrame, column: str, edges: list[float]) -> DataFrame
     return counted.join(lookup, "_bucket", "left").select("bin", "n")
 
 
-def _fd_bins_plan(v: DataFrame, b: Binning, digits: int | None) -> DataFrame:
+def _fd_bins_plan(df: DataFrame, column: str, b: Binning, digits: int | None) -> DataFrame:
+    """One scan, bin index per row, partial + final count per bin.
+
+    Invalid values get a null bin and ``count(bin)`` = 0 for that group, which
+    the final filter drops; a row filter on validity would be pushed below the
+    projection and evaluate the (possibly expensive) value twice."""
+    x = F.col(column).cast("double")
     if b.degenerate:
-        idx = F.lit(0).cast("long")
+        idx = F.when(valid(x), F.lit(0).cast("long"))
         lo_e, hi_e = F.lit(b.min), F.lit(b.max)
     else:
-        idx = F.floor((F.col("v") - F.lit(b.min)) / F.lit(b.width)).cast("long")
+        idx = F.when(valid(x), F.floor((x - F.lit(b.min)) / F.lit(b.width)).cast("long"))
         lo_e = F.lit(b.min) + F.col("bin") * F.lit(b.width)
         hi_e = F.lit(b.min) + (F.col("bin") + 1) * F.lit(b.width)
-    counted = v.select(idx.alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
+    counted = (df.select(idx.alias("bin")).groupBy("bin").agg(F.count("bin").alias("n"))
+               .where(F.col("n") > 0))
     if digits is not None:
         lo_e, hi_e = F.round(lo_e, digits), F.round(hi_e, digits)
     return counted.select("bin", lo_e.alias("bin_lo"), hi_e.alias("bin_hi"), "n")
@@ -198,7 +202,7 @@ def histogram_fd(df: DataFrame, column: str, quantiles: str = "exact",
     b = fd_binning(df, column, quantiles, relative_error, persist=persist)
     if b.n_valid == 0:
         return empty_histogram(df.sparkSession)
-    return _fd_bins_plan(valid_values(df, column), b, digits)
+    return _fd_bins_plan(df, column, b, digits)
 
 
 def column_histogram(df: DataFrame, column: str, **kwargs) -> DataFrame:

@@ -23,7 +23,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_SUMMARY = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
@@ -79,12 +79,63 @@ def quantile_rank(n: int, p: float) -> int:
 
 
 def valid_values(df: DataFrame, column) -> DataFrame:
-    """One double column ``v`` without nulls and NaN."""
+    """One double column ``v`` without nulls and NaN.
+
+    Note: Catalyst pushes this filter below the projection that computes the
+    value, evaluating an expensive derived column twice; multi-pass operators
+    therefore work on ``projected_values`` and keep validity inside ``when``.
+    """
     c = F.col(column) if isinstance(column, str) else column
     return df.select(c.cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
+def valid(c: Column | str = "v") -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return c.isNotNull() & ~F.isnan(c)
+
+
+def projected_values(df: DataFrame, column, persist: bool = True) -> DataFrame:
+    """The single column ``v`` (nulls and NaN kept), persisted for the passes
+    that follow (memory, spilling to disk; lost blocks are recomputed from
+    lineage).
+
+    Partitioning of the kept column: fewer splits than cores (a small or
+    single-row-group input) -> spread round-robin so later passes run in
+    parallel; far more splits than cores (a huge input) -> coalesced, without a
+    shuffle, to ``4 x cores`` so each later pass schedules few tasks and its
+    per-task partial aggregates stay few.
+    """
+    c = F.col(column) if isinstance(column, str) else column
+    w = df.select(c.cast("double").alias("v"))
+    if not persist:
+        return w
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = _num_partitions(w, cores)
+    if parts < cores:
+        w = w.repartition(cores)
+    elif parts > 4 * cores:
+        w = w.coalesce(4 * cores)
+    return w.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _num_partitions(df: DataFrame, default: int) -> int:
+    """Split count of a plan without a shuffle (cheap: planning only)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session)
+        return default
+
+
+def value_stats(w: DataFrame, *extra: Column):
+    """count(*), count of valid values, min and max of valid values (+ extra
+    aggregates) in one pass; validity is applied inside the aggregates."""
+    x = F.when(valid("v"), F.col("v"))
+    return w.agg(F.count(F.lit(1)).alias("n"), F.count(x).alias("n_valid"),
+                 F.min(x).alias("lo"), F.max(x).alias("hi"), *extra).first()
+
+
 def _bucket_expr(lo: float, hi: float, buckets: int) -> Column:
+    """Monotone bucket number of ``v`` within [lo, hi]: lo -> 0, hi -> last."""
     v = F.col("v")
     width = hi * 0.5 - lo * 0.5          # halves: no overflow for any finite pair
     scale = buckets / width
@@ -94,76 +145,113 @@ def _bucket_expr(lo: float, hi: float, buckets: int) -> Column:
     return F.least(F.greatest(raw, F.lit(0)), F.lit(buckets - 1)).cast("int")
 
 
+# Rows of partial aggregates one bucket pass may send through the shuffle.
+SHUFFLE_ROW_BUDGET = 50_000_000
+
+
+def _choose_buckets(parts: int, targets: int) -> int:
+    """Power of two in [256, 65536] keeping parts x targets x buckets within
+    the shuffle budget (each task emits at most one row per bucket)."""
+    b = SHUFFLE_ROW_BUDGET // max(1, parts * targets)
+    return 1 << max(8, min(16, b.bit_length() - 1)) if b > 0 else 256
+
+
+def _per_target(values: dict[int, int | float]) -> Column:
+    expr = None
+    for t, val in values.items():
+        expr = (F.when(F.col("t") == t, F.lit(val)) if expr is None
+                else expr.when(F.col("t") == t, F.lit(val)))
+    return expr
+
+
+def _tag(v: DataFrame, intervals: dict[int, tuple[float, float]], *fields) -> DataFrame:
+    """Rows of ``v`` inside each target's interval, tagged with target ``t``.
+    A range test is false for null and NaN, so no validity filter is needed."""
+    in_range = {t: (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)) for t, (lo, hi) in intervals.items()}
+    if len(intervals) == 1:
+        (t, (lo, hi)), = intervals.items()
+        cols = [F.lit(t).alias("t")] + [f(t, lo, hi).alias(name) for name, f in fields] + [F.col("v")]
+        return v.where(in_range[t]).select(*cols)
+    structs = [F.when(in_range[t], F.struct(F.lit(t).alias("t"),
+                                            *[f(t, lo, hi).alias(name) for name, f in fields],
+                                            F.col("v").alias("v")))
+               for t, (lo, hi) in intervals.items()]
+    return (v.select(F.explode(F.array(*structs)).alias("r")).where(F.col("r").isNotNull())
+            .select("r.*"))
+
+
 def exact_quantiles(df: DataFrame, column, probabilities: Sequence[float], *,
-                    buckets: int = 4096, fetch_limit: int = 50_000,
+                    buckets: int | None = None, fetch_limit: int = 1 << 16,
                     known: tuple[int, float, float] | None = None,
                     values: DataFrame | None = None) -> list[float | None]:
     """Exact discrete quantiles (same rule as SQL ``percentile_disc``) over the
     non-null, non-NaN values of ``column``.
 
-    ``known`` may pass (count, min, max) of the valid values when already
-    computed; ``values`` may pass the prepared one-column frame ``v``.
+    ``values`` may pass a prepared one-column frame ``v`` (see
+    ``projected_values``; nulls and NaN may remain) and ``known`` its
+    (valid count, min, max). ``buckets`` defaults to a size chosen from the
+    partition count; ``fetch_limit`` is the largest interval (in rows) that is
+    finished by sorting it inside one window partition.
     """
-    if buckets < 2:
-        raise ValueError("buckets must be at least 2")
-    v = values if values is not None else valid_values(df, column)
+    own = values is None
+    v = projected_values(df, column) if own else values
+    try:
+        return _select_ranks(v, probabilities, buckets, fetch_limit, known)
+    finally:
+        if own:
+            v.unpersist()
+
+
+def _select_ranks(v: DataFrame, probabilities, buckets, fetch_limit, known):
     if known is None:
-        row = v.agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-        known = (row["n"], row["lo"], row["hi"])
+        row = value_stats(v)
+        known = (row["n_valid"], row["lo"], row["hi"])
     n, lo, hi = known
     if n == 0:
         return [None for _ in probabilities]
-    # target -> [rank, lo, hi, below]; ``below`` = rows strictly under ``lo``
-    open_targets = {}
+    if buckets is None:
+        # ``projected_values`` leaves at most 4 x cores partitions.
+        cores = v.sparkSession.sparkContext.defaultParallelism
+        buckets = _choose_buckets(4 * cores, len(probabilities))
+    if buckets < 2:
+        raise ValueError("buckets must be at least 2")
+    # target -> [rank, lo, hi, below, rows]; ``below`` = valid rows under ``lo``
+    state = {i: [quantile_rank(n, p), lo, hi, 0, n] for i, p in enumerate(probabilities)}
     result: dict[int, float] = {}
-    for i, p in enumerate(probabilities):
-        open_targets[i] = [quantile_rank(n, p), lo, hi, 0]
-    while open_targets:
-        for i, (rank, t_lo, t_hi, below) in list(open_targets.items()):
+    while state:
+        for i, (_, t_lo, t_hi, _, _) in list(state.items()):
             if t_lo == t_hi:
                 result[i] = t_lo
-                del open_targets[i]
-        if not open_targets:
-            break
-        tagged = v.select(F.explode(F.array(*[
-            F.when((F.col("v") >= F.lit(t_lo)) & (F.col("v") <= F.lit(t_hi)),
-                   F.struct(F.lit(i).alias("t"), _bucket_expr(t_lo, t_hi, buckets).alias("b"),
-                            F.col("v").alias("v")))
-            for i, (_, t_lo, t_hi, _) in open_targets.items()])).alias("r")
-        ).where(F.col("r").isNotNull()).select("r.t", "r.b", "r.v")
-        counts = (tagged.groupBy("t", "b")
-                  .agg(F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-                  .collect())                       # at most len(targets) * buckets rows
-        per_target: dict[int, list] = {}
-        for r in counts:
-            per_target.setdefault(r["t"], []).append(r)
-        fetch = {}
-        for i, state in list(open_targets.items()):
-            rank, _, _, below = state
-            acc = below
-            for r in sorted(per_target.get(i, []), key=lambda r: r["b"]):
-                if acc + r["c"] >= rank:
-                    state[1], state[2], state[3] = r["lo"], r["hi"], acc
-                    if r["lo"] != r["hi"] and r["c"] <= fetch_limit:
-                        fetch[i] = state
-                    break
-                acc += r["c"]
-            else:  # cannot happen for a consistent count; fail loudly
+                del state[i]
+        finish = {i: s for i, s in state.items() if s[4] <= fetch_limit}
+        if finish:
+            # Sort each small interval in its own window partition; pick the rank.
+            need = _per_target({i: s[0] - s[3] for i, s in finish.items()})
+            order = Window.partitionBy("t").orderBy("v")
+            picked = (_tag(v, {i: (s[1], s[2]) for i, s in finish.items()})
+                      .withColumn("rn", F.row_number().over(order))
+                      .where(F.col("rn") == need).select("t", "v").collect())
+            for r in picked:
+                result[r["t"]] = r["v"]
+                del state[r["t"]]
+            if any(i in state for i in finish):
                 raise RuntimeError("quantile rank beyond counted rows")
-        if fetch:
-            cond = None
-            for i, (_, f_lo, f_hi, _) in fetch.items():
-                c = (F.col("v") >= F.lit(f_lo)) & (F.col("v") <= F.lit(f_hi))
-                cond = c if cond is None else cond | c
-            got = [r["v"] for r in v.where(cond).select("v").collect()]  # <= sum of fetch limits
-            for i, (rank, f_lo, f_hi, below) in fetch.items():
-                inside = sorted(x for x in got if f_lo <= x <= f_hi)
-                result[i] = inside[rank - below - 1]
-                del open_targets[i]
+        if not state:
+            break
+        # One bucket pass for the remaining targets: count, min and max per
+        # bucket; a running count (window over the small per-bucket table)
+        # finds the bucket holding each rank.
+        counts = (_tag(v, {i: (s[1], s[2]) for i, s in state.items()},
+                       ("b", lambda t, a, b: _bucket_expr(a, b, buckets)))
+                  .groupBy("t", "b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"),
+                                         F.max("v").alias("hi")))
+        running = Window.partitionBy("t").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+        need = _per_target({i: s[0] - s[3] for i, s in state.items()})
+        hits = (counts.withColumn("cum", F.sum("c").over(running))
+                .where((F.col("cum") - F.col("c") < need) & (F.col("cum") >= need)).collect())
+        for r in hits:
+            s = state[r["t"]]
+            s[1], s[2], s[3], s[4] = r["lo"], r["hi"], s[3] + r["cum"] - r["c"], r["c"]
+        if len(hits) != len(state):
+            raise RuntimeError("quantile rank beyond counted rows")
     return [result[i] for i in range(len(probabilities))]
-
-
-def persisted_values(df: DataFrame, column) -> DataFrame:
-    """The one-column valid-value frame, kept for the several passes that
-    follow (memory, spilling to disk; lost blocks are recomputed from lineage)."""
-    return valid_values(df, column).persist(StorageLevel.MEMORY_AND_DISK)
