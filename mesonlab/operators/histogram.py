@@ -132,11 +132,18 @@ def _edge_lookup(spark: SparkSession, edges: list[float]) -> DataFrame:
     return spark.createDataFrame([(float(j), b) for j, b in rows], schema)
 
 
-def _bucketize(df: DataFrame, column: str, edges: list[float], out: str = "_bucket") -> DataFrame:
+def _check_edges(edges: list[float]) -> list[float]:
+    edges = [float(e) for e in edges]
     if not edges:
         raise ValueError("at least one edge is required")
+    if any(math.isnan(e) or math.isinf(e) for e in edges):
+        raise ValueError("edges must be finite")
     if any(b <= a for a, b in zip(edges, edges[1:])):
         raise ValueError("edges must be strictly increasing")
+    return edges
+
+
+def _bucketize(df: DataFrame, column: str, edges: list[float], out: str = "_bucket") -> DataFrame:
     splits = [-math.inf] + [float(e) for e in edges] + [math.inf]
     src = df.withColumn("_x", F.col(column).cast("double"))
     return Bucketizer(splits=splits, inputCol="_x", outputCol=out, handleInvalid="keep").transform(src).drop("_x")
@@ -151,6 +158,7 @@ def assign_bins(df: DataFrame, column: str, edges: list[float], out: str = "bin"
     normally (AQE splits a hot bin's partition).
     """
     spark = df.sparkSession
+    edges = _check_edges(edges)
     lookup = _edge_lookup(spark, edges).withColumnRenamed("bin", out)
     if len(edges) + 2 <= BROADCAST_EDGE_LIMIT:
         lookup = F.broadcast(lookup)
@@ -161,11 +169,14 @@ def assign_bins(df: DataFrame, column: str, edges: list[float], out: str = "bin"
 def histogram_edges(df: DataFrame, column: str, edges: list[float]) -> DataFrame:
     """Count per fixed-edge bin (sentinel bin included): aggregate bucket
     indexes first, then map the few result rows to edge values."""
+    edges = _check_edges(edges)
     counted = _bucketize(df.select(column), column, edges).groupBy("_bucket").agg(F.count("*").alias("n"))
     lookup = _edge_lookup(df.sparkSession, edges)
     if len(edges) + 2 <= BROADCAST_EDGE_LIMIT:
         lookup = F.broadcast(lookup)
-    return counted.join(lookup, "_bucket", "left").select("bin", "n")
+    # below-range and above-range buckets share the sentinel bin: re-add
+    return (counted.join(lookup, "_bucket", "left")
+            .groupBy("bin").agg(F.sum("n").cast("long").alias("n")))
 
 
 def _fd_bins_plan(df: DataFrame, column: str, b: Binning, digits: int | None) -> DataFrame:

@@ -138,8 +138,8 @@ def _bucket_expr(lo: float, hi: float, buckets: int) -> Column:
     """Monotone bucket number of ``v`` within [lo, hi]: lo -> 0, hi -> last."""
     v = F.col("v")
     width = hi * 0.5 - lo * 0.5          # halves: no overflow for any finite pair
-    scale = buckets / width
-    if not math.isfinite(scale):
+    scale = buckets / width if width > 0 else math.inf
+    if not math.isfinite(scale):         # subnormal interval: split off ``lo``
         return F.when(v > F.lit(lo), F.lit(1)).otherwise(F.lit(0))
     raw = F.floor((v * 0.5 - F.lit(lo * 0.5)) * F.lit(scale))
     return F.least(F.greatest(raw, F.lit(0)), F.lit(buckets - 1)).cast("int")
