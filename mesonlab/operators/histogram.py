@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from pyspark import StorageLevel
 
+from mesonlab.session import checkpoint_root
 from mesonlab.operators.stats import (
     exact_quantiles, percentile_approx_column, projected_values, valid, value_stats,
 )
@@ -71,6 +72,25 @@ def fd_width(q1: float, q3: float, n: int) -> float:
     return 2.0 * (q3 - q1) / math.cbrt(n)
 
 
+def _binning_of_values(w: DataFrame, quantiles: str, relative_error: float) -> Binning:
+    """Binning statistics of the one-column frame ``w`` (column ``v``)."""
+    if quantiles not in ("exact", "approx"):
+        raise ValueError("quantiles must be 'exact' or 'approx'")
+    extra = []
+    if quantiles == "approx":
+        x = F.when(valid("v"), F.col("v"))
+        extra.append(percentile_approx_column(x, [0.25, 0.75], relative_error).alias("q"))
+    row = value_stats(w, *extra)
+    n_all, n_valid, lo, hi = row["n"], row["n_valid"], row["lo"], row["hi"]
+    if n_valid == 0:
+        return Binning(n_all, 0, None, None, None, None, None)
+    if quantiles == "approx":
+        q1, q3 = row["q"]
+    else:
+        q1, q3 = exact_quantiles(None, None, [0.25, 0.75], known=(n_valid, lo, hi), values=w)
+    return Binning(n_all, n_valid, lo, hi, q1, q3, fd_width(q1, q3, n_all))
+
+
 def fd_binning(df: DataFrame, column: str, quantiles: str = "exact",
                relative_error: float = REFERENCE_RELATIVE_ERROR, persist: bool = True) -> Binning:
     """Freedman-Diaconis statistics of ``column``.
@@ -81,26 +101,12 @@ def fd_binning(df: DataFrame, column: str, quantiles: str = "exact",
     ``exact_quantiles`` (percentile_disc rule). The one projected column is
     persisted across those passes.
     """
-    if quantiles not in ("exact", "approx"):
-        raise ValueError("quantiles must be 'exact' or 'approx'")
     w = projected_values(df, column, persist)
     try:
-        extra = []
-        if quantiles == "approx":
-            x = F.when(valid("v"), F.col("v"))
-            extra.append(percentile_approx_column(x, [0.25, 0.75], relative_error).alias("q"))
-        row = value_stats(w, *extra)
-        n_all, n_valid, lo, hi = row["n"], row["n_valid"], row["lo"], row["hi"]
-        if n_valid == 0:
-            return Binning(n_all, 0, None, None, None, None, None)
-        if quantiles == "approx":
-            q1, q3 = row["q"]
-        else:
-            q1, q3 = exact_quantiles(None, None, [0.25, 0.75], known=(n_valid, lo, hi), values=w)
+        return _binning_of_values(w, quantiles, relative_error)
     finally:
         if persist:
             w.unpersist()
-    return Binning(n_all, n_valid, lo, hi, q1, q3, fd_width(q1, q3, n_all))
 
 
 def bin_edges(b: Binning) -> list[float]:
@@ -204,16 +210,53 @@ def empty_histogram(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "bin bigint, bin_lo double, bin_hi double, n bigint")
 
 
+def _kept(spark: SparkSession, result: DataFrame) -> DataFrame:
+    """Materialise a small result in the shared checkpoint folder (lineage cut,
+    nothing through the driver) so the kept input column can be released."""
+    checkpoint_root(spark)
+    return result.checkpoint(eager=True)
+
+
 def histogram_fd(df: DataFrame, column: str, quantiles: str = "exact",
                  relative_error: float = REFERENCE_RELATIVE_ERROR, digits: int | None = 6,
-                 persist: bool = True) -> DataFrame:
+                 materialize: bool = True) -> DataFrame:
     """Freedman-Diaconis histogram: bin index ``floor((x - min) / width)``,
     the last partial bin kept so no valid row is lost. Columns
-    ``bin, bin_lo, bin_hi, n``; edges rounded to ``digits`` (None keeps them)."""
-    b = fd_binning(df, column, quantiles, relative_error, persist=persist)
-    if b.n_valid == 0:
-        return empty_histogram(df.sparkSession)
-    return _fd_bins_plan(df, column, b, digits)
+    ``bin, bin_lo, bin_hi, n``; edges rounded to ``digits`` (None keeps them).
+
+    With ``materialize`` (default) the source is scanned once: the value column
+    is kept, the statistics and the bin counts are computed from it, and the
+    bin table is checkpointed before the column is released. Without it the
+    statistics are computed (one kept column) and a lazy plan over the source
+    is returned.
+    """
+    if not materialize:
+        b = fd_binning(df, column, quantiles, relative_error)
+        if b.n_valid == 0:
+            return empty_histogram(df.sparkSession)
+        return _fd_bins_plan(df, column, b, digits)
+    w = projected_values(df, column)
+    try:
+        b = _binning_of_values(w, quantiles, relative_error)
+        if b.n_valid == 0:
+            return empty_histogram(df.sparkSession)
+        return _kept(df.sparkSession, _fd_bins_plan(w, "v", b, digits))
+    finally:
+        w.unpersist()
+
+
+def fd_histogram_edges(df: DataFrame, column: str, quantiles: str = "exact",
+                       relative_error: float = REFERENCE_RELATIVE_ERROR) -> tuple[list[float], DataFrame]:
+    """Freedman-Diaconis edges and the fixed-edge histogram over them (with
+    the sentinel bin), from one scan of the source."""
+    w = projected_values(df, column)
+    try:
+        edges = bin_edges(_binning_of_values(w, quantiles, relative_error))
+        if not edges:
+            return edges, df.sparkSession.createDataFrame([], "bin double, n bigint")
+        return edges, _kept(df.sparkSession, histogram_edges(w, "v", edges))
+    finally:
+        w.unpersist()
 
 
 def column_histogram(df: DataFrame, column: str, **kwargs) -> DataFrame:

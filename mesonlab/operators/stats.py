@@ -149,33 +149,35 @@ def _bucket_expr(lo: float, hi: float, buckets: int) -> Column:
 SHUFFLE_ROW_BUDGET = 50_000_000
 
 
-def _choose_buckets(parts: int, targets: int) -> int:
-    """Power of two in [256, 65536] keeping parts x targets x buckets within
-    the shuffle budget (each task emits at most one row per bucket)."""
-    b = SHUFFLE_ROW_BUDGET // max(1, parts * targets)
-    return 1 << max(8, min(16, b.bit_length() - 1)) if b > 0 else 256
-
-
-def _per_target(values: dict[int, int | float]) -> Column:
-    expr = None
-    for t, val in values.items():
-        expr = (F.when(F.col("t") == t, F.lit(val)) if expr is None
-                else expr.when(F.col("t") == t, F.lit(val)))
-    return expr
-
-
-def _tag(v: DataFrame, intervals: dict[int, tuple[float, float]], *fields) -> DataFrame:
-    """Rows of ``v`` inside each target's interval, tagged with target ``t``.
-    A range test is false for null and NaN, so no validity filter is needed."""
-    in_range = {t: (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)) for t, (lo, hi) in intervals.items()}
+def _choose_buckets(parts: int, intervals: int) -> int:
+    """Power of two in [256, 4096] keeping parts x intervals x buckets within
+    the shuffle budget (each task emits at most one row per bucket). 4096
+    buckets take 5e11 values to a 65536-row interval in two passes."""
+    b = SHUFFLE_ROW_BUDGET // max(1, parts * intervals)
+    return 1 << max(8, min(12, b.bit_length() - 1)) if b > 0 else 256
+
+
+def _any(conds: list[Column]) -> Column:
+    out = conds[0]
+    for c in conds[1:]:
+        out = out | c
+    return out
+
+
+def _tag(v: DataFrame, intervals: list[tuple[float, float]], bucket=None) -> DataFrame:
+    """Rows of ``v`` inside each interval, tagged with the interval number
+    ``g`` (and a bucket number ``b`` if ``bucket`` is given). A range test is
+    false for null and NaN, so no validity filter is needed."""
+    def fields(g, lo, hi):
+        out = [F.lit(g).alias("g")]
+        if bucket is not None:
+            out.append(bucket(lo, hi).alias("b"))
+        return out + [F.col("v")]
+    in_range = [(F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)) for lo, hi in intervals]
     if len(intervals) == 1:
-        (t, (lo, hi)), = intervals.items()
-        cols = [F.lit(t).alias("t")] + [f(t, lo, hi).alias(name) for name, f in fields] + [F.col("v")]
-        return v.where(in_range[t]).select(*cols)
-    structs = [F.when(in_range[t], F.struct(F.lit(t).alias("t"),
-                                            *[f(t, lo, hi).alias(name) for name, f in fields],
-                                            F.col("v").alias("v")))
-               for t, (lo, hi) in intervals.items()]
+        lo, hi = intervals[0]
+        return v.where(in_range[0]).select(*fields(0, lo, hi))
+    structs = [F.when(c, F.struct(*fields(g, lo, hi))) for g, ((lo, hi), c) in enumerate(zip(intervals, in_range))]
     return (v.select(F.explode(F.array(*structs)).alias("r")).where(F.col("r").isNotNull())
             .select("r.*"))
 
@@ -209,49 +211,66 @@ def _select_ranks(v: DataFrame, probabilities, buckets, fetch_limit, known):
     n, lo, hi = known
     if n == 0:
         return [None for _ in probabilities]
-    if buckets is None:
-        # ``projected_values`` leaves at most 4 x cores partitions.
-        cores = v.sparkSession.sparkContext.defaultParallelism
-        buckets = _choose_buckets(4 * cores, len(probabilities))
-    if buckets < 2:
-        raise ValueError("buckets must be at least 2")
-    # target -> [rank, lo, hi, below, rows]; ``below`` = valid rows under ``lo``
-    state = {i: [quantile_rank(n, p), lo, hi, 0, n] for i, p in enumerate(probabilities)}
+    cores = v.sparkSession.sparkContext.defaultParallelism
+    # target -> [need, lo, hi, rows]: the ``need``-th smallest of the ``rows``
+    # valid values in [lo, hi] (lo and hi are values present in the data)
+    state = {i: [quantile_rank(n, p), lo, hi, n] for i, p in enumerate(probabilities)}
     result: dict[int, float] = {}
-    while state:
-        for i, (_, t_lo, t_hi, _, _) in list(state.items()):
-            if t_lo == t_hi:
-                result[i] = t_lo
+    while True:
+        for i, (need, t_lo, t_hi, rows) in list(state.items()):
+            if t_lo == t_hi or need == 1 or need == rows:
+                result[i] = t_hi if need == rows else t_lo
                 del state[i]
-        finish = {i: s for i, s in state.items() if s[4] <= fetch_limit}
-        if finish:
-            # Sort each small interval in its own window partition; pick the rank.
-            need = _per_target({i: s[0] - s[3] for i, s in finish.items()})
-            order = Window.partitionBy("t").orderBy("v")
-            picked = (_tag(v, {i: (s[1], s[2]) for i, s in finish.items()})
-                      .withColumn("rn", F.row_number().over(order))
-                      .where(F.col("rn") == need).select("t", "v").collect())
-            for r in picked:
-                result[r["t"]] = r["v"]
-                del state[r["t"]]
-            if any(i in state for i in finish):
-                raise RuntimeError("quantile rank beyond counted rows")
         if not state:
             break
-        # One bucket pass for the remaining targets: count, min and max per
-        # bucket; a running count (window over the small per-bucket table)
-        # finds the bucket holding each rank.
-        counts = (_tag(v, {i: (s[1], s[2]) for i, s in state.items()},
-                       ("b", lambda t, a, b: _bucket_expr(a, b, buckets)))
-                  .groupBy("t", "b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"),
+        # Targets with the same interval share the pass.
+        groups: dict[tuple[float, float], list[int]] = {}
+        for i, s in state.items():
+            groups.setdefault((s[1], s[2]), []).append(i)
+        intervals = list(groups)
+        small = [g for g, key in enumerate(intervals) if state[groups[key][0]][3] <= fetch_limit]
+        if small:
+            # Sort each small interval in its own window partition; pick ranks.
+            sub = [intervals[g] for g in small]
+            order = Window.partitionBy("g").orderBy("v")
+            wanted = {(k, state[i][0]): i for k, key in enumerate(sub) for i in groups[key]}
+            picked = (_tag(v, sub).withColumn("rn", F.row_number().over(order))
+                      .where(_any([(F.col("g") == k) & (F.col("rn") == need) for k, need in wanted]))
+                      .collect())
+            for r in picked:
+                for (k, need), i in wanted.items():
+                    if r["g"] == k and r["rn"] == need:
+                        result[i] = r["v"]
+                        state.pop(i, None)
+            if any(i in state for i in wanted.values()):
+                raise RuntimeError("quantile rank beyond counted rows")
+            intervals = [key for g, key in enumerate(intervals) if g not in small]
+            if not intervals:
+                continue
+        # One bucket pass: count, min and max per bucket; a running count
+        # (window over the small per-bucket table) finds each rank's bucket.
+        nb = buckets or _choose_buckets(4 * cores, len(intervals))  # <= 4 x cores partitions
+        if nb < 2:
+            raise ValueError("buckets must be at least 2")
+        counts = (_tag(v, intervals, lambda a, b: _bucket_expr(a, b, nb))
+                  .groupBy("g", "b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"),
                                          F.max("v").alias("hi")))
-        running = Window.partitionBy("t").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-        need = _per_target({i: s[0] - s[3] for i, s in state.items()})
+        running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+        wanted = {}
+        for g, key in enumerate(intervals):
+            for i in groups[key]:
+                wanted.setdefault((g, state[i][0]), []).append(i)
         hits = (counts.withColumn("cum", F.sum("c").over(running))
-                .where((F.col("cum") - F.col("c") < need) & (F.col("cum") >= need)).collect())
+                .where(_any([(F.col("g") == g) & (F.col("cum") - F.col("c") < need) & (F.col("cum") >= need)
+                             for g, need in wanted]))
+                .collect())
+        found = set()
         for r in hits:
-            s = state[r["t"]]
-            s[1], s[2], s[3], s[4] = r["lo"], r["hi"], s[3] + r["cum"] - r["c"], r["c"]
-        if len(hits) != len(state):
+            for (g, need), targets in wanted.items():
+                if r["g"] == g and r["cum"] - r["c"] < need <= r["cum"]:
+                    for i in targets:
+                        state[i] = [need - (r["cum"] - r["c"]), r["lo"], r["hi"], r["c"]]
+                        found.add(i)
+        if len(found) != sum(len(t) for t in wanted.values()):
             raise RuntimeError("quantile rank beyond counted rows")
     return [result[i] for i in range(len(probabilities))]

@@ -201,9 +201,8 @@ def q_bin_assign(spark, sf_dir):
 
 
 def q_histogram_edges(spark, sf_dir):
-    mass = _selected_mass(spark, sf_dir)
-    edges = H.bin_edges(H.fd_binning(mass, "B_M"))
-    return H.histogram_edges(mass, "B_M", edges).select(_round_bin(), "n")
+    _, hist = H.fd_histogram_edges(_selected_mass(spark, sf_dir), "B_M")
+    return hist.select(_round_bin(), "n")
 
 
 def q_histogram_fd(spark, sf_dir):
