@@ -80,21 +80,26 @@ def with_b_mass(df: DataFrame, parent: str = "B_", daughters: Sequence[str] = ("
     """Reconstruct the parent's mass from three daughter hadrons.
 
     Adds 20 columns in the reference's order: per-hadron P2, P; per-hadron E2,
-    E; parent PX, PY, PZ; parent P2, P; parent E, E2, M.
+    E; parent PX, PY, PZ; parent P2, P; parent E, E2, M. Built as three
+    projections (each ``withColumns`` is analysed once), values identical to
+    applying ``with_momentum`` / ``with_energy`` one by one.
     """
+    m = mass if isinstance(mass, Column) else F.lit(float(mass))
+    first = {}
     for h in daughters:
-        df = with_momentum(df, h)
+        p2 = sum_squares(momentum_columns(h))
+        first[h + "P2"], first[h + "P"] = p2, F.sqrt(p2)
     for h in daughters:
-        df = with_energy(df, h, mass)
-    px, py, pz = (four_momentum_sum(daughters, q) for q in AXES)
-    df = df.withColumns({parent + "PX": px, parent + "PY": py, parent + "PZ": pz})
-    df = with_momentum(df, parent)
-    e = four_momentum_sum(daughters, "E")
-    return df.withColumns({
-        parent + "E": e,
-        parent + "E2": e * e,
-        parent + "M": F.sqrt(e * e - sum_squares([px, py, pz])),
-    })
+        e2 = sum_squares([m] + momentum_columns(h))
+        first[h + "E2"], first[h + "E"] = e2, F.sqrt(e2)
+    for axis in AXES:
+        first[parent + axis] = four_momentum_sum(daughters, axis)
+    df = df.withColumns(first)
+    p2 = sum_squares(momentum_columns(parent))
+    df = df.withColumns({parent + "P2": p2, parent + "P": F.sqrt(p2),
+                         parent + "E": four_momentum_sum(daughters, "E")})
+    e = F.col(parent + "E")
+    return df.withColumns({parent + "E2": e * e, parent + "M": F.sqrt(e * e - p2)})
 
 
 B_MASS_COLUMNS = (["H1_P2", "H1_P", "H2_P2", "H2_P", "H3_P2", "H3_P",
