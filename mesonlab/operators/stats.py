@@ -26,6 +26,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mesonlab.session import cores
+
 DEFAULT_SUMMARY = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
 
 
@@ -109,12 +111,12 @@ def projected_values(df: DataFrame, column, persist: bool = True) -> DataFrame:
     w = df.select(c.cast("double").alias("v"))
     if not persist:
         return w
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = _num_partitions(w, cores)
-    if parts < cores:
-        w = w.repartition(cores)
-    elif parts > 4 * cores:
-        w = w.coalesce(4 * cores)
+    slots = cores(df.sparkSession)
+    parts = _num_partitions(w, slots)
+    if parts < slots:
+        w = w.repartition(slots)
+    elif parts > 4 * slots:
+        w = w.coalesce(4 * slots)
     return w.persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -211,7 +213,7 @@ def _select_ranks(v: DataFrame, probabilities, buckets, fetch_limit, known):
     n, lo, hi = known
     if n == 0:
         return [None for _ in probabilities]
-    cores = v.sparkSession.sparkContext.defaultParallelism
+    slots = cores(v.sparkSession)
     # target -> [need, lo, hi, rows]: the ``need``-th smallest of the ``rows``
     # valid values in [lo, hi] (lo and hi are values present in the data)
     state = {i: [quantile_rank(n, p), lo, hi, n] for i, p in enumerate(probabilities)}
@@ -249,7 +251,7 @@ def _select_ranks(v: DataFrame, probabilities, buckets, fetch_limit, known):
                 continue
         # One bucket pass: count, min and max per bucket; a running count
         # (window over the small per-bucket table) finds each rank's bucket.
-        nb = buckets or _choose_buckets(4 * cores, len(intervals))  # <= 4 x cores partitions
+        nb = buckets or _choose_buckets(4 * slots, len(intervals))  # <= 4 x cores partitions
         if nb < 2:
             raise ValueError("buckets must be at least 2")
         counts = (_tag(v, intervals, lambda a, b: _bucket_expr(a, b, nb))

@@ -11,7 +11,9 @@ then checks rows only): ``sample``, ``approx_quantile_001``,
 
 from __future__ import annotations
 
-from mesonlab.plans.queries import NARROW, QUANTILE_PROBS, STAT_COLUMNS, SUMMARY_STATS
+from mesonlab.plans.queries import (
+    NARROW, PERCENTILE_COLUMNS, QUANTILE_PROBS, STAT_COLUMNS, SUMMARY_STATS,
+)
 from mesonlab.sources.candidates import CANDIDATE_COLUMNS, KEY_COLUMNS, candidate_select_sql
 
 KEYS = ", ".join(KEY_COLUMNS)
@@ -93,12 +95,13 @@ def _quantiles(source: str, column: str) -> str:
         for p in QUANTILE_PROBS)
 
 
-def _stats_rows(stats) -> str:
+def _stats_rows(stats, columns=STAT_COLUMNS) -> str:
     fn = {"count": "CAST(count({c}) AS DOUBLE)", "mean": "avg({c})", "stddev": "stddev_samp({c})",
-          "min": "min({c})", "max": "max({c})"}
+          "min": "min({c})", "max": "max({c})", "25%": "quantile_disc({c}, 0.25)",
+          "50%": "quantile_disc({c}, 0.5)", "75%": "quantile_disc({c}, 0.75)"}
     return "\nUNION ALL\n".join(
         f"SELECT '{st}' AS summary, "
-        + ", ".join(f"round({fn[st].format(c=c)}, 6) AS {c}" for c in STAT_COLUMNS)
+        + ", ".join(f"round(CAST({fn[st].format(c=c)} AS DOUBLE), 6) AS {c}" for c in columns)
         + " FROM lineitem" for st in stats)
 
 
@@ -135,6 +138,8 @@ ORACLE_SQL: dict[str, str] = {
     "min_max": f'WITH {SEL_CTES} SELECT min(B_M) AS "min(B_M)", max(B_M) AS "max(B_M)" FROM sel',
     "describe": _stats_rows(("count", "mean", "stddev", "min", "max")),
     "summary": _stats_rows(SUMMARY_STATS),
+    "summary_percentiles": _stats_rows(("count", "mean", "stddev", "min", "25%", "50%", "75%", "max"),
+                                       PERCENTILE_COLUMNS),
     "approx_quantile": f"WITH {SEL_CTES}\n{_quantiles('sel', 'B_M')}",
     "exact_quantile": _quantiles("lineitem", "l_extendedprice"),
     "fd_binning": (f"WITH RECURSIVE {SEL_CTES},\n{_binning_ctes('sel', 'B_M')}\n"

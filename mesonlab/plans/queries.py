@@ -17,7 +17,7 @@ from mesonlab.functions.selection import b_candidate_selection, strict_kaon_sele
 from mesonlab.functions import udfs
 from mesonlab.operators import frame, histogram as H, stats as S
 from mesonlab.sources import candidates as C, readers as R, writers as W
-from mesonlab.sources.catalog import load_dataset
+from mesonlab.sources.catalog import DATASETS, load_dataset
 from mesonlab.session import scratch_path
 from mesonlab.streaming import streams
 
@@ -149,6 +149,17 @@ def q_summary(spark, sf_dir):
     return S.numeric_stats_table(S.summary(li.select(*STAT_COLUMNS), *SUMMARY_STATS), STAT_COLUMNS)
 
 
+# Spark's summary percentiles come from a GK sketch (relative error 1e-4). For
+# these two columns every quartile rank lies hundreds of rows away from a
+# change of value at every test scale, so the sketch's answer is the exact one.
+PERCENTILE_COLUMNS = ["l_linenumber", "l_tax"]
+
+
+def q_summary_percentiles(spark, sf_dir):
+    li = C.table(spark, sf_dir, "lineitem").select(*PERCENTILE_COLUMNS)
+    return S.numeric_stats_table(S.summary(li), PERCENTILE_COLUMNS)
+
+
 QUANTILE_PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
 
@@ -285,7 +296,7 @@ def q_save_modes(spark, sf_dir):
 def q_dataset_catalog(spark, sf_dir):
     workspace = scratch_path(spark, "workspace")
     C.candidates_from_lineitem(spark, sf_dir, keys=False).write.parquet(
-        f"{workspace}/{'PhaseSpaceSimulation.parquet'}")
+        f"{workspace}/{DATASETS['simulation']}")
     return load_dataset(spark, workspace, "simulation")
 
 
@@ -314,7 +325,9 @@ def q_udf3_sql(spark, sf_dir):
     view = udfs.unique_name("cand")
     _cand(spark, sf_dir).createOrReplaceTempView(view)
     fn = udfs.register_udf3(spark, "momentum_magnitude", udfs.momentum_magnitude, "double")
-    return spark.sql(f"SELECT {', '.join(KEYS)}, {fn}(H1_PX, H1_PY, H1_PZ) AS H1_P FROM {view}")
+    out = spark.sql(f"SELECT {', '.join(KEYS)}, {fn}(H1_PX, H1_PY, H1_PZ) AS H1_P FROM {view}")
+    spark.catalog.dropTempView(view)          # the analysed plan keeps its own copy
+    return out
 
 
 def q_dataset_map(spark, sf_dir):
@@ -352,6 +365,7 @@ QUERIES: Q = {
     "min_max": q_min_max,
     "describe": q_describe,
     "summary": q_summary,
+    "summary_percentiles": q_summary_percentiles,
     "approx_quantile": q_approx_quantile,
     "approx_quantile_001": q_approx_quantile_001,
     "exact_quantile": q_exact_quantile,
