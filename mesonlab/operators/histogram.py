@@ -47,7 +47,7 @@ REFERENCE_RELATIVE_ERROR = 0.01
 BROADCAST_EDGE_LIMIT = 1 << 20
 # Refuse to materialise absurd edge lists (IQR tiny against the range);
 # histogram_fd needs no edge list and handles any bin count.
-MAX_EDGES = 1 << 24
+MAX_EDGES = 1 << 22
 
 
 @dataclass(frozen=True)

@@ -40,3 +40,13 @@ def test_query_matches_oracle_small(spark, con, name):
     res = con.execute(E.oracle_sql()[name])
     want = _canon([d[0] for d in res.description], res.fetchall())
     assert got == want
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plans_have_no_cross_products_or_row_udfs(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(op in plan for op in FORBIDDEN), plan
