@@ -1,12 +1,12 @@
 """Freedman-Diaconis binning and histograms; only bins leave the executors.
 
-Plan shape of ``histogram_fd``:
-  scan (pruned, filters pushed) -> project value -> [persist]
+Plan shape of ``histogram_fd`` (one scan of the source):
+  scan (pruned, filters pushed) -> project value -> persist (one column)
   job 1: one aggregate -> count, min, max (+ GK quartile sketch in approx mode)
-  jobs 2..k (exact mode): bucket-count passes of ``exact_quantiles``
-  result: project bin index -> partial hash aggregate -> shuffle of at most
-          (#bins x #tasks) rows -> final aggregate.
-The statistics enter the final plan as literals: no join, no cross product.
+  jobs 2..k (exact mode): bucket passes of ``exact_quantiles`` on the kept column
+  last job: bin index -> partial hash aggregate -> shuffle of at most
+            (#bins x #tasks) rows -> final aggregate -> checkpoint (bins only)
+The statistics enter the plans as literals: no join, no cross product.
 
 Bin rules follow the reference analysis:
 * width = 2 * IQR / cbrt(n), where n counts every input row, nulls included;
@@ -31,8 +31,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pyspark import StorageLevel
-
 from mesonlab.session import checkpoint_root
 from mesonlab.operators.stats import (
     exact_quantiles, percentile_approx_column, projected_values, valid, value_stats,

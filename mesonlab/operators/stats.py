@@ -1,20 +1,22 @@
 """Descriptive statistics and quantiles.
 
 ``exact_quantiles`` is a distributed selection: it never gathers a column (or
-one group of it) into a single task. Each pass is one scan with a partial
-(map-side) aggregate of at most ``buckets`` groups per target quantile:
-
-1. count, min and max of the valid (non-null, non-NaN) values;
-2. split the interval that holds the target rank into ``buckets`` equal-width
-   buckets and count rows, min and max per bucket; the bucket holding the
-   target rank, narrowed to its own min and max, is the next interval;
-3. stop when that interval holds a single value, or few enough rows
-   (``fetch_limit``) to read them directly.
-
-Bucket numbers are a monotone function of the value, so cumulative counts
-follow value order; the interval's min lands in the first bucket and its max
-in the last, so every pass strictly shrinks the candidate set. A value shared
-by a third of all rows is just one bucket with a large count.
+one group of it) into a single task or the driver. On the kept value column:
+
+1. one aggregate: count, min and max of the valid (non-null, non-NaN) values;
+2. a bucket pass: the interval holding each target rank is split into equal-
+   width buckets; count, min and max per bucket come from a partial (map-side)
+   aggregate; a running count (window over the small per-bucket table) picks
+   the bucket holding the rank, and that bucket, narrowed to its own min and
+   max, is the next interval (targets sharing an interval share the pass);
+3. an interval that holds one value, or whose rank is its first or last row,
+   is answered at once; one with at most ``fetch_limit`` rows is finished by a
+   ``row_number`` window inside one bounded window partition.
+
+Bucket numbers are a monotone function of the value, so running counts follow
+value order; an interval's min lands in its first bucket and its max in the
+last, so every pass strictly shrinks the candidate set and the loop ends on any
+input. A value shared by a third of all rows is one bucket with a large count.
 """
 
 from __future__ import annotations
@@ -80,17 +82,6 @@ def quantile_rank(n: int, p: float) -> int:
     return max(1, n - math.floor(n - n * p))
 
 
-def valid_values(df: DataFrame, column) -> DataFrame:
-    """One double column ``v`` without nulls and NaN.
-
-    Note: Catalyst pushes this filter below the projection that computes the
-    value, evaluating an expensive derived column twice; multi-pass operators
-    therefore work on ``projected_values`` and keep validity inside ``when``.
-    """
-    c = F.col(column) if isinstance(column, str) else column
-    return df.select(c.cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-
-
 def valid(c: Column | str = "v") -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return c.isNotNull() & ~F.isnan(c)

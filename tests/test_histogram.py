@@ -91,6 +91,10 @@ def test_histogram_fd_degenerate(spark, values, expected):
 
 def test_histogram_plan_has_no_join_and_partial_aggregate(spark):
     df = _frame(spark, [float(i) for i in range(1000)])
-    plan = H.histogram_fd(df, "x")._jdf.queryExecution().executedPlan().toString()
+    lazy = H.histogram_fd(df, "x", materialize=False)
+    plan = lazy._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "CartesianProduct" not in plan
     assert "partial_count" in plan
+    kept = H.histogram_fd(df, "x")
+    assert "Join" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, lazy.collect()))
