@@ -130,8 +130,8 @@ ORACLE_SQL: dict[str, str] = {
     "with_column": f"WITH {CAND} SELECT {KEYS}, sqrt(H1_PX*H1_PX + H1_PY*H1_PY) AS H1_PT FROM cand",
     "group_by_agg": (
         "SELECT l_returnflag, l_linestatus, count(*) AS n, "
-        "CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_qty, "
-        "CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price, "
+        "sum(CAST(round(l_quantity * 100) AS BIGINT)) / 100.0 AS sum_qty, "
+        "sum(CAST(round(l_extendedprice * 100) AS BIGINT)) / 100.0 AS sum_price, "
         "min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price, "
         "round(avg(l_discount), 6) AS avg_disc FROM lineitem GROUP BY l_returnflag, l_linestatus"),
     "row_count": f"WITH {MASS_CTES} SELECT count(*) AS n FROM m3 WHERE {SELECTION}",

@@ -110,7 +110,10 @@ def q_with_column(spark, sf_dir):
 # ---- step 3: aggregation and statistics -------------------------------------
 
 def _exact_sum(c):
-    return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
+    """Exact sum of a two-decimal column: integer cents summed as BIGINT (fast
+    codegen'd long arithmetic, independent of summation order; an overflow
+    raises under ANSI), then scaled back."""
+    return F.sum(F.round(F.col(c) * 100).cast("long")) / F.lit(100.0)
 
 
 def q_group_by_agg(spark, sf_dir):

@@ -19,18 +19,26 @@ def write_json(df: DataFrame, path: str) -> None:
 
 def write_parquet(df: DataFrame, path: str, mode: str | None = None,
                   partition_by: Sequence[str] | None = None,
-                  sort_by: Sequence[str] | None = None, options: dict | None = None) -> None:
+                  sort_by: Sequence[str] | None = None, options: dict | None = None,
+                  rebalance: bool = False) -> None:
     """Parquet writer.
 
     ``sort_by`` orders rows inside each output file (a sort within partitions,
     no global shuffle); Spark only accepts a writer-level sort for bucketed
     tables. With ``partition_by`` the rows are first clustered by the partition
     columns so each task writes few files.
+
+    ``rebalance`` (with ``partition_by``) adds one shuffle by the partition
+    columns under AQE's rebalance, which splits a hot partition value over
+    several tasks and merges small ones: few, evenly sized files per value
+    instead of one file per task and value.
     """
     if not path:
         raise ValueError("path is required")
     if mode is not None and mode not in SAVE_MODES:
         raise ValueError(f"unknown save mode {mode!r}; expected one of {sorted(SAVE_MODES)}")
+    if rebalance and partition_by:
+        df = df.hint("rebalance", *partition_by)
     if partition_by or sort_by:
         df = df.sortWithinPartitions(*(list(partition_by or []) + list(sort_by or [])))
     writer = df.write

@@ -48,6 +48,14 @@ def test_partitioned_write_prunes_partitions(spark):
     assert back.count() == li.where(F.col("l_returnflag") == "A").count()
 
 
+def test_rebalanced_partitioned_write(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey", "l_returnflag")
+    path = scratch_path(spark, "t-rebal")
+    W.write_parquet(li, path, partition_by=["l_returnflag"], rebalance=True)
+    back = spark.read.parquet(path)
+    assert sorted(map(tuple, back.select("l_orderkey", "l_returnflag").collect())) == sorted(map(tuple, li.collect()))
+
+
 def test_json_permissive_reading(spark):
     path = scratch_path(spark, "t-json")
     os.makedirs(path)
