@@ -10,6 +10,8 @@ and stops. The histogram needs global quantiles and stays a batch operator.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,6 +46,35 @@ def stop(query: StreamingQuery) -> None:
         query.stop()
 
 
+class Watched:
+    """A started query awaited on a background thread; ``stop()`` ends it from
+    any other thread, ``error`` holds a failure the wait observed."""
+
+    def __init__(self, query: StreamingQuery):
+        self.query = query
+        self.error: BaseException | None = None
+        self._thread = threading.Thread(target=self._wait, name=f"await-{query.id}", daemon=True)
+        self._thread.start()
+
+    def _wait(self) -> None:
+        try:
+            self.query.awaitTermination()
+        except BaseException as exc:  # surfaced to the owner, not lost in the thread
+            self.error = exc
+
+    @property
+    def running(self) -> bool:
+        return self._thread.is_alive()
+
+    def stop(self, timeout_s: float = 60) -> None:
+        stop(self.query)
+        self._thread.join(timeout_s)
+
+
+def watch(query: StreamingQuery) -> Watched:
+    return Watched(query)
+
+
 def _to_parquet_sink(spark: SparkSession, stream: DataFrame, name: str) -> str:
     sink, ckpt = scratch_path(spark, f"{name}-sink"), scratch_path(spark, f"{name}-ckpt")
     query = (stream.writeStream.format("parquet").outputMode("append")

@@ -1,7 +1,8 @@
 from mesonlab.functions.kinematics import with_momentum
 from mesonlab.plans.queries import KEYED_SCHEMA
 from mesonlab.sources.candidates import candidates_from_lineitem, table
-from mesonlab.streaming import candidate_stream_momentum, line_stream
+from mesonlab.session import scratch_path
+from mesonlab.streaming import candidate_stream, candidate_stream_momentum, line_stream, watch
 from tests.conftest import SF_SMALL
 
 
@@ -18,3 +19,18 @@ def test_line_stream_one_row_per_document(spark):
     assert lines.columns == ["value"]
     assert lines.count() == docs.count()
     assert lines.where("value LIKE '%\\n%'").count() == 0
+
+
+def test_background_query_lifecycle(spark):
+    cand = candidates_from_lineitem(spark, SF_SMALL)
+    src = scratch_path(spark, "t-live-src")
+    cand.limit(100).write.json(src)
+    stream = with_momentum(candidate_stream(spark, src, KEYED_SCHEMA), "H1_")
+    q = (stream.writeStream.format("memory").queryName("live_momentum").outputMode("append")
+         .trigger(processingTime="200 milliseconds").start())
+    handle = watch(q)
+    q.processAllAvailable()
+    assert handle.running
+    assert spark.table("live_momentum").count() == 100
+    handle.stop()
+    assert not handle.running and not q.isActive and handle.error is None
