@@ -18,6 +18,7 @@ from mesonlab.functions import udfs
 from mesonlab.operators import frame, histogram as H, stats as S
 from mesonlab.sources import candidates as C, readers as R, writers as W
 from mesonlab.sources.catalog import DATASETS, load_dataset
+from mesonlab.plans.spectrum import mass_spectrum
 from mesonlab.session import scratch_path
 from mesonlab.streaming import streams
 
@@ -221,7 +222,7 @@ def q_histogram_edges(spark, sf_dir):
 
 def q_histogram_fd(spark, sf_dir):
     """Flagship: mass spectrum of the selected B candidates."""
-    return H.histogram_fd(_selected_mass(spark, sf_dir), "B_M")
+    return mass_spectrum(_cand(spark, sf_dir), selection=True)
 
 
 def q_histogram_fd_approx(spark, sf_dir):

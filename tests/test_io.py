@@ -105,3 +105,19 @@ def test_histogram_sink_single_file(spark):
     path = scratch_path(spark, "t-hist")
     W.write_histogram(hist, path)
     assert len([f for f in os.listdir(path) if f.endswith(".json")]) == 1
+
+
+def test_run_spectrum_and_cli_args(spark):
+    from mesonlab.__main__ import parse
+    from mesonlab.plans.spectrum import run_spectrum
+    from mesonlab.sources.candidates import candidates_from_lineitem
+    ws = scratch_path(spark, "t-spectrum")
+    candidates_from_lineitem(spark, SF_SMALL, keys=False).write.parquet(f"{ws}/{DATASETS['magnet-down']}")
+    hist = run_spectrum(spark, ws, "magnet-down", selection=True)
+    back = spark.read.json(f"{ws}/b-mass-histogram.json")
+    assert sorted(map(tuple, back.select("bin", "bin_lo", "bin_hi", "n").collect())) == \
+        sorted(map(tuple, hist.collect()))
+    args = parse(["--workspace", ws, "--dataset", "simulation", "--no-selection"])
+    assert args.selection is False and args.quantiles == "exact"
+    with pytest.raises(SystemExit):
+        parse(["--workspace", ws, "--dataset", "magnet-sideways"])
