@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from mesonlab.session import checkpoint_root
 from mesonlab.operators.stats import (
-    exact_quantiles, percentile_approx_column, projected_values, valid, value_stats,
+    KeptValues, exact_quantiles, percentile_approx_column, valid,
 )
 
 # Fixed value: the out-of-range sentinel bin (Java Double.MAX_VALUE).
@@ -70,22 +70,22 @@ def fd_width(q1: float, q3: float, n: int) -> float:
     return 2.0 * (q3 - q1) / math.cbrt(n)
 
 
-def _binning_of_values(w: DataFrame, quantiles: str, relative_error: float) -> Binning:
-    """Binning statistics of the one-column frame ``w`` (column ``v``)."""
+def _binning_of_values(kept: KeptValues, quantiles: str, relative_error: float) -> Binning:
+    """Binning statistics of a kept value column."""
     if quantiles not in ("exact", "approx"):
         raise ValueError("quantiles must be 'exact' or 'approx'")
     extra = []
     if quantiles == "approx":
         x = F.when(valid("v"), F.col("v"))
         extra.append(percentile_approx_column(x, [0.25, 0.75], relative_error).alias("q"))
-    row = value_stats(w, *extra)
+    row = kept.stats(*extra)
     n_all, n_valid, lo, hi = row["n"], row["n_valid"], row["lo"], row["hi"]
     if n_valid == 0:
         return Binning(n_all, 0, None, None, None, None, None)
     if quantiles == "approx":
         q1, q3 = row["q"]
     else:
-        q1, q3 = exact_quantiles(None, None, [0.25, 0.75], known=(n_valid, lo, hi), values=w)
+        q1, q3 = exact_quantiles(None, None, [0.25, 0.75], known=(n_valid, lo, hi), values=kept.frame)
     return Binning(n_all, n_valid, lo, hi, q1, q3, fd_width(q1, q3, n_all))
 
 
@@ -97,14 +97,10 @@ def fd_binning(df: DataFrame, column: str, quantiles: str = "exact",
     with ``quantiles="approx"``, the GK quartile sketch at ``relative_error``,
     the reference's 0.01). ``quantiles="exact"`` adds the bucket-count passes of
     ``exact_quantiles`` (percentile_disc rule). The one projected column is
-    persisted across those passes.
+    kept across those passes.
     """
-    w = projected_values(df, column, persist)
-    try:
-        return _binning_of_values(w, quantiles, relative_error)
-    finally:
-        if persist:
-            w.unpersist()
+    with KeptValues(df, column, persist) as kept:
+        return _binning_of_values(kept, quantiles, relative_error)
 
 
 def bin_edges(b: Binning) -> list[float]:
@@ -233,28 +229,22 @@ def histogram_fd(df: DataFrame, column: str, quantiles: str = "exact",
         if b.n_valid == 0:
             return empty_histogram(df.sparkSession)
         return _fd_bins_plan(df, column, b, digits)
-    w = projected_values(df, column)
-    try:
-        b = _binning_of_values(w, quantiles, relative_error)
+    with KeptValues(df, column) as kept:
+        b = _binning_of_values(kept, quantiles, relative_error)
         if b.n_valid == 0:
             return empty_histogram(df.sparkSession)
-        return _kept(df.sparkSession, _fd_bins_plan(w, "v", b, digits))
-    finally:
-        w.unpersist()
+        return _kept(df.sparkSession, _fd_bins_plan(kept.frame, "v", b, digits))
 
 
 def fd_histogram_edges(df: DataFrame, column: str, quantiles: str = "exact",
                        relative_error: float = REFERENCE_RELATIVE_ERROR) -> tuple[list[float], DataFrame]:
     """Freedman-Diaconis edges and the fixed-edge histogram over them (with
     the sentinel bin), from one scan of the source."""
-    w = projected_values(df, column)
-    try:
-        edges = bin_edges(_binning_of_values(w, quantiles, relative_error))
+    with KeptValues(df, column) as kept:
+        edges = bin_edges(_binning_of_values(kept, quantiles, relative_error))
         if not edges:
             return edges, df.sparkSession.createDataFrame([], "bin double, n bigint")
-        return edges, _kept(df.sparkSession, histogram_edges(w, "v", edges))
-    finally:
-        w.unpersist()
+        return edges, _kept(df.sparkSession, histogram_edges(kept.frame, "v", edges))
 
 
 def column_histogram(df: DataFrame, column: str, **kwargs) -> DataFrame:

@@ -87,36 +87,55 @@ def valid(c: Column | str = "v") -> Column:
     return c.isNotNull() & ~F.isnan(c)
 
 
-def projected_values(df: DataFrame, column, persist: bool = True) -> DataFrame:
-    """The single column ``v`` (nulls and NaN kept), persisted for the passes
-    that follow (memory, spilling to disk; lost blocks are recomputed from
-    lineage).
-
-    Partitioning of the kept column: fewer splits than cores (a small or
-    single-row-group input) -> spread round-robin so later passes run in
-    parallel; far more splits than cores (a huge input) -> coalesced, without a
-    shuffle, to ``4 x cores`` so each later pass schedules few tasks and its
-    per-task partial aggregates stay few.
+class KeptValues:
+    """One double column ``v`` (nulls and NaN kept) projected from ``df`` and
+    persisted for the passes that follow (memory, spilling to disk; lost blocks
+    are recomputed from lineage). Use as a context manager.
+
+    ``stats()`` is the first pass: it materialises the column and returns
+    count, valid count, min, max (plus extra aggregates) together with the
+    column's partition count. The passes after it use ``frame``: spread
+    round-robin (from the cache) when there are fewer partitions than cores, so
+    later passes run in parallel; coalesced without a shuffle to ``4 x cores``
+    when there are far more, so each later pass schedules few tasks and emits
+    few partial-aggregate rows. Nothing is planned or executed just to learn
+    the partition count.
     """
-    c = F.col(column) if isinstance(column, str) else column
-    w = df.select(c.cast("double").alias("v"))
-    if not persist:
-        return w
-    slots = cores(df.sparkSession)
-    parts = _num_partitions(w, slots)
-    if parts < slots:
-        w = w.repartition(slots)
-    elif parts > 4 * slots:
-        w = w.coalesce(4 * slots)
-    return w.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _num_partitions(df: DataFrame, default: int) -> int:
-    """Split count of a plan without a shuffle (cheap: planning only)."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session)
-        return default
+
+    def __init__(self, df: DataFrame, column, persist: bool = True):
+        c = F.col(column) if isinstance(column, str) else column
+        self._slots = cores(df.sparkSession)
+        self._persist = persist
+        self._base = df.select(c.cast("double").alias("v"))
+        if persist:
+            self._base = self._base.persist(StorageLevel.MEMORY_AND_DISK)
+        self._spread = None
+        self.frame = self._base
+
+    def stats(self, *extra: Column):
+        tagged = self._base.withColumn("_part", F.spark_partition_id())
+        row = value_stats(tagged, *extra, F.max("_part").alias("_last_part"))
+        parts = 1 + (row["_last_part"] or 0)
+        if parts < self._slots:
+            self._spread = self._base.repartition(self._slots)
+            if self._persist:
+                self._spread = self._spread.persist(StorageLevel.MEMORY_AND_DISK)
+            self.frame = self._spread
+        elif parts > 4 * self._slots:
+            self.frame = self._base.coalesce(4 * self._slots)
+        return row
+
+    def release(self) -> None:
+        if self._persist:
+            for f in (self._spread, self._base):
+                if f is not None:
+                    f.unpersist()
+
+    def __enter__(self) -> "KeptValues":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.release()
 
 
 def value_stats(w: DataFrame, *extra: Column):
@@ -183,18 +202,17 @@ def exact_quantiles(df: DataFrame, column, probabilities: Sequence[float], *,
     non-null, non-NaN values of ``column``.
 
     ``values`` may pass a prepared one-column frame ``v`` (see
-    ``projected_values``; nulls and NaN may remain) and ``known`` its
-    (valid count, min, max). ``buckets`` defaults to a size chosen from the
+    ``KeptValues``; nulls and NaN may remain, at most 4 x cores partitions)
+    and ``known`` its (valid count, min, max). ``buckets`` defaults to a size chosen from the
     partition count; ``fetch_limit`` is the largest interval (in rows) that is
     finished by sorting it inside one window partition.
     """
-    own = values is None
-    v = projected_values(df, column) if own else values
-    try:
-        return _select_ranks(v, probabilities, buckets, fetch_limit, known)
-    finally:
-        if own:
-            v.unpersist()
+    if values is not None:
+        return _select_ranks(values, probabilities, buckets, fetch_limit, known)
+    with KeptValues(df, column) as kept:
+        row = kept.stats()
+        return _select_ranks(kept.frame, probabilities, buckets, fetch_limit,
+                             (row["n_valid"], row["lo"], row["hi"]))
 
 
 def _select_ranks(v: DataFrame, probabilities, buckets, fetch_limit, known):
@@ -242,7 +260,7 @@ def _select_ranks(v: DataFrame, probabilities, buckets, fetch_limit, known):
                 continue
         # One bucket pass: count, min and max per bucket; a running count
         # (window over the small per-bucket table) finds each rank's bucket.
-        nb = buckets or _choose_buckets(4 * slots, len(intervals))  # <= 4 x cores partitions
+        nb = buckets or _choose_buckets(4 * slots, len(intervals))  # KeptValues: <= 4 x cores parts
         if nb < 2:
             raise ValueError("buckets must be at least 2")
         counts = (_tag(v, intervals, lambda a, b: _bucket_expr(a, b, nb))
