@@ -150,6 +150,7 @@ ORACLE_SQL: dict[str, str] = {
     "bin_assign": _BIN_ASSIGN,
     "histogram_edges": f"SELECT bin, count(*) AS n FROM ({_BIN_ASSIGN}) GROUP BY bin",
     "histogram_fd": _fd_histogram("sel", "B_M", SEL_CTES),
+    "histogram_fd_all": _fd_histogram("m3", "B_M", MASS_CTES),
     "column_histogram": _fd_histogram("cand", "H1_PX", CAND),
     "sort_take": f"WITH {SEL_CTES} SELECT * FROM sel ORDER BY B_M DESC, {KEYS} LIMIT 20",
     "first_row": f"WITH {SEL_CTES} SELECT * FROM sel ORDER BY {KEYS}, B_M LIMIT 1",

@@ -225,6 +225,11 @@ def q_histogram_fd(spark, sf_dir):
     return mass_spectrum(_cand(spark, sf_dir), selection=True)
 
 
+def q_histogram_fd_all(spark, sf_dir):
+    """Mass spectrum of every candidate (the analysis without the selection)."""
+    return mass_spectrum(_cand(spark, sf_dir), selection=False)
+
+
 def q_histogram_fd_approx(spark, sf_dir):
     """Same spectrum with the reference's approximate quartiles (GK, 0.01)."""
     return H.histogram_fd(_selected_mass(spark, sf_dir), "B_M", quantiles="approx")
@@ -378,6 +383,7 @@ QUERIES: Q = {
     "bin_assign": q_bin_assign,
     "histogram_edges": q_histogram_edges,
     "histogram_fd": q_histogram_fd,
+    "histogram_fd_all": q_histogram_fd_all,
     "histogram_fd_approx": q_histogram_fd_approx,
     "column_histogram": q_column_histogram,
     "sort_take": q_sort_take,
