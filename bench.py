@@ -25,8 +25,8 @@ from mesonlab.session import get_session  # noqa: E402
 HEADLINE = [
     "b_mass", "candidate_selection", "row_count", "min_max", "group_by_agg", "describe",
     "summary", "exact_quantile", "approx_quantile", "approx_quantile_001", "fd_binning",
-    "bin_assign", "histogram_edges", "histogram_fd", "histogram_fd_approx",
-    "column_histogram", "sort_take", "column_udf", "udf3_sql", "dataset_map",
+    "bin_assign", "histogram_edges", "histogram_fd", "histogram_fd_all", "histogram_fd_approx",
+    "column_histogram", "column_histograms", "sort_take", "column_udf", "udf3_sql", "dataset_map",
 ]
 
 

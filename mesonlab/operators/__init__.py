@@ -1,7 +1,7 @@
 from mesonlab.operators import frame, stats, histogram
 from mesonlab.operators.histogram import (
     SENTINEL, Binning, fd_binning, bin_edges, assign_bins, histogram_edges, histogram_fd,
-    column_histogram, binning_frame, fd_histogram_edges,
+    column_histogram, column_histograms, binning_frame, fd_histogram_edges,
 )
 from mesonlab.operators.stats import (
     describe, summary, approx_quantile, exact_quantiles, quantile_rank, numeric_stats_table,
@@ -9,7 +9,7 @@ from mesonlab.operators.stats import (
 
 __all__ = [
     "frame", "stats", "histogram", "SENTINEL", "Binning", "fd_binning", "bin_edges",
-    "assign_bins", "histogram_edges", "histogram_fd", "column_histogram", "binning_frame", "fd_histogram_edges",
+    "assign_bins", "histogram_edges", "histogram_fd", "column_histogram", "column_histograms", "binning_frame", "fd_histogram_edges",
     "describe", "summary", "approx_quantile", "exact_quantiles", "quantile_rank",
     "numeric_stats_table",
 ]

@@ -103,18 +103,27 @@ class KeptValues:
     """
 
     def __init__(self, df: DataFrame, column, persist: bool = True):
-        c = F.col(column) if isinstance(column, str) else column
+        cols = column if isinstance(column, dict) else {"v": column}
+        self.names = list(cols)
         self._slots = cores(df.sparkSession)
         self._persist = persist
-        self._base = df.select(c.cast("double").alias("v"))
+        self._base = df.select(*[(F.col(c) if isinstance(c, str) else c).cast("double").alias(n)
+                                 for n, c in cols.items()])
         if persist:
             self._base = self._base.persist(StorageLevel.MEMORY_AND_DISK)
         self._spread = None
         self.frame = self._base
 
     def stats(self, *extra: Column):
+        """Row with ``n`` and, per kept column, ``n_valid``, ``lo``, ``hi``
+        (suffixed ``_<name>`` when several columns are kept)."""
+        aggs = [F.count(F.lit(1)).alias("n")]
+        for name in self.names:
+            x = F.when(valid(name), F.col(name))
+            sfx = "" if self.names == ["v"] else f"_{name}"
+            aggs += [F.count(x).alias("n_valid" + sfx), F.min(x).alias("lo" + sfx), F.max(x).alias("hi" + sfx)]
         tagged = self._base.withColumn("_part", F.spark_partition_id())
-        row = value_stats(tagged, *extra, F.max("_part").alias("_last_part"))
+        row = tagged.agg(*aggs, *extra, F.max("_part").alias("_last_part")).first()
         parts = 1 + (row["_last_part"] or 0)
         if parts < self._slots:
             self._spread = self._base.repartition(self._slots)
@@ -146,9 +155,9 @@ def value_stats(w: DataFrame, *extra: Column):
                  F.min(x).alias("lo"), F.max(x).alias("hi"), *extra).first()
 
 
-def _bucket_expr(lo: float, hi: float, buckets: int) -> Column:
-    """Monotone bucket number of ``v`` within [lo, hi]: lo -> 0, hi -> last."""
-    v = F.col("v")
+def _bucket_expr(lo: float, hi: float, buckets: int, column: str = "v") -> Column:
+    """Monotone bucket number of ``column`` within [lo, hi]: lo -> 0, hi -> last."""
+    v = F.col(column)
     width = hi * 0.5 - lo * 0.5          # halves: no overflow for any finite pair
     scale = buckets / width if width > 0 else math.inf
     if not math.isfinite(scale):         # subnormal interval: split off ``lo``
@@ -176,21 +185,20 @@ def _any(conds: list[Column]) -> Column:
     return out
 
 
-def _tag(v: DataFrame, intervals: list[tuple[float, float]], bucket=None) -> DataFrame:
-    """Rows of ``v`` inside each interval, tagged with the interval number
-    ``g`` (and a bucket number ``b`` if ``bucket`` is given). A range test is
-    false for null and NaN, so no validity filter is needed."""
-    def fields(g, lo, hi):
+def _tag(frame: DataFrame, intervals: list[tuple[str, float, float]], buckets: int | None = None) -> DataFrame:
+    """Rows inside each (column, lo, hi) interval as (g, [b,] v): interval
+    number, optional bucket number, value. A range test is false for null and
+    NaN, so no validity filter is needed."""
+    def fields(g, c, lo, hi):
         out = [F.lit(g).alias("g")]
-        if bucket is not None:
-            out.append(bucket(lo, hi).alias("b"))
-        return out + [F.col("v")]
-    in_range = [(F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)) for lo, hi in intervals]
+        if buckets is not None:
+            out.append(_bucket_expr(lo, hi, buckets, c).alias("b"))
+        return out + [F.col(c).alias("v")]
+    in_range = [(F.col(c) >= F.lit(lo)) & (F.col(c) <= F.lit(hi)) for c, lo, hi in intervals]
     if len(intervals) == 1:
-        lo, hi = intervals[0]
-        return v.where(in_range[0]).select(*fields(0, lo, hi))
-    structs = [F.when(c, F.struct(*fields(g, lo, hi))) for g, ((lo, hi), c) in enumerate(zip(intervals, in_range))]
-    return (v.select(F.explode(F.array(*structs)).alias("r")).where(F.col("r").isNotNull())
+        return frame.where(in_range[0]).select(*fields(0, *intervals[0]))
+    structs = [F.when(cond, F.struct(*fields(g, *iv))) for g, (iv, cond) in enumerate(zip(intervals, in_range))]
+    return (frame.select(F.explode(F.array(*structs)).alias("r")).where(F.col("r").isNotNull())
             .select("r.*"))
 
 
@@ -220,40 +228,47 @@ def _select_ranks(v: DataFrame, probabilities, buckets, fetch_limit, known):
         row = value_stats(v)
         known = (row["n_valid"], row["lo"], row["hi"])
     n, lo, hi = known
-    if n == 0:
-        return [None for _ in probabilities]
-    slots = cores(v.sparkSession)
-    # target -> [need, lo, hi, rows]: the ``need``-th smallest of the ``rows``
-    # valid values in [lo, hi] (lo and hi are values present in the data)
-    state = {i: [quantile_rank(n, p), lo, hi, n] for i, p in enumerate(probabilities)}
-    result: dict[int, float] = {}
+    return select_quantiles(v, [("v", n, lo, hi, p) for p in probabilities], buckets, fetch_limit)
+
+
+def select_quantiles(frame: DataFrame, targets: Sequence[tuple[str, int, float, float, float]],
+                     buckets: int | None = None, fetch_limit: int = 1 << 16) -> list[float | None]:
+    """Exact quantiles for several (column, valid count, min, max, p) targets
+    of one kept frame; targets with the same column and interval share passes,
+    and every pass serves all columns at once."""
+    slots = cores(frame.sparkSession)
+    # target -> [column, need, lo, hi, rows]: the ``need``-th smallest of the
+    # ``rows`` valid values of ``column`` in [lo, hi] (lo, hi present in data)
+    state = {i: [c, quantile_rank(n, p), lo, hi, n] for i, (c, n, lo, hi, p) in enumerate(targets) if n > 0}
+    result: dict[int, float | None] = {i: None for i, t in enumerate(targets) if t[1] == 0}
     while True:
-        for i, (need, t_lo, t_hi, rows) in list(state.items()):
+        for i, (_, need, t_lo, t_hi, rows) in list(state.items()):
             if t_lo == t_hi or need == 1 or need == rows:
                 result[i] = t_hi if need == rows else t_lo
                 del state[i]
         if not state:
             break
-        # Targets with the same interval share the pass.
-        groups: dict[tuple[float, float], list[int]] = {}
+        groups: dict[tuple[str, float, float], list[int]] = {}
         for i, s in state.items():
-            groups.setdefault((s[1], s[2]), []).append(i)
+            groups.setdefault((s[0], s[2], s[3]), []).append(i)
         intervals = list(groups)
-        small = [g for g, key in enumerate(intervals) if state[groups[key][0]][3] <= fetch_limit]
+        small = [g for g, key in enumerate(intervals) if state[groups[key][0]][4] <= fetch_limit]
         if small:
             # Sort each small interval in its own window partition; pick ranks.
             sub = [intervals[g] for g in small]
             order = Window.partitionBy("g").orderBy("v")
-            wanted = {(k, state[i][0]): i for k, key in enumerate(sub) for i in groups[key]}
-            picked = (_tag(v, sub).withColumn("rn", F.row_number().over(order))
+            wanted = {}
+            for k, key in enumerate(sub):
+                for i in groups[key]:
+                    wanted.setdefault((k, state[i][1]), []).append(i)
+            picked = (_tag(frame, sub).withColumn("rn", F.row_number().over(order))
                       .where(_any([(F.col("g") == k) & (F.col("rn") == need) for k, need in wanted]))
                       .collect())
             for r in picked:
-                for (k, need), i in wanted.items():
-                    if r["g"] == k and r["rn"] == need:
-                        result[i] = r["v"]
-                        state.pop(i, None)
-            if any(i in state for i in wanted.values()):
+                for i in wanted.get((r["g"], r["rn"]), []):
+                    result[i] = r["v"]
+                    state.pop(i, None)
+            if any(i in state for ids in wanted.values() for i in ids):
                 raise RuntimeError("quantile rank beyond counted rows")
             intervals = [key for g, key in enumerate(intervals) if g not in small]
             if not intervals:
@@ -263,25 +278,25 @@ def _select_ranks(v: DataFrame, probabilities, buckets, fetch_limit, known):
         nb = buckets or _choose_buckets(4 * slots, len(intervals))  # KeptValues: <= 4 x cores parts
         if nb < 2:
             raise ValueError("buckets must be at least 2")
-        counts = (_tag(v, intervals, lambda a, b: _bucket_expr(a, b, nb))
+        counts = (_tag(frame, intervals, nb)
                   .groupBy("g", "b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"),
                                          F.max("v").alias("hi")))
         running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
         wanted = {}
         for g, key in enumerate(intervals):
             for i in groups[key]:
-                wanted.setdefault((g, state[i][0]), []).append(i)
+                wanted.setdefault((g, state[i][1]), []).append(i)
         hits = (counts.withColumn("cum", F.sum("c").over(running))
                 .where(_any([(F.col("g") == g) & (F.col("cum") - F.col("c") < need) & (F.col("cum") >= need)
                              for g, need in wanted]))
                 .collect())
         found = set()
         for r in hits:
-            for (g, need), targets in wanted.items():
+            for (g, need), ids in wanted.items():
                 if r["g"] == g and r["cum"] - r["c"] < need <= r["cum"]:
-                    for i in targets:
-                        state[i] = [need - (r["cum"] - r["c"]), r["lo"], r["hi"], r["c"]]
+                    for i in ids:
+                        state[i] = [state[i][0], need - (r["cum"] - r["c"]), r["lo"], r["hi"], r["c"]]
                         found.add(i)
-        if len(found) != sum(len(t) for t in wanted.values()):
+        if len(found) != sum(len(ids) for ids in wanted.values()):
             raise RuntimeError("quantile rank beyond counted rows")
-    return [result[i] for i in range(len(probabilities))]
+    return [result[i] for i in range(len(targets))]

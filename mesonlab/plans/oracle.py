@@ -12,7 +12,7 @@ then checks rows only): ``sample``, ``approx_quantile_001``,
 from __future__ import annotations
 
 from mesonlab.plans.queries import (
-    NARROW, PERCENTILE_COLUMNS, QUANTILE_PROBS, STAT_COLUMNS, SUMMARY_STATS,
+    NARROW, NOTEBOOK_COLUMNS, PERCENTILE_COLUMNS, QUANTILE_PROBS, STAT_COLUMNS, SUMMARY_STATS,
 )
 from mesonlab.sources.candidates import CANDIDATE_COLUMNS, KEY_COLUMNS, candidate_select_sql
 
@@ -152,6 +152,8 @@ ORACLE_SQL: dict[str, str] = {
     "histogram_fd": _fd_histogram("sel", "B_M", SEL_CTES),
     "histogram_fd_all": _fd_histogram("m3", "B_M", MASS_CTES),
     "column_histogram": _fd_histogram("cand", "H1_PX", CAND),
+    "column_histograms": "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS variable, * FROM ({_fd_histogram('m3', c, MASS_CTES)})" for c in NOTEBOOK_COLUMNS),
     "sort_take": f"WITH {SEL_CTES} SELECT * FROM sel ORDER BY B_M DESC, {KEYS} LIMIT 20",
     "first_row": f"WITH {SEL_CTES} SELECT * FROM sel ORDER BY {KEYS}, B_M LIMIT 1",
     "csv_scan": f"WITH {CAND} {_SCAN}",

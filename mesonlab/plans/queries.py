@@ -239,6 +239,14 @@ def q_column_histogram(spark, sf_dir):
     return H.column_histogram(_cand(spark, sf_dir), "H1_PX")
 
 
+# The columns the exploration notebook histograms, one FD histogram each.
+NOTEBOOK_COLUMNS = ["H1_PX", "H1_PY", "H1_PZ", "H1_P", "H2_E", "B_E", "B_PX", "B_PY", "B_PZ", "B_P", "B_M"]
+
+
+def q_column_histograms(spark, sf_dir):
+    return H.column_histograms(K.with_b_mass(_cand(spark, sf_dir)), NOTEBOOK_COLUMNS)
+
+
 # ---- step 5: sort, take, first, sample --------------------------------------
 
 def q_sort_take(spark, sf_dir):
@@ -386,6 +394,7 @@ QUERIES: Q = {
     "histogram_fd_all": q_histogram_fd_all,
     "histogram_fd_approx": q_histogram_fd_approx,
     "column_histogram": q_column_histogram,
+    "column_histograms": q_column_histograms,
     "sort_take": q_sort_take,
     "first_row": q_first_row,
     "sample": q_sample,

@@ -98,3 +98,18 @@ def test_histogram_plan_has_no_join_and_partial_aggregate(spark):
     kept = H.histogram_fd(df, "x")
     assert "Join" not in kept._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, lazy.collect()))
+
+
+def test_column_histograms_equal_single_histograms(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(rnd.gauss(5, 2), rnd.random() * 100 if i % 7 else None, 4.0, float(i % 13))
+            for i in range(3000)] + [(float("nan"), 1.0, 4.0, 2.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    cols = ["a", "b", "c", "d"]
+    multi = H.column_histograms(df, cols).collect()
+    for c in cols:
+        single = sorted(tuple(r) for r in H.histogram_fd(df, c).collect())
+        assert sorted(tuple(r)[1:] for r in multi if r.variable == c) == single, c
+    with pytest.raises(ValueError):
+        H.column_histograms(df, [])
