@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from mesonlab.session import checkpoint_root
 from mesonlab.operators.stats import (
     KeptValues, exact_quantiles, percentile_approx_column, valid,
-    select_quantiles as S_select,
+    select_quantiles as S_select, sql_double,
 )
 
 # Fixed value: the out-of-range sentinel bin (Java Double.MAX_VALUE).
@@ -253,11 +253,17 @@ def column_histogram(df: DataFrame, column: str, **kwargs) -> DataFrame:
     return histogram_fd(df, column, **kwargs)
 
 
-def _per_column(k: Column, values: list) -> Column:
-    expr = F.when(k == 0, F.lit(values[0]))
-    for i, val in enumerate(values[1:], start=1):
-        expr = expr.when(k == i, F.lit(val))
-    return expr
+def _sql_value(v) -> str:
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, float):
+        return sql_double(v)
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def _per_column(k: str, values: list) -> Column:
+    """``CASE k WHEN 0 THEN values[0] ...`` as one SQL expression."""
+    return F.expr(f"CASE {k} " + " ".join(f"WHEN {i} THEN {_sql_value(v)}" for i, v in enumerate(values)) + " END")
 
 
 def column_histograms(df: DataFrame, columns: list[str], quantiles: str = "exact",
@@ -301,7 +307,7 @@ def column_histograms(df: DataFrame, columns: list[str], quantiles: str = "exact
             rows.append(F.when(valid(name), F.struct(F.lit(i).alias("k"), idx.alias("bin"))))
         counted = (kept.frame.select(F.explode(F.array(*rows)).alias("r")).where(F.col("r").isNotNull())
                    .select("r.k", "r.bin").groupBy("k", "bin").agg(F.count(F.lit(1)).alias("n")))
-        k = F.col("k")
+        k = "k"
         lo = _per_column(k, [b.min for b in bins])
         width = _per_column(k, [b.width if not b.degenerate else 0.0 for b in bins])
         degenerate = _per_column(k, [b.degenerate for b in bins])

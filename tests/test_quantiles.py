@@ -73,3 +73,11 @@ def test_describe_and_summary(spark):
     assert [r.summary for r in s] == list(S.DEFAULT_SUMMARY)
     with pytest.raises(ValueError):
         S.describe(df)
+
+
+def test_sql_double_literals_round_trip(spark):
+    values = [0.1, -0.0, 5e-324, -1.7976931348623157e308, 1 / 3, 873.856104493017, 1e22, 123456789.125]
+    row = spark.range(1).select(*[F.expr(S.sql_double(v)).alias(f"c{i}") for i, v in enumerate(values)]).first()
+    assert list(row) == values
+    with pytest.raises(ValueError):
+        S.sql_double(float("nan"))
