@@ -94,12 +94,12 @@ class KeptValues:
 
     ``stats()`` is the first pass: it materialises the column and returns
     count, valid count, min, max (plus extra aggregates) together with the
-    column's partition count. The passes after it use ``frame``: spread
-    round-robin (from the cache) when there are fewer partitions than cores, so
-    later passes run in parallel; coalesced without a shuffle to ``4 x cores``
-    when there are far more, so each later pass schedules few tasks and emits
-    few partial-aggregate rows. Nothing is planned or executed just to learn
-    the partition count.
+    column's partition count. The passes after it use ``frame``, coalesced
+    without a shuffle to ``4 x cores`` partitions when there are far more, so
+    each later pass schedules few tasks and emits few partial-aggregate rows.
+    Nothing is planned or executed just to learn the partition count. (A column
+    with fewer partitions than cores is small; spreading it first was measured
+    to cost more than the passes it would parallelise.)
     """
 
     def __init__(self, df: DataFrame, column, persist: bool = True):
@@ -111,7 +111,6 @@ class KeptValues:
                                  for n, c in cols.items()])
         if persist:
             self._base = self._base.persist(StorageLevel.MEMORY_AND_DISK)
-        self._spread = None
         self.frame = self._base
 
     def stats(self, *extra: Column):
@@ -125,20 +124,13 @@ class KeptValues:
         tagged = self._base.withColumn("_part", F.spark_partition_id())
         row = tagged.agg(*aggs, *extra, F.max("_part").alias("_last_part")).first()
         parts = 1 + (row["_last_part"] or 0)
-        if parts < self._slots:
-            self._spread = self._base.repartition(self._slots)
-            if self._persist:
-                self._spread = self._spread.persist(StorageLevel.MEMORY_AND_DISK)
-            self.frame = self._spread
-        elif parts > 4 * self._slots:
+        if parts > 4 * self._slots:
             self.frame = self._base.coalesce(4 * self._slots)
         return row
 
     def release(self) -> None:
         if self._persist:
-            for f in (self._spread, self._base):
-                if f is not None:
-                    f.unpersist()
+            self._base.unpersist()
 
     def __enter__(self) -> "KeptValues":
         return self
