@@ -279,7 +279,7 @@ def column_histograms(df: DataFrame, columns: list[str], quantiles: str = "exact
     if quantiles not in ("exact", "approx"):
         raise ValueError("quantiles must be 'exact' or 'approx'")
     names = {f"c{i}": c for i, c in enumerate(columns)}
-    with KeptValues(df, names) as kept:
+    with KeptValues(df, names, spread_small=len(names) > 1) as kept:
         extra = []
         if quantiles == "approx":
             extra = [percentile_approx_column(F.when(valid(n), F.col(n)), [0.25, 0.75], relative_error)

@@ -97,12 +97,13 @@ class KeptValues:
     column's partition count. The passes after it use ``frame``, coalesced
     without a shuffle to ``4 x cores`` partitions when there are far more, so
     each later pass schedules few tasks and emits few partial-aggregate rows.
-    Nothing is planned or executed just to learn the partition count. (A column
-    with fewer partitions than cores is small; spreading it first was measured
-    to cost more than the passes it would parallelise.)
+    Nothing is planned or executed just to learn the partition count. A frame
+    with fewer partitions than cores is small; it is spread round-robin (from
+    the cache) only with ``spread_small``, worth it when the passes explode each
+    row into many intervals (several kept columns), not for one column.
     """
 
-    def __init__(self, df: DataFrame, column, persist: bool = True):
+    def __init__(self, df: DataFrame, column, persist: bool = True, spread_small: bool = False):
         cols = column if isinstance(column, dict) else {"v": column}
         self.names = list(cols)
         self._slots = cores(df.sparkSession)
@@ -111,6 +112,8 @@ class KeptValues:
                                  for n, c in cols.items()])
         if persist:
             self._base = self._base.persist(StorageLevel.MEMORY_AND_DISK)
+        self._spread_small = spread_small
+        self._spread = None
         self.frame = self._base
 
     def stats(self, *extra: Column):
@@ -126,11 +129,18 @@ class KeptValues:
         parts = 1 + (row["_last_part"] or 0)
         if parts > 4 * self._slots:
             self.frame = self._base.coalesce(4 * self._slots)
+        elif self._spread_small and parts < self._slots:
+            self._spread = self._base.repartition(self._slots)
+            if self._persist:
+                self._spread = self._spread.persist(StorageLevel.MEMORY_AND_DISK)
+            self.frame = self._spread
         return row
 
     def release(self) -> None:
         if self._persist:
-            self._base.unpersist()
+            for f in (self._spread, self._base):
+                if f is not None:
+                    f.unpersist()
 
     def __enter__(self) -> "KeptValues":
         return self
