@@ -81,3 +81,25 @@ def test_sql_double_literals_round_trip(spark):
     assert list(row) == values
     with pytest.raises(ValueError):
         S.sql_double(float("nan"))
+
+
+def test_over_partitioned_input_is_coalesced_and_exact(spark):
+    rnd = random.Random(17)
+    values = [rnd.expovariate(0.01) for _ in range(5000)] + [None] * 9
+    df = frame(spark, values).repartition(100)           # far more partitions than cores
+    with S.KeptValues(df, "x") as kept:
+        row = kept.stats()
+        assert row["n"] == len(values) and row["n_valid"] == 5000
+        assert kept.frame.rdd.getNumPartitions() == 4 * S.cores(spark) < 100
+        got = S.select_quantiles(kept.frame, [("v", row["n_valid"], row["lo"], row["hi"], p) for p in PROBS],
+                                 buckets=16, fetch_limit=50)
+    assert got == [disc(values, p) for p in PROBS]
+
+
+def test_bucket_budget():
+    assert S._choose_buckets(32, 2) == 4096                  # small cluster: the cap
+    assert S._choose_buckets(32_000, 2) == 512               # 1000 executors x 8 cores x 4
+    assert S._choose_buckets(10 ** 9, 10) == 256             # floor
+    for parts, intervals in [(32, 2), (32_000, 2), (32_000, 22)]:
+        b = S._choose_buckets(parts, intervals)
+        assert b == 256 or parts * intervals * b <= S.SHUFFLE_ROW_BUDGET
