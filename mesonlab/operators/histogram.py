@@ -71,6 +71,12 @@ def fd_width(q1: float, q3: float, n: int) -> float:
     return 2.0 * (q3 - q1) / math.cbrt(n)
 
 
+def _batch_only(df: DataFrame) -> None:
+    if df.isStreaming:
+        raise ValueError("Freedman-Diaconis binning needs global quantiles: run it on a batch "
+                         "DataFrame, e.g. the stream's sink read back")
+
+
 def _binning_of_values(kept: KeptValues, quantiles: str, relative_error: float) -> Binning:
     """Binning statistics of a kept value column."""
     if quantiles not in ("exact", "approx"):
@@ -100,6 +106,7 @@ def fd_binning(df: DataFrame, column: str, quantiles: str = "exact",
     ``exact_quantiles`` (percentile_disc rule). The one projected column is
     kept across those passes.
     """
+    _batch_only(df)
     with KeptValues(df, column, persist) as kept:
         return _binning_of_values(kept, quantiles, relative_error)
 
@@ -225,6 +232,7 @@ def histogram_fd(df: DataFrame, column: str, quantiles: str = "exact",
     statistics are computed (one kept column) and a lazy plan over the source
     is returned.
     """
+    _batch_only(df)
     if not materialize:
         b = fd_binning(df, column, quantiles, relative_error)
         if b.n_valid == 0:
@@ -241,6 +249,7 @@ def fd_histogram_edges(df: DataFrame, column: str, quantiles: str = "exact",
                        relative_error: float = REFERENCE_RELATIVE_ERROR) -> tuple[list[float], DataFrame]:
     """Freedman-Diaconis edges and the fixed-edge histogram over them (with
     the sentinel bin), from one scan of the source."""
+    _batch_only(df)
     with KeptValues(df, column) as kept:
         edges = bin_edges(_binning_of_values(kept, quantiles, relative_error))
         if not edges:
@@ -274,6 +283,7 @@ def column_histograms(df: DataFrame, columns: list[str], quantiles: str = "exact
     kept together, one aggregate gives every column's statistics, the quartile
     passes serve all columns at once, and one aggregate counts all bins
     (``variable, bin, bin_lo, bin_hi, n``)."""
+    _batch_only(df)
     if not columns:
         raise ValueError("column_histograms needs at least one column")
     if quantiles not in ("exact", "approx"):

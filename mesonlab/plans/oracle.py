@@ -170,5 +170,6 @@ ORACLE_SQL: dict[str, str] = {
     "udf3_sql": f"WITH {CAND} SELECT {KEYS}, sqrt({_p2('H1_')}) AS H1_P FROM cand",
     "dataset_map": f"WITH {MASS_CTES} SELECT {KEYS}, B_M FROM m3",
     "stream_momentum": f"WITH {CAND} SELECT {KEYS}, {_p2('H1_')} AS H1_P2, sqrt({_p2('H1_')}) AS H1_P FROM cand",
+    "stream_b_mass": f"WITH {SEL_CTES} SELECT * FROM sel",
     "stream_lines": "SELECT regexp_replace(coalesce(text, ''), '[\\r\\n]', ' ', 'g') AS value FROM documents",
 }

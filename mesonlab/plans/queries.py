@@ -357,6 +357,10 @@ def q_stream_momentum(spark, sf_dir):
     return streams.candidate_stream_momentum(spark, _cand(spark, sf_dir), KEYED_SCHEMA)
 
 
+def q_stream_b_mass(spark, sf_dir):
+    return streams.candidate_stream_b_mass(spark, _cand(spark, sf_dir), KEYED_SCHEMA)
+
+
 def q_stream_lines(spark, sf_dir):
     docs = C.table(spark, sf_dir, "documents")
     return streams.line_stream(spark, docs, "text")
@@ -410,6 +414,7 @@ QUERIES: Q = {
     "udf3_sql": q_udf3_sql,
     "dataset_map": q_dataset_map,
     "stream_momentum": q_stream_momentum,
+    "stream_b_mass": q_stream_b_mass,
     "stream_lines": q_stream_lines,
 }
 

@@ -1,5 +1,5 @@
 from mesonlab.streaming.streams import (
-    candidate_stream, candidate_stream_momentum, line_stream, run_available, stop, watch, Watched,
+    candidate_stream, candidate_stream_b_mass, candidate_stream_momentum, line_stream, run_available, stop, watch, Watched,
 )
 
-__all__ = ["candidate_stream", "candidate_stream_momentum", "line_stream", "run_available", "stop", "watch", "Watched"]
+__all__ = ["candidate_stream", "candidate_stream_b_mass", "candidate_stream_momentum", "line_stream", "run_available", "stop", "watch", "Watched"]

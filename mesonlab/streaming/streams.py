@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from mesonlab.functions.kinematics import with_momentum
+from mesonlab.functions.kinematics import with_b_mass, with_momentum
+from mesonlab.functions.selection import b_candidate_selection
 from mesonlab.session import scratch_path
 
 DEFAULT_TIMEOUT_S = 900
@@ -96,6 +97,18 @@ def candidate_stream_momentum(spark: SparkSession, candidates: DataFrame, schema
     return spark.read.parquet(sink)
 
 
+def candidate_stream_b_mass(spark: SparkSession, candidates: DataFrame, schema: str) -> DataFrame:
+    """The row-wise part of the analysis on a stream: land candidates as JSON
+    files, stream them through ``with_b_mass`` and the B selection, and read
+    the file sink back (keys + ``B_M``)."""
+    src = scratch_path(spark, "mass-stream-src")
+    candidates.write.json(src)
+    stream = with_b_mass(candidate_stream(spark, src, schema)).where(b_candidate_selection())
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    sink = _to_parquet_sink(spark, stream.select(*keys, "B_M"), "mass-stream")
+    return spark.read.parquet(sink)
+
+
 def line_stream(spark: SparkSession, docs: DataFrame, column: str) -> DataFrame:
     """Land one text line per row (line breaks inside a value become spaces),
     stream the lines straight to a sink, read them back as ``value``."""

@@ -34,3 +34,13 @@ def test_background_query_lifecycle(spark):
     assert spark.table("live_momentum").count() == 100
     handle.stop()
     assert not handle.running and not q.isActive and handle.error is None
+
+
+def test_histogram_refuses_a_stream(spark):
+    import pytest
+    from mesonlab.operators.histogram import histogram_fd
+    cand = candidates_from_lineitem(spark, SF_SMALL)
+    src = scratch_path(spark, "t-refuse")
+    cand.limit(10).write.json(src)
+    with pytest.raises(ValueError):
+        histogram_fd(candidate_stream(spark, src, KEYED_SCHEMA), "H1_PX")
