@@ -10,7 +10,8 @@ The statistics enter the plans as literals: no join, no cross product.
 
 Bin rules follow the reference analysis:
 * width = 2 * IQR / cbrt(n), where n counts every input row, nulls included;
-  min, max and quartiles use only non-null, non-NaN values;
+  min, max and quartiles use only finite values (null, NaN and infinities
+  cannot be binned);
 * edges start at min and accumulate ``+ width`` (floating-point accumulation,
   not ``min + i * width``) while below max;
 * fixed-edge assignment: null -> null; below the first edge or at/above the
@@ -33,7 +34,7 @@ from pyspark.sql import types as T
 
 from mesonlab.session import checkpoint_root
 from mesonlab.operators.stats import (
-    KeptValues, exact_quantiles, percentile_approx_column, valid,
+    KeptValues, exact_quantiles, finite, percentile_approx_column,
     select_quantiles as S_select, sql_double,
 )
 
@@ -52,7 +53,7 @@ MAX_EDGES = 1 << 22
 @dataclass(frozen=True)
 class Binning:
     n: int                 # all rows, nulls included
-    n_valid: int           # non-null, non-NaN values
+    n_valid: int           # finite values (the ones binned)
     min: float | None
     max: float | None
     q1: float | None
@@ -83,7 +84,7 @@ def _binning_of_values(kept: KeptValues, quantiles: str, relative_error: float)
         raise ValueError("quantiles must be 'exact' or 'approx'")
     extra = []
     if quantiles == "approx":
-        x = F.when(valid("v"), F.col("v"))
+        x = F.when(finite("v"), F.col("v"))
         extra.append(percentile_approx_column(x, [0.25, 0.75], relative_error).alias("q"))
     row = kept.stats(*extra)
     n_all, n_valid, lo, hi = row["n"], row["n_valid"], row["lo"], row["hi"]
@@ -107,7 +108,7 @@ def fd_binning(df: DataFrame, column: str, quantiles: str = "exact",
     kept across those passes.
     """
     _batch_only(df)
-    with KeptValues(df, column, persist) as kept:
+    with KeptValues(df, column, persist, finite_only=True) as kept:
         return _binning_of_values(kept, quantiles, relative_error)
 
 
@@ -195,10 +196,10 @@ def _fd_bins_plan(df: DataFrame, column: str, b: Binning, digits: int | None) ->
     projection and evaluate the (possibly expensive) value twice."""
     x = F.col(column).cast("double")
     if b.degenerate:
-        idx = F.when(valid(x), F.lit(0).cast("long"))
+        idx = F.when(finite(x), F.lit(0).cast("long"))
         lo_e, hi_e = F.lit(b.min), F.lit(b.max)
     else:
-        idx = F.when(valid(x), F.floor((x - F.lit(b.min)) / F.lit(b.width)).cast("long"))
+        idx = F.when(finite(x), F.floor((x - F.lit(b.min)) / F.lit(b.width)).cast("long"))
         lo_e = F.lit(b.min) + F.col("bin") * F.lit(b.width)
         hi_e = F.lit(b.min) + (F.col("bin") + 1) * F.lit(b.width)
     counted = (df.select(idx.alias("bin")).groupBy("bin").agg(F.count("bin").alias("n"))
@@ -238,7 +239,7 @@ def histogram_fd(df: DataFrame, column: str, quantiles: str = "exact",
         if b.n_valid == 0:
             return empty_histogram(df.sparkSession)
         return _fd_bins_plan(df, column, b, digits)
-    with KeptValues(df, column) as kept:
+    with KeptValues(df, column, finite_only=True) as kept:
         b = _binning_of_values(kept, quantiles, relative_error)
         if b.n_valid == 0:
             return empty_histogram(df.sparkSession)
@@ -250,7 +251,7 @@ def fd_histogram_edges(df: DataFrame, column: str, quantiles: str = "exact",
     """Freedman-Diaconis edges and the fixed-edge histogram over them (with
     the sentinel bin), from one scan of the source."""
     _batch_only(df)
-    with KeptValues(df, column) as kept:
+    with KeptValues(df, column, finite_only=True) as kept:
         edges = bin_edges(_binning_of_values(kept, quantiles, relative_error))
         if not edges:
             return edges, df.sparkSession.createDataFrame([], "bin double, n bigint")
@@ -289,10 +290,10 @@ def column_histograms(df: DataFrame, columns: list[str], quantiles: str = "exact
     if quantiles not in ("exact", "approx"):
         raise ValueError("quantiles must be 'exact' or 'approx'")
     names = {f"c{i}": c for i, c in enumerate(columns)}
-    with KeptValues(df, names, spread_small=len(names) > 1) as kept:
+    with KeptValues(df, names, spread_small=len(names) > 1, finite_only=True) as kept:
         extra = []
         if quantiles == "approx":
-            extra = [percentile_approx_column(F.when(valid(n), F.col(n)), [0.25, 0.75], relative_error)
+            extra = [percentile_approx_column(F.when(finite(n), F.col(n)), [0.25, 0.75], relative_error)
                      .alias(f"q_{n}") for n in names]
         row = kept.stats(*extra)
         n_all = row["n"]
@@ -314,7 +315,7 @@ def column_histograms(df: DataFrame, columns: list[str], quantiles: str = "exact
             x = F.col(name)
             idx = (F.lit(0).cast("long") if b.degenerate
                    else F.floor((x - F.lit(b.min)) / F.lit(b.width)).cast("long"))
-            rows.append(F.when(valid(name), F.struct(F.lit(i).alias("k"), idx.alias("bin"))))
+            rows.append(F.when(finite(name), F.struct(F.lit(i).alias("k"), idx.alias("bin"))))
         counted = (kept.frame.select(F.explode(F.array(*rows)).alias("r")).where(F.col("r").isNotNull())
                    .select("r.k", "r.bin").groupBy("k", "bin").agg(F.count(F.lit(1)).alias("n")))
         k = "k"

@@ -83,10 +83,18 @@ def quantile_rank(n: int, p: float) -> int:
 
 
 def valid(c: Column | str = "v") -> Column:
+    """Not null and not NaN (what quantiles rank)."""
     c = F.col(c) if isinstance(c, str) else c
     return c.isNotNull() & ~F.isnan(c)
 
 
+def finite(c: Column | str = "v") -> Column:
+    """Not null, not NaN, not infinite (what histograms bin); NaN compares
+    above +inf in Spark, so one comparison covers it."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.abs(c) < F.lit(math.inf)
+
+
 class KeptValues:
     """One double column ``v`` (nulls and NaN kept) projected from ``df`` and
     persisted for the passes that follow (memory, spilling to disk; lost blocks
@@ -103,9 +111,11 @@ class KeptValues:
     row into many intervals (several kept columns), not for one column.
     """
 
-    def __init__(self, df: DataFrame, column, persist: bool = True, spread_small: bool = False):
+    def __init__(self, df: DataFrame, column, persist: bool = True, spread_small: bool = False,
+                 finite_only: bool = False):
         cols = column if isinstance(column, dict) else {"v": column}
         self.names = list(cols)
+        self._ok = finite if finite_only else valid
         self._slots = cores(df.sparkSession)
         self._persist = persist
         self._base = df.select(*[(F.col(c) if isinstance(c, str) else c).cast("double").alias(n)
@@ -121,7 +131,7 @@ class KeptValues:
         (suffixed ``_<name>`` when several columns are kept)."""
         aggs = [F.count(F.lit(1)).alias("n")]
         for name in self.names:
-            x = F.when(valid(name), F.col(name))
+            x = F.when(self._ok(name), F.col(name))
             sfx = "" if self.names == ["v"] else f"_{name}"
             aggs += [F.count(x).alias("n_valid" + sfx), F.min(x).alias("lo" + sfx), F.max(x).alias("hi" + sfx)]
         tagged = self._base.withColumn("_part", F.spark_partition_id())
@@ -157,17 +167,6 @@ def value_stats(w: DataFrame, *extra: Column):
                  F.min(x).alias("lo"), F.max(x).alias("hi"), *extra).first()
 
 
-def _bucket_expr(lo: float, hi: float, buckets: int, column: str = "v") -> Column:
-    """Monotone bucket number of ``column`` within [lo, hi]: lo -> 0, hi -> last."""
-    v = F.col(column)
-    width = hi * 0.5 - lo * 0.5          # halves: no overflow for any finite pair
-    scale = buckets / width if width > 0 else math.inf
-    if not math.isfinite(scale):         # subnormal interval: split off ``lo``
-        return F.when(v > F.lit(lo), F.lit(1)).otherwise(F.lit(0))
-    raw = F.floor((v * 0.5 - F.lit(lo * 0.5)) * F.lit(scale))
-    return F.least(F.greatest(raw, F.lit(0)), F.lit(buckets - 1)).cast("int")
-
-
 # Rows of partial aggregates one bucket pass may send through the shuffle.
 SHUFFLE_ROW_BUDGET = 50_000_000
 
@@ -188,14 +187,20 @@ def _any(conds: list[Column]) -> Column:
 
 
 def sql_double(x: float) -> str:
-    """Exact SQL text of a finite double (shortest round-trip digits, ``D`` type
-    suffix so it is not read as a decimal)."""
-    if not math.isfinite(x):
-        raise ValueError("finite value expected")
+    """Exact SQL text of a double (shortest round-trip digits, ``D`` type
+    suffix so it is not read as a decimal; infinities as typed literals)."""
+    if math.isnan(x):
+        raise ValueError("NaN has no place in a range bound")
+    if math.isinf(x):
+        return "CAST('Infinity' AS DOUBLE)" if x > 0 else "CAST('-Infinity' AS DOUBLE)"
     return f"{x!r}D"
 
 
 def _bucket_sql(lo: float, hi: float, buckets: int, column: str) -> str:
+    if math.isinf(lo) or math.isinf(hi):
+        # lo, interior, hi: the ends differ, so the next interval is smaller
+        return (f"CASE WHEN `{column}` = {sql_double(lo)} THEN 0 "
+                f"WHEN `{column}` = {sql_double(hi)} THEN 2 ELSE 1 END")
     width = hi * 0.5 - lo * 0.5
     scale = buckets / width if width > 0 else math.inf
     if not math.isfinite(scale):

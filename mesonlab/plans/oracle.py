@@ -56,7 +56,7 @@ def _binning_ctes(source: str, column: str) -> str:
     """FD statistics ``w`` and accumulated edges ``e(i, x)`` over ``source.column``."""
     return (
         f"vals AS (SELECT {column} AS v FROM {source}),\n"
-        "ok AS (SELECT v FROM vals WHERE v IS NOT NULL AND NOT isnan(v)),\n"
+        "ok AS (SELECT v FROM vals WHERE v IS NOT NULL AND NOT isnan(v) AND NOT isinf(v)),\n"
         "s AS (SELECT (SELECT count(*) FROM vals) AS n, count(*) AS n_valid, min(v) AS mn, max(v) AS mx,\n"
         "      quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM ok),\n"
         "w AS (SELECT *, 2*(q3-q1)/cbrt(n) AS width FROM s),\n"

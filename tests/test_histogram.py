@@ -113,3 +113,15 @@ def test_column_histograms_equal_single_histograms(spark):
         assert sorted(tuple(r)[1:] for r in multi if r.variable == c) == single, c
     with pytest.raises(ValueError):
         H.column_histograms(df, [])
+
+
+def test_histogram_bins_finite_values_only(spark):
+    values = [float(v % 37) for v in range(500)]
+    inf = float("inf")
+    df = _frame(spark, values + [inf, -inf, None, float("nan")])
+    b = H.fd_binning(df, "x")
+    assert (b.n, b.n_valid, b.min, b.max) == (504, 500, 0.0, 36.0)
+    rows = H.histogram_fd(df, "x").collect()
+    assert sum(r.n for r in rows) == 500
+    multi = H.column_histograms(df, ["x"]).collect()
+    assert sorted(tuple(r)[1:] for r in multi) == sorted(map(tuple, rows))

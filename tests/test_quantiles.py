@@ -41,7 +41,7 @@ def test_exact_quantiles_multi_pass(spark, buckets, fetch):
 
 
 @settings(max_examples=15, deadline=None)
-@given(st.lists(st.one_of(st.floats(allow_nan=True, allow_infinity=False, width=32), st.none()),
+@given(st.lists(st.one_of(st.floats(allow_nan=True, allow_infinity=True, width=32), st.none()),
                 min_size=0, max_size=40))
 def test_exact_quantiles_property(spark, values):
     got = S.exact_quantiles(frame(spark, values), "x", PROBS, buckets=3, fetch_limit=2)
@@ -49,7 +49,7 @@ def test_exact_quantiles_property(spark, values):
 
 
 def test_exact_quantiles_extremes(spark):
-    values = [-1.7e308, 1.7e308, 0.0, 5e-324, -5e-324]
+    values = [-1.7e308, 1.7e308, 0.0, 5e-324, -5e-324, float("inf"), float("-inf"), float("inf")]
     got = S.exact_quantiles(frame(spark, values), "x", PROBS, buckets=4, fetch_limit=1)
     assert got == [disc(values, p) for p in PROBS]
 
