@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from mesonlab.session import checkpoint_root
 from mesonlab.operators.stats import (
     KeptValues, exact_quantiles, finite, percentile_approx_column,
-    select_quantiles as S_select, sql_double,
+    select_quantiles, sql_double,
 )
 
 # Fixed value: the out-of-range sentinel bin (Java Double.MAX_VALUE).
@@ -301,7 +301,7 @@ def column_histograms(df: DataFrame, columns: list[str], quantiles: str = "exact
         if quantiles == "approx":
             quart = {n: tuple(row[f"q_{n}"]) if stats[n][0] else (None, None) for n in names}
         else:
-            flat = S_select(kept.frame, [(n, *stats[n], p) for n in names for p in (0.25, 0.75)])
+            flat = select_quantiles(kept.frame, [(n, *stats[n], p) for n in names for p in (0.25, 0.75)])
             quart = {n: (flat[2 * i], flat[2 * i + 1]) for i, n in enumerate(names)}
         bins = [Binning(n_all, stats[n][0], stats[n][1], stats[n][2], *quart[n],
                         None if not stats[n][0] else fd_width(*quart[n], n_all)) for n in names]

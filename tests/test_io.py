@@ -1,6 +1,5 @@
 import json
 import os
-import uuid
 
 import pytest
 from pyspark.sql import functions as F

@@ -8,7 +8,6 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from mesonlab.functions import b_candidate_selection, with_b_mass  # noqa: E402
 from mesonlab.operators import histogram as H  # noqa: E402
 from mesonlab.plans import queries as Q  # noqa: E402
 from mesonlab.session import get_session  # noqa: E402
