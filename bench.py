@@ -44,16 +44,19 @@ def main() -> None:
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
     })
     spark.sparkContext.setLogLevel("ERROR")
-    timings = {}
+    timings, errors = {}, {}
     for name in names:
         fn = QUERIES[name]
-        run(fn, spark, sf_dir)                           # warm-up
-        runs = []
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            run(fn, spark, sf_dir)
-            runs.append(time.perf_counter() - t0)
-        timings[name] = round(statistics.median(runs), 4)
+        try:
+            run(fn, spark, sf_dir)                       # warm-up
+            runs = []
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                run(fn, spark, sf_dir)
+                runs.append(time.perf_counter() - t0)
+            timings[name] = round(statistics.median(runs), 4)
+        except Exception as exc:                         # report, keep timing the rest
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
@@ -64,6 +67,7 @@ def main() -> None:
         "cpus": int(cpus),
         "repeat": repeat,
         "host": {"cores": os.cpu_count(), "python": platform.python_version()},
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
