@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mesonlab.functions.kinematics import KAON_MASS_MEV
+from mesonlab.session import ship_package
 
 # Fixed value: the out-of-range bin sentinel (Java Double.MAX_VALUE).
 SENTINEL = np.finfo(np.float64).max
@@ -32,6 +33,7 @@ def unique_name(prefix: str) -> str:
 
 def column_udf(fn: Callable[..., pd.Series], return_type: str = "double"):
     """Wrap a vectorised pandas function as a Column function."""
+    ship_package(SparkSession.getActiveSession())
     return F.pandas_udf(fn, return_type)
 
 
@@ -61,12 +63,15 @@ def momentum_magnitude(px: pd.Series, py: pd.Series, pz: pd.Series) -> pd.Series
 
 def register_udf3(spark: SparkSession, name: str, fn: Callable, return_type: str = "double") -> str:
     """Register a three-argument vectorised function for SQL; returns its name."""
+    ship_package(spark)
     spark.udf.register(name, F.pandas_udf(fn, return_type))
     return name
 
 
 def dataset_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``fn`` to every Arrow record batch of every partition."""
+    ship_package(df.sparkSession)
+
     def run(batches):
         for batch in batches:
             yield fn(batch)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -79,3 +80,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1).rsplit("/", 1)[0], exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None) -> None:
+    """Make this package importable by the Python workers (the effect of
+    ``--py-files``): zip it once per application and ``addPyFile`` it; Spark
+    serves the file to every executor. Needed by the Arrow/pandas user
+    functions, whose code lives in this package."""
+    if spark is None:
+        return
+    try:
+        sc = spark.sparkContext
+        key = sc.applicationId
+    except Exception:  # remote session: the server side must provide the package
+        return
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="mesonlab-pkg-"), "mesonlab.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

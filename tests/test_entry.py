@@ -50,3 +50,24 @@ def test_plans_have_no_cross_products_or_row_udfs(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(op in plan for op in FORBIDDEN), plan
+
+
+def test_user_functions_work_from_another_directory(tmp_path):
+    """Python workers import this package from the shipped zip, not the cwd."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "run.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {repo!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "import __spark_entry__ as E\n"
+        f"rows = E.queries()['dataset_map'](spark, {SF_SMALL!r}).collect()\n"
+        "print('ROWS', len(rows))\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True,
+                         text=True, timeout=300)
+    assert "ROWS 6000" in out.stdout, out.stderr[-2000:]
