@@ -301,7 +301,13 @@ def select_quantiles(frame: DataFrame, targets: Sequence[tuple[str, int, float,
                 continue
         # One bucket pass: count, min and max per bucket; a running count
         # (window over the small per-bucket table) finds each rank's bucket.
-        nb = buckets or _choose_buckets(4 * slots, len(intervals))  # KeptValues: <= 4 x cores parts
+        nb = buckets
+        if nb is None:
+            # enough buckets to bring the largest interval under fetch_limit in
+            # one pass, within the shuffle budget (KeptValues: <= 4 x cores parts)
+            rows = max(state[groups[key][0]][4] for key in intervals)
+            enough = 1 << max(8, (-(-rows // fetch_limit) - 1).bit_length())
+            nb = min(enough, _choose_buckets(4 * slots, len(intervals)))
         if nb < 2:
             raise ValueError("buckets must be at least 2")
         counts = (_tag(frame, intervals, nb)

@@ -96,6 +96,14 @@ def test_over_partitioned_input_is_coalesced_and_exact(spark):
     assert got == [disc(values, p) for p in PROBS]
 
 
+def test_bucket_count_follows_interval_rows(spark):
+    # 3000 rows with fetch_limit 10 need 300 buckets -> 512 (a power of two);
+    # the result is exact whatever the count
+    rnd = random.Random(23)
+    values = [rnd.random() for _ in range(3000)]
+    assert S.exact_quantiles(frame(spark, values), "x", PROBS, fetch_limit=10) == [disc(values, p) for p in PROBS]
+
+
 def test_bucket_budget():
     assert S._choose_buckets(32, 2) == 4096                  # small cluster: the cap
     assert S._choose_buckets(32_000, 2) == 512               # 1000 executors x 8 cores x 4
