@@ -228,6 +228,21 @@ def _tag(frame: DataFrame, intervals: list[tuple[str, float, float]], buckets: i
             .select("r.*"))
 
 
+def bucket_pass(frame: DataFrame, intervals: list[tuple[str, float, float]],
+                needs: list[tuple[int, int]], buckets: int) -> DataFrame:
+    """One narrowing pass as a plan: per (interval g, bucket b) the count, min
+    and max (partial aggregate, then a shuffle of at most tasks x intervals x
+    buckets rows), a running count over the small per-bucket table, and the
+    buckets holding each wanted (g, rank) pair."""
+    counts = (_tag(frame, intervals, buckets)
+              .groupBy("g", "b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"),
+                                     F.max("v").alias("hi")))
+    running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+    return (counts.withColumn("cum", F.sum("c").over(running))
+            .where(_any([(F.col("g") == g) & (F.col("cum") - F.col("c") < need) & (F.col("cum") >= need)
+                         for g, need in needs])))
+
+
 def exact_quantiles(df: DataFrame, column, probabilities: Sequence[float], *,
                     buckets: int | None = None, fetch_limit: int = 1 << 16,
                     known: tuple[int, float, float] | None = None,
@@ -310,18 +325,11 @@ def select_quantiles(frame: DataFrame, targets: Sequence[tuple[str, int, float,
             nb = min(enough, _choose_buckets(4 * slots, len(intervals)))
         if nb < 2:
             raise ValueError("buckets must be at least 2")
-        counts = (_tag(frame, intervals, nb)
-                  .groupBy("g", "b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"),
-                                         F.max("v").alias("hi")))
-        running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
         wanted = {}
         for g, key in enumerate(intervals):
             for i in groups[key]:
                 wanted.setdefault((g, state[i][1]), []).append(i)
-        hits = (counts.withColumn("cum", F.sum("c").over(running))
-                .where(_any([(F.col("g") == g) & (F.col("cum") - F.col("c") < need) & (F.col("cum") >= need)
-                             for g, need in wanted]))
-                .collect())
+        hits = bucket_pass(frame, intervals, list(wanted), nb).collect()
         found = set()
         for r in hits:
             for (g, need), ids in wanted.items():

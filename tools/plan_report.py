@@ -8,9 +8,11 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from mesonlab.operators import histogram as H  # noqa: E402
+from mesonlab.functions import kinematics as K  # noqa: E402
+from mesonlab.operators import histogram as H, stats as S  # noqa: E402
 from mesonlab.plans import queries as Q  # noqa: E402
 from mesonlab.session import get_session  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 NOTES = {
     "candidate_selection": "Scan reads only the lineitem columns the mass and the cut need (ReadSchema); "
@@ -22,6 +24,12 @@ NOTES = {
     "sort_take": "TakeOrderedAndProject: a bounded top-n per task, no global sort.",
     "bin_assign": "Bucketizer binary search per row, then a broadcast hash join with the size-checked "
                   "bucket -> edge lookup (edges + 2 rows); the big side is not shuffled.",
+    "exact quartiles: one bucket pass over the kept column": "In-memory scan of the kept column, range "
+        "test + bucket number, partial aggregate per (interval, bucket), a shuffle of at most tasks x "
+        "intervals x buckets rows, final aggregate, running count over that small table, filter to the "
+        "bucket holding each rank; one row per target reaches the driver.",
+    "column_histograms: bin counting pass over the kept columns": "One exploded (column, bin) pair per "
+        "finite value, partial count, small shuffle, final count; every column in the same pass.",
 }
 
 
@@ -33,6 +41,20 @@ def cases(spark, sf):
     yield "group_by_agg", Q.q_group_by_agg(spark, sf)
     yield "sort_take", Q.q_sort_take(spark, sf)
     yield "bin_assign", Q.q_bin_assign(spark, sf)
+    kept = S.KeptValues(mass, "B_M")
+    row = kept.stats()
+    n = row["n_valid"]
+    yield ("exact quartiles: one bucket pass over the kept column",
+           S.bucket_pass(kept.frame, [("v", row["lo"], row["hi"])],
+                         [(0, S.quantile_rank(n, 0.25)), (0, S.quantile_rank(n, 0.75))], 256))
+    cols = {f"c{i}": c for i, c in enumerate(["B_PX", "B_M"])}
+    multi = S.KeptValues(K.with_b_mass(Q._cand(spark, sf)), cols)
+    multi.stats()
+    yield ("column_histograms: bin counting pass over the kept columns",
+           multi.frame.select(F.explode(F.array(*[
+               F.when(S.finite(n), F.struct(F.lit(i).alias("k"), F.floor(F.col(n) / 100).cast("long").alias("bin")))
+               for i, n in enumerate(cols)])).alias("r")).where("r IS NOT NULL")
+           .select("r.k", "r.bin").groupBy("k", "bin").count())
 
 
 def shorten(text: str, width: int = 170) -> str:
