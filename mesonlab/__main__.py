@@ -24,7 +24,8 @@ def main(argv=None) -> None:
     from mesonlab.plans.spectrum import run_spectrum
     args = parse(argv)
     spark = get_session("mesonlab", args.master)
-    run_spectrum(spark, args.workspace, args.dataset, args.selection, args.out, args.quantiles).show(1000)
+    hist = run_spectrum(spark, args.workspace, args.dataset, args.selection, args.out, args.quantiles)
+    hist.orderBy("bin").show(hist.count(), truncate=False)
 
 
 if __name__ == "__main__":
