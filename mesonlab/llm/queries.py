@@ -4,8 +4,14 @@ SQL can express."""
 from __future__ import annotations
 
 from mesonlab.llm.decontaminate import ORACLE_OP2, op2_decontamination
+from mesonlab.llm.embeddings import op8_embeddings
+from mesonlab.llm.html import op9_html
+from mesonlab.llm.language import op10_language
+from mesonlab.llm.minhash import op4_near_duplicates
 from mesonlab.llm.packing import op3_packing
 from mesonlab.llm.pii import op1_pii
+from mesonlab.llm.quality import op5_quality
 
-QUERIES = {"op1_pii": op1_pii, "op2_decontamination": op2_decontamination, "op3_packing": op3_packing}
+QUERIES = {"op1_pii": op1_pii, "op2_decontamination": op2_decontamination, "op3_packing": op3_packing, "op4_near_duplicates": op4_near_duplicates,
+           "op5_quality": op5_quality, "op8_embeddings": op8_embeddings, "op9_html": op9_html, "op10_language": op10_language}
 ORACLE_SQL = {"op2_decontamination": ORACLE_OP2}
