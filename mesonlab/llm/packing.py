@@ -12,6 +12,7 @@ and the placement of single documents is a join on (length, rank)."""
 from __future__ import annotations
 
 import base64
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -25,8 +26,6 @@ from mesonlab.llm.common import table, written
 CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k"
-#: Rows of one length that are ranked in one task.
-ROWS_PER_SALT = 20_000
 _ENCODERS: dict = {}
 
 
@@ -135,7 +134,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     rest = pieces.where(F.col("length") < capacity)
     counts = {r["length"]: r["n"] for r in rest.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
     plan = spark.createDataFrame(best_fit_rounds(counts, capacity), "p_length long, lo long, hi long, each long, first long, base long")
-    salts = spark.createDataFrame([(k, -(-n // ROWS_PER_SALT)) for k, n in counts.items()], "s_length long, salts long")
+    # n documents of a length are ranked in about sqrt(n) parts of about sqrt(n) rows
+    salts = spark.createDataFrame([(k, math.isqrt(n) + 1) for k, n in counts.items()], "s_length long, salts long")
     key = ["length", "salt"]
     dealt = rest.join(F.broadcast(salts), rest["length"] == salts["s_length"]).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts"))).drop("s_length", "salts")
     before = dealt.groupBy(*key).agg(F.count("*").alias("n")).withColumn(
