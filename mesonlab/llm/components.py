@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
         last = mark
         both = now.select(F.col("u").alias("x"), F.col("v").alias("y")).union(now.select("v", "u"))
         low = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = both.join(low, "x").where(F.col("y") > F.col("x")).select(F.col("m").alias("u"), F.col("y").alias("v")).distinct()
+        large = both.join(low, "x").where(F.col("y") > F.col("x")).select(F.col("m").alias("u"), F.col("y").alias("v"))
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(low, "v").where(F.col("u") != F.col("m")).select(F.col("m").alias("u"), F.col("u").alias("v"))
         now = written(small.union(low.select(F.col("m").alias("u"), "v")).distinct(), "edges")

@@ -29,6 +29,8 @@ BROADCAST_KEYS = 500_000
 #: Untested pairs between components that are joined directly, per bucket member; beyond
 #: it, buckets are worked off pivot by pivot.
 DIRECT = 20
+#: Buckets of at most so many classes take their smallest member as pivot.
+SMALL_BUCKET = 8
 _ORDER = np.argsort(np.random.default_rng(11).random((BUCKETS, BUCKETS)), axis=1)
 
 
@@ -97,15 +99,31 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(rows, "id long, shingles array<long>")
 
 
+def _likely(ra: str, rb: str, na: str, nb: str, percent: int):
+    """Estimated similarity, corrected for registers that agree by chance, not far
+    below the threshold."""
+    t = percent / 100
+    agree = F.aggregate(F.zip_with(ra, rb, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) / BUCKETS
+    chance = F.lit(COLLISION * 4) * F.col(na) * F.col(nb) / ((F.col(na) + F.col(nb)) * (F.col(na) + F.col(nb)))
+    return (agree - chance) / (1 - chance) >= t - SLACK * (t * (1 - t) / BUCKETS) ** 0.5
+
+
+def _untested(members: DataFrame, near, percent: int) -> DataFrame:
+    """Likely pairs of classes of different components that share a bucket, each from
+    the first band that it shares."""
+    other = members.select("key", F.col("rep").alias("rb"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("regs").alias("gb"))
+    first = ~F.exists(F.sequence(F.lit(0), F.col("band")), lambda j: (j < F.col("band")) & (F.slice("regs", j * ROWS + 1, ROWS) == F.slice("gb", j * ROWS + 1, ROWS)))
+    pairs = members.join(other, (members["key"] == other["key"]) & (F.col("rep") < F.col("rb")) & (F.col("comp") != F.col("cb")) & near(F.col("n"), F.col("nb"))
+                         & _likely("regs", "gb", "n", "nb", percent) & first)
+    return pairs.select(F.col("rep").alias("a"), F.col("rb").alias("b")).distinct()
+
+
 def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have the similarity; sifted by the estimate first."""
-    t = percent / 100
     regs = classes.select("rep", "n", "regs")
     both = (pairs.join(regs.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra")), "a")
             .join(regs.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb")), "b"))
-    agree = F.aggregate(F.zip_with("ra", "rb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) / BUCKETS
-    chance = F.lit(COLLISION * 4) * F.col("na") * F.col("nb") / ((F.col("na") + F.col("nb")) * (F.col("na") + F.col("nb")))
-    sifted = written(both.where((agree - chance) / (1 - chance) >= t - SLACK * (t * (1 - t) / BUCKETS) ** 0.5).select("a", "b"), "pairs")
+    sifted = written(both.where(_likely("ra", "rb", "na", "nb", percent)).select("a", "b"), "pairs")
     keys = sifted.select(F.col("a").alias("doc_id")).union(sifted.select("b")).distinct()
     keys = written(keys, "keys")
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
@@ -130,39 +148,37 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sketched = written(sketches(docs), "sketches")
     known = sketched.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = written(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs")), "classes")
-    keyed = classes.select("rep", "n", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.slice("regs", b * ROWS + 1, ROWS), b))).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > 1).select("key")
+    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.slice("regs", b * ROWS + 1, ROWS), b))
+    keyed = classes.select("rep", "n", F.posexplode(bands).alias("band", "key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > 1)
     members = written(keyed.join(shared, "key"), "members")
-    links, found = None, None
+    links = found = None
     near = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
     while True:
-        if found is None:
-            now = members.withColumn("comp", F.col("rep"))
-        else:
-            now = members.join(found, members["rep"] == found["node"], "left").select(members["*"], F.coalesce("component", "rep").alias("comp"))
-        # buckets all of whose members are connected are done
-        by_comp = now.groupBy("key", "comp").agg(F.count("*").alias("c"))
-        open_ = by_comp.groupBy("key").agg(F.sum("c").alias("k"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.count("*").alias("comps")).where(F.col("comps") > 1)
-        left, rows = open_.agg(F.sum((F.col("k").cast("double") * F.col("k") - F.col("sq")) / 2), F.sum("k")).first()
-        if not left:
-            break
-        members = written(now.join(open_.select("key"), "key"), "members")
-        direct = links is not None and left <= DIRECT * rows
-        if direct:
-            other = members.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("comp_b"))
-            pairs = members.join(other, "key").where((F.col("rep") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & near(F.col("n"), F.col("nb")))
-            pairs = pairs.select(F.col("rep").alias("a"), "b").distinct()
-        else:
-            pivots = members.groupBy("key").agg(F.min(F.struct("rep", "n", "comp")).alias("p"))
-            tested = members.join(pivots, "key").where(F.col("rep") != F.col("p.rep"))
-            pairs = tested.where((F.col("comp") != F.col("p.comp")) & near(F.col("n"), F.col("p.n"))).select(F.col("p.rep").alias("a"), F.col("rep").alias("b")).distinct()
-            rest = tested.select("key", "rep", "n")
+        if found is not None:
+            members = members.join(found, members["rep"] == found["node"], "left").select("key", "band", "many", "rep", "n", "regs", F.coalesce("component", "rep").alias("comp"))
+            # buckets all of whose members are connected are done
+            by_comp = members.groupBy("key", "comp").agg(F.count("*").alias("c"))
+            open_ = written(by_comp.groupBy("key").agg(F.sum("c").alias("k"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.count("*").alias("comps")).where(F.col("comps") > 1), "open")
+            left, rows = open_.agg(F.sum((F.col("k").cast("double") * F.col("k") - F.col("sq")) / 2), F.sum("k")).first()
+            if not left:
+                break
+            members = members.join(open_.select("key"), "key")
+            if left <= DIRECT * rows:
+                new = _links(_untested(written(members, "members"), near, percent), classes, docs, percent)
+                links = written(links.union(new), "links")
+                found = written(components(links), "components")
+                break
+        # one pivot a bucket; in large buckets a random one, so that a class meets many pivots over its bands
+        order = F.when(F.col("many") <= SMALL_BUCKET, F.col("rep")).otherwise(F.xxhash64("rep", "key"))
+        pivots = members.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "n")).alias("p"))
+        tested = members.join(pivots, "key").where(F.col("rep") != F.col("p.rep"))
+        pairs = tested.where(near(F.col("n"), F.col("p.n"))).select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct()
         new = _links(pairs, classes, docs, percent)
         links = written(new if links is None else links.union(new), "links")
         found = written(components(links), "components")
-        if direct:
-            break
-        members = written(rest, "members")
+        rest = tested.select("key", "band", "many", "rep", "n")
+        members = written(rest.join(classes.select("rep", "regs"), "rep"), "members")
     ids = classes.select("digest", "rep")
     if found is not None:
         ids = ids.join(found, ids["rep"] == found["node"], "left").select("digest", F.coalesce("component", "rep").alias("comp"))
