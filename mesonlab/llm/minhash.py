@@ -22,13 +22,12 @@ BANDS, ROWS = 32, 5
 BUCKETS, MANTISSA = BANDS * ROWS, 10
 #: Expected share of registers that agree by chance, for sets of equal size.
 COLLISION = 0.169919 / (1 << MANTISSA)
-#: Estimates are sifted six standard deviations below the threshold.
-SLACK = 6.0
+#: Estimates are sifted four standard deviations below the threshold.
+SLACK = 4.0
 #: Keys of texts to be confirmed that may be broadcast (8 bytes each); more are joined.
 BROADCAST_KEYS = 500_000
-#: Untested pairs between components that are joined directly, per bucket member; beyond
-#: it, buckets are worked off pivot by pivot.
-DIRECT = 20
+#: Members of a part of a bucket, two of which are compared in a task, and rows of a step.
+PART, COMPARED = 2048, 128
 #: Buckets of at most so many classes take their smallest member as pivot.
 SMALL_BUCKET = 8
 _ORDER = np.argsort(np.random.default_rng(11).random((BUCKETS, BUCKETS)), axis=1)
@@ -108,14 +107,37 @@ def _likely(ra: str, rb: str, na: str, nb: str, percent: int):
     return (agree - chance) / (1 - chance) >= t - SLACK * (t * (1 - t) / BUCKETS) ** 0.5
 
 
-def _untested(members: DataFrame, near, percent: int) -> DataFrame:
+def _untested(members: DataFrame, percent: int) -> DataFrame:
     """Likely pairs of classes of different components that share a bucket, each from
-    the first band that it shares."""
-    other = members.select("key", F.col("rep").alias("rb"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("regs").alias("gb"))
-    first = ~F.exists(F.sequence(F.lit(0), F.col("band")), lambda j: (j < F.col("band")) & (F.slice("regs", j * ROWS + 1, ROWS) == F.slice("gb", j * ROWS + 1, ROWS)))
-    pairs = members.join(other, (members["key"] == other["key"]) & (F.col("rep") < F.col("rb")) & (F.col("comp") != F.col("cb")) & near(F.col("n"), F.col("nb"))
-                         & _likely("regs", "gb", "n", "nb", percent) & first)
-    return pairs.select(F.col("rep").alias("a"), F.col("rb").alias("b")).distinct()
+    the first band that it shares. A large bucket is dealt to parts, and a task
+    compares the registers of two parts."""
+    t = percent / 100
+    least = t - SLACK * (t * (1 - t) / BUCKETS) ** 0.5
+
+    def compare(group: pa.Table) -> pa.Table:
+        x, y, band = group["x"][0].as_py(), group["y"][0].as_py(), group["band"][0].as_py()
+        part, rep, n, comp = (group[c].to_numpy() for c in ("part", "rep", "n", "comp"))
+        regs = group["regs"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, BUCKETS)
+        left, right = np.flatnonzero(part == x), np.flatnonzero(part == y)
+        out = []
+        for lo in range(0, len(left), COMPARED):
+            own = left[lo:lo + COMPARED]
+            able = (comp[own][:, None] != comp[right]) & (100 * np.minimum(n[own][:, None], n[right]) >= percent * np.maximum(n[own][:, None], n[right]))
+            if x == y:
+                able &= rep[own][:, None] < rep[right]
+            i, j = np.nonzero(able)
+            for at in range(0, len(i), COMPARED * COMPARED):
+                p, q = own[i[at:at + COMPARED * COMPARED]], right[j[at:at + COMPARED * COMPARED]]
+                same = regs[p] == regs[q]
+                chance = 4 * COLLISION * n[p] * n[q] / (n[p] + n[q]) ** 2
+                good = (same.mean(1) - chance) / (1 - chance) >= least
+                good &= ~same.reshape(-1, BANDS, ROWS).all(2)[:, :band].any(1)
+                out.append((np.minimum(rep[p[good]], rep[q[good]]), np.maximum(rep[p[good]], rep[q[good]])))
+        return pa.table({c: np.concatenate([o[k] for o in out] or [np.zeros(0, np.int64)]) for k, c in enumerate("ab")})
+    parts = F.ceil(F.col("many") / PART)
+    dealt = members.withColumn("part", F.pmod(F.xxhash64("rep"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    dealt = dealt.select("key", "band", "rep", "n", "comp", "regs", "part", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
+    return dealt.groupBy("key", "x", "y").applyInArrow(compare, "a long, b long").distinct()
 
 
 def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -140,8 +162,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Texts with the same set are one class, so copies cost a row each and no pair.
     In every bucket of a band, classes are tested against one pivot; pairs left
-    between different components are then tested too, so no bucket emits its pairs
-    and no link between components is lost. A text without words links with nothing.
+    between different components are then tested too, so no bucket emits all its
+    pairs and no link between components is lost. A text without words links with nothing.
     Rows that repeat an id form one document if their sets agree; a null id takes no
     part: component_id is null, kept is true. No rows give no rows."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
@@ -152,38 +174,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     keyed = classes.select("rep", "n", F.posexplode(bands).alias("band", "key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > 1)
     members = written(keyed.join(shared, "key"), "members")
-    links = found = None
-    near = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    while True:
-        if found is not None:
-            members = members.join(found, members["rep"] == found["node"], "left").select("key", "band", "many", "rep", "n", "regs", F.coalesce("component", "rep").alias("comp"))
-            # buckets all of whose members are connected are done
-            by_comp = members.groupBy("key", "comp").agg(F.count("*").alias("c"))
-            open_ = written(by_comp.groupBy("key").agg(F.sum("c").alias("k"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.count("*").alias("comps")).where(F.col("comps") > 1), "open")
-            left, rows = open_.agg(F.sum((F.col("k").cast("double") * F.col("k") - F.col("sq")) / 2), F.sum("k")).first()
-            if not left:
-                break
-            members = members.join(open_.select("key"), "key")
-            if left <= DIRECT * rows:
-                new = _links(_untested(written(members, "members"), near, percent), classes, docs, percent)
-                links = written(links.union(new), "links")
-                found = written(components(links), "components")
-                break
-        # one pivot a bucket; in large buckets a random one, so that a class meets many pivots over its bands
-        order = F.when(F.col("many") <= SMALL_BUCKET, F.col("rep")).otherwise(F.xxhash64("rep", "key"))
-        pivots = members.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "n")).alias("p"))
-        tested = members.join(pivots, "key").where(F.col("rep") != F.col("p.rep"))
-        pairs = tested.where(near(F.col("n"), F.col("p.n"))).select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct()
-        new = _links(pairs, classes, docs, percent)
-        links = written(new if links is None else links.union(new), "links")
-        found = written(components(links), "components")
-        rest = tested.select("key", "band", "many", "rep", "n")
-        members = written(rest.join(classes.select("rep", "regs"), "rep"), "members")
+    # one pivot a bucket; in large buckets a random one, so that a class meets many pivots over its bands
+    order = F.when(F.col("many") <= SMALL_BUCKET, F.col("rep")).otherwise(F.xxhash64("rep", "key"))
+    pivots = members.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "n")).alias("p"))
+    tested = members.join(pivots, "key").where(F.col("rep") != F.col("p.rep"))
+    fit = 100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n")
+    pairs = tested.where(fit).select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct()
+    links = written(_links(pairs, classes, docs, percent), "links")
+    found = written(components(links), "components")
+    # what is left: pairs of different components in the same bucket, without its pivot
+    rest = tested.select("key", "band", "many", "rep", "n").join(found, tested["rep"] == found["node"], "left")
+    rest = written(rest.select("key", "band", "many", "rep", "n", F.coalesce("component", "rep").alias("comp")), "members")
+    open_ = rest.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
+    rest = rest.join(open_, "key").join(classes.select("rep", "regs"), "rep")
+    links = written(links.union(_links(_untested(rest, percent), classes, docs, percent)), "links")
+    found = written(components(links), "components")
     ids = classes.select("digest", "rep")
-    if found is not None:
-        ids = ids.join(found, ids["rep"] == found["node"], "left").select("digest", F.coalesce("component", "rep").alias("comp"))
-    else:
-        ids = ids.withColumnRenamed("rep", "comp")
+    ids = ids.join(found, ids["rep"] == found["node"], "left").select("digest", F.coalesce("component", "rep").alias("comp"))
     component = F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     out = sketched.select("doc_id", "n_shingles", "digest").join(ids, "digest", "left")
