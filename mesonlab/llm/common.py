@@ -75,12 +75,22 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _hash_block(data: bytes, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _line_ends(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """True for the words that end a line: a sentence mark ends them, or a line break
+    follows before the next word."""
+    breaks = np.concatenate(([0], np.cumsum(raw == 10)))
+    after = np.append(start[1:], len(raw))
+    return np.isin(raw[end - 1], (33, 46, 63)) | (breaks[after] > breaks[end])
+
+
+def _hash_block(data: bytes, word: np.ndarray, line_ends: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and byte starts of the words of one block."""
     raw = np.frombuffer(data, np.uint8)
     inside = word[raw]
     edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if line_ends is not None:
+        line_ends.append(_line_ends(raw, start, end))
     if not len(start):
         return np.zeros(0, np.uint64), start
     up, down = _power_tables(len(raw))
@@ -104,17 +114,18 @@ def _cuts(data: bytes) -> Iterator[bytes]:
     yield data[at:]
 
 
-def word_hashes(texts, words: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def word_hashes(texts, words: str, line_ends: list | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(index of the first text, word hashes, word offsets of the texts and
     their end) for groups of texts of about BLOCK_BYTES; a longer text is a
-    group of its own. A-Z count as lower case; a null text has no words."""
+    group of its own. A-Z count as lower case; a null text has no words. Into
+    ``line_ends`` go, for each group, arrays that tell which words end a line."""
     word = WORD_BYTES[words]
     group: list[bytes] = []
     first = held = 0
 
     def flush():
         sizes = np.fromiter((len(x) + 1 for x in group), np.int64, len(group))
-        hashes, start = _hash_block(b" ".join(group), word)
+        hashes, start = _hash_block(b" ".join(group), word, line_ends)
         return hashes, np.searchsorted(start, np.concatenate(([0], np.cumsum(sizes))))
 
     for i, text in enumerate(texts):
@@ -123,7 +134,7 @@ def word_hashes(texts, words: str) -> Iterator[tuple[int, np.ndarray, np.ndarray
             yield (first, *flush())
             group, held, first = [], 0, i
         if len(data) > BLOCK_BYTES:
-            hashes = np.concatenate([_hash_block(x, word)[0] for x in _cuts(data)])
+            hashes = np.concatenate([_hash_block(x, word, line_ends)[0] for x in _cuts(data)])
             yield first, hashes, np.array([0, len(hashes)])
             first = i + 1
             continue

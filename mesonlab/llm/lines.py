@@ -1,5 +1,5 @@
-"""Line dedup by winnowing: the smallest line hash of every window of lines is a
-fingerprint, so two texts that share a run of MIN_WORDS words in whole lines share
+"""Line dedup by winnowing: one line of every window of lines, the minimum in the
+order of (longest, smallest hash), is a fingerprint, so two texts that share a run of MIN_WORDS words in whole lines share
 one; where a fingerprint repeats, matches are extended both ways, window by window,
 and all but the first occurrence of a repeated run are deleted."""
 
@@ -11,46 +11,54 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mesonlab.llm.common import table, written
+from mesonlab.llm.common import mix, table, word_hashes, written
 
 #: Words that a repeated run has at least.
 MIN_WORDS = 25
 #: Keys of texts that may be broadcast (16 bytes each); more are joined.
 BROADCAST_KEYS = 250_000
-#: A line ends at a line break or after a sentence; its end belongs to it.
-LINE = re.compile(r"[^.!?\n]*[.!?\n]+[ \t\r\n]*|[^.!?\n]+")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_WEIGHT = np.random.default_rng(5).integers(1, 1 << 63, 1 << 12, dtype=np.uint64) | np.uint64(1)
 
 
 def lines(text: str | None) -> list[str]:
-    return LINE.findall(text) if text else []
-
-
-def _worded(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(positions, hashes, word counts) of the lines that have words; white space and
-    the case of letters don't count."""
-    at, hashes, words = [], [], []
-    for i, line in enumerate(lines(text)):
-        if own := line.lower().split():
-            at.append(i)
-            hashes.append(xxhash.xxh3_64_intdigest(" ".join(own)))
-            words.append(len(own))
-    return np.array(at, np.int64), np.array(hashes, np.uint64), np.array(words, np.int64)
-
-
-def windows(words: np.ndarray, min_words: int) -> np.ndarray:
+    """A text cut into lines: a line ends at a line break or after a word that ends in
+    a sentence mark; it starts at its first word (the first one at the text's start)
+    and the white space after it belongs to it. A text without words has no line."""
+    words = list(_WORD.finditer(text or ""))
+    starts = [0] + [b.start() for a, b in zip(words, words[1:]) if a.group()[-1] in ".!?" or "\n" in text[a.end():b.start()]] if words else []
+    return [text[s:e] for s, e in zip(starts, [*starts[1:], len(text or "")])]
+
+
+def line_hashes(texts) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first text, hashes and word counts of lines, line offsets of the texts) for groups
+    of texts. White space and the case of A-Z don't count."""
+    ends: list[np.ndarray] = []
+    for first, hashes, offsets in word_hashes(texts, "nonspace", ends):
+        last = np.concatenate(ends)
+        ends.clear()
+        last[offsets[1:][offsets[1:] > offsets[:-1]] - 1] = True
+        start = np.concatenate(([0], np.flatnonzero(last)[:-1] + 1)) if len(hashes) else np.zeros(0, np.int64)
+        size = np.diff(np.append(start, len(hashes)))
+        place = np.arange(len(hashes)) - np.repeat(start, size)
+        spread = hashes * _WEIGHT[place % len(_WEIGHT)] * (np.uint64(2) * (place // len(_WEIGHT)).astype(np.uint64) + np.uint64(1))
+        yield first, mix(np.add.reduceat(spread, start) if len(start) else spread), size, np.searchsorted(start, offsets)
+
+
+def windows(words: np.ndarray, offsets: np.ndarray, min_words: int) -> np.ndarray:
     """(first, last) of the shortest runs of at least ``min_words`` words that start,
-    and that end, at each line; each run once."""
+    and that end, at each line and lie inside its text; each run once."""
     total = np.concatenate(([0], np.cumsum(words)))
     end = np.searchsorted(total, total[:-1] + min_words, "left")
     start = np.searchsorted(total, total[1:] - min_words, "right") - 1
-    n = len(words)
-    ahead = np.stack([np.arange(n), end - 1], 1)[end <= n]
-    back = np.stack([start, np.arange(n)], 1)[start >= 0]
-    return np.unique(np.concatenate([ahead, back]), axis=0)
+    n = np.arange(len(words))
+    lo, hi = np.repeat(offsets[:-1], np.diff(offsets)), np.repeat(offsets[1:], np.diff(offsets))
+    ahead, back = end <= hi, (start >= lo) & (start >= 0)
+    code = np.unique(np.concatenate([(n << 32 | (end - 1))[ahead], (start << 32 | n)[back]]))
+    return np.stack([code >> 32, code & 0xFFFFFFFF], 1)
 
 
 def _keys(docs: DataFrame) -> DataFrame:
@@ -60,17 +68,19 @@ def _keys(docs: DataFrame) -> DataFrame:
 def _fingerprints(keyed: DataFrame, min_words: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, found = [], []
-            for i, text in enumerate(batch.column(0)):
-                _, hashes, words = _worded(text.as_py())
-                if words.sum() < min_words:
-                    continue
-                own = hashes.tolist()
-                places = {s if s == e else min(range(s, e + 1), key=own.__getitem__) for s, e in windows(words, min_words).tolist()}
-                found.append(hashes[list(places)])
-                row.append(np.full(len(places), i, np.int32))
-            at = pa.array(np.concatenate(row) if row else np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array((np.concatenate(found) if found else np.zeros(0, np.uint64)).view(np.int64)), batch.column(1).take(at), batch.column(2).take(at)], ["fp", "k1", "k2"])
+            for first, hashes, words, offsets in line_hashes(x.as_py() for x in batch.column(0)):
+                runs = windows(words, offsets, min_words)
+                best, at = runs[:, 0].copy(), runs[:, 0].copy()
+                going = np.flatnonzero(at < runs[:, 1])
+                while len(going):  # the longest line of each window, of equals that of the smallest hash
+                    at[going] += 1
+                    new, old = at[going], best[going]
+                    better = (words[new] > words[old]) | (words[new] == words[old]) & (hashes[new] < hashes[old])
+                    best[going] = np.where(better, new, old)
+                    going = going[at[going] < runs[going, 1]]
+                best = np.unique(best)
+                row = pa.array(first + np.searchsorted(offsets, best, side="right") - 1)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[best].view(np.int64)), batch.column(1).take(row), batch.column(2).take(row)], ["fp", "k1", "k2"])
     return keyed.select("text", "k1", "k2").mapInArrow(rows, "fp long, k1 long, k2 long")
 
 
@@ -79,17 +89,19 @@ def _runs(keyed: DataFrame, min_words: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, run, first, last = [], [], [], []
-            for i, text in enumerate(batch.column(1)):
-                at, hashes, words = _worded(text.as_py())
-                for s, e in windows(words, min_words).tolist() if len(words) else ():
-                    row.append(i)
-                    run.append(xxhash.xxh3_64_intdigest(hashes[s:e + 1].tobytes()))
-                    first.append(int(at[s]))
-                    last.append(int(at[e]))
-            take = pa.array(row, pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(run, np.uint64).view(np.int64)), batch.column(0).take(take), batch.column(2).take(take), batch.column(3).take(take),
-                                              pa.array(first, pa.int32()), pa.array(last, pa.int32())], ["run", "doc_id", "k1", "k2", "s", "e"])
+            for first, hashes, words, offsets in line_hashes(x.as_py() for x in batch.column(1)):
+                runs = windows(words, offsets, min_words)
+                text = np.searchsorted(offsets, runs[:, 0], side="right") - 1
+                run, at = np.zeros(len(runs), np.uint64), runs[:, 0].copy()
+                going = np.arange(len(runs))
+                while len(going):
+                    run[going] = mix(run[going] + hashes[at[going]])
+                    at[going] += 1
+                    going = going[at[going] <= runs[going, 1]]
+                row = pa.array(first + text)
+                inside = (runs - offsets[text][:, None]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), *[batch.column(k).take(row) for k in (0, 2, 3)], pa.array(inside[:, 0]), pa.array(inside[:, 1])],
+                                                 ["run", "doc_id", "k1", "k2", "s", "e"])
     return keyed.select("doc_id", "text", "k1", "k2").mapInArrow(rows, f"run long, doc_id {kind}, k1 long, k2 long, s int, e int")
 
 
@@ -109,37 +121,40 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def _cleaned(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
+    """The texts that have runs without them."""
     out = []
     for text, own in zip(texts, runs):
+        if own is None or text is None:
+            out.append((None, 0, 0))
+            continue
         parts = lines(text)
         gone = np.zeros(len(parts) + 1, np.int64)
-        for r in own if own is not None else ():
+        for r in own:
             gone[r["s"]] += 1
             gone[r["e"] + 1] -= 1
         drop = np.cumsum(gone)[:-1] > 0
-        n = int(drop.sum())
-        out.append((text if not n else "".join(p for p, d in zip(parts, drop) if not d), len(parts), n, sum(len(p.split()) for p, d in zip(parts, drop) if d)))
-    return pd.DataFrame(out, columns=["text", "n_lines", "n_removed", "words_removed"])
+        out.append(("".join(p for p, d in zip(parts, drop) if not d), int(drop.sum()), sum(len(_WORD.findall(p)) for p, d in zip(parts, drop) if d)))
+    return pd.DataFrame(out, columns=["text", "n_removed", "words_removed"])
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (doc_id, text, any other columns) with the cleaned ``text`` and with
-    ``n_lines``, ``n_removed`` and ``words_removed``.
+    ``n_removed`` (lines) and ``words_removed``.
 
     Of every run of whole lines with at least ``min_words`` words that occurs again,
     in any document or the same one, the first occurrence stays. Null and empty texts
     stay as they are. Rows that repeat both id and text count as one document and
     keep the same lines; null ids come first. Columns with the new names are replaced."""
-    new = ("n_lines", "n_removed", "words_removed")
+    new = ("n_removed", "words_removed")
     names = [c for c in docs.columns if c not in new]
     one = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "doc_id", "text")
     keyed = one.withColumn("k1", F.xxhash64(F.col("doc_id").cast("string"))).withColumn("k2", F.xxhash64("text"))
     out = keyed.join(repeated_runs(one, min_words), ["k1", "k2"], "left")
-    out = out.withColumn("__new", F.pandas_udf(_cleaned, "text string, n_lines long, n_removed long, words_removed long")("text", "runs"))
-    return out.select(*[F.col("__new.text").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in names], *[F.col(f"__new.{c}") for c in new])
+    out = out.withColumn("__new", F.pandas_udf(_cleaned, "text string, n_removed long, words_removed long")(F.when(F.col("runs").isNotNull(), F.col("text")), "runs"))
+    return out.select(*[F.coalesce("__new.text", "text").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in names], *[F.col(f"__new.{c}") for c in new])
 
 
 def op6_lines(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` with later repeated runs of lines deleted."""
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "n_lines", "n_removed", "words_removed", "text")
+    return out.select("doc_id", "n_removed", "words_removed", "text")
