@@ -13,8 +13,19 @@ from mesonlab.session import scratch_path, ship_package
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Rows of an Arrow batch: whole texts are long, and a worker holds a batch at a time.
+BATCH_ROWS = 500
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ships the package to the workers and bounds the session's Arrow batches."""
     ship_package(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -22,6 +33,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read back:
     cuts lineage in a way that survives the loss of executors."""
     spark = df.sparkSession
+    prepare(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
