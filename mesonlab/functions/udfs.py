@@ -68,19 +68,24 @@ def register_udf3(spark: SparkSession, name: str, fn: Callable, return_type: str
     return name
 
 
-def dataset_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Apply ``fn`` to every Arrow record batch of every partition."""
+def dataset_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, input_columns=None) -> DataFrame:
+    """Apply ``fn`` to every Arrow record batch of every partition. ``input_columns``
+    names the columns that ``fn`` reads: Spark can't see into it to prune the scan."""
     ship_package(df.sparkSession)
 
     def run(batches):
         for batch in batches:
             yield fn(batch)
-    return df.mapInArrow(run, schema)
+    return (df.select(*input_columns) if input_columns else df).mapInArrow(run, schema)
 
 
 B_MASS_BATCH_SCHEMA = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, B_M double"
 
 
+B_MASS_BATCH_INPUT = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                      *[f"H{h}_{axis}" for h in (1, 2, 3) for axis in ("PX", "PY", "PZ")]]
+
+
 def b_mass_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     """B mass from the three hadron momenta of one batch (nulls propagate),
     in the same operation order as the column expressions."""

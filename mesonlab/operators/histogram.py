@@ -80,6 +80,7 @@ def _batch_only(df: DataFrame) -> None:
 
 def _binning_of_values(kept: KeptValues, quantiles: str, relative_error: float) -> Binning:
     """Binning statistics of a kept value column."""
+    quantiles = "exact" if relative_error == 0 else quantiles  # an error of 0 asks for exact values
     if quantiles not in ("exact", "approx"):
         raise ValueError("quantiles must be 'exact' or 'approx'")
     extra = []
@@ -292,6 +293,7 @@ def column_histograms(df: DataFrame, columns: list[str], quantiles: str = "exact
     names = {f"c{i}": c for i, c in enumerate(columns)}
     with KeptValues(df, names, spread_small=len(names) > 1, finite_only=True) as kept:
         extra = []
+        quantiles = "exact" if relative_error == 0 else quantiles
         if quantiles == "approx":
             extra = [percentile_approx_column(F.when(finite(n), F.col(n)), [0.25, 0.75], relative_error)
                      .alias(f"q_{n}") for n in names]

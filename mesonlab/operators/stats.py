@@ -70,7 +70,9 @@ def approx_quantile(df: DataFrame, column: str, probabilities: Sequence[float],
 
 def percentile_approx_column(column, probabilities: Sequence[float], relative_error: float) -> Column:
     """Lazy form of ``approx_quantile`` for use inside one ``agg`` with other aggregates."""
-    accuracy = max(1, int(round(1.0 / relative_error))) if relative_error > 0 else 1_000_000
+    if relative_error <= 0:
+        raise ValueError("a sketch needs a positive relative_error; exact_quantiles gives exact values")
+    accuracy = max(1, int(round(1.0 / relative_error)))
     return F.percentile_approx(column, F.array(*[F.lit(float(p)) for p in probabilities]), accuracy)
 
 
@@ -102,10 +104,9 @@ class KeptValues:
 
     ``stats()`` is the first pass: it materialises the column and returns
     count, valid count, min, max (plus extra aggregates) together with the
-    column's partition count. The passes after it use ``frame``, coalesced
-    without a shuffle to ``4 x cores`` partitions when there are far more, so
-    each later pass schedules few tasks and emits few partial-aggregate rows.
-    Nothing is planned or executed just to learn the partition count. A frame
+    column's partition count. The passes after it use ``frame`` in the input's
+    own partitions: ``defaultParallelism`` isn't the cluster's size, so nothing is
+    coalesced by it. Nothing is planned or executed just to learn the partition count. A frame
     with fewer partitions than cores is small; it is spread round-robin (from
     the cache) only with ``spread_small``, worth it when the passes explode each
     row into many intervals (several kept columns), not for one column.
@@ -137,9 +138,7 @@ class KeptValues:
         tagged = self._base.withColumn("_part", F.spark_partition_id())
         row = tagged.agg(*aggs, *extra, F.max("_part").alias("_last_part")).first()
         parts = 1 + (row["_last_part"] or 0)
-        if parts > 4 * self._slots:
-            self.frame = self._base.coalesce(4 * self._slots)
-        elif self._spread_small and parts < self._slots:
+        if self._spread_small and parts < self._slots:
             self._spread = self._base.repartition(self._slots)
             if self._persist:
                 self._spread = self._spread.persist(StorageLevel.MEMORY_AND_DISK)

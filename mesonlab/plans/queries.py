@@ -290,7 +290,8 @@ def q_parquet_multi_path(spark, sf_dir):
 def q_parquet_partitioned(spark, sf_dir):
     li = C.table(spark, sf_dir, "lineitem").select(*KEYS, "l_returnflag", "l_shipdate", "l_extendedprice")
     path = scratch_path(spark, "pq-part")
-    W.write_parquet(li, path, mode="overwrite", partition_by=["l_returnflag"], sort_by=["l_shipdate"])
+    W.write_parquet(li, path, mode="overwrite", partition_by=["l_returnflag"], sort_by=["l_shipdate"],
+                    rebalance=True)
     back = R.read_parquet(spark, path)
     return back.where(F.col("l_returnflag") == "A").select(*KEYS, "l_extendedprice", "l_returnflag")
 
@@ -348,7 +349,8 @@ def q_udf3_sql(spark, sf_dir):
 
 
 def q_dataset_map(spark, sf_dir):
-    return udfs.dataset_map(_cand(spark, sf_dir), udfs.b_mass_batch, udfs.B_MASS_BATCH_SCHEMA)
+    return udfs.dataset_map(_cand(spark, sf_dir), udfs.b_mass_batch, udfs.B_MASS_BATCH_SCHEMA,
+                            udfs.B_MASS_BATCH_INPUT)
 
 
 # ---- step 8: streams --------------------------------------------------------

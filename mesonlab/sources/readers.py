@@ -62,7 +62,7 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping,
     queries in parallel.
     """
     props = camel_options(properties)
-    if not props.get("user") or not props.get("password"):
+    if props.get("user") is None or props.get("password") is None:
         raise ValueError("JDBC properties must include user and password")
     props = {k: str(v) for k, v in props.items()}
     if partition_column is None:

@@ -19,22 +19,22 @@ from pyspark.sql.streaming import StreamingQuery
 from mesonlab.functions.kinematics import with_b_mass, with_momentum
 from mesonlab.functions.selection import b_candidate_selection
 from mesonlab.session import scratch_path
+from mesonlab.sources.candidates import KEY_COLUMNS
 
-DEFAULT_TIMEOUT_S = 900
+#: Files of a micro-batch, unless the caller says otherwise: batches stay bounded
+#: however many files wait in the folder.
+FILES_PER_TRIGGER = 1000
 
 
-def candidate_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
+def candidate_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Candidate JSON files arriving in ``path`` as a stream."""
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).json(path)
 
 
-def run_available(query: StreamingQuery, timeout_s: int = DEFAULT_TIMEOUT_S) -> None:
-    """Wait for an ``availableNow`` query to drain its input; stop it if it
-    overruns; surface its failure."""
-    finished = query.awaitTermination(timeout_s)
+def run_available(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for an ``availableNow`` query to drain its input, however long that
+    takes; only a caller's own ``timeout_s`` stops it. Surfaces its failure."""
+    finished = query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination() is not False
     if not finished:
         query.stop()
         raise TimeoutError(f"stream {query.name or query.id} did not finish in {timeout_s}s")
@@ -86,25 +86,23 @@ def _to_parquet_sink(spark: SparkSession, stream: DataFrame, name: str) -> str:
 
 
 def candidate_stream_momentum(spark: SparkSession, candidates: DataFrame, schema: str,
-                              prefix: str = "H1_") -> DataFrame:
+                              prefix: str = "H1_", keys=KEY_COLUMNS) -> DataFrame:
     """Land candidates as JSON files, stream them through ``with_momentum``,
     and read the file sink back."""
     src = scratch_path(spark, "cand-stream-src")
     candidates.write.json(src)
     stream = with_momentum(candidate_stream(spark, src, schema), prefix)
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     sink = _to_parquet_sink(spark, stream.select(*keys, prefix + "P2", prefix + "P"), "cand-stream")
     return spark.read.parquet(sink)
 
 
-def candidate_stream_b_mass(spark: SparkSession, candidates: DataFrame, schema: str) -> DataFrame:
+def candidate_stream_b_mass(spark: SparkSession, candidates: DataFrame, schema: str, keys=KEY_COLUMNS) -> DataFrame:
     """The row-wise part of the analysis on a stream: land candidates as JSON
     files, stream them through ``with_b_mass`` and the B selection, and read
     the file sink back (keys + ``B_M``)."""
     src = scratch_path(spark, "mass-stream-src")
     candidates.write.json(src)
     stream = with_b_mass(candidate_stream(spark, src, schema)).where(b_candidate_selection())
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     sink = _to_parquet_sink(spark, stream.select(*keys, "B_M"), "mass-stream")
     return spark.read.parquet(sink)
 
@@ -115,5 +113,5 @@ def line_stream(spark: SparkSession, docs: DataFrame, column: str) -> DataFrame:
     src = scratch_path(spark, "line-stream-src")
     docs.select(F.regexp_replace(F.coalesce(F.col(column), F.lit("")), "[\\r\\n]", " ").alias("value")) \
         .write.text(src)
-    stream = spark.readStream.text(src)
+    stream = spark.readStream.option("maxFilesPerTrigger", FILES_PER_TRIGGER).text(src)
     return spark.read.parquet(_to_parquet_sink(spark, stream, "line-stream"))

@@ -83,14 +83,14 @@ def test_sql_double_literals_round_trip(spark):
         S.sql_double(float("nan"))
 
 
-def test_over_partitioned_input_is_coalesced_and_exact(spark):
+def test_input_keeps_its_partitions_and_is_exact(spark):
     rnd = random.Random(17)
     values = [rnd.expovariate(0.01) for _ in range(5000)] + [None] * 9
     df = frame(spark, values).repartition(100)           # far more partitions than cores
     with S.KeptValues(df, "x") as kept:
         row = kept.stats()
         assert row["n"] == len(values) and row["n_valid"] == 5000
-        assert kept.frame.rdd.getNumPartitions() == 4 * S.cores(spark) < 100
+        assert kept.frame.rdd.getNumPartitions() == 100 > 4 * S.cores(spark)
         got = S.select_quantiles(kept.frame, [("v", row["n_valid"], row["lo"], row["hi"], p) for p in PROBS],
                                  buckets=16, fetch_limit=50)
     assert got == [disc(values, p) for p in PROBS]
