@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from mesonlab.llm.common import table, window_hashes, word_hashes, written
 from mesonlab.llm.components import components
 
-SHINGLE, PERCENT = 4, 80
+#: Words of a shingle and the similarity of a link; the registered query takes four words.
+SHINGLE, PERCENT, QUERY_SHINGLE = 5, 80, 4
 #: A pair at the threshold shares no band with probability (1 - 0.8^5)^32 = 3e-6.
 BANDS, ROWS = 32, 5
 BUCKETS, MANTISSA = BANDS * ROWS, 10
@@ -68,14 +69,14 @@ def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, kind))
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Per row of (doc_id, text): n_shingles, a digest of the whole set, registers."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, digest = np.zeros(len(batch), np.int64), [None] * len(batch)
             regs: list = [None] * len(batch)
             texts = (x.as_py() for x in batch.column(1))
-            for i, own in shingle_sets(texts):
+            for i, own in shingle_sets(texts, shingle):
                 n[i], digest[i], regs[i] = len(own), xxhash.xxh3_128_digest(own.tobytes()), registers(own)
             none = np.zeros(0, np.int16)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(digest, pa.binary()), _lists([none if r is None else r for r in regs], pa.int16())],
@@ -83,11 +84,11 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, n_shingles long, digest binary, regs array<short>")
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, shingle: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, sets, held = [], [], 0
-            for i, own in shingle_sets(x.as_py() for x in batch.column(1)):
+            for i, own in shingle_sets((x.as_py() for x in batch.column(1)), shingle):
                 at.append(i)
                 sets.append(own.view(np.int64))
                 held += len(own)
@@ -140,7 +141,7 @@ def _untested(members: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("key", "x", "y").applyInArrow(compare, "a long, b long").distinct()
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, shingle: int) -> DataFrame:
     """The pairs (a, b) whose sets have the similarity; sifted by the estimate first."""
     regs = classes.select("rep", "n", "regs")
     both = (pairs.join(regs.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra")), "a")
@@ -149,16 +150,17 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int)
     keys = sifted.select(F.col("a").alias("doc_id")).union(sifted.select("b")).distinct()
     keys = written(keys, "keys")
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-    sets = written(_sets(docs.join(keys, "doc_id", "left_semi")).dropDuplicates(["id"]), "sets")
+    sets = written(_sets(docs.join(keys, "doc_id", "left_semi"), shingle).dropDuplicates(["id"]), "sets")
     full = (sifted.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b"))
     shared = F.size(F.array_intersect("sa", "sb"))
     return full.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """Per row of ``docs`` (doc_id, text; other columns are ignored): doc_id,
-    n_shingles, component_id, kept (doc_id = component_id).
+    n_shingles, component_id, kept (doc_id = component_id). Sets hold the distinct runs of
+    ``shingle`` words.
 
     Texts with the same set are one class, so copies cost a row each and no pair.
     In every bucket of a band, classes are tested against one pivot; pairs left
@@ -167,7 +169,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Rows that repeat an id form one document if their sets agree; a null id takes no
     part: component_id is null, kept is true. No rows give no rows."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    sketched = written(sketches(docs), "sketches")
+    sketched = written(sketches(docs, shingle), "sketches")
     known = sketched.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = written(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs")), "classes")
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.slice("regs", b * ROWS + 1, ROWS), b))
@@ -180,14 +182,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     tested = members.join(pivots, "key").where(F.col("rep") != F.col("p.rep"))
     fit = 100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n")
     pairs = tested.where(fit).select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct()
-    links = written(_links(pairs, classes, docs, percent), "links")
+    links = written(_links(pairs, classes, docs, percent, shingle), "links")
     found = written(components(links), "components")
     # what is left: pairs of different components in the same bucket, without its pivot
     rest = tested.select("key", "band", "many", "rep", "n").join(found, tested["rep"] == found["node"], "left")
     rest = written(rest.select("key", "band", "many", "rep", "n", F.coalesce("component", "rep").alias("comp")), "members")
     open_ = rest.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
     rest = rest.join(open_, "key").join(classes.select("rep", "regs"), "rep")
-    links = written(links.union(_links(_untested(rest, percent), classes, docs, percent)), "links")
+    links = written(links.union(_links(_untested(rest, percent), classes, docs, percent, shingle)), "links")
     found = written(components(links), "components")
     ids = classes.select("digest", "rep")
     ids = ids.join(found, ids["rep"] == found["node"], "left").select("digest", F.coalesce("component", "rep").alias("comp"))
@@ -199,4 +201,4 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def op4_near_duplicates(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all ``documents``."""
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=QUERY_SHINGLE)

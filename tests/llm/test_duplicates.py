@@ -39,9 +39,9 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def shingles(text):
+def shingles(text, size=4):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({i: i + 32 for i in range(65, 91)}))
-    return {tuple(w[k:k + 4]) for k in range(max(len(w) - 3, 1))} if w else set()
+    return {tuple(w[k:k + size]) for k in range(max(len(w) - size + 1, 1))} if w else set()
 
 
 def copies():

@@ -25,7 +25,7 @@ def test_stages(spark):
         assert set(kept[name]) <= {r.doc_id for r in before.collect()}
     held = [i for i, q in labels.items() if zlib.crc32(str(i).encode()) % 4 == 2]
     assert sum((i in kept["quality"]) == labels[i] for i in held) / len(held) > 0.93
-    sets = [s for s in map(shingles, kept["near"].values()) if s]
+    sets = [s for s in (shingles(t, 5) for t in kept["near"].values()) if s]
     assert all(100 * len(a & b) < 80 * len(a | b) for k, a in enumerate(sets) for b in sets[:k] if min(len(a), len(b)) >= 0.8 * max(len(a), len(b)))
     placed = C.STAGES[-1][1](spark, now, SF2).collect()
     check(placed, list(kept["leaks"].items()))
