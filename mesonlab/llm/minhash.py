@@ -29,6 +29,8 @@ SLACK = 4.0
 BROADCAST_KEYS = 500_000
 #: Members of a part of a bucket, two of which are compared in a task, and rows of a step.
 PART, COMPARED = 2048, 128
+#: Shingles of a part, about (8 bytes each); a longer text is a part's only bulk.
+PART_SHINGLES = 1 << 20
 #: Buckets of at most so many classes take their smallest member as pivot.
 SMALL_BUCKET = 8
 _ORDER = np.argsort(np.random.default_rng(11).random((BUCKETS, BUCKETS)), axis=1)
@@ -108,36 +110,67 @@ def _likely(ra: str, rb: str, na: str, nb: str, percent: int):
     return (agree - chance) / (1 - chance) >= t - SLACK * (t * (1 - t) / BUCKETS) ** 0.5
 
 
+def _own_sets(ids: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(id, shingles) of the documents named by ``ids`` (doc_id)."""
+    keys = written(ids.distinct(), "keys")
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    return written(_sets(docs.join(keys, "doc_id", "left_semi"), shingle).dropDuplicates(["id"]), "sets")
+
+
 def _untested(members: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of classes of different components that share a bucket, each from
-    the first band that it shares. A large bucket is dealt to parts, and a task
-    compares the registers of two parts."""
+    """Links between classes of different components that share a bucket, each tested
+    in the first band that it shares: by the estimate, then on full sets. A large bucket
+    is dealt to parts of bounded size, and a task compares two parts. It names a link
+    only between classes that its other links don't connect, so it returns fewer
+    rows than it reads."""
     t = percent / 100
     least = t - SLACK * (t * (1 - t) / BUCKETS) ** 0.5
 
     def compare(group: pa.Table) -> pa.Table:
         x, y, band = group["x"][0].as_py(), group["y"][0].as_py(), group["band"][0].as_py()
-        part, rep, n, comp = (group[c].to_numpy() for c in ("part", "rep", "n", "comp"))
+        part, rep, comp = (group[c].to_numpy() for c in ("part", "rep", "comp"))
         regs = group["regs"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, BUCKETS)
+        n = group["size"].to_numpy()
+        ends = np.concatenate(([0], np.cumsum(n)))
+        own_ids, flat = np.unique(group["shingles"].combine_chunks().flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+        mark = np.zeros(len(own_ids), bool)
+        label = np.unique(comp, return_inverse=True)[1]
         left, right = np.flatnonzero(part == x), np.flatnonzero(part == y)
         out = []
         for lo in range(0, len(left), COMPARED):
             own = left[lo:lo + COMPARED]
-            able = (comp[own][:, None] != comp[right]) & (100 * np.minimum(n[own][:, None], n[right]) >= percent * np.maximum(n[own][:, None], n[right]))
+            able = (label[own][:, None] != label[right]) & (100 * np.minimum(n[own][:, None], n[right]) >= percent * np.maximum(n[own][:, None], n[right]))
             if x == y:
                 able &= rep[own][:, None] < rep[right]
             i, j = np.nonzero(able)
+            likely = []
             for at in range(0, len(i), COMPARED * COMPARED):
                 p, q = own[i[at:at + COMPARED * COMPARED]], right[j[at:at + COMPARED * COMPARED]]
                 same = regs[p] == regs[q]
                 chance = 4 * COLLISION * n[p] * n[q] / (n[p] + n[q]) ** 2
                 good = (same.mean(1) - chance) / (1 - chance) >= least
                 good &= ~same.reshape(-1, BANDS, ROWS).all(2)[:, :band].any(1)
-                out.append((np.minimum(rep[p[good]], rep[q[good]]), np.maximum(rep[p[good]], rep[q[good]])))
+                likely.append((p[good], q[good]))
+            p, q = (np.concatenate([k[side] for k in likely] or [left[:0]]) for side in (0, 1))
+            firsts = np.flatnonzero(np.diff(p, prepend=-1))
+            for start, end in zip(firsts, np.append(firsts[1:], len(p))):
+                a, others = p[start], q[start:end]
+                others = others[label[others] != label[a]]
+                if not len(others):
+                    continue
+                mark[flat[ends[a]:ends[a + 1]]] = True
+                shared = np.array([np.count_nonzero(mark[flat[ends[k]:ends[k + 1]]]) for k in others])
+                mark[flat[ends[a]:ends[a + 1]]] = False
+                linked = others[100 * shared >= percent * (n[a] + n[others] - shared)]
+                if len(linked):
+                    labels, at = np.unique(label[linked], return_index=True)
+                    out.append((np.full(len(at), rep[a]), rep[linked[at]]))
+                    label[np.isin(label, labels)] = label[a]
         return pa.table({c: np.concatenate([o[k] for o in out] or [np.zeros(0, np.int64)]) for k, c in enumerate("ab")})
-    parts = F.ceil(F.col("many") / PART)
+    parts = F.greatest(F.ceil(F.col("many") / PART), F.ceil(F.col("total") / PART_SHINGLES))
     dealt = members.withColumn("part", F.pmod(F.xxhash64("rep"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-    dealt = dealt.select("key", "band", "rep", "n", "comp", "regs", "part", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
+    dealt = dealt.select("key", "band", "rep", "comp", "regs", "shingles", F.size("shingles").cast("long").alias("size"), "part",
+                         F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
     return dealt.groupBy("key", "x", "y").applyInArrow(compare, "a long, b long").distinct()
 
 
@@ -147,10 +180,7 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int,
     both = (pairs.join(regs.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra")), "a")
             .join(regs.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb")), "b"))
     sifted = written(both.where(_likely("ra", "rb", "na", "nb", percent)).select("a", "b"), "pairs")
-    keys = sifted.select(F.col("a").alias("doc_id")).union(sifted.select("b")).distinct()
-    keys = written(keys, "keys")
-    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-    sets = written(_sets(docs.join(keys, "doc_id", "left_semi"), shingle).dropDuplicates(["id"]), "sets")
+    sets = _own_sets(sifted.select(F.col("a").alias("doc_id")).union(sifted.select("b")), docs, shingle)
     full = (sifted.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b"))
     shared = F.size(F.array_intersect("sa", "sb"))
@@ -185,11 +215,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     links = written(_links(pairs, classes, docs, percent, shingle), "links")
     found = written(components(links), "components")
     # what is left: pairs of different components in the same bucket, without its pivot
-    rest = tested.select("key", "band", "many", "rep", "n").join(found, tested["rep"] == found["node"], "left")
-    rest = written(rest.select("key", "band", "many", "rep", "n", F.coalesce("component", "rep").alias("comp")), "members")
-    open_ = rest.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
-    rest = rest.join(open_, "key").join(classes.select("rep", "regs"), "rep")
-    links = written(links.union(_links(_untested(rest, percent), classes, docs, percent, shingle)), "links")
+    rest = tested.select("key", "band", "rep", "n").join(found, tested["rep"] == found["node"], "left")
+    rest = written(rest.select("key", "band", "rep", "n", F.coalesce("component", "rep").alias("comp")), "members")
+    open_ = rest.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("many"), F.sum("n").alias("total"))
+    rest = written(rest.join(open_.where("low < high").select("key", "many", "total"), "key"), "members")
+    sets = _own_sets(rest.select(F.col("rep").alias("doc_id")), docs, shingle).withColumnRenamed("id", "rep")
+    rest = rest.join(classes.select("rep", "regs").join(sets, "rep"), "rep")
+    links = written(links.union(_untested(rest, percent)), "links")
     found = written(components(links), "components")
     ids = classes.select("digest", "rep")
     ids = ids.join(found, ids["rep"] == found["node"], "left").select("digest", F.coalesce("component", "rep").alias("comp"))
