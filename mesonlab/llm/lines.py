@@ -100,9 +100,9 @@ def _runs(keyed: DataFrame, min_words: int) -> DataFrame:
                     going = going[at[going] <= runs[going, 1]]
                 row = pa.array(first + text)
                 inside = (runs - offsets[text][:, None]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), *[batch.column(k).take(row) for k in (0, 2, 3)], pa.array(inside[:, 0]), pa.array(inside[:, 1])],
-                                                 ["run", "doc_id", "k1", "k2", "s", "e"])
-    return keyed.select("doc_id", "text", "k1", "k2").mapInArrow(rows, f"run long, doc_id {kind}, k1 long, k2 long, s int, e int")
+                yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), *[batch.column(k).take(row) for k in (0, 2)], pa.array(inside[:, 0]), pa.array(inside[:, 1])],
+                                                 ["run", "doc_id", "k2", "s", "e"])
+    return keyed.select("doc_id", "text", "k2").mapInArrow(rows, f"run long, doc_id {kind}, k2 long, s int, e int")
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -115,9 +115,11 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
     runs = written(_runs(keyed.join(keys, ["k1", "k2"], "left_semi"), min_words), "runs")
     place = F.struct("doc_id", "k2", "s")
-    first = runs.groupBy("run").agg(F.min(place).alias("at"), F.count("*").alias("n")).where("n > 1").select("run", "at")
+    # written, so that a run which occurs everywhere may be split in the join
+    first = written(runs.groupBy("run").agg(F.min(place).alias("at"), F.count("*").alias("n")).where("n > 1").select("run", "at"), "first-runs")
     later = runs.join(first, "run").where(place > F.col("at"))
-    return later.select("k1", "k2", F.struct("s", "e").alias("r")).groupBy("k1", "k2").agg(F.collect_set("r").alias("runs"))
+    k1 = F.xxhash64(F.col("doc_id").cast("string")).alias("k1")
+    return later.select(k1, "k2", F.struct("s", "e").alias("r")).groupBy("k1", "k2").agg(F.collect_set("r").alias("runs"))
 
 
 def _cleaned(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
