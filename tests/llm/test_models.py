@@ -87,6 +87,52 @@ def test_lm_base_counts(spark, tmp_path, edge):
     assert all(math.isfinite(r.score) and r.score <= 0 for r in got)
 
 
+def brute_scores(rows):
+    """Scores of ``rows`` by dictionaries of words and pairs over the characters' tree."""
+    texts = [S.normalised(t) for _, t in rows]
+    learn = [i is not None and zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows]
+    packed, byte, _ = S.grams([t for t, ok in zip(texts, learn) if ok])
+    tree = S.Tree(np.bincount(packed, minlength=S.SYMBOLS ** 4), np.bincount(byte[byte >= 0], minlength=256).astype(float))
+    words = [[*t.split(), None] for t in texts]
+    count = Counter(w for ws, ok in zip(words, learn) if ok for w in ws)
+    pairs = Counter(p for ws, ok in zip(words, learn) if ok for p in zip([None, *ws], ws))
+    n, v = sum(count.values()), len(count)
+    gain, taken = Counter(), Counter()
+    for (a, b), c in pairs.items():
+        if c > 1:
+            taken[a] += c - 1
+            gain[a] += c * math.log(c / count[a] * n / count[b])
+    out = []
+    for (i, _), text, ws in zip(rows, texts, words):
+        score = 0.0
+        for a, b, spelled in zip([None, *ws], ws, tree.spelled([text])):
+            p = (count[b] + v * 10.0 ** spelled) / (n + v)
+            root = math.log10(p) if count[b] else math.log10(v) + spelled - math.log10(n + v)
+            if gain[a] > S.DIVERGENCE:
+                left = count[a] - taken[a]
+                again = max(pairs[a, b] - 1, 0)
+                score += math.log10((again + left * p) / count[a]) if again else root + math.log10(left / count[a])
+            else:
+                score += root
+        out.append((repr(i), round(score, 2)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("edge", [True, False])
+def test_lm_scores_equal_brute_force(spark, tmp_path, edge):
+    rows = EDGE if edge else [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got = S.op7_lm_score(spark, saved(spark, tmp_path, documents=frame(spark, rows))).collect()
+    want = brute_scores(rows)
+    have = sorted((repr(r.doc_id), round(r.score, 2)) for r in got)
+    assert [i for i, _ in have] == [i for i, _ in want]
+    assert np.allclose([x for _, x in have], [x for _, x in want], rtol=1e-5, atol=0.05)
+
+
+def test_lm_beats_unigrams_on_held_out_texts(spark):
+    got = S.op7_lm_score(spark, "/root/testdata/sf0.1").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1]
+
+
 def test_lm_empty(spark, tmp_path):
     assert S.op7_lm_score(spark, saved(spark, tmp_path, documents=frame(spark, EDGE).limit(0))).count() == 0
 
