@@ -68,6 +68,13 @@ class Binning:
         return asdict(self)
 
 
+def _check_resolution(b: Binning) -> None:
+    """Bin numbers are exact whole numbers up to 2^53; a width beyond that is below the
+    resolution of the values themselves."""
+    if not b.degenerate and b.n_valid and not (b.max - b.min) / b.width < 2.0 ** 53:
+        raise ValueError("bin width below floating-point resolution at this magnitude")
+
+
 def fd_width(q1: float, q3: float, n: int) -> float:
     return 2.0 * (q3 - q1) / math.cbrt(n)
 
@@ -195,6 +202,7 @@ def _fd_bins_plan(df: DataFrame, column: str, b: Binning, digits: int | None) ->
     Invalid values get a null bin and ``count(bin)`` = 0 for that group, which
     the final filter drops; a row filter on validity would be pushed below the
     projection and evaluate the (possibly expensive) value twice."""
+    _check_resolution(b)
     x = F.col(column).cast("double")
     if b.degenerate:
         idx = F.when(finite(x), F.lit(0).cast("long"))
@@ -314,6 +322,7 @@ def column_histograms(df: DataFrame, columns: list[str], quantiles: str = "exact
         rows = []
         for i in live:
             name, b = f"c{i}", bins[i]
+            _check_resolution(b)
             x = F.col(name)
             idx = (F.lit(0).cast("long") if b.degenerate
                    else F.floor((x - F.lit(b.min)) / F.lit(b.width)).cast("long"))

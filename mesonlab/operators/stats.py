@@ -13,10 +13,12 @@ one group of it) into a single task or the driver. On the kept value column:
    is answered at once; one with at most ``fetch_limit`` rows is finished by a
    ``row_number`` window inside one bounded window partition.
 
-Bucket numbers are a monotone function of the value, so running counts follow
-value order; an interval's min lands in its first bucket and its max in the
-last, so every pass strictly shrinks the candidate set and the loop ends on any
-input. A value shared by a third of all rows is one bucket with a large count.
+Buckets are of equal width in the value at first. An interval that a pass hardly
+shrank changes to equal width in the signed logarithm of the value (and back), so
+the number of passes does not follow the dynamic range of the data. Either number is
+a monotone function of the value, so running counts follow value order; an
+interval's min lands in its first bucket and its max in the last, so every pass
+strictly shrinks the candidate set and the loop ends on any input. A value shared by a third of all rows is one bucket with a large count.
 """
 
 from __future__ import annotations
@@ -195,7 +197,37 @@ def sql_double(x: float) -> str:
     return f"{x!r}D"
 
 
-def _bucket_sql(lo: float, hi: float, buckets: int, column: str) -> str:
+# The smallest positive double, and what makes its logarithm positive.
+_TINY, _TINY_LOG = 5e-324, 745.0
+# An interval keeps its numbering if a pass left it at most this share of its rows.
+SHRANK = 0.25
+
+
+def _signed_log(x: float) -> float:
+    return math.copysign(math.log(max(abs(x), _TINY)) + _TINY_LOG, x) if x else 0.0
+
+
+def _signed_log_sql(value: str) -> str:
+    return f"SIGNUM({value}) * (LN(GREATEST(ABS({value}), {sql_double(_TINY)})) + {sql_double(_TINY_LOG)})"
+
+
+def _log_bucket_sql(lo: float, hi: float, buckets: int, column: str) -> str | None:
+    """Buckets of equal width in the signed logarithm; the ends are tested by value, so
+    a last digit of the logarithm can't put them elsewhere. None where it can't tell
+    the ends apart."""
+    width = _signed_log(hi) - _signed_log(lo)
+    if not width > 1e-9:
+        return None
+    raw = f"FLOOR(({_signed_log_sql(f'`{column}`')} - {sql_double(_signed_log(lo))}) * {sql_double(buckets / width)})"
+    return (f"CASE WHEN `{column}` = {sql_double(lo)} THEN 0 WHEN `{column}` = {sql_double(hi)} THEN {buckets - 1} "
+            f"ELSE CAST(LEAST(GREATEST({raw}, 0), {buckets - 1}) AS INT) END")
+
+
+def _bucket_sql(lo: float, hi: float, buckets: int, column: str, log: bool = False) -> str:
+    if log and not math.isinf(lo) and not math.isinf(hi):
+        by_log = _log_bucket_sql(lo, hi, buckets, column)
+        if by_log is not None:
+            return by_log
     if math.isinf(lo) or math.isinf(hi):
         # lo, interior, hi: the ends differ, so the next interval is smaller
         return (f"CASE WHEN `{column}` = {sql_double(lo)} THEN 0 "
@@ -208,26 +240,25 @@ def _bucket_sql(lo: float, hi: float, buckets: int, column: str) -> str:
     return f"CAST(LEAST(GREATEST({raw}, 0), {buckets - 1}) AS INT)"
 
 
-def _tag(frame: DataFrame, intervals: list[tuple[str, float, float]], buckets: int | None = None) -> DataFrame:
-    """Rows inside each (column, lo, hi) interval as (g, [b,] v): interval
+def _tag(frame: DataFrame, intervals: list[tuple], buckets: int | None = None) -> DataFrame:
+    """Rows inside each (column, lo, hi[, by logarithm]) interval as (g, [b,] v): interval
     number, optional bucket number, value. A range test is false for null and
     NaN, so no validity filter is needed. Built as one SQL expression (one
     parse instead of hundreds of client-side Column calls)."""
-    def struct(g, c, lo, hi):
-        b = f"'b', {_bucket_sql(lo, hi, buckets, c)}, " if buckets is not None else ""
+    def struct(g, c, lo, hi, log=False):
+        b = f"'b', {_bucket_sql(lo, hi, buckets, c, log)}, " if buckets is not None else ""
         return f"named_struct('g', {g}, {b}'v', `{c}`)"
 
-    def cond(c, lo, hi):
+    def cond(c, lo, hi, log=False):
         return f"`{c}` >= {sql_double(lo)} AND `{c}` <= {sql_double(hi)}"
     if len(intervals) == 1:
-        c, lo, hi = intervals[0]
-        return frame.where(F.expr(cond(c, lo, hi))).select(F.expr(struct(0, c, lo, hi)).alias("r")).select("r.*")
+        return frame.where(F.expr(cond(*intervals[0]))).select(F.expr(struct(0, *intervals[0])).alias("r")).select("r.*")
     cases = ", ".join(f"CASE WHEN {cond(*iv)} THEN {struct(g, *iv)} END" for g, iv in enumerate(intervals))
     return (frame.select(F.expr(f"explode(array({cases}))").alias("r")).where(F.col("r").isNotNull())
             .select("r.*"))
 
 
-def bucket_pass(frame: DataFrame, intervals: list[tuple[str, float, float]],
+def bucket_pass(frame: DataFrame, intervals: list[tuple],
                 needs: list[tuple[int, int]], buckets: int) -> DataFrame:
     """One narrowing pass as a plan: per (interval g, bucket b) the count, min
     and max (partial aggregate, then a shuffle of at most tasks x intervals x
@@ -277,20 +308,21 @@ def select_quantiles(frame: DataFrame, targets: Sequence[tuple[str, int, float,
     of one kept frame; targets with the same column and interval share passes,
     and every pass serves all columns at once."""
     slots = cores(frame.sparkSession)
-    # target -> [column, need, lo, hi, rows]: the ``need``-th smallest of the
-    # ``rows`` valid values of ``column`` in [lo, hi] (lo, hi present in data)
-    state = {i: [c, quantile_rank(n, p), lo, hi, n] for i, (c, n, lo, hi, p) in enumerate(targets) if n > 0}
+    # target -> [column, need, lo, hi, rows, log]: the ``need``-th smallest of the
+    # ``rows`` valid values of ``column`` in [lo, hi] (lo, hi present in data);
+    # log: the next pass numbers buckets by the logarithm
+    state = {i: [c, quantile_rank(n, p), lo, hi, n, False] for i, (c, n, lo, hi, p) in enumerate(targets) if n > 0}
     result: dict[int, float | None] = {i: None for i, t in enumerate(targets) if t[1] == 0}
     while True:
-        for i, (_, need, t_lo, t_hi, rows) in list(state.items()):
+        for i, (_, need, t_lo, t_hi, rows, _) in list(state.items()):
             if t_lo == t_hi or need == 1 or need == rows:
                 result[i] = t_hi if need == rows else t_lo
                 del state[i]
         if not state:
             break
-        groups: dict[tuple[str, float, float], list[int]] = {}
+        groups: dict[tuple[str, float, float, bool], list[int]] = {}
         for i, s in state.items():
-            groups.setdefault((s[0], s[2], s[3]), []).append(i)
+            groups.setdefault((s[0], s[2], s[3], s[5]), []).append(i)
         intervals = list(groups)
         small = [g for g, key in enumerate(intervals) if state[groups[key][0]][4] <= fetch_limit]
         if small:
@@ -334,7 +366,8 @@ def select_quantiles(frame: DataFrame, targets: Sequence[tuple[str, int, float,
             for (g, need), ids in wanted.items():
                 if r["g"] == g and r["cum"] - r["c"] < need <= r["cum"]:
                     for i in ids:
-                        state[i] = [state[i][0], need - (r["cum"] - r["c"]), r["lo"], r["hi"], r["c"]]
+                        log = state[i][5] != (r["c"] > SHRANK * state[i][4])
+                        state[i] = [state[i][0], need - (r["cum"] - r["c"]), r["lo"], r["hi"], r["c"], log]
                         found.add(i)
         if len(found) != sum(len(ids) for ids in wanted.values()):
             raise RuntimeError("quantile rank beyond counted rows")

@@ -12,7 +12,7 @@ then checks rows only): ``sample``, ``approx_quantile_001``,
 from __future__ import annotations
 
 from mesonlab.plans.queries import (
-    NARROW, NOTEBOOK_COLUMNS, PERCENTILE_COLUMNS, QUANTILE_PROBS, STAT_COLUMNS, SUMMARY_STATS,
+    NARROW, NOTEBOOK_COLUMNS, PERCENTILE_COLUMNS, QUANTILE_PROBS, STAT_COLUMNS, STRING_COLUMNS, SUMMARY_STATS,
 )
 from mesonlab.sources.candidates import CANDIDATE_COLUMNS, KEY_COLUMNS, candidate_select_sql
 
@@ -109,6 +109,14 @@ _SCAN = f"SELECT {KEYS}, {', '.join(CANDIDATE_COLUMNS)} FROM cand"
 _BIN_ASSIGN = (f"WITH RECURSIVE {SEL_CTES},\n{_binning_ctes('sel', 'B_M')}\n"
                f"SELECT {KEYS}, B_M, {_bin_expr('B_M')} AS bin FROM sel")
 
+def _string_rows(stats) -> str:
+    """One row per statistic of the string columns, as text."""
+    made = {"count": "CAST(count({c}) AS VARCHAR)", "min": "min({c})", "max": "max({c})"}
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS summary, " + ", ".join(made.get(t, "CAST(NULL AS VARCHAR)").format(c=c) + f" AS {c}" for c in STRING_COLUMNS)
+        + (" FROM lineitem" if t in made else "") for t in stats)
+
+
 ORACLE_SQL: dict[str, str] = {
     "sum_cols": f"WITH {CAND} SELECT {KEYS}, H1_PX + H2_PX + H3_PX AS px_sum FROM cand",
     "sum_squares": f"WITH {CAND} SELECT {KEYS}, {_p2('H1_')} AS p2_sum FROM cand",
@@ -130,13 +138,18 @@ ORACLE_SQL: dict[str, str] = {
     "with_column": f"WITH {CAND} SELECT {KEYS}, sqrt(H1_PX*H1_PX + H1_PY*H1_PY) AS H1_PT FROM cand",
     "group_by_agg": (
         "SELECT l_returnflag, l_linestatus, count(*) AS n, "
-        "sum(CAST(round(l_quantity * 100) AS BIGINT)) / 100.0 AS sum_qty, "
-        "sum(CAST(round(l_extendedprice * 100) AS BIGINT)) / 100.0 AS sum_price, "
+        "CAST(sum(CAST(l_quantity AS DECIMAL(28,6))) AS DOUBLE) AS sum_qty, "
+        "CAST(sum(CAST(l_extendedprice AS DECIMAL(28,6))) AS DOUBLE) AS sum_price, "
         "min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price, "
         "round(avg(l_discount), 6) AS avg_disc FROM lineitem GROUP BY l_returnflag, l_linestatus"),
     "row_count": f"WITH {MASS_CTES} SELECT count(*) AS n FROM m3 WHERE {SELECTION}",
     "min_max": f'WITH {SEL_CTES} SELECT min(B_M) AS "min(B_M)", max(B_M) AS "max(B_M)" FROM sel',
     "describe": _stats_rows(("count", "mean", "stddev", "min", "max")),
+    "describe_strings": _string_rows(("count", "mean", "stddev", "min", "max")),
+    "summary_strings": _string_rows(("count", "min", "max")),
+    "approx_quantile_bounds": f"SELECT CAST(p AS DOUBLE) AS p, true AS within FROM (VALUES {', '.join(f'({p})' for p in QUANTILE_PROBS)}) v(p)",
+    "sort_all": f"WITH {SEL_CTES} SELECT * FROM sel ORDER BY B_M DESC, {KEYS}",
+    "sample_properties": "SELECT true AS subset, true AS same_seed_same_rows, true AS size_as_expected",
     "summary": _stats_rows(SUMMARY_STATS),
     "summary_percentiles": _stats_rows(("count", "mean", "stddev", "min", "25%", "50%", "75%", "max"),
                                        PERCENTILE_COLUMNS),

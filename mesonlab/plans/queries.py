@@ -111,10 +111,9 @@ def q_with_column(spark, sf_dir):
 # ---- step 3: aggregation and statistics -------------------------------------
 
 def _exact_sum(c):
-    """Exact sum of a two-decimal column: integer cents summed as BIGINT (fast
-    codegen'd long arithmetic, independent of summation order; an overflow
-    raises under ANSI), then scaled back."""
-    return F.sum(F.round(F.col(c) * 100).cast("long")) / F.lit(100.0)
+    """Sum as a decimal of 38 digits, six of them after the point: independent of
+    the order of the rows; converted back once."""
+    return F.sum(F.col(c).cast("decimal(28,6)")).cast("double")
 
 
 def q_group_by_agg(spark, sf_dir):
@@ -145,6 +144,19 @@ def q_describe(spark, sf_dir):
     return S.numeric_stats_table(S.describe(li, *STAT_COLUMNS), STAT_COLUMNS)
 
 
+STRING_COLUMNS = ["l_returnflag", "l_linestatus"]
+
+
+def q_describe_strings(spark, sf_dir):
+    """count, min and max of string columns; their mean and deviation are null."""
+    return S.describe(C.table(spark, sf_dir, "lineitem"), *STRING_COLUMNS)
+
+
+def q_summary_strings(spark, sf_dir):
+    li = C.table(spark, sf_dir, "lineitem").select(*STRING_COLUMNS)
+    return S.summary(li, "count", "min", "max")
+
+
 SUMMARY_STATS = ("count", "mean", "stddev", "min", "max")
 
 
@@ -183,6 +195,21 @@ def q_approx_quantile_001(spark, sf_dir):
     return _quantile_frame(spark, QUANTILE_PROBS, values)
 
 
+def q_approx_quantile_bounds(spark, sf_dir):
+    """Whether each value of ``approx_quantile_001`` has a rank within 1% of n: the wanted
+    rank lies between the rows below the value and those up to it, give or take."""
+    mass = _selected_mass(spark, sf_dir)
+    values = S.approx_quantile(mass, "B_M", QUANTILE_PROBS, 0.01)
+    x = F.col("B_M")
+    aggs = [F.count(x).alias("n")]
+    for i, v in enumerate(values):
+        aggs += [F.count(F.when(x < v, 1)).alias(f"below{i}"), F.count(F.when(x <= v, 1)).alias(f"upto{i}")]
+    rows = [F.struct(F.lit(p).alias("p"), ((F.col(f"below{i}") <= (p + 0.01) * F.col("n") + 1)
+                                           & (F.col(f"upto{i}") >= (p - 0.01) * F.col("n") - 1)).alias("within"))
+            for i, p in enumerate(QUANTILE_PROBS)]
+    return mass.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.p", "r.within")
+
+
 def q_exact_quantile(spark, sf_dir):
     li = C.table(spark, sf_dir, "lineitem")
     values = S.exact_quantiles(li, "l_extendedprice", QUANTILE_PROBS)
@@ -253,6 +280,11 @@ def q_sort_take(spark, sf_dir):
     return frame.take_frame(_selected_mass(spark, sf_dir), 20, F.col("B_M").desc(), *KEYS)
 
 
+def q_sort_all(spark, sf_dir):
+    """Every selected mass in order."""
+    return frame.sort(_selected_mass(spark, sf_dir), F.col("B_M").desc(), *KEYS)
+
+
 def q_first_row(spark, sf_dir):
     return frame.take_frame(_selected_mass(spark, sf_dir), 1, *KEYS, "B_M")
 
@@ -261,6 +293,20 @@ def q_sample(spark, sf_dir):
     return frame.sample(_selected_mass(spark, sf_dir), 0.1, seed=7)
 
 
+def q_sample_properties(spark, sf_dir):
+    """Whether a sample holds rows of its source only, whether the same seed gives the same
+    rows, and whether its size lies within five standard deviations of the expected one."""
+    mass, fraction = _selected_mass(spark, sf_dir), 0.1
+    one, two = (frame.sample(mass, fraction, seed=7) for _ in range(2))
+    tagged = (mass.withColumn("part", F.lit("source")).unionByName(one.withColumn("part", F.lit("one")))
+              .unionByName(two.withColumn("part", F.lit("two"))))
+    rows = tagged.groupBy(*KEYS, "B_M").agg(*[F.count(F.when(F.col("part") == t, 1)).alias(t) for t in ("source", "one", "two")])
+    n, size = F.sum("source"), F.sum("one")
+    return rows.agg(F.bool_and(F.col("one") <= F.col("source")).alias("subset"),
+                    F.bool_and(F.col("one") == F.col("two")).alias("same_seed_same_rows"),
+                    (F.abs(size - n * fraction) <= 5 * F.sqrt(n * fraction * (1 - fraction))).alias("size_as_expected"))
+
+
 # ---- step 6: sources and sinks ----------------------------------------------
 
 KEYED_SCHEMA = ("l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, "
@@ -387,10 +433,13 @@ QUERIES: Q = {
     "row_count": q_row_count,
     "min_max": q_min_max,
     "describe": q_describe,
+    "describe_strings": q_describe_strings,
     "summary": q_summary,
+    "summary_strings": q_summary_strings,
     "summary_percentiles": q_summary_percentiles,
     "approx_quantile": q_approx_quantile,
     "approx_quantile_001": q_approx_quantile_001,
+    "approx_quantile_bounds": q_approx_quantile_bounds,
     "exact_quantile": q_exact_quantile,
     "fd_binning": q_fd_binning,
     "bin_edges": q_bin_edges,
@@ -402,8 +451,10 @@ QUERIES: Q = {
     "column_histogram": q_column_histogram,
     "column_histograms": q_column_histograms,
     "sort_take": q_sort_take,
+    "sort_all": q_sort_all,
     "first_row": q_first_row,
     "sample": q_sample,
+    "sample_properties": q_sample_properties,
     "csv_scan": q_csv_scan,
     "json_roundtrip": q_json_roundtrip,
     "parquet_multi_path": q_parquet_multi_path,

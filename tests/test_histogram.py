@@ -125,3 +125,12 @@ def test_histogram_bins_finite_values_only(spark):
     assert sum(r.n for r in rows) == 500
     multi = H.column_histograms(df, ["x"]).collect()
     assert sorted(tuple(r)[1:] for r in multi) == sorted(map(tuple, rows))
+
+
+def test_width_below_resolution_is_a_clear_error(spark):
+    values = [1e-15 * i for i in range(998)] + [1e10, 2e10]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    with pytest.raises(ValueError, match="resolution"):
+        H.histogram_fd(df, "x")
+    with pytest.raises(ValueError, match="resolution"):
+        H.column_histograms(df, ["x"])

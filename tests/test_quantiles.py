@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -111,3 +112,19 @@ def test_bucket_budget():
     for parts, intervals in [(32, 2), (32_000, 2), (32_000, 22)]:
         b = S._choose_buckets(parts, intervals)
         assert b == 256 or parts * intervals * b <= S.SHUFFLE_ROW_BUDGET
+
+
+@pytest.mark.parametrize("shape", ["uniform", "lognormal", "wide", "signed"])
+def test_passes_do_not_follow_the_dynamic_range(spark, monkeypatch, shape):
+    rng = np.random.default_rng(3)
+    x = {"uniform": lambda: rng.random(200_000), "lognormal": lambda: rng.lognormal(0, 10, 200_000),
+         "wide": lambda: 10.0 ** rng.uniform(-300, 300, 200_000),
+         "signed": lambda: 10.0 ** rng.uniform(-300, 300, 200_000) * rng.choice([-1, 1], 200_000)}[shape]()
+    passes = []
+    real = S.bucket_pass
+    monkeypatch.setattr(S, "bucket_pass", lambda *a: passes.append(1) or real(*a))
+    df = spark.createDataFrame(pd.DataFrame({"v": x}))
+    got = S.exact_quantiles(df, "v", [0.25, 0.5, 0.75], fetch_limit=4096)
+    order = np.sort(x)
+    assert got == [order[int(np.ceil(p * len(x))) - 1] for p in (0.25, 0.5, 0.75)]
+    assert len(passes) <= 4
