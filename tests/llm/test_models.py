@@ -97,21 +97,32 @@ def brute_scores(rows):
     count = Counter(w for ws, ok in zip(words, learn) if ok for w in ws)
     pairs = Counter(p for ws, ok in zip(words, learn) if ok for p in zip([None, *ws], ws))
     n, v = sum(count.values()), len(count)
-    gain, taken = Counter(), Counter()
+    def bits(word):  # contexts that share their bits share a state
+        if word is None:
+            return int(S._END_HASH) >> 64 - S.CONTEXT_BITS
+        return int(S._context(next(S.word_hashes([word.decode()], "nonspace"))[1])[0])
+
+    state = {w: bits(w) for w in {w for ws in words for w in ws}}
+    seen, gain, taken, follows = Counter(), Counter(), Counter(), Counter()
+    for w, c in count.items():
+        seen[state[w]] += c
     for (a, b), c in pairs.items():
+        follows[state[a], b] += c
+    for (a, b), c in follows.items():
         if c > 1:
             taken[a] += c - 1
-            gain[a] += c * math.log(c / count[a] * n / count[b])
+            gain[a] += c * math.log(c / seen[a] * n / count[b])
     out = []
     for (i, _), text, ws in zip(rows, texts, words):
         score = 0.0
         for a, b, spelled in zip([None, *ws], ws, tree.spelled([text])):
             p = (count[b] + v * 10.0 ** spelled) / (n + v)
             root = math.log10(p) if count[b] else math.log10(v) + spelled - math.log10(n + v)
-            if gain[a] > S.DIVERGENCE:
-                left = count[a] - taken[a]
-                again = max(pairs[a, b] - 1, 0)
-                score += math.log10((again + left * p) / count[a]) if again else root + math.log10(left / count[a])
+            known, a = count[a] > 0, state[a]
+            if known and gain[a] > S.DIVERGENCE:
+                left = seen[a] - taken[a]
+                again = max(follows[a, b] - 1, 0)
+                score += math.log10((again + left * p) / seen[a]) if again else root + math.log10(left / seen[a])
             else:
                 score += root
         out.append((repr(i), round(score, 2)))
