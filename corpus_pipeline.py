@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from mesonlab.llm.common import table, written
 from mesonlab.llm.decontaminate import decontaminate
-from mesonlab.llm.lines import dedup_lines
+from mesonlab.llm.lines import PASSAGE_WORDS, dedup_lines
 from mesonlab.llm.minhash import near_duplicates
 from mesonlab.llm.packing import pack_documents
 from mesonlab.llm.quality import THRESHOLD, learned_keys, score_documents, train
@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later repeated runs of lines; one that held nothing else goes."""
-    clean = dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\s]"))
+    """Documents without later repeated runs of lines and passages; one that held nothing else goes."""
+    clean = dedup_lines(docs, passage_words=PASSAGE_WORDS).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\s]"))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

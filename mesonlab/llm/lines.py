@@ -1,7 +1,10 @@
 """Line dedup by winnowing: one line of every window of lines, the minimum in the
 order of (longest, smallest hash), is a fingerprint, so two texts that share a run of MIN_WORDS words in whole lines share
 one; where a fingerprint repeats, matches are extended both ways, window by window,
-and all but the first occurrence of a repeated run are deleted."""
+and all but the first occurrence of a repeated run are deleted. Passages that aren't cut at
+line ends are found in the same way over words: the minimum of every window of
+SHINGLE_WORDS-grams is a fingerprint, and every window of the passage's length whose
+fingerprint repeats is looked up."""
 
 from __future__ import annotations
 
@@ -14,12 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mesonlab.llm.common import mix, table, word_hashes, written
+from mesonlab.llm.common import mix, table, window_hashes, word_hashes, written
 
 #: Words that a repeated run has at least.
 MIN_WORDS = 25
-#: Keys of texts that may be broadcast (16 bytes each); more are joined.
-BROADCAST_KEYS = 250_000
+#: Words that a repeated passage has at least, wherever its lines end; and those of the
+#: grams that its fingerprints are taken from.
+PASSAGE_WORDS, SHINGLE_WORDS = 50, 16
+#: Keys of texts that may be broadcast (16 bytes each), and fingerprints with them (8
+#: bytes each); more are joined.
+BROADCAST_KEYS, BROADCAST_PRINTS = 250_000, 2_000_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _WEIGHT = np.random.default_rng(5).integers(1, 1 << 63, 1 << 12, dtype=np.uint64) | np.uint64(1)
 
@@ -36,6 +43,12 @@ def lines(text: str | None) -> list[str]:
 def line_hashes(texts) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first text, hashes and word counts of lines, line offsets of the texts) for groups
     of texts. White space and the case of A-Z don't count."""
+    for first, _, _, hashes, size, offsets in _hashed(texts):
+        yield first, hashes, size, offsets
+
+
+def _hashed(texts) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """As line_hashes, with the words' hashes and offsets after the first text."""
     ends: list[np.ndarray] = []
     for first, hashes, offsets in word_hashes(texts, "nonspace", ends):
         last = np.concatenate(ends)
@@ -45,7 +58,7 @@ def line_hashes(texts) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray
         size = np.diff(np.append(start, len(hashes)))
         place = np.arange(len(hashes)) - np.repeat(start, size)
         spread = hashes * _WEIGHT[place % len(_WEIGHT)] * (np.uint64(2) * (place // len(_WEIGHT)).astype(np.uint64) + np.uint64(1))
-        yield first, mix(np.add.reduceat(spread, start) if len(start) else spread), size, np.searchsorted(start, offsets)
+        yield first, hashes, offsets, mix(np.add.reduceat(spread, start) if len(start) else spread), size, np.searchsorted(start, offsets)
 
 
 def windows(words: np.ndarray, offsets: np.ndarray, min_words: int) -> np.ndarray:
@@ -61,14 +74,36 @@ def windows(words: np.ndarray, offsets: np.ndarray, min_words: int) -> np.ndarra
     return np.stack([code >> 32, code & 0xFFFFFFFF], 1)
 
 
+def _lowest(h: np.ndarray, window: int) -> np.ndarray:
+    """Position of the (first) smallest value of every ``window`` consecutive ones."""
+    at, span = np.arange(len(h)), 1
+    if len(h) < window:
+        return at[:0]
+    while span < window:
+        step = min(span, window - span)
+        a, b = at[:-step], at[step:]
+        at = np.where(h[b] < h[a], b, a)
+        span += step
+    return at
+
+
+def _passages(hashes: np.ndarray, passage: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the grams that fingerprints are taken from, and the position of the
+    fingerprint of each window of ``passage`` words."""
+    size = min(SHINGLE_WORDS, passage)
+    grams = window_hashes(hashes, size)
+    return grams, _lowest(grams, passage - size + 1)
+
+
 def _keys(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id"), F.col("text"), F.xxhash64(F.col("doc_id").cast("string")).alias("k1"), F.xxhash64("text").alias("k2"))
 
 
-def _fingerprints(keyed: DataFrame, min_words: int) -> DataFrame:
+def _fingerprints(keyed: DataFrame, min_words: int, passage: int | None) -> DataFrame:
+    """(fp, line, k1, k2): fingerprints of lines and, if asked for, of passages."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, hashes, words, offsets in line_hashes(x.as_py() for x in batch.column(0)):
+            for first, single, ends, hashes, words, offsets in _hashed(x.as_py() for x in batch.column(0)):
                 runs = windows(words, offsets, min_words)
                 best, at = runs[:, 0].copy(), runs[:, 0].copy()
                 going = np.flatnonzero(at < runs[:, 1])
@@ -79,41 +114,66 @@ def _fingerprints(keyed: DataFrame, min_words: int) -> DataFrame:
                     best[going] = np.where(better, new, old)
                     going = going[at[going] < runs[going, 1]]
                 best = np.unique(best)
-                row = pa.array(first + np.searchsorted(offsets, best, side="right") - 1)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[best].view(np.int64)), batch.column(1).take(row), batch.column(2).take(row)], ["fp", "k1", "k2"])
-    return keyed.select("text", "k1", "k2").mapInArrow(rows, "fp long, k1 long, k2 long")
-
-
-def _runs(keyed: DataFrame, min_words: int) -> DataFrame:
+                found = [(True, hashes[best], np.searchsorted(offsets, best, side="right") - 1)]
+                if passage:
+                    grams, low = _passages(single, passage)
+                    text = np.searchsorted(ends, np.arange(len(low)), side="right") - 1
+                    low = np.unique(low[np.arange(len(low)) + passage <= ends[text + 1]])  # windows inside a text
+                    found.append((False, grams[low], np.searchsorted(ends, low, side="right") - 1))
+                for line, prints, text in found:
+                    row = pa.array(first + text)
+                    yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array(np.full(len(prints), line)), batch.column(1).take(row), batch.column(2).take(row)],
+                                                     ["fp", "line", "k1", "k2"])
+    return keyed.select("text", "k1", "k2").mapInArrow(rows, "fp long, line boolean, k1 long, k2 long")
+
+
+def _runs(keyed: DataFrame, min_words: int, passage: int | None) -> DataFrame:
+    """(run, doc_id, k2, s, e): the shortest runs of lines s to e, of texts with repeated
+    lines; of the others and of these, the passages with a repeated fingerprint, as
+    words s up to -e."""
     kind = keyed.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, hashes, words, offsets in line_hashes(x.as_py() for x in batch.column(1)):
+            has = np.array(batch.column(3).to_pylist(), bool)
+            for first, single, ends, hashes, words, offsets in _hashed(x.as_py() for x in batch.column(1)):
                 runs = windows(words, offsets, min_words)
                 text = np.searchsorted(offsets, runs[:, 0], side="right") - 1
+                runs, text = runs[has[first + text]], text[has[first + text]]
                 run, at = np.zeros(len(runs), np.uint64), runs[:, 0].copy()
                 going = np.arange(len(runs))
                 while len(going):
                     run[going] = mix(run[going] + hashes[at[going]])
                     at[going] += 1
                     going = going[at[going] <= runs[going, 1]]
-                row = pa.array(first + text)
                 inside = (runs - offsets[text][:, None]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), *[batch.column(k).take(row) for k in (0, 2)], pa.array(inside[:, 0]), pa.array(inside[:, 1])],
+                found = [(run, text, inside[:, 0], inside[:, 1])]
+                for k in range(len(ends) - 1 if passage else 0):
+                    own, prints = single[ends[k]:ends[k + 1]], batch.column(4)[first + k]
+                    if len(own) < passage or not len(prints):
+                        continue
+                    grams, low = _passages(own, passage)
+                    s = np.flatnonzero(np.isin(grams[low].view(np.int64), prints.values.to_numpy()))
+                    found.append((mix(window_hashes(own, passage)[s] + np.uint64(passage)), np.full(len(s), k), s.astype(np.int32), -(s + passage).astype(np.int32)))
+                run, text, s, e = (np.concatenate([f[c] for f in found]) for c in range(4))
+                row = pa.array(first + text)
+                yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), *[batch.column(k).take(row) for k in (0, 2)], pa.array(s), pa.array(e)],
                                                  ["run", "doc_id", "k2", "s", "e"])
-    return keyed.select("doc_id", "text", "k2").mapInArrow(rows, f"run long, doc_id {kind}, k2 long, s int, e int")
+    return keyed.select("doc_id", "text", "k2", "line", "prints").mapInArrow(rows, f"run long, doc_id {kind}, k2 long, s int, e int")
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, passage_words: int | None = None) -> DataFrame:
     """(k1, k2, runs): by document, the (first, last) line numbers of runs that occur
-    earlier, in the order of doc_id, text hash and line."""
+    earlier, in the order of doc_id, text hash and line; with ``passage_words``, also
+    (first, -end) word numbers of the windows of so many words that occur earlier."""
     keyed = _keys(docs)
-    prints = written(_fingerprints(keyed, min_words), "fingerprints")
-    again = prints.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
-    keys = written(prints.join(again, "fp", "left_semi").select("k1", "k2").distinct(), "line-keys")
-    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-    runs = written(_runs(keyed.join(keys, ["k1", "k2"], "left_semi"), min_words), "runs")
+    prints = written(_fingerprints(keyed, min_words, passage_words), "fingerprints")
+    again = prints.groupBy("fp", "line").agg(F.count("*").alias("n")).where("n > 1").select("fp", "line")
+    keys = prints.join(again, ["fp", "line"], "left_semi").groupBy("k1", "k2").agg(F.max("line").alias("line"), F.collect_set(F.when(~F.col("line"), F.col("fp"))).alias("prints"))
+    keys = written(keys, "line-keys")
+    n, held = keys.agg(F.count("*"), F.coalesce(F.sum(F.size("prints")), F.lit(0))).first()
+    keys = F.broadcast(keys) if n <= BROADCAST_KEYS and held <= BROADCAST_PRINTS else keys
+    runs = written(_runs(keyed.join(keys, ["k1", "k2"]), min_words, passage_words), "runs")
     place = F.struct("doc_id", "k2", "s")
     # written, so that a run which occurs everywhere may be split in the join
     first = written(runs.groupBy("run").agg(F.min(place).alias("at"), F.count("*").alias("n")).where("n > 1").select("run", "at"), "first-runs")
@@ -123,40 +183,47 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def _cleaned(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
-    """The texts that have runs without them."""
+    """The texts that have runs without them, the lines that lost words, and the words."""
     out = []
     for text, own in zip(texts, runs):
         if own is None or text is None:
             out.append((None, 0, 0))
             continue
-        parts = lines(text)
-        gone = np.zeros(len(parts) + 1, np.int64)
+        start = np.array([m.start() for m in _WORD.finditer(text)] + [len(text)])
+        start[0] = 0
+        line = np.concatenate(([0], np.cumsum([len(_WORD.findall(p)) for p in lines(text)])))  # first word of each
+        gone = np.zeros(len(start), np.int64)
         for r in own:
-            gone[r["s"]] += 1
-            gone[r["e"] + 1] -= 1
+            s, e = (r["s"], -r["e"]) if r["e"] < 0 else (line[r["s"]], line[r["e"] + 1])
+            gone[s] += 1
+            gone[e] -= 1
         drop = np.cumsum(gone)[:-1] > 0
-        out.append(("".join(p for p, d in zip(parts, drop) if not d), int(drop.sum()), sum(len(_WORD.findall(p)) for p, d in zip(parts, drop) if d)))
+        edge = np.flatnonzero(np.diff(drop, prepend=True, append=True))  # kept words from each even one to the next
+        kept = "".join(text[start[a]:start[b]] for a, b in zip(edge[::2], edge[1::2]))
+        out.append((kept, int(np.logical_or.reduceat(drop, line[:-1]).sum()), int(drop.sum())))
     return pd.DataFrame(out, columns=["text", "n_removed", "words_removed"])
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, passage_words: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text, any other columns) with the cleaned ``text`` and with
-    ``n_removed`` (lines) and ``words_removed``.
+    ``n_removed`` (lines that lost words) and ``words_removed``.
 
     Of every run of whole lines with at least ``min_words`` words that occurs again,
-    in any document or the same one, the first occurrence stays. Null and empty texts
+    in any document or the same one, the first occurrence stays; with ``passage_words``,
+    so does that of every passage of at least so many words, word by word, wherever its
+    lines end. Null and empty texts
     stay as they are. Rows that repeat both id and text count as one document and
     keep the same lines; null ids come first. Columns with the new names are replaced."""
     new = ("n_removed", "words_removed")
     names = [c for c in docs.columns if c not in new]
     one = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "doc_id", "text")
     keyed = one.withColumn("k1", F.xxhash64(F.col("doc_id").cast("string"))).withColumn("k2", F.xxhash64("text"))
-    out = keyed.join(repeated_runs(one, min_words), ["k1", "k2"], "left")
+    out = keyed.join(repeated_runs(one, min_words, passage_words), ["k1", "k2"], "left")
     out = out.withColumn("__new", F.pandas_udf(_cleaned, "text string, n_removed long, words_removed long")(F.when(F.col("runs").isNotNull(), F.col("text")), "runs"))
     return out.select(*[F.coalesce("__new.text", "text").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in names], *[F.col(f"__new.{c}") for c in new])
 
 
 def op6_lines(spark, sf_dir: str) -> DataFrame:
-    """All ``documents`` with later repeated runs of lines deleted."""
-    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """All ``documents`` with later repeated runs of lines, and later repeated passages, deleted."""
+    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), passage_words=PASSAGE_WORDS)
     return out.select("doc_id", "n_removed", "words_removed", "text")

@@ -156,6 +156,41 @@ def test_lines_on_documents(spark):
     assert got == brute_lines(rows, key)
 
 
+def without_passages(rows, size):
+    """Words and all of each text, without the windows of ``size`` words that occur earlier."""
+    seen, out = {}, {}
+    for i, t in rows:
+        words = [m.start() for m in re.finditer(r"\S+", t)]
+        low = t.lower().split()
+        gone = np.zeros(len(low), bool)
+        for s in range(len(low) - size + 1):
+            if seen.setdefault(tuple(low[s:s + size]), (i, s)) != (i, s):
+                gone[s:s + size] = True
+        ends = [0, *words[1:], len(t)]
+        out[i] = "".join(t[a:b] for a, b, g in zip(ends, ends[1:], gone) if not g) if gone.any() else t
+    return out
+
+
+def test_passages_across_line_ends(spark, tmp_path):
+    rng = random.Random(9)
+    made = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    long, cut = made(70), made(90)
+    cut[20] += "."
+    cut[31] += "."
+    rows = [(1, " ".join([*made(30), *long, *made(30)])), (2, " ".join([*made(10), *long, *made(15)])), (3, " ".join(["Before", *cut, "after."])), (4, " ".join([*made(9), *cut, *made(9)])),
+            (5, " ".join([*made(12), *long[:49], *made(12)])), (6, " ".join([*made(5), *cut[25:75], *made(3), *long[5:60], "end"])), (7, " ".join(long + long))]
+    got = {r.doc_id: r for r in L.op6_lines(spark, saved(spark, tmp_path, documents=frame(spark, rows))).collect()}
+    assert {i: r.text for i, r in got.items()} == without_passages(rows, 50)
+    assert [got[i].words_removed for i in range(1, 8)] == [0, 70, 0, 90, 0, 105, 140]
+    assert got[1].n_removed == 0 and got[2].n_removed == 1
+
+
+def test_lowest():
+    h = np.random.default_rng(1).integers(0, 9, 60, dtype=np.uint64)
+    for window in (1, 2, 3, 35, 60, 61):
+        assert L._lowest(h, window).tolist() == [s + int(h[s:s + window].argmin()) for s in range(60 - window + 1)]
+
+
 def test_lines_odd_rows(spark):
     df = frame(spark, [*EDGE, (None, PASSAGE), (None, PASSAGE)]).withColumn("row", F.lit(1)).withColumn("runs", F.lit(2)).withColumn("k1", F.lit(3)).withColumn("n_removed", F.lit(4))
     out = L.dedup_lines(df)
