@@ -139,6 +139,27 @@ def test_lm_scores_equal_brute_force(spark, tmp_path, edge):
     assert np.allclose([x for _, x in have], [x for _, x in want], rtol=1e-5, atol=0.05)
 
 
+def test_lm_contexts_share_no_state(spark, tmp_path, monkeypatch):
+    names = [f"w{i}" for i in range(40_000)]
+    hashes = next(S.word_hashes([" ".join(names)], "nonspace"))[1] >> np.uint64(38)
+    order = np.argsort(hashes, kind="stable")
+    k = int(np.flatnonzero(np.diff(hashes[order]) == 0)[0])
+    a, b = (names[i] for i in order[k:k + 2])  # their hashes agree in 26 bits
+    rows = [(i, f"{a} red {a} red {b} blue filler{i} {b} green") for i in range(60)]
+    got = S.op7_lm_score(spark, saved(spark, tmp_path, documents=frame(spark, rows))).collect()
+    monkeypatch.setattr(S, "CONTEXT_BITS", 64)
+    want = brute_scores(rows)
+    have = sorted((repr(r.doc_id), r.score) for r in got)
+    assert [i for i, _ in have] == [i for i, _ in want]
+    assert np.allclose([x for _, x in have], [x for _, x in want], rtol=0, atol=0.02)
+
+
+def test_lm_pair_keys_give_the_context():
+    rng = np.random.default_rng(2)
+    before, token = rng.integers(0, 1 << 64, (2, 1000), dtype=np.uint64)
+    assert (S._before(S._pair(before, token), token) == before).all()
+
+
 def test_lm_beats_unigrams_on_held_out_texts(spark):
     got = S.op7_lm_score(spark, "/root/testdata/sf0.1").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
