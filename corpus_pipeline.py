@@ -15,8 +15,10 @@ from mesonlab.llm.quality import THRESHOLD, learned_keys, score_documents, train
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier doesn't reject."""
+    """Documents that the quality classifier doesn't reject; all if there is nothing to learn from."""
     model = train(docs, table(spark, sf_dir, "labels"), learned_keys)
+    if isinstance(model, float):
+        return docs
     return score_documents(docs, model, out_col="__score").where(F.col("__score") >= THRESHOLD).select(*docs.columns)
 
 

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -37,6 +38,21 @@ def test_quality_odd_rows(spark, tmp_path):
     assert out.columns == ["doc_id", "text", "kind", "score"]
 
 
+def test_quality_learns_from_labels_alone(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    good = [" ".join(f"word{k}" for k in rng.integers(0, 500, 60)) + "." for _ in range(200)]
+    bad = ["$$$ ### " * int(rng.integers(10, 40)) for _ in range(60)]
+    docs = frame(spark, list(enumerate(good + bad)))
+    marks = [(i, int(i < 200), 0) for i in range(260)]
+    for rows in (marks, [m for m in marks if m[0] % 3] + [(i, 1, 0) for i in range(5000, 5600)]):  # every document has a label; labels of other ids
+        labels = frame(spark, rows, "doc_id long, quality int, toxic int")
+        model = Q.train(docs, labels, Q.learned_keys)
+        assert isinstance(model, Q.Model)
+        assert model.scores(Q.features(good)).mean() > model.scores(Q.features(bad)).mean() + 0.4
+    sf = saved(spark, tmp_path, labels=labels.limit(0))
+    assert corpus_pipeline.quality(spark, docs, sf).count() == 260
+
+
 def test_risk_separates_classes():
     rng = np.random.default_rng(0)
     good, bad = rng.normal(0, 1, (600, Q.N_FEATURES)), rng.normal(2, 1, (200, Q.N_FEATURES))
