@@ -1,7 +1,7 @@
 """Main text of web pages by composite text density: link-adjusted characters per
 tag for every node of the document tree, summed over children; the subtree with
-the largest sum is taken, widened along its body path while the density there
-stays above the path's threshold."""
+the largest sum is taken, widened along its body path, and with it every subtree of
+the body that is as dense as the sparsest node of that path."""
 
 from __future__ import annotations
 
@@ -156,10 +156,12 @@ def _measure(root: Node) -> list[Node]:
     return order
 
 
-def _chosen(order: list[Node]) -> Node:
-    """The node whose children's densities sum highest, then its ancestors up to the
-    last one at least as dense as the sparsest node on the path to the body. If the
-    page marks its main content, the choice is moved to the mark around it or in it."""
+def _chosen(order: list[Node]) -> list[Node]:
+    """In page order, the node whose children's densities sum highest, widened to its
+    last ancestor below the body that isn't mostly links, and the outermost other blocks
+    at least as dense as the sparsest node on its path, the body included. If the page
+    marks its main content, the choice is moved to the mark around it or in it, and the
+    others are the other marks."""
     best = max(order, key=lambda n: (n.total, -n.tags))
     path = []
     node = best
@@ -167,10 +169,10 @@ def _chosen(order: list[Node]) -> Node:
         path.append(node)
         node = node.parent
     threshold = min((n.density for n in [*path, *([node] if node is not None else [])]), default=0.0)
-    for node in path:
-        if node.density >= threshold and node.chars > best.chars and node.link_chars <= 0.5 * node.chars:
-            best = node
-    marked = None
+    for above in path:
+        if above.chars > best.chars and above.link_chars <= 0.5 * above.chars:
+            best = above
+    body, marked = node, None
     node = best
     while node is not None:
         marked = node if node.main else marked
@@ -180,7 +182,17 @@ def _chosen(order: list[Node]) -> Node:
         marked = max(inside, key=lambda n: n.chars, default=None)
         if marked is not None and best.tag not in ("body", "html", "#root") and 2 * marked.chars < best.chars:
             marked = None  # the mark is a small part of a dense subtree: a teaser
-    return marked or best
+    if marked is None and best.tag in ("body", "html", "#root"):
+        return [best]
+    own, out, covered = marked or best, [], set()
+    for node in order:  # parents come before their children
+        if node.parent in covered:
+            covered.add(node)
+        elif node is own or (node.chars and node.density >= threshold and node.link_chars <= 0.5 * node.chars
+                             and (node.main if marked is not None else node.tag in BLOCK and node is not body and _within(node, body)) and not _within(own, node)):
+            covered.add(node)
+            out.append(node)
+    return out
 
 
 def _within(node: Node, top: Node) -> bool:
@@ -213,7 +225,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     order = _measure(parse(page))
-    return "\n".join(_blocks(_chosen(order)))
+    return "\n".join(text for node in _chosen(order) for text in _blocks(node))
 
 
 def extract(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:

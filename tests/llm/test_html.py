@@ -35,6 +35,15 @@ def test_odd_pages(page, text):
     assert H.main_text(page) == text
 
 
+def test_keeps_every_dense_subtree():
+    parts = [[f"Paragraph {k} of part {n} says something that takes a line of text to say." for k in range(5)] for n in range(2)]
+    first, second = ("".join(f"<p>{x}</p>" for x in part) for part in parts)
+    links = "<ul>" + "".join(f'<li><a href="{k}">Some other page of the site {k}</a></li>' for k in range(8)) + "</ul>"
+    text = "\n".join(parts[0] + parts[1])
+    assert H.main_text(f"<body>{links}<div>{first}</div>{links}<div>{second}</div>{links}</body>") == text
+    assert H.main_text(f"<body>{links}<article>{first}</article>{links}<article>{second}</article></body>") == text
+
+
 def test_keeps_rows(spark):
     df = frame(spark, [(1, None), (1, None), (None, "<p>x")], "page_id long, html string").withColumn("text", F.lit(3)).withColumn("n_chars", F.lit(1))
     assert sorted(r.text for r in H.extract(df).collect()) == ["", "", "x"]
