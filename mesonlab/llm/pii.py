@@ -14,6 +14,21 @@ CONTEXT = 40
 MIN_SCORE = 0.7
 
 
+#: Characters of a bank account number by country, as registered.
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+                23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+                29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban() -> str:
+    """A number of a registered country has its length, so no word after it is taken in;
+    others have any length."""
+    known = {n: codes.replace(" ", "|") for n, codes in IBAN_LENGTHS.items()}
+    exact = [rf"(?:{codes})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, codes in known.items()]
+    other = rf"(?!{'|'.join(known.values())})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}+(?:\x20?[A-Z0-9]{{1,3}})?+"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join([*exact, other])})(?![A-Za-z0-9])"
+
+
 @dataclass(frozen=True)
 class Kind:
     """``pattern`` finds the leftmost non-overlapping matches. A match may only
@@ -33,7 +48,7 @@ KINDS = (
     Kind("ip", r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", "[0-9]\\.[0-9]", True, 0.6, r"\bip\b|address|host|server|login"),
     Kind("card", r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++", "[0-9][\\x20-]?[0-9]", True, 0.7, r"card|visa|master|karte|carte|tarjeta|credit"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "\\+[0-9]", True, 0.7, r"phone|tel|call|fax|mobil|whatsapp"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", False, 0.9,
+    Kind("iban", _iban(), "[A-Z]{2}[0-9]{2}", False, 0.9,
          r"iban|account|konto|compte|cuenta|bank"),
     Kind("ssn", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", "[0-9]{3}-[0-9]{2}-", False, 0.4,
          r"\bssn\b|social security|tax id"),

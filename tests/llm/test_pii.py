@@ -57,6 +57,13 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert out == {1: ["iban"], 2: [], 3: ["ssn"], 4: [], 5: ["local_phone"], 6: [], 7: ["iban"]}
 
 
+def test_iban_before_capitals(spark):
+    numbers = ["ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO93 8601 1117 947"]
+    rows = [(i, f"IBAN {n} {tail}") for i, (n, tail) in enumerate((n, t) for n in numbers for t in ("BIC CAIXESBB", "EUR", "A", "2024", "BE68 5390 0754 7034", "ok."))]
+    got = {r.doc_id: [r.text[x.start:x.end] for x in r.pii if x.kind == "iban"] for r in pii.find_pii(frame(spark, rows)).collect()}
+    assert got == {i: [numbers[i // 6], *(["BE68 5390 0754 7034"] if i % 6 == 4 else [])] for i, _ in rows}
+
+
 def test_keeps_rows_and_columns(spark):
     df = frame(spark, EDGE).withColumn("kind", F.lit(1)).withColumn("pii", F.lit("old")).withColumn("s", F.lit(2))
     out = pii.find_pii(df)
