@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,6 +68,7 @@ _ALNUM[48:58] = _ALNUM[65:91] = _ALNUM[97:123] = _ALNUM[128:256] = True
 #: digits and everything beyond ASCII.
 WORD_BYTES = {"nonspace": _NONSPACE, "alnum": _ALNUM}
 BLOCK_BYTES = 1 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]+")
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -113,7 +115,8 @@ def _hash_block(data: bytes, word: np.ndarray, line_ends: list | None = None) ->
 
 
 def _cuts(data: bytes) -> Iterator[bytes]:
-    """A long text in blocks that end at a space."""
+    """A long text in blocks that end in the white space after a word: a line break there
+    is seen with the word before it."""
     at = 0
     while len(data) - at > BLOCK_BYTES:
         cut = data.rfind(b" ", at, at + BLOCK_BYTES)
@@ -121,6 +124,7 @@ def _cuts(data: bytes) -> Iterator[bytes]:
             cut = data.find(b" ", at + BLOCK_BYTES)
             if cut < 0:
                 break
+        cut = _SPACE.match(data, cut).end()
         yield data[at:cut]
         at = cut
     yield data[at:]

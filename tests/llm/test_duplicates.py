@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from mesonlab.llm import common
 from mesonlab.llm import embeddings as E
 from mesonlab.llm import lines as L
 from mesonlab.llm import minhash as M
@@ -198,6 +199,16 @@ def test_lines_odd_rows(spark):
     assert L.dedup_lines(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [4, 9, 17])
+def test_line_hashes_agree_with_lines_over_blocks(monkeypatch, size):
+    monkeypatch.setattr(common, "BLOCK_BYTES", size)
+    rng = random.Random(size)
+    texts = ["word \nnext line \n and \t\n more. Then  \n  ", " \n a", *["".join(rng.choice("ab .\n\té ") for _ in range(80)) for _ in range(60)]]
+    for first, hashes, words, offsets in L.line_hashes(texts):
+        for k in range(len(offsets) - 1):
+            assert [len(p.split()) for p in L.lines(texts[first + k])] == words[offsets[k]:offsets[k + 1]].tolist()
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.text(alphabet="ab .!?\n\té", max_size=40), min_size=1, max_size=6))
 def test_line_hashes_agree_with_lines(texts):
