@@ -77,6 +77,15 @@ def test_language_odd_rows(spark, tmp_path):
     assert L.op10_language(spark, sf).count() == 0
 
 
+def test_language_with_few_rows_is_learned(spark):
+    rng = np.random.default_rng(8)
+    def text(letters):
+        return " ".join("".join(rng.choice(list(letters), 5)) for _ in range(20))
+    rows = [(i, text("abcdefgh"), "aa") for i in range(1500)] + [(5000 + i, text("qrstuvwx"), "qq") for i in range(6)]
+    model = L.train(frame(spark, rows, "doc_id long, text string, lang string"), sample_rows=30)
+    assert model.langs == ["aa", "qq"] and model.predict(text("qrstuvwx"))[0] == "qq" and model.predict(text("abcdefgh"))[0] == "aa"
+
+
 def test_ngrams_cover_slices(monkeypatch):
     text = "abcdefghij ß漢字 " * 50
     whole = L.ngram_counts(text)
