@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from mesonlab.llm.common import table, written
 from mesonlab.llm.components import components
@@ -41,6 +42,7 @@ def _moments(classes: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _unit(lists: pa.Array, dim: int) -> np.ndarray:
     x = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    x = x / np.ldexp(1.0, np.frexp(np.abs(x).max(1, keepdims=True, initial=0))[1] - 1)  # a power of 2: squares neither overflow nor vanish
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
@@ -121,9 +123,10 @@ def _linked(classes: DataFrame, dim: int, cosine: float) -> DataFrame:
             y = (_unit(batch.column(2), dim) - mean) @ axes[:, :lead]
             cells = np.floor(y / eps).astype(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(cells), pa.list_(pa.int64())), pa.array(y[:, 0])], ["rep", "many", "v", "cells", "y0"])
+    kind = classes.schema["v"].dataType.simpleString()
     n = classes.count()
     parts = max(-(-n // (4 * INTERVAL)), 1)
-    located_ = classes.select("rep", "many", "v").mapInArrow(located, "rep long, many long, v array<float>, cells array<long>, y0 double")
+    located_ = classes.select("rep", "many", "v").mapInArrow(located, f"rep long, many long, v {kind}, cells array<long>, y0 double")
 
     def intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = 0
@@ -133,7 +136,7 @@ def _linked(classes: DataFrame, dim: int, cosine: float) -> DataFrame:
             part = batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array((part << 32) | (at // INTERVAL)), pa.array(at)], ["rep", "many", "v", "block", "at"])
     ordered = located_.repartitionByRange(parts, "cells", "y0", "rep").sortWithinPartitions("cells", "y0", "rep")
-    ordered = written(ordered.select("rep", "many", "v", F.spark_partition_id().alias("part")).mapInArrow(intervals, "rep long, many long, v array<float>, block long, at long"), "intervals")
+    ordered = written(ordered.select("rep", "many", "v", F.spark_partition_id().alias("part")).mapInArrow(intervals, f"rep long, many long, v {kind}, block long, at long"), "intervals")
 
     def boxes(group: pa.Table) -> pa.Table:
         y = (_unit(group["v"].combine_chunks(), dim) - mean) @ axes
@@ -159,8 +162,10 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_
     two intervals and returns a sum of links and a smallest neighbour per vector,
     never its pairs. Every link is found. Vectors that are null, zero or hold null or
     non-finite components link with nothing, nor do vectors of different lengths; a
-    null id takes no part (component_id null, kept true). Rows are kept as they are."""
-    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<float>").alias("v"))
+    null id takes no part (component_id null, kept true). Rows are kept as they are.
+    Arrays of floats are compared as they come, of any other numbers as doubles."""
+    kind = "float" if isinstance(vectors.select(F.col(f"`{vector_col}`")).schema[0].dataType.elementType, FloatType) else "double"
+    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast(f"array<{kind}>").alias("v"))
     usable = (F.col("v").isNotNull() & F.col("vec_id").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
               & F.exists("v", lambda x: x != 0))
     rows = written(rows.withColumn("ok", F.coalesce(usable, F.lit(False))).withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64(F.lit(1), F.reverse("v"))), "vectors")

@@ -117,6 +117,13 @@ def test_vectors(spark, tmp_path, monkeypatch):
     assert E.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_doubles(spark):
+    tilt = lambda c: [c, float(np.sqrt(1 - c * c))]
+    rows = [(1, [1.0, 0.0]), (2, tilt(0.9 - 2e-9)), (3, [-1e200, 0.0]), (4, [-2e200, 1e190]), (5, [0.0, -1e-200]), (6, [0.0, -3e-200])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.near_vectors(frame(spark, rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (0, 1), 2: (0, 2), 3: (1, 3), 4: (1, 3), 5: (1, 5), 6: (1, 5)}
+
+
 PASSAGE = "This passage has quite a few words in it. It is long enough to be found in every text that holds it, whatever stands around it here."
 
 
