@@ -160,6 +160,22 @@ def word_hashes(texts, words: str, line_ends: list | None = None) -> Iterator[tu
         yield (first, *flush())
 
 
+def word_places(data: bytes, words: str, starts: bool = False) -> tuple[np.ndarray, ...]:
+    """Of each word of one block: its hash, its first byte's place if asked for, its length,
+    and its first and last eight bytes as numbers (A-Z as lower case; of a shorter word
+    all of them)."""
+    hashes, start = _hash_block(data, WORD_BYTES[words])
+    raw = _LOWERED[np.frombuffer(data, np.uint8)]
+    end = np.flatnonzero(np.diff(WORD_BYTES[words][raw].astype(np.int8), append=0) == -1) + 1
+    size = end - start
+    padded = np.concatenate((np.zeros(8, np.uint8), raw, np.zeros(8, np.uint8)))
+    eight = np.lib.stride_tricks.as_strided(padded, (len(raw) + 9, 8), (1, 1))
+    short = np.uint64(8) * (np.uint64(8) - np.minimum(size, 8).astype(np.uint64))
+    ahead = np.ascontiguousarray(eight[start + 8]).view("<u8").ravel() << (short % np.uint64(64))
+    back = np.ascontiguousarray(eight[end]).view("<u8").ravel() >> (short % np.uint64(64))
+    return (hashes, *([start] if starts else []), size, ahead, back)
+
+
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` consecutive word hashes."""
     n = max(len(hashes) - size + 1, 0)
