@@ -3,6 +3,7 @@ SQL can express."""
 
 from __future__ import annotations
 
+from mesonlab.llm.alignment import op12_alignment
 from mesonlab.llm.decontaminate import ORACLE_OP2, op2_decontamination
 from mesonlab.llm.embeddings import op8_embeddings
 from mesonlab.llm.html import op9_html
@@ -18,5 +19,5 @@ from mesonlab.llm.suffixtree import op7_lm_score
 QUERIES = {"op1_pii": op1_pii, "op2_decontamination": op2_decontamination, "op3_packing": op3_packing, "op4_near_duplicates": op4_near_duplicates,
            "op5_quality": op5_quality, "op6_lines": op6_lines, "op7_lm_score": op7_lm_score,
            "op8_embeddings": op8_embeddings, "op9_html": op9_html, "op10_language": op10_language,
-           "op13_lexical_search": op13_lexical_search}
+           "op12_alignment": op12_alignment, "op13_lexical_search": op13_lexical_search}
 ORACLE_SQL = {"op2_decontamination": ORACLE_OP2, "op13_lexical_search": ORACLE_OP13}
