@@ -11,6 +11,7 @@ from mesonlab.llm.language import op10_language
 from mesonlab.llm.lexical import ORACLE_OP13, op13_lexical_search
 from mesonlab.llm.lines import op6_lines
 from mesonlab.llm.minhash import op4_near_duplicates
+from mesonlab.llm.neighbours import op11_neighbours
 from mesonlab.llm.packing import op3_packing
 from mesonlab.llm.pii import op1_pii
 from mesonlab.llm.quality import op5_quality
@@ -19,5 +20,5 @@ from mesonlab.llm.suffixtree import op7_lm_score
 QUERIES = {"op1_pii": op1_pii, "op2_decontamination": op2_decontamination, "op3_packing": op3_packing, "op4_near_duplicates": op4_near_duplicates,
            "op5_quality": op5_quality, "op6_lines": op6_lines, "op7_lm_score": op7_lm_score,
            "op8_embeddings": op8_embeddings, "op9_html": op9_html, "op10_language": op10_language,
-           "op12_alignment": op12_alignment, "op13_lexical_search": op13_lexical_search}
+           "op11_neighbours": op11_neighbours, "op12_alignment": op12_alignment, "op13_lexical_search": op13_lexical_search}
 ORACLE_SQL = {"op2_decontamination": ORACLE_OP2, "op13_lexical_search": ORACLE_OP13}
