@@ -21,11 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mesonlab.functions.kinematics import KAON_MASS_MEV
+from mesonlab.operators.edges import Edges, bin_values
 from mesonlab.session import ship_package
 
-# Fixed value: the out-of-range bin sentinel (Java Double.MAX_VALUE).
-SENTINEL = np.finfo(np.float64).max
-
 
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
@@ -37,23 +35,12 @@ def column_udf(fn: Callable[..., pd.Series], return_type: str = "double"):
     return F.pandas_udf(fn, return_type)
 
 
-def histogram_bin_values(edges: Sequence[float], x: pd.Series) -> pd.Series:
-    """Fixed-edge bin of each value (nulls are handled by the caller)."""
-    e = np.asarray(edges, dtype=np.float64)
-    v = x.to_numpy(dtype=np.float64)
-    k = np.searchsorted(e, v, side="right") - 1
-    out = e[np.clip(k, 0, len(e) - 1)]
-    out = np.where((v < e[0]) | (v >= e[-1]), SENTINEL, out)
-    out = np.where(np.isnan(v), e[-1], out)
-    return pd.Series(out)
-
-
-def histogram_bin_udf(edges: Sequence[float]):
-    """The bin assignment as a user function of one column; null stays null."""
-    edges = [float(e) for e in edges]
-    if not edges:
-        raise ValueError("at least one edge is required")
-    fn = column_udf(lambda x: histogram_bin_values(edges, x), "double")
+def histogram_bin_udf(edges: Edges | Sequence[float]):
+    """The bin assignment as a user function of one column; null stays null. The runs of
+    the edges are broadcast once, not sent with every task."""
+    arrays = Edges.of(edges).arrays()
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(arrays)
+    fn = column_udf(lambda x: pd.Series(bin_values(shared.value, x.to_numpy(dtype=np.float64))), "double")
     return lambda col: F.when(col.isNull(), F.lit(None).cast("double")).otherwise(fn(col))
 
 

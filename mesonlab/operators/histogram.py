@@ -24,31 +24,21 @@ valid row; an empty input gives no bins.
 from __future__ import annotations
 
 import math
-import sys
 from dataclasses import dataclass, asdict
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from mesonlab.operators.edges import SENTINEL, Edges  # noqa: F401
 from mesonlab.session import checkpoint_root
 from mesonlab.operators.stats import (
     KeptValues, exact_quantiles, finite, percentile_approx_column,
     select_quantiles, sql_double,
 )
 
-# Fixed value: the out-of-range sentinel bin (Java Double.MAX_VALUE).
-SENTINEL = sys.float_info.max
 # Fixed value: the reference's quantile relative error.
 REFERENCE_RELATIVE_ERROR = 0.01
 
-# Edge tables larger than this are not broadcast (checked, see assign_bins).
-BROADCAST_EDGE_LIMIT = 1 << 20
-# Refuse to materialise absurd edge lists (IQR tiny against the range);
-# histogram_fd needs no edge list and handles any bin count.
-MAX_EDGES = 1 << 22
-
 
 @dataclass(frozen=True)
 class Binning:
@@ -120,80 +110,27 @@ def fd_binning(df: DataFrame, column: str, quantiles: str = "exact",
         return _binning_of_values(kept, quantiles, relative_error)
 
 
-def bin_edges(b: Binning) -> list[float]:
-    """Accumulated edges: min, min+w, (min+w)+w, ... while below max."""
+def bin_edges(b: Binning) -> Edges:
+    """Accumulated edges: min, min+w, (min+w)+w, ... while below max; as runs, however many."""
     if b.n_valid == 0:
-        return []
+        return Edges([])
     if b.degenerate:
-        return [b.min]
-    expected = (b.max - b.min) / b.width
-    if expected > MAX_EDGES:
-        raise ValueError(f"about {expected:.3g} edges; use histogram_fd, which needs no edge list")
-    edges, e = [], b.min
-    while e < b.max:
-        edges.append(e)
-        nxt = e + b.width
-        if nxt == e:
-            raise ValueError("bin width below floating-point resolution at this magnitude")
-        e = nxt
-    return edges
-
-
-def _edge_lookup(spark: SparkSession, edges: list[float]) -> DataFrame:
-    """Bucket index -> bin value, for Bucketizer splits [-inf, *edges, +inf]
-    with handleInvalid='keep' (NaN gets index len(edges) + 1)."""
-    k = len(edges)
-    rows = [(0, SENTINEL)] + [(j, edges[j - 1]) for j in range(1, k)] + [(k, SENTINEL), (k + 1, edges[-1])]
-    schema = T.StructType([T.StructField("_bucket", T.DoubleType(), False),
-                           T.StructField("bin", T.DoubleType(), False)])
-    return spark.createDataFrame([(float(j), b) for j, b in rows], schema)
-
-
-def _check_edges(edges: list[float]) -> list[float]:
-    edges = [float(e) for e in edges]
-    if not edges:
-        raise ValueError("at least one edge is required")
-    if any(math.isnan(e) or math.isinf(e) for e in edges):
-        raise ValueError("edges must be finite")
-    if any(b <= a for a, b in zip(edges, edges[1:])):
-        raise ValueError("edges must be strictly increasing")
-    return edges
-
-
-def _bucketize(df: DataFrame, column: str, edges: list[float], out: str = "_bucket") -> DataFrame:
-    splits = [-math.inf] + [float(e) for e in edges] + [math.inf]
-    src = df.withColumn("_x", F.col(column).cast("double"))
-    return Bucketizer(splits=splits, inputCol="_x", outputCol=out, handleInvalid="keep").transform(src).drop("_x")
-
-
-def assign_bins(df: DataFrame, column: str, edges: list[float], out: str = "bin") -> DataFrame:
-    """Fixed-edge bin of every row (rules in the module docstring).
-
-    The bucket is found by a JVM binary search (``Bucketizer``); the bucket
-    index is mapped to the edge value through a small lookup table that is
-    broadcast when its size is within ``BROADCAST_EDGE_LIMIT``, else joined
-    normally (AQE splits a hot bin's partition).
-    """
-    spark = df.sparkSession
-    edges = _check_edges(edges)
-    lookup = _edge_lookup(spark, edges).withColumnRenamed("bin", out)
-    if len(edges) + 2 <= BROADCAST_EDGE_LIMIT:
-        lookup = F.broadcast(lookup)
-    bucketed = _bucketize(df, column, edges)
-    return bucketed.join(lookup, "_bucket", "left").drop("_bucket")
-
-
-def histogram_edges(df: DataFrame, column: str, edges: list[float]) -> DataFrame:
-    """Count per fixed-edge bin (sentinel bin included): aggregate bucket
-    indexes first, then map the few result rows to edge values."""
-    edges = _check_edges(edges)
-    counted = _bucketize(df.select(column), column, edges).groupBy("_bucket").agg(F.count("*").alias("n"))
-    lookup = _edge_lookup(df.sparkSession, edges)
-    if len(edges) + 2 <= BROADCAST_EDGE_LIMIT:
-        lookup = F.broadcast(lookup)
-    # below-range and above-range buckets share the sentinel bin: re-add
-    return (counted.join(lookup, "_bucket", "left")
-            .groupBy("bin").agg(F.sum("n").cast("long").alias("n")))
+        return Edges.of([b.min])
+    return Edges.accumulated(b.min, b.width, b.max)
+
+
+def assign_bins(df: DataFrame, column: str, edges: Edges | list[float], out: str = "bin") -> DataFrame:
+    """Fixed-edge bin of every row (rules in the module docstring): a projection."""
+    edges = Edges.of(edges)
+    return edges.with_edge(edges.with_bin(df, column, "_bin"), "_bin", out).drop("_bin")
+
+
+def histogram_edges(df: DataFrame, column: str, edges: Edges | list[float]) -> DataFrame:
+    """Count per fixed-edge bin (sentinel bin included): bin numbers are counted, then
+    the few result rows get their edges. A batch or a streaming frame."""
+    edges = Edges.of(edges)
+    counted = edges.with_bin(df.select(column), column, "_bin").groupBy("_bin").agg(F.count(F.lit(1)).alias("n"))
+    return edges.with_edge(counted, "_bin", "bin").select("bin", "n")
 
 
 def _fd_bins_plan(df: DataFrame, column: str, b: Binning, digits: int | None) -> DataFrame:
@@ -256,7 +193,7 @@ def histogram_fd(df: DataFrame, column: str, quantiles: str = "exact",
 
 
 def fd_histogram_edges(df: DataFrame, column: str, quantiles: str = "exact",
-                       relative_error: float = REFERENCE_RELATIVE_ERROR) -> tuple[list[float], DataFrame]:
+                       relative_error: float = REFERENCE_RELATIVE_ERROR) -> tuple[Edges, DataFrame]:
     """Freedman-Diaconis edges and the fixed-edge histogram over them (with
     the sentinel bin), from one scan of the source."""
     _batch_only(df)

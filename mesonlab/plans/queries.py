@@ -228,8 +228,7 @@ def q_fd_binning(spark, sf_dir):
 
 
 def q_bin_edges(spark, sf_dir):
-    edges = H.bin_edges(_mass_binning(spark, sf_dir))
-    return spark.createDataFrame([(i, round(e, 6)) for i, e in enumerate(edges)], "i bigint, edge double")
+    return H.bin_edges(_mass_binning(spark, sf_dir)).frame(spark).select("i", F.round("edge", 6).alias("edge"))
 
 
 def _round_bin(c="bin"):

@@ -1,11 +1,15 @@
 import math
 import sys
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from mesonlab.functions.udfs import histogram_bin_udf
 from mesonlab.operators import histogram as H
+from mesonlab.operators.edges import Edges, bin_values
 
 MAX = sys.float_info.max
 EDGES = [0.0, 1.5, 3.0, 4.5]
@@ -60,6 +64,55 @@ def test_edges_accumulate():
     assert H.bin_edges(b) != [0.1 + i * 0.1 for i in range(len(edges))]
 
 
+def _added_up(first, width, end):
+    out = []
+    while first < end:
+        out.append(first)
+        first += width
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.floats(-1e9, 1e9), st.floats(1e-3, 1e3) | st.sampled_from([0.5, 0.75, 2.0 ** -20 * 3, 1 + 2.0 ** -52]), st.integers(1, 2000), st.lists(st.floats(allow_nan=True), max_size=5))
+def test_runs_are_the_accumulated_edges(first, width, many, others):
+    end = first + width * many
+    want = _added_up(first, width, end)
+    edges = Edges.accumulated(first, width, end)
+    assert list(edges) == want and len(edges) == len(want) and edges[-1] == want[-1] and edges[len(want) // 2] == want[len(want) // 2]
+    values = np.array(others + want[-3:] + [math.nextafter(e, -math.inf) for e in want[:3] + want[-3:]] + [first + width / 3])
+    at = np.clip(np.searchsorted(want, values, side="right") - 1, 0, len(want) - 1)
+    expected = np.where((values < want[0]) | (values >= want[-1]), MAX, np.array(want)[at])
+    assert np.array_equal(bin_values(edges.arrays(), values), np.where(np.isnan(values), want[-1], expected))
+
+
+def test_edges_beyond_any_list(spark):
+    """Cauchy values: some 7e7 edges, as numpy adds them up; the bins as columns agree."""
+    rng = np.random.default_rng(2)
+    values = np.concatenate((rng.standard_cauchy(3000), [-3.3e7, 3.1e7, math.nan, math.inf, -math.inf]))
+    edges = Edges.accumulated(-3.3e7, 0.937, 3.1e7)
+    listed = np.cumsum(np.concatenate(([-3.3e7], np.full(len(edges), 0.937))))[:-1]
+    assert len(edges) > 6e7 and len(edges.runs) < 200 and listed[-1] < 3.1e7 <= listed[-1] + 0.937
+    values = np.concatenate((values, listed[::3_000_001], np.nextafter(listed[::5_000_011], -math.inf), np.nextafter(listed[1::5_000_011], math.inf)))
+    at = np.clip(np.searchsorted(listed, values, side="right") - 1, 0, len(listed) - 1)
+    want = np.where((values < listed[0]) | (values >= listed[-1]), MAX, listed[at])
+    want = np.where(np.isnan(values), listed[-1], want)
+    df = _frame(spark, values.tolist())
+    out = H.assign_bins(df, "x", edges)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert [r.bin for r in out.orderBy("i").collect()] == want.tolist()
+    assert [r.bin for r in df.select("i", histogram_bin_udf(edges)(F.col("x")).alias("bin")).orderBy("i").collect()] == want.tolist()
+    counts = {r.bin: r.n for r in H.histogram_edges(df, "x", edges).collect()}
+    assert counts == dict(zip(*(c.tolist() for c in np.unique(want, return_counts=True))))
+    some = edges.frame(spark).where("i % 6000001 = 5").collect()
+    assert all(r.edge == listed[r.i] for r in some) and len(some) > 10
+
+
+def test_edges_that_cannot_move():
+    with pytest.raises(ValueError, match="resolution"):
+        Edges.accumulated(1e16, 0.5, 1e16 + 64)
+
+
 def test_fd_width_rule(spark):
     values = [float(v) for v in range(1, 101)] + [None, float("nan")]
     b = H.fd_binning(_frame(spark, values), "x")
