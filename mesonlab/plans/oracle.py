@@ -184,5 +184,8 @@ ORACLE_SQL: dict[str, str] = {
     "dataset_map": f"WITH {MASS_CTES} SELECT {KEYS}, B_M FROM m3",
     "stream_momentum": f"WITH {CAND} SELECT {KEYS}, {_p2('H1_')} AS H1_P2, sqrt({_p2('H1_')}) AS H1_P FROM cand",
     "stream_b_mass": f"WITH {SEL_CTES} SELECT * FROM sel",
+    "stream_text_files": "SELECT p_partkey || ' ' || p_name AS value FROM part",
+    "stream_restart": f"WITH {CAND} SELECT {KEYS}, {_p2('H1_')} AS H1_P2, sqrt({_p2('H1_')}) AS H1_P FROM cand",
+    "stream_histogram": f"SELECT bin, count(*) AS n FROM ({_BIN_ASSIGN}) GROUP BY bin",
     "stream_lines": "SELECT regexp_replace(coalesce(text, ''), '[\\r\\n]', ' ', 'g') AS value FROM documents",
 }

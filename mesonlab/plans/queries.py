@@ -400,17 +400,64 @@ def q_dataset_map(spark, sf_dir):
 
 # ---- step 8: streams --------------------------------------------------------
 
+def _folders(spark, name):
+    return scratch_path(spark, f"{name}-sink"), scratch_path(spark, f"{name}-checkpoint")
+
+
+def _table_stream(spark, sf_dir, name):
+    """The files of a table as a stream: the table itself, a file or a folder (which the
+    pattern stands for alike), is the source."""
+    return streams.candidate_stream(spark, f"{sf_dir.rstrip('/')}/{name}.parque[t]", C.table(spark, sf_dir, name).schema, fmt="parquet")
+
+
 def q_stream_momentum(spark, sf_dir):
-    return streams.candidate_stream_momentum(spark, _cand(spark, sf_dir), KEYED_SCHEMA)
+    """JSON files with an explicit schema through ``with_momentum``."""
+    source = scratch_path(spark, "candidates-json")
+    W.write_json(_cand(spark, sf_dir), source)
+    return streams.run(streams.momentum_stream(streams.candidate_stream(spark, source, KEYED_SCHEMA)), *_folders(spark, "momentum"))
 
 
 def q_stream_b_mass(spark, sf_dir):
-    return streams.candidate_stream_b_mass(spark, _cand(spark, sf_dir), KEYED_SCHEMA)
+    candidates = _table_stream(spark, sf_dir, "lineitem").selectExpr(*C.candidate_select_list())
+    return streams.run(streams.b_mass_stream(candidates), *_folders(spark, "b-mass"))
 
 
 def q_stream_lines(spark, sf_dir):
-    docs = C.table(spark, sf_dir, "documents")
-    return streams.line_stream(spark, docs, "text")
+    """A line per document, line breaks inside it as spaces."""
+    lines = _table_stream(spark, sf_dir, "documents").select(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\r\\n]", " ").alias("value"))
+    return streams.run(lines, *_folders(spark, "lines"))
+
+
+def q_stream_text_files(spark, sf_dir):
+    """Text files as lines; half of them arrive between two runs of the query."""
+    source, sink, checkpoint = scratch_path(spark, "text"), *_folders(spark, "text")
+    names = C.table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_partkey", "p_name").alias("value"))
+    for part in (0, 1):
+        names.where(F.length("value") % 2 == part).write.mode("append").text(source)
+        out = streams.run(streams.line_stream(spark, source, 1), sink, checkpoint)
+    return out
+
+
+def q_stream_restart(spark, sf_dir):
+    """Candidate files that arrive between runs: each run goes on where the one before it
+    stopped, and the sink holds every row once."""
+    source, sink, checkpoint = scratch_path(spark, "arriving"), *_folders(spark, "arriving")
+    for part in range(3):
+        _cand(spark, sf_dir).where(F.col("l_linenumber") % 3 == part).write.mode("append").json(source)
+        out = streams.run(streams.momentum_stream(streams.candidate_stream(spark, source, KEYED_SCHEMA, 1)), sink, checkpoint)
+    return out
+
+
+def q_stream_histogram(spark, sf_dir):
+    """Counts per fixed bin on a stream: several micro-batches, restarted once from the
+    checkpoint with its state."""
+    edges = H.bin_edges(_mass_binning(spark, sf_dir))
+    source, sink, checkpoint = scratch_path(spark, "binned"), *_folders(spark, "binned")
+    for part in (0, 1):
+        _cand(spark, sf_dir).where(F.col("l_linenumber") % 2 == part).repartition(3).write.mode("append").json(source)
+        mass = streams.b_mass_stream(streams.candidate_stream(spark, source, KEYED_SCHEMA, 2))
+        streams.run_available(streams.start_histogram(mass, "B_M", edges, sink, checkpoint))
+    return streams.read_histogram(spark, sink).select(_round_bin(), "n")
 
 
 QUERIES: Q = {
@@ -468,6 +515,9 @@ QUERIES: Q = {
     "stream_momentum": q_stream_momentum,
     "stream_b_mass": q_stream_b_mass,
     "stream_lines": q_stream_lines,
+    "stream_text_files": q_stream_text_files,
+    "stream_restart": q_stream_restart,
+    "stream_histogram": q_stream_histogram,
 }
 
 FLAGSHIP = "histogram_fd"

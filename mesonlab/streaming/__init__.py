@@ -1,5 +1,6 @@
 from mesonlab.streaming.streams import (
-    candidate_stream, candidate_stream_b_mass, candidate_stream_momentum, line_stream, run_available, stop, watch, Watched,
+    Watched, b_mass_stream, candidate_stream, line_stream, momentum_stream, read_histogram, read_sink, run, run_available, start, start_histogram, stop, watch,
 )
 
-__all__ = ["candidate_stream", "candidate_stream_b_mass", "candidate_stream_momentum", "line_stream", "run_available", "stop", "watch", "Watched"]
+__all__ = ["Watched", "b_mass_stream", "candidate_stream", "line_stream", "momentum_stream", "read_histogram", "read_sink", "run", "run_available", "start",
+           "start_histogram", "stop", "watch"]

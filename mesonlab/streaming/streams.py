@@ -1,16 +1,18 @@
-"""Structured Streaming forms of the row-wise operators.
-
-The kinematics and selections are stateless projections and filters, so the
-batch functions apply to a streaming DataFrame unchanged. Sources are file
-directories (JSON with an explicit schema, or text lines); sinks are Parquet
-file sinks with a checkpoint, so a restarted query resumes exactly once. The
-``availableNow`` trigger processes what is present in bounded micro-batches
-and stops. The histogram needs global quantiles and stays a batch operator.
+"""Structured Streaming forms of the operators, between folders of the caller.
+
+Sources are folders of JSON, Parquet or text files with an explicit schema, in bounded
+micro-batches. Kinematics and selections are stateless projections and filters, so the
+batch functions apply to a streaming DataFrame unchanged; counts per fixed bin are a
+stateful aggregation. A sink writes every micro-batch to a place that follows from its
+number, so that a batch replayed after a crash replaces what it wrote before; with the
+checkpoint, files are processed once however often the query is stopped. Quantiles need
+all values: histogram_fd stays a batch operator.
 """
 
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mesonlab.functions.kinematics import with_b_mass, with_momentum
 from mesonlab.functions.selection import b_candidate_selection
-from mesonlab.session import scratch_path
+from mesonlab.operators.edges import Edges
+from mesonlab.operators.histogram import histogram_edges
 from mesonlab.sources.candidates import KEY_COLUMNS
 
 #: Files of a micro-batch, unless the caller says otherwise: batches stay bounded
@@ -26,9 +29,15 @@ from mesonlab.sources.candidates import KEY_COLUMNS
 FILES_PER_TRIGGER = 1000
 
 
-def candidate_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
-    """Candidate JSON files arriving in ``path`` as a stream."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).json(path)
+def candidate_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = FILES_PER_TRIGGER,
+                     fmt: str = "json") -> DataFrame:
+    """Candidate files arriving in the folder ``path`` as a stream."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).format(fmt).load(path)
+
+
+def line_stream(spark: SparkSession, path: str, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """The lines of text files arriving in the folder ``path``, as ``value``."""
+    return spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(path)
 
 
 def run_available(query: StreamingQuery, timeout_s: float | None = None) -> None:
@@ -76,42 +85,61 @@ def watch(query: StreamingQuery) -> Watched:
     return Watched(query)
 
 
-def _to_parquet_sink(spark: SparkSession, stream: DataFrame, name: str) -> str:
-    sink, ckpt = scratch_path(spark, f"{name}-sink"), scratch_path(spark, f"{name}-ckpt")
-    query = (stream.writeStream.format("parquet").outputMode("append")
-             .option("path", sink).option("checkpointLocation", ckpt)
-             .trigger(availableNow=True).start())
-    run_available(query)
-    return sink
-
-
-def candidate_stream_momentum(spark: SparkSession, candidates: DataFrame, schema: str,
-                              prefix: str = "H1_", keys=KEY_COLUMNS) -> DataFrame:
-    """Land candidates as JSON files, stream them through ``with_momentum``,
-    and read the file sink back."""
-    src = scratch_path(spark, "cand-stream-src")
-    candidates.write.json(src)
-    stream = with_momentum(candidate_stream(spark, src, schema), prefix)
-    sink = _to_parquet_sink(spark, stream.select(*keys, prefix + "P2", prefix + "P"), "cand-stream")
-    return spark.read.parquet(sink)
-
-
-def candidate_stream_b_mass(spark: SparkSession, candidates: DataFrame, schema: str, keys=KEY_COLUMNS) -> DataFrame:
-    """The row-wise part of the analysis on a stream: land candidates as JSON
-    files, stream them through ``with_b_mass`` and the B selection, and read
-    the file sink back (keys + ``B_M``)."""
-    src = scratch_path(spark, "mass-stream-src")
-    candidates.write.json(src)
-    stream = with_b_mass(candidate_stream(spark, src, schema)).where(b_candidate_selection())
-    sink = _to_parquet_sink(spark, stream.select(*keys, "B_M"), "mass-stream")
-    return spark.read.parquet(sink)
-
-
-def line_stream(spark: SparkSession, docs: DataFrame, column: str) -> DataFrame:
-    """Land one text line per row (line breaks inside a value become spaces),
-    stream the lines straight to a sink, read them back as ``value``."""
-    src = scratch_path(spark, "line-stream-src")
-    docs.select(F.regexp_replace(F.coalesce(F.col(column), F.lit("")), "[\\r\\n]", " ").alias("value")) \
-        .write.text(src)
-    stream = spark.readStream.option("maxFilesPerTrigger", FILES_PER_TRIGGER).text(src)
-    return spark.read.parquet(_to_parquet_sink(spark, stream, "line-stream"))
+def start(stream: DataFrame, sink: str, checkpoint: str, write: Callable[[DataFrame, int], None] | None = None, output_mode: str = "append",
+          every: str | None = None, name: str | None = None) -> StreamingQuery:
+    """Starts ``stream`` into the folder ``sink`` with its progress in ``checkpoint``, both
+    the caller's. ``every`` is a processing interval; without it what is present is
+    processed and the query ends. ``write`` may replace the writing of a micro-batch."""
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+    writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(write or put)
+    writer = writer.queryName(name) if name else writer
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def read_sink(spark: SparkSession, sink: str, schema) -> DataFrame:
+    """What a stream started by ``start`` has written so far."""
+    return spark.read.schema(schema).parquet(f"{sink}/batch=*") if _written(spark, sink) else spark.createDataFrame([], schema)
+
+
+def _written(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(path)
+
+
+def run(stream: DataFrame, sink: str, checkpoint: str) -> DataFrame:
+    """Processes what is present, and returns all that the sink holds: also what earlier
+    runs with the same folders wrote."""
+    run_available(start(stream, sink, checkpoint))
+    return read_sink(stream.sparkSession, sink, stream.schema)
+
+
+def momentum_stream(candidates: DataFrame, prefix: str = "H1_", keys=KEY_COLUMNS) -> DataFrame:
+    return with_momentum(candidates, prefix).select(*keys, prefix + "P2", prefix + "P")
+
+
+def b_mass_stream(candidates: DataFrame, keys=KEY_COLUMNS) -> DataFrame:
+    """The row-wise part of the analysis: ``with_b_mass`` and the B selection."""
+    return with_b_mass(candidates).where(b_candidate_selection()).select(*keys, "B_M")
+
+
+def start_histogram(stream: DataFrame, column: str, edges: Edges | list[float], sink: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Counts per fixed bin of a stream, kept in the state store between micro-batches and
+    restarts. Each batch writes the whole histogram with its number, by turns into two
+    folders, so that the one before stays whole while it does."""
+    counted = histogram_edges(stream, column, edges)
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{sink}/turn={number % 2}")
+    return start(counted, sink, checkpoint, put, "complete", every)
+
+
+def read_histogram(spark: SparkSession, sink: str) -> DataFrame:
+    """The histogram of the last micro-batch written: (bin, n)."""
+    schema = "bin double, n bigint, batch bigint"
+    if not _written(spark, sink):
+        return spark.createDataFrame([], "bin double, n bigint")
+    both = spark.read.schema(schema).parquet(f"{sink}/turn=*")
+    last = both.agg(F.max("batch").alias("last"))
+    return both.join(F.broadcast(last), F.col("batch") == F.col("last")).select("bin", "n")

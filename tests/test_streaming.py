@@ -1,46 +1,94 @@
+import pytest
+from pyspark.sql import functions as F
+
 from mesonlab.functions.kinematics import with_momentum
+from mesonlab.operators.histogram import histogram_edges, histogram_fd
 from mesonlab.plans.queries import KEYED_SCHEMA
 from mesonlab.sources.candidates import candidates_from_lineitem, table
-from mesonlab.session import scratch_path
-from mesonlab.streaming import candidate_stream, candidate_stream_momentum, line_stream, watch
+from mesonlab import streaming as S
 from tests.conftest import SF_SMALL
 
 
-def test_stream_equals_batch(spark):
+def rows(df):
+    return sorted(map(repr, map(tuple, df.collect())))
+
+
+def test_stream_equals_batch_over_two_runs(spark, tmp_path):
+    """Files added between two runs are processed once, without another copy of the input."""
     cand = candidates_from_lineitem(spark, SF_SMALL)
-    streamed = candidate_stream_momentum(spark, cand, KEYED_SCHEMA)
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    for part in (0, 1):
+        cand.where(F.col("l_linenumber") % 2 == part).write.mode("append").json(source)
+        got = S.run(S.momentum_stream(S.candidate_stream(spark, source, KEYED_SCHEMA, 1)), sink, checkpoint)
     batch = with_momentum(cand, "H1_").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "H1_P2", "H1_P")
-    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+    assert rows(got) == rows(batch)
+    again = S.run(S.momentum_stream(S.candidate_stream(spark, source, KEYED_SCHEMA, 1)), sink, checkpoint)
+    assert again.count() == batch.count()
+
+
+def test_a_replayed_batch_leaves_no_double_rows(spark, tmp_path):
+    """A crash after a batch's files were written, but before its commit: it is run again."""
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    spark.range(100).select(F.col("id").cast("string").alias("value")).coalesce(1).write.text(source)
+    first = S.run(S.line_stream(spark, source), sink, checkpoint)
+    assert first.count() == 100
+    for mark in (tmp_path / "progress" / "commits").glob("*0*"):
+        mark.unlink()
+    assert rows(S.run(S.line_stream(spark, source), sink, checkpoint)) == rows(spark.read.text(source))
+
 
+def test_failing_batch_is_surfaced_and_resumed(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    spark.range(30).select(F.col("id").cast("string").alias("value")).repartition(3).write.text(source)
+    seen = []
 
-def test_line_stream_one_row_per_document(spark):
-    docs = table(spark, SF_SMALL, "documents")
-    lines = line_stream(spark, docs, "text")
+    def put(batch, number):
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        seen.append(number)
+        if len(seen) == 2:
+            raise RuntimeError("lost after writing")
+    with pytest.raises(Exception, match="lost after writing"):
+        S.run_available(S.start(S.line_stream(spark, source, 1), sink, checkpoint, put))
+    assert S.run(S.line_stream(spark, source, 1), sink, checkpoint).count() == 30
+
+
+def test_histogram_of_a_stream_keeps_its_state(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    values = [None, float("nan"), -1.0, 0.0, 0.5, 1.0, 2.5, 3.0, 99.0]
+    edges = [0.0, 1.0, 2.0, 3.0]
+    df = spark.createDataFrame([(v,) for v in values * 7], "x double")
+    assert S.read_histogram(spark, sink).count() == 0
+    for part in range(3):
+        df.where(F.coalesce(F.pmod(F.floor("x"), F.lit(3)), F.lit(0)) == part).repartition(2).write.mode("append").parquet(source)
+        stream = S.candidate_stream(spark, source, "x double", 1, "parquet")
+        S.run_available(S.start_histogram(stream, "x", edges, sink, checkpoint))
+        present = spark.read.schema("x double").parquet(source)
+        assert rows(S.read_histogram(spark, sink)) == rows(histogram_edges(present, "x", edges))
+
+
+def test_line_stream_of_a_table(spark, tmp_path):
+    from mesonlab.plans.queries import QUERIES
+    lines = QUERIES["stream_lines"](spark, SF_SMALL)
     assert lines.columns == ["value"]
-    assert lines.count() == docs.count()
+    assert lines.count() == table(spark, SF_SMALL, "documents").count()
     assert lines.where("value LIKE '%\\n%'").count() == 0
 
 
-def test_background_query_lifecycle(spark):
+def test_background_query_lifecycle(spark, tmp_path):
     cand = candidates_from_lineitem(spark, SF_SMALL)
-    src = scratch_path(spark, "t-live-src")
-    cand.limit(100).write.json(src)
-    stream = with_momentum(candidate_stream(spark, src, KEYED_SCHEMA), "H1_")
-    q = (stream.writeStream.format("memory").queryName("live_momentum").outputMode("append")
-         .trigger(processingTime="200 milliseconds").start())
-    handle = watch(q)
-    q.processAllAvailable()
+    source = str(tmp_path / "in")
+    cand.limit(100).write.json(source)
+    stream = with_momentum(S.candidate_stream(spark, source, KEYED_SCHEMA), "H1_")
+    query = S.start(stream, str(tmp_path / "out"), str(tmp_path / "progress"), every="200 milliseconds", name="live_momentum")
+    handle = S.watch(query)
+    query.processAllAvailable()
     assert handle.running
-    assert spark.table("live_momentum").count() == 100
+    assert S.read_sink(spark, str(tmp_path / "out"), stream.schema).count() == 100
     handle.stop()
-    assert not handle.running and not q.isActive and handle.error is None
+    assert not handle.running and not query.isActive and handle.error is None
 
 
-def test_histogram_refuses_a_stream(spark):
-    import pytest
-    from mesonlab.operators.histogram import histogram_fd
-    cand = candidates_from_lineitem(spark, SF_SMALL)
-    src = scratch_path(spark, "t-refuse")
-    cand.limit(10).write.json(src)
+def test_histogram_fd_refuses_a_stream(spark, tmp_path):
+    candidates_from_lineitem(spark, SF_SMALL).limit(10).write.json(str(tmp_path / "in"))
     with pytest.raises(ValueError):
-        histogram_fd(candidate_stream(spark, src, KEYED_SCHEMA), "H1_PX")
+        histogram_fd(S.candidate_stream(spark, str(tmp_path / "in"), KEYED_SCHEMA), "H1_PX")
