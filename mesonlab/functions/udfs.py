@@ -55,6 +55,17 @@ def register_udf3(spark: SparkSession, name: str, fn: Callable, return_type: str
     return name
 
 
+def register_sql_function(spark: SparkSession, name: str, parameters: dict[str, str], return_type: str, body: str) -> str:
+    """Register an SQL expression as a function of named, typed parameters for the session:
+    the optimiser puts it in line, so nothing leaves the JVM. Returns its name. User code
+    that SQL can't express is what ``register_udf3`` is for."""
+    if not parameters:
+        raise ValueError("a function needs at least one parameter")
+    typed = ", ".join(f"{p} {t}" for p, t in parameters.items())
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({typed}) RETURNS {return_type} RETURN {body}")
+    return name
+
+
 def dataset_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, input_columns=None) -> DataFrame:
     """Apply ``fn`` to every Arrow record batch of every partition. ``input_columns``
     names the columns that ``fn`` reads: Spark can't see into it to prune the scan."""

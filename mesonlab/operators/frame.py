@@ -93,6 +93,20 @@ def sample(df: DataFrame, fraction: float, seed: int | None = None) -> DataFrame
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
+def sample_by_keys(df: DataFrame, fraction: float, keys: Sequence[str], seed: int = 0) -> DataFrame:
+    """Bernoulli sample decided by a hash of ``seed`` and the keys: the same rows whatever
+    the partitions, the order and the cluster. Rows with equal keys stay or go together;
+    a null key counts as the text ``null``. The first 13 hex digits of the MD5 are compared as
+    text, which is their order as numbers."""
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError("fraction must be in [0, 1]")
+    keys = _non_empty(keys, "sample_by_keys")
+    if fraction == 1.0:
+        return df
+    text = F.concat(F.lit(str(seed)), *[x for k in keys for x in (F.lit("|"), F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("null")))])
+    return df.where(F.substring(F.md5(text), 1, 13) < f"{int(fraction * 16 ** 13):013x}")
+
+
 def cache(df: DataFrame) -> DataFrame:
     return df.cache()
 

@@ -91,7 +91,7 @@ def _binning_of_values(kept: KeptValues, quantiles: str, relative_error: float)
     if quantiles == "approx":
         q1, q3 = row["q"]
     else:
-        q1, q3 = exact_quantiles(None, None, [0.25, 0.75], known=(n_valid, lo, hi), values=kept.frame)
+        q1, q3 = exact_quantiles(None, None, [0.25, 0.75], known=(n_valid, lo, hi), values=kept.frame, parts=kept.parts)
     return Binning(n_all, n_valid, lo, hi, q1, q3, fd_width(q1, q3, n_all))
 
 
@@ -248,7 +248,7 @@ def column_histograms(df: DataFrame, columns: list[str], quantiles: str = "exact
         if quantiles == "approx":
             quart = {n: tuple(row[f"q_{n}"]) if stats[n][0] else (None, None) for n in names}
         else:
-            flat = select_quantiles(kept.frame, [(n, *stats[n], p) for n in names for p in (0.25, 0.75)])
+            flat = select_quantiles(kept.frame, [(n, *stats[n], p) for n in names for p in (0.25, 0.75)], parts=kept.parts)
             quart = {n: (flat[2 * i], flat[2 * i + 1]) for i, n in enumerate(names)}
         bins = [Binning(n_all, stats[n][0], stats[n][1], stats[n][2], *quart[n],
                         None if not stats[n][0] else fd_width(*quart[n], n_all)) for n in names]

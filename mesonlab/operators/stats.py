@@ -128,6 +128,7 @@ class KeptValues:
         self._spread_small = spread_small
         self._spread = None
         self.frame = self._base
+        self.parts: int | None = None
 
     def stats(self, *extra: Column):
         """Row with ``n`` and, per kept column, ``n_valid``, ``lo``, ``hi``
@@ -139,9 +140,10 @@ class KeptValues:
             aggs += [F.count(x).alias("n_valid" + sfx), F.min(x).alias("lo" + sfx), F.max(x).alias("hi" + sfx)]
         tagged = self._base.withColumn("_part", F.spark_partition_id())
         row = tagged.agg(*aggs, *extra, F.max("_part").alias("_last_part")).first()
-        parts = 1 + (row["_last_part"] or 0)
-        if self._spread_small and parts < self._slots:
+        self.parts = 1 + (row["_last_part"] or 0)
+        if self._spread_small and self.parts < self._slots:
             self._spread = self._base.repartition(self._slots)
+            self.parts = self._slots
             if self._persist:
                 self._spread = self._spread.persist(StorageLevel.MEMORY_AND_DISK)
             self.frame = self._spread
@@ -170,14 +172,18 @@ def value_stats(w: DataFrame, *extra: Column):
 
 # Rows of partial aggregates one bucket pass may send through the shuffle.
 SHUFFLE_ROW_BUDGET = 50_000_000
+# Buckets of an interval, at least and at most. 4096 buckets take 5e11 values to a
+# 65536-row interval in two passes, 64 in four.
+LEAST_BUCKETS, MOST_BUCKETS = 64, 4096
 
 
-def _choose_buckets(parts: int, intervals: int) -> int:
-    """Power of two in [256, 4096] keeping parts x intervals x buckets within
-    the shuffle budget (each task emits at most one row per bucket). 4096
-    buckets take 5e11 values to a 65536-row interval in two passes."""
-    b = SHUFFLE_ROW_BUDGET // max(1, parts * intervals)
-    return 1 << max(8, min(12, b.bit_length() - 1)) if b > 0 else 256
+def _pass_size(parts: int, intervals: int, enough: int) -> tuple[int, int]:
+    """(buckets, tasks) of a pass over ``parts`` partitions: each task emits at most a row per
+    interval and bucket, and all of them stay within the budget. Many partitions mean
+    fewer buckets first; then several partitions share a task, as many as it takes."""
+    room = max(SHUFFLE_ROW_BUDGET // max(1, parts * intervals), 1)
+    buckets = max(LEAST_BUCKETS, min(MOST_BUCKETS, enough, 1 << (room.bit_length() - 1)))
+    return buckets, max(1, min(parts, SHUFFLE_ROW_BUDGET // (intervals * buckets)))
 
 
 def _any(conds: list[Column]) -> Column:
@@ -276,38 +282,46 @@ def bucket_pass(frame: DataFrame, intervals: list[tuple],
 def exact_quantiles(df: DataFrame, column, probabilities: Sequence[float], *,
                     buckets: int | None = None, fetch_limit: int = 1 << 16,
                     known: tuple[int, float, float] | None = None,
-                    values: DataFrame | None = None) -> list[float | None]:
+                    values: DataFrame | None = None, parts: int | None = None) -> list[float | None]:
     """Exact discrete quantiles (same rule as SQL ``percentile_disc``) over the
     non-null, non-NaN values of ``column``.
 
     ``values`` may pass a prepared one-column frame ``v`` (see
-    ``KeptValues``; nulls and NaN may remain, at most 4 x cores partitions)
-    and ``known`` its (valid count, min, max). ``buckets`` defaults to a size chosen from the
+    ``KeptValues``; nulls and NaN may remain), ``known`` its (valid count, min, max) and
+    ``parts`` its partition count. ``buckets`` defaults to a size chosen from the
     partition count; ``fetch_limit`` is the largest interval (in rows) that is
     finished by sorting it inside one window partition.
     """
     if values is not None:
-        return _select_ranks(values, probabilities, buckets, fetch_limit, known)
+        return _select_ranks(values, probabilities, buckets, fetch_limit, known, parts)
     with KeptValues(df, column) as kept:
         row = kept.stats()
         return _select_ranks(kept.frame, probabilities, buckets, fetch_limit,
-                             (row["n_valid"], row["lo"], row["hi"]))
+                             (row["n_valid"], row["lo"], row["hi"]), kept.parts)
 
 
-def _select_ranks(v: DataFrame, probabilities, buckets, fetch_limit, known):
+def _partitions(frame: DataFrame) -> int:
+    """Partitions of a frame that hold rows, up to the last one."""
+    last = frame.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0]
+    return 1 + (last or 0)
+
+
+def _select_ranks(v: DataFrame, probabilities, buckets, fetch_limit, known, parts=None):
     if known is None:
         row = value_stats(v)
         known = (row["n_valid"], row["lo"], row["hi"])
     n, lo, hi = known
-    return select_quantiles(v, [("v", n, lo, hi, p) for p in probabilities], buckets, fetch_limit)
+    return select_quantiles(v, [("v", n, lo, hi, p) for p in probabilities], buckets, fetch_limit, parts)
 
 
 def select_quantiles(frame: DataFrame, targets: Sequence[tuple[str, int, float, float, float]],
-                     buckets: int | None = None, fetch_limit: int = 1 << 16) -> list[float | None]:
+                     buckets: int | None = None, fetch_limit: int = 1 << 16,
+                     parts: int | None = None) -> list[float | None]:
     """Exact quantiles for several (column, valid count, min, max, p) targets
     of one kept frame; targets with the same column and interval share passes,
-    and every pass serves all columns at once."""
-    slots = cores(frame.sparkSession)
+    and every pass serves all columns at once. ``parts`` is the frame's partition
+    count, found by a pass of its own where it isn't given."""
+    parts = _partitions(frame) if parts is None else parts
     # target -> [column, need, lo, hi, rows, log]: the ``need``-th smallest of the
     # ``rows`` valid values of ``column`` in [lo, hi] (lo, hi present in data);
     # log: the next pass numbers buckets by the logarithm
@@ -347,20 +361,19 @@ def select_quantiles(frame: DataFrame, targets: Sequence[tuple[str, int, float,
                 continue
         # One bucket pass: count, min and max per bucket; a running count
         # (window over the small per-bucket table) finds each rank's bucket.
-        nb = buckets
-        if nb is None:
-            # enough buckets to bring the largest interval under fetch_limit in
-            # one pass, within the shuffle budget (KeptValues: <= 4 x cores parts)
-            rows = max(state[groups[key][0]][4] for key in intervals)
-            enough = 1 << max(8, (-(-rows // fetch_limit) - 1).bit_length())
-            nb = min(enough, _choose_buckets(4 * slots, len(intervals)))
+        # enough buckets to bring the largest interval under fetch_limit in one pass
+        rows = max(state[groups[key][0]][4] for key in intervals)
+        enough = 1 << max(8, (-(-rows // fetch_limit) - 1).bit_length())
+        nb, tasks = _pass_size(parts, len(intervals), enough)
+        nb = nb if buckets is None else buckets
         if nb < 2:
             raise ValueError("buckets must be at least 2")
+        source = frame if tasks >= parts else frame.coalesce(tasks)
         wanted = {}
         for g, key in enumerate(intervals):
             for i in groups[key]:
                 wanted.setdefault((g, state[i][1]), []).append(i)
-        hits = bucket_pass(frame, intervals, list(wanted), nb).collect()
+        hits = bucket_pass(source, intervals, list(wanted), nb).collect()
         found = set()
         for r in hits:
             for (g, need), ids in wanted.items():

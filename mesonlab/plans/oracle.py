@@ -12,7 +12,7 @@ then checks rows only): ``sample``, ``approx_quantile_001``,
 from __future__ import annotations
 
 from mesonlab.plans.queries import (
-    NARROW, NOTEBOOK_COLUMNS, PERCENTILE_COLUMNS, QUANTILE_PROBS, STAT_COLUMNS, STRING_COLUMNS, SUMMARY_STATS,
+    NARROW, NOTEBOOK_COLUMNS, PERCENTILE_COLUMNS, QUANTILE_PROBS, SKETCHED, STAT_COLUMNS, STRING_COLUMNS, SUMMARY_STATS,
 )
 from mesonlab.sources.candidates import CANDIDATE_COLUMNS, KEY_COLUMNS, candidate_select_sql
 
@@ -117,6 +117,9 @@ def _string_rows(stats) -> str:
         + (" FROM lineitem" if t in made else "") for t in stats)
 
 
+_QUARANTINE = ("SELECT CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN 'quarantined' ELSE 'good' END AS kind, count(*) AS n, "
+               "max(CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 THEN o_totalprice END) AS max_price FROM orders GROUP BY 1")
+
 ORACLE_SQL: dict[str, str] = {
     "sum_cols": f"WITH {CAND} SELECT {KEYS}, H1_PX + H2_PX + H3_PX AS px_sum FROM cand",
     "sum_squares": f"WITH {CAND} SELECT {KEYS}, {_p2('H1_')} AS p2_sum FROM cand",
@@ -142,6 +145,23 @@ ORACLE_SQL: dict[str, str] = {
         "CAST(sum(CAST(l_extendedprice AS DECIMAL(28,6))) AS DOUBLE) AS sum_price, "
         "min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price, "
         "round(avg(l_discount), 6) AS avg_disc FROM lineitem GROUP BY l_returnflag, l_linestatus"),
+    "group_by": ("SELECT l_shipdate, l_returnflag, count(*) AS n, count(DISTINCT l_suppkey) AS suppliers, max(l_tax) AS max_tax "
+                 "FROM lineitem GROUP BY l_shipdate, l_returnflag"),
+    # whole numbers of 2^-80, added as such; the sum's 53 leading bits are kept by the last cast
+    "exact_sums": (f"WITH {CAND}, scaled AS (SELECT l_linenumber, CAST(H1_PX * CASE WHEN l_linenumber % 2 = 0 THEN 1 ELSE 1 / CAST(1099511627776 AS DOUBLE) END "
+                   "* power(CAST(2 AS DOUBLE), 80) AS HUGEINT) AS units FROM cand) "
+                   "SELECT l_linenumber, CAST(sum(units) AS DOUBLE) / power(CAST(2 AS DOUBLE), 80) AS sum_px, count(*) AS n FROM scaled GROUP BY l_linenumber"),
+    "sketch_totals": "\nUNION ALL\n".join(f"SELECT '{c}' AS variable, count(*) AS n, count({c}) AS n_valid, min({c}) AS lo, max({c}) AS hi FROM lineitem" for c in SKETCHED),
+    "sketch_quantile_bounds": ("SELECT variable, CAST(p AS DOUBLE) AS p, true AS within FROM "
+                               f"(VALUES {', '.join(f'({p})' for p in QUANTILE_PROBS)}) v(p), (VALUES {', '.join(repr((c,)).replace(',)', ')') for c in SKETCHED)}) w(variable)"),
+    "sample_by_keys": (f"WITH {SEL_CTES} SELECT * FROM sel WHERE substr(md5('7' || " + " || ".join(f"'|' || coalesce(CAST({k} AS VARCHAR), 'null')" for k in KEY_COLUMNS)
+                       + f"), 1, 13) < '{int(0.1 * 16 ** 13):013x}'"),
+    "bucketed_join": ("SELECT o_orderkey, o_totalprice, n, most FROM orders JOIN "
+                      "(SELECT l_orderkey, count(*) AS n, max(l_quantity) AS most FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey"),
+    "bucket_metadata": "SELECT CAST(16 AS INTEGER) AS buckets, 'l_orderkey' AS bucket_columns, 'l_orderkey' AS sort_columns",
+    "quarantine": _QUARANTINE,
+    "stream_quarantine": _QUARANTINE,
+    "sql_function": f"WITH {CAND} SELECT {KEYS}, sqrt({_p2('H1_')}) AS H1_P FROM cand",
     "row_count": f"WITH {MASS_CTES} SELECT count(*) AS n FROM m3 WHERE {SELECTION}",
     "min_max": f'WITH {SEL_CTES} SELECT min(B_M) AS "min(B_M)", max(B_M) AS "max(B_M)" FROM sel',
     "describe": _stats_rows(("count", "mean", "stddev", "min", "max")),

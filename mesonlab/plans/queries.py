@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from mesonlab.functions import kinematics as K
 from mesonlab.functions.selection import b_candidate_selection, strict_kaon_selection
 from mesonlab.functions import udfs
-from mesonlab.operators import frame, histogram as H, stats as S
+from mesonlab.operators import frame, histogram as H, sketches, stats as S
+from mesonlab.operators.exactsum import exact_sums
 from mesonlab.sources import candidates as C, readers as R, writers as W
 from mesonlab.sources.catalog import DATASETS, load_dataset
 from mesonlab.plans.spectrum import mass_spectrum
@@ -110,22 +111,25 @@ def q_with_column(spark, sf_dir):
 
 # ---- step 3: aggregation and statistics -------------------------------------
 
-def _exact_sum(c):
-    """Sum as a decimal of 38 digits, six of them after the point: independent of
-    the order of the rows; converted back once."""
-    return F.sum(F.col(c).cast("decimal(28,6)")).cast("double")
-
-
 def q_group_by_agg(spark, sf_dir):
+    """Sums of doubles without any error, whatever the order of the rows."""
     li = C.table(spark, sf_dir, "lineitem")
-    return frame.group_by(li, "l_returnflag", "l_linestatus").agg(
-        F.count(F.lit(1)).alias("n"),
-        _exact_sum("l_quantity").alias("sum_qty"),
-        _exact_sum("l_extendedprice").alias("sum_price"),
-        F.min("l_extendedprice").alias("min_price"),
-        F.max("l_extendedprice").alias("max_price"),
-        F.round(F.avg("l_discount"), 6).alias("avg_disc"),
-    )
+    return exact_sums(li, ["l_returnflag", "l_linestatus"], {"sum_qty": "l_quantity", "sum_price": "l_extendedprice"},
+                      F.count(F.lit(1)).alias("n"), F.min("l_extendedprice").alias("min_price"), F.max("l_extendedprice").alias("max_price"),
+                      F.round(F.avg("l_discount"), 6).alias("avg_disc"))
+
+
+def q_group_by(spark, sf_dir):
+    """Grouping by name, for any aggregates of the caller."""
+    return frame.group_by(C.table(spark, sf_dir, "lineitem"), "l_shipdate", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("l_suppkey").alias("suppliers"), F.max("l_tax").alias("max_tax"))
+
+
+def q_exact_sums(spark, sf_dir):
+    """Components whose exact sum needs many bits: momenta of both signs, scaled apart by
+    powers of two."""
+    scaled = _cand(spark, sf_dir).select(*KEYS, F.expr("H1_PX * IF(l_linenumber % 2 = 0, 1, 1.0D / 1099511627776.0D)").alias("px"))
+    return exact_sums(scaled, ["l_linenumber"], {"sum_px": "px"}, F.count(F.lit(1)).alias("n"))
 
 
 def q_row_count(spark, sf_dir):
@@ -216,6 +220,36 @@ def q_exact_quantile(spark, sf_dir):
     return _quantile_frame(spark, QUANTILE_PROBS, values)
 
 
+SKETCHED = ["l_extendedprice", "l_quantity", "l_tax"]
+
+
+def _sketch_store(spark, sf_dir):
+    """Sketches of two lots of files, the second one added to the store of the first."""
+    files, store = scratch_path(spark, "sketched"), scratch_path(spark, "sketches")
+    li = C.table(spark, sf_dir, "lineitem").select("l_linenumber", *SKETCHED)
+    for part in (0, 1):
+        li.where(F.col("l_linenumber") % 2 == part).repartition(4).write.mode("append").parquet(files)
+        sketches.update_store(spark.read.parquet(files), SKETCHED, store)
+    return li, sketches.read_store(spark, store)
+
+
+def q_sketch_totals(spark, sf_dir):
+    """What merged sketches know exactly: files, rows, values, the least and the greatest."""
+    _, store = _sketch_store(spark, sf_dir)
+    ends = sketches.sketch_quantiles(store, [0.0, 1.0]).groupBy("variable").agg(F.min("q").alias("lo"), F.max("q").alias("hi"))
+    return sketches.merged(store).select("variable", "n", "n_valid").join(ends, "variable")
+
+
+def q_sketch_quantile_bounds(spark, sf_dir):
+    """Whether each quantile from merged sketches has a rank within 1% of n."""
+    li, store = _sketch_store(spark, sf_dir)
+    found = F.broadcast(sketches.sketch_quantiles(store, QUANTILE_PROBS))  # a row per column and probability
+    values = li.select(F.expr(f"stack({len(SKETCHED)}, " + ", ".join(f"'{c}', {c}" for c in SKETCHED) + ") AS (variable, v)"))
+    ranks = values.join(found, "variable").groupBy("variable", "p").agg(
+        F.count("v").alias("n"), F.count_if(F.col("v") < F.col("q")).alias("below"), F.count_if(F.col("v") <= F.col("q")).alias("upto"))
+    return ranks.select("variable", "p", ((F.col("below") <= (F.col("p") + 0.01) * F.col("n") + 1) & (F.col("upto") >= (F.col("p") - 0.01) * F.col("n") - 1)).alias("within"))
+
+
 # ---- step 4: binning and histograms -----------------------------------------
 
 def _mass_binning(spark, sf_dir):
@@ -292,6 +326,11 @@ def q_sample(spark, sf_dir):
     return frame.sample(_selected_mass(spark, sf_dir), 0.1, seed=7)
 
 
+def q_sample_by_keys(spark, sf_dir):
+    """A sample that doesn't depend on the partitions: a hash of the keys decides."""
+    return frame.sample_by_keys(_selected_mass(spark, sf_dir).repartition(17), 0.1, KEYS, seed=7)
+
+
 def q_sample_properties(spark, sf_dir):
     """Whether a sample holds rows of its source only, whether the same seed gives the same
     rows, and whether its size lies within five standard deviations of the expected one."""
@@ -341,6 +380,61 @@ def q_parquet_partitioned(spark, sf_dir):
     return back.where(F.col("l_returnflag") == "A").select(*KEYS, "l_extendedprice", "l_returnflag")
 
 
+def _bucketed(spark, sf_dir):
+    """``orders`` and ``lineitem`` as tables bucketed and sorted by the order's key."""
+    names = []
+    for name, columns in (("orders", ["o_orderkey", "o_totalprice"]), ("lineitem", ["l_orderkey", "l_quantity"])):
+        at = scratch_path(spark, f"bucketed-{name}")
+        names.append(udfs.unique_name(name))
+        W.write_bucketed(C.table(spark, sf_dir, name).select(*columns), names[-1], 16, columns[:1], columns[:1], path=at)
+    return names
+
+
+def q_bucketed_join(spark, sf_dir):
+    """A join and a grouping on the bucket key: neither needs an exchange."""
+    orders, lines = map(spark.table, _bucketed(spark, sf_dir))
+    per_order = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.max("l_quantity").alias("most"))
+    return orders.hint("merge").join(per_order, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "o_totalprice", "n", "most")
+
+
+def q_bucket_metadata(spark, sf_dir):
+    return W.bucketing(spark, _bucketed(spark, sf_dir)[1]).select("buckets", F.array_join("bucket_columns", ",").alias("bucket_columns"),
+                                                                  F.array_join("sort_columns", ",").alias("sort_columns"))
+
+
+def _orders_as_lines(spark, sf_dir):
+    """Orders as JSON lines: every seventh cut off, every eleventh with text for a number."""
+    row = F.to_json(F.struct("o_orderkey", "o_totalprice", "o_orderstatus"))
+    key = F.col("o_orderkey")
+    line = F.when(key % 7 == 0, F.expr("left(line, length(line) - 9)")).when(key % 11 == 0, F.regexp_replace("line", '"o_totalprice":', '"o_totalprice":"x",')).otherwise(F.col("line"))
+    return C.table(spark, sf_dir, "orders").withColumn("line", row).select(line.alias("value"))
+
+
+ORDER_LINE = "o_orderkey bigint, o_totalprice double, o_orderstatus string"
+
+
+def _quarantine_counts(good, bad):
+    return (good.select(F.lit("good").alias("kind"), F.col("o_totalprice").alias("price")).unionByName(bad.select(F.lit("quarantined").alias("kind"), F.lit(None).cast("double").alias("price")))
+            .groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.max("price").alias("max_price")))
+
+
+def q_quarantine(spark, sf_dir):
+    """Malformed JSON lines go to a sink of their own: good and quarantined are all lines."""
+    source, good, bad = (scratch_path(spark, f"lines-{n}") for n in ("in", "good", "bad"))
+    _orders_as_lines(spark, sf_dir).write.text(source)
+    R.split_malformed(spark.read.text(source), ORDER_LINE, good, bad)
+    return _quarantine_counts(spark.read.parquet(good), spark.read.parquet(bad))
+
+
+def q_stream_quarantine(spark, sf_dir):
+    """The same on a stream, over two runs."""
+    source, good, bad, checkpoint = (scratch_path(spark, f"line-stream-{n}") for n in ("in", "good", "bad", "checkpoint"))
+    for part in (0, 1):
+        _orders_as_lines(spark, sf_dir).where(F.length("value") % 2 == part).repartition(2).write.mode("append").text(source)
+        streams.run_available(streams.start_quarantine(streams.line_stream(spark, source, 1), ORDER_LINE, good, bad, checkpoint))
+    return _quarantine_counts(streams.read_sink(spark, good, ORDER_LINE), streams.read_sink(spark, bad, "value string"))
+
+
 def q_save_modes(spark, sf_dir):
     li = C.table(spark, sf_dir, "lineitem").select(*KEYS, "l_returnflag")
     path = scratch_path(spark, "modes")
@@ -393,6 +487,14 @@ def q_udf3_sql(spark, sf_dir):
     return out
 
 
+def q_sql_function(spark, sf_dir):
+    """The three-argument function as an SQL one, which the optimiser puts in line."""
+    view, name = udfs.unique_name("cand"), udfs.unique_name("magnitude")
+    _cand(spark, sf_dir).createOrReplaceTempView(view)
+    udfs.register_sql_function(spark, name, {"x": "DOUBLE", "y": "DOUBLE", "z": "DOUBLE"}, "DOUBLE", "sqrt(x * x + y * y + z * z)")
+    return spark.sql(f"SELECT {', '.join(KEYS)}, {name}(H1_PX, H1_PY, H1_PZ) AS H1_P FROM {view}")
+
+
 def q_dataset_map(spark, sf_dir):
     return udfs.dataset_map(_cand(spark, sf_dir), udfs.b_mass_batch, udfs.B_MASS_BATCH_SCHEMA,
                             udfs.B_MASS_BATCH_INPUT)
@@ -476,6 +578,8 @@ QUERIES: Q = {
     "where_sql": q_where_sql,
     "with_column": q_with_column,
     "group_by_agg": q_group_by_agg,
+    "group_by": q_group_by,
+    "exact_sums": q_exact_sums,
     "row_count": q_row_count,
     "min_max": q_min_max,
     "describe": q_describe,
@@ -487,6 +591,8 @@ QUERIES: Q = {
     "approx_quantile_001": q_approx_quantile_001,
     "approx_quantile_bounds": q_approx_quantile_bounds,
     "exact_quantile": q_exact_quantile,
+    "sketch_totals": q_sketch_totals,
+    "sketch_quantile_bounds": q_sketch_quantile_bounds,
     "fd_binning": q_fd_binning,
     "bin_edges": q_bin_edges,
     "bin_assign": q_bin_assign,
@@ -500,17 +606,22 @@ QUERIES: Q = {
     "sort_all": q_sort_all,
     "first_row": q_first_row,
     "sample": q_sample,
+    "sample_by_keys": q_sample_by_keys,
     "sample_properties": q_sample_properties,
     "csv_scan": q_csv_scan,
     "json_roundtrip": q_json_roundtrip,
     "parquet_multi_path": q_parquet_multi_path,
     "parquet_partitioned": q_parquet_partitioned,
+    "bucketed_join": q_bucketed_join,
+    "bucket_metadata": q_bucket_metadata,
+    "quarantine": q_quarantine,
     "save_modes": q_save_modes,
     "dataset_catalog": q_dataset_catalog,
     "candidate_scan": q_candidate_scan,
     "histogram_sink": q_histogram_sink,
     "column_udf": q_column_udf,
     "udf3_sql": q_udf3_sql,
+    "sql_function": q_sql_function,
     "dataset_map": q_dataset_map,
     "stream_momentum": q_stream_momentum,
     "stream_b_mass": q_stream_b_mass,
@@ -518,6 +629,7 @@ QUERIES: Q = {
     "stream_text_files": q_stream_text_files,
     "stream_restart": q_stream_restart,
     "stream_histogram": q_stream_histogram,
+    "stream_quarantine": q_stream_quarantine,
 }
 
 FLAGSHIP = "histogram_fd"

@@ -74,12 +74,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path under the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    path = f"{root}/mesonlab/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1).rsplit("/", 1)[0], exist_ok=True)
-    return path
+    """A fresh, never reused path under the shared checkpoint folder; whoever writes there
+    makes the folder, in the file system that the path means to Spark."""
+    return f"{checkpoint_root(spark)}/mesonlab/{name}-{uuid.uuid4().hex[:12]}"
 
 
 _SHIPPED: set[str] = set()

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _camel(key: str) -> str:
@@ -72,3 +73,22 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping,
     return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
                            upperBound=upper_bound, numPartitions=num_partitions,
                            properties=props)
+
+
+def parsed_lines(lines: DataFrame, schema: str, column: str = "value", options: Mapping | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, malformed): JSON lines of a batch or streaming frame that fit ``schema``, as
+    its columns, and the others as they came. Malformed is what isn't JSON or holds a value
+    of another type; a line without some of the fields, or with more, is good."""
+    corrupt = "_malformed"
+    row = F.from_json(F.col(f"`{column}`"), f"{schema}, {corrupt} string", {**camel_options(options), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    parsed = lines.select(F.col(f"`{column}`").alias("value"), row.alias("r"))
+    bad = F.col("r").isNull() | F.col(f"r.{corrupt}").isNotNull()
+    names = [f.name for f in parsed.schema["r"].dataType.fields if f.name != corrupt]
+    return parsed.where(~bad).select(*[F.col("r")[n].alias(n) for n in names]), parsed.where(bad).select("value")
+
+
+def split_malformed(lines: DataFrame, schema: str, good: str, quarantine: str, column: str = "value", options: Mapping | None = None, mode: str = "errorifexists") -> None:
+    """Writes the good lines' columns to the Parquet folder ``good`` and the malformed lines to
+    ``quarantine``: every line goes to one of them."""
+    for part, path in zip(parsed_lines(lines, schema, column, options), (good, quarantine)):
+        part.write.mode(mode).parquet(path)

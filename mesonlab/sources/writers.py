@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from mesonlab.sources.readers import camel_options
 
@@ -51,7 +51,39 @@ def write_parquet(df: DataFrame, path: str, mode: str | None = None,
     writer.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, buckets: int, bucket_by: Sequence[str], sort_by: Sequence[str] | None = None, path: str | None = None,
+                   mode: str = "error", partition_by: Sequence[str] | None = None) -> None:
+    """A catalog table of Parquet files bucketed by a hash of ``bucket_by`` and sorted inside
+    each by ``sort_by``: joins and groupings on the bucket columns read it without an exchange.
+    One shuffle by the bucket's own hash makes one file a bucket instead of one a task and
+    bucket. ``path`` puts the files elsewhere than the warehouse."""
+    if buckets < 1 or not bucket_by:
+        raise ValueError("a bucketed table needs bucket columns and at least one bucket")
+    if mode not in SAVE_MODES:
+        raise ValueError(f"unknown save mode {mode!r}; expected one of {sorted(SAVE_MODES)}")
+    writer = df.repartition(buckets, *bucket_by).write.mode(SAVE_MODES[mode]).format("parquet").bucketBy(buckets, *bucket_by)
+    writer = writer.sortBy(*sort_by) if sort_by else writer
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def bucketing(spark: SparkSession, name: str) -> DataFrame:
+    """(buckets, bucket_columns, sort_columns) of a catalog table, one row; none if it has no buckets."""
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    columns = {k: [c for c in rows.get(k, "").strip("[]").replace("`", "").split(", ") if c] for k in ("Bucket Columns", "Sort Columns")}
+    found = [(int(rows["Num Buckets"]), columns["Bucket Columns"], columns["Sort Columns"])] if "Num Buckets" in rows else []
+    return spark.createDataFrame(found, "buckets int, bucket_columns array<string>, sort_columns array<string>")
+
+
+#: Bins of a file of a stored histogram, about.
+FILE_BINS = 1_000_000
+
+
 def write_histogram(hist: DataFrame, path: str, mode: str = "error") -> None:
-    """Store a histogram (one row per bin) as JSON; the bins, not the values,
-    leave the cluster. A histogram is small, so one file is written."""
-    hist.coalesce(1).write.mode(SAVE_MODES[mode]).json(path)
+    """Store a histogram (one row per bin) as JSON; the bins, not the values, leave the
+    cluster. Bins are sorted and each file holds a range of them: one file for a usual
+    histogram, many for one of millions of bins."""
+    hist = hist.persist()
+    parts = -(-max(hist.count(), 1) // FILE_BINS)
+    hist.repartitionByRange(parts, "bin").sortWithinPartitions("bin").write.mode(SAVE_MODES[mode]).json(path)
+    hist.unpersist()

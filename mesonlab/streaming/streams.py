@@ -23,6 +23,7 @@ from mesonlab.functions.selection import b_candidate_selection
 from mesonlab.operators.edges import Edges
 from mesonlab.operators.histogram import histogram_edges
 from mesonlab.sources.candidates import KEY_COLUMNS
+from mesonlab.sources.readers import split_malformed
 
 #: Files of a micro-batch, unless the caller says otherwise: batches stay bounded
 #: however many files wait in the folder.
@@ -97,6 +98,14 @@ def start(stream: DataFrame, sink: str, checkpoint: str, write: Callable[[DataFr
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+def start_quarantine(lines: DataFrame, schema: str, good: str, quarantine: str, checkpoint: str, column: str = "value", every: str | None = None) -> StreamingQuery:
+    """JSON lines of a stream, the malformed ones to a sink of their own; read both with
+    ``read_sink``."""
+    def put(batch: DataFrame, number: int) -> None:
+        split_malformed(batch, schema, f"{good}/batch={number}", f"{quarantine}/batch={number}", column, mode="overwrite")
+    return start(lines, good, checkpoint, put, every=every)
+
+
 def read_sink(spark: SparkSession, sink: str, schema) -> DataFrame:
     """What a stream started by ``start`` has written so far."""
     return spark.read.schema(schema).parquet(f"{sink}/batch=*") if _written(spark, sink) else spark.createDataFrame([], schema)

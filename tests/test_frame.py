@@ -44,3 +44,15 @@ def test_sample_keeps_seed(orders):
 
 def test_min_max_names(orders):
     assert frame.min_max(orders, "o_totalprice").columns == ["min(o_totalprice)", "max(o_totalprice)"]
+
+
+def test_sample_by_keys_is_the_same_in_any_partitioning(spark):
+    df = spark.range(20_000).select((F.col("id") % 5000).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("n"))
+    rows = {p: sorted(map(repr, frame.sample_by_keys(df.repartition(p), 0.3, ["k", "n"], 4).collect())) for p in (1, 200)}
+    assert rows[1] == rows[200] and 5400 < len(rows[1]) < 6600
+    assert rows[1] != sorted(map(repr, frame.sample_by_keys(df, 0.3, ["k", "n"], 5).collect()))
+    whole = frame.sample_by_keys(df, 0.3, ["k"]).groupBy("k").count()
+    assert whole.where("count <> 4").count() == 0  # rows with equal keys go together
+    assert frame.sample_by_keys(df, 0.0, ["k"]).count() == 0 and frame.sample_by_keys(df, 1.0, ["k"]).count() == 20_000
+    with pytest.raises(ValueError):
+        frame.sample_by_keys(df, 0.5, [])

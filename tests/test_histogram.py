@@ -187,3 +187,15 @@ def test_width_below_resolution_is_a_clear_error(spark):
         H.histogram_fd(df, "x")
     with pytest.raises(ValueError, match="resolution"):
         H.column_histograms(df, ["x"])
+
+
+def test_sql_function_has_no_python_in_its_plan(spark):
+    from mesonlab.plans.queries import QUERIES
+    from tests.conftest import SF_SMALL
+    fast, user = (QUERIES[n](spark, SF_SMALL) for n in ("sql_function", "udf3_sql"))
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "SQRT" in plan and "Python" in user._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, user.collect()))
+    from mesonlab.functions.udfs import register_sql_function
+    with pytest.raises(ValueError):
+        register_sql_function(spark, "nothing", {}, "DOUBLE", "1")

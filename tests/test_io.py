@@ -120,3 +120,48 @@ def test_run_spectrum_and_cli_args(spark):
     assert args.selection is False and args.quantiles == "exact"
     with pytest.raises(SystemExit):
         parse(["--workspace", ws, "--dataset", "magnet-sideways"])
+
+
+def test_bucketed_tables_join_and_group_without_exchange(spark, tmp_path):
+    df = spark.range(5000).select((F.col("id") % 700).alias("k"), F.col("id").alias("v"))
+    for name in ("bucketed_a", "bucketed_b"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        W.write_bucketed(df, name, 8, ["k"], ["k", "v"], path=str(tmp_path / name))
+    a, b = spark.table("bucketed_a"), spark.table("bucketed_b")
+    joined = a.hint("merge").join(b.groupBy("k").agg(F.sum("v").alias("s")), "k")
+    rows = joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan, plan
+    assert len(rows) == 5000 and sum(r.s for r in rows) == sum(x * y for x, y in [(r.n, r.s) for r in df.groupBy("k").agg(F.count("v").alias("n"), F.sum("v").alias("s")).collect()])
+    assert len(list((tmp_path / "bucketed_a").glob("*.parquet"))) <= 8
+    assert W.bucketing(spark, "bucketed_a").collect() == [(8, ["k"], ["k", "v"])]
+    W.write_bucketed(df, "bucketed_a", 8, ["k"], ["k", "v"], path=str(tmp_path / "bucketed_a"), mode="append")
+    assert spark.table("bucketed_a").count() == 10_000
+    with pytest.raises(ValueError):
+        W.write_bucketed(df, "bucketed_c", 0, ["k"])
+    with pytest.raises(ValueError):
+        W.write_bucketed(df, "bucketed_c", 4, [])
+    spark.sql("CREATE TABLE plain_t USING parquet AS SELECT 1 AS x")
+    assert W.bucketing(spark, "plain_t").count() == 0
+    for name in ("bucketed_a", "bucketed_b", "plain_t"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    lines = ['{"a": 1, "b": "x"}', '{"a": 2}', '{"a": 3, "b": "y", "c": 4}', '{"a": "text", "b": "z"}', '{"a": 1, "b"', "no json", "", None, "[1]", '{"a": 1.5}', "{}"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    good, bad = (str(tmp_path / n) for n in ("good", "bad"))
+    R.split_malformed(df, "a bigint, b string", good, bad)
+    kept = {tuple(r) for r in spark.read.parquet(good).collect()}
+    put = [r.value for r in spark.read.parquet(bad).collect()]
+    assert kept == {(1, "x"), (2, None), (3, "y"), (None, None)}
+    assert spark.read.parquet(good).count() + len(put) == len(lines)
+    assert {'{"a": "text", "b": "z"}', '{"a": 1, "b"', "no json", None} <= set(put)
+
+
+def test_histogram_sink_keeps_ranges_of_bins_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "FILE_BINS", 100)
+    hist = spark.range(1000).select(F.col("id").alias("bin"), F.lit(0.0).alias("bin_lo"), F.lit(1.0).alias("bin_hi"), F.lit(1).cast("long").alias("n"))
+    W.write_histogram(hist.repartition(7), str(tmp_path / "h"))
+    files = spark.read.schema(hist.schema).json(str(tmp_path / "h")).groupBy(F.input_file_name()).agg(F.min("bin").alias("lo"), F.max("bin").alias("hi"), F.count("bin").alias("n")).collect()
+    assert len(files) > 5 and all(r.hi - r.lo + 1 == r.n for r in files)

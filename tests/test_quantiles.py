@@ -106,12 +106,14 @@ def test_bucket_count_follows_interval_rows(spark):
 
 
 def test_bucket_budget():
-    assert S._choose_buckets(32, 2) == 4096                  # small cluster: the cap
-    assert S._choose_buckets(32_000, 2) == 512               # 1000 executors x 8 cores x 4
-    assert S._choose_buckets(10 ** 9, 10) == 256             # floor
-    for parts, intervals in [(32, 2), (32_000, 2), (32_000, 22)]:
-        b = S._choose_buckets(parts, intervals)
-        assert b == 256 or parts * intervals * b <= S.SHUFFLE_ROW_BUDGET
+    many = 1 << 30
+    assert S._pass_size(32, 2, many) == (4096, 32)           # small cluster: the cap
+    assert S._pass_size(32_000, 2, many) == (512, 32_000)    # 1000 executors x 8 cores x 4
+    assert S._pass_size(100, 1, many) == (4096, 100)
+    for parts, intervals in ((1, 1), (800_000, 2), (800_000, 22), (10 ** 9, 10), (10_000_000, 200), (2000, 1)):
+        buckets, tasks = S._pass_size(parts, intervals, many)
+        assert 1 <= tasks <= parts and buckets >= S.LEAST_BUCKETS
+        assert buckets * intervals * tasks <= S.SHUFFLE_ROW_BUDGET
 
 
 @pytest.mark.parametrize("shape", ["uniform", "lognormal", "wide", "signed"])
@@ -128,3 +130,23 @@ def test_passes_do_not_follow_the_dynamic_range(spark, monkeypatch, shape):
     order = np.sort(x)
     assert got == [order[int(np.ceil(p * len(x))) - 1] for p in (0.25, 0.5, 0.75)]
     assert len(passes) <= 4
+
+
+@pytest.mark.parametrize("parts,budget", [(2000, 300_000), (2000, 20_000), (50, 1 << 30)])
+def test_a_pass_stays_within_its_shuffle_budget(spark, monkeypatch, parts, budget):
+    """The rows that leave the tasks of every pass, counted as Spark's partial aggregate makes
+    them: one per task, interval and bucket."""
+    monkeypatch.setattr(S, "SHUFFLE_ROW_BUDGET", budget)
+    sent, plain = [], S.bucket_pass
+
+    def counted(frame, intervals, needs, buckets):
+        rows = S._tag(frame, intervals, buckets).withColumn("task", F.spark_partition_id())
+        sent.append((rows.groupBy("task", "g", "b").count().count(), buckets))
+        return plain(frame, intervals, needs, buckets)
+    monkeypatch.setattr(S, "bucket_pass", counted)
+    values = np.random.default_rng(3).lognormal(sigma=3, size=60_000)
+    df = spark.createDataFrame(pd.DataFrame({"x": values})).repartition(parts)
+    got = S.exact_quantiles(df, "x", [0.25, 0.5, 0.75], fetch_limit=500)
+    assert got == [disc(values.tolist(), p) for p in (0.25, 0.5, 0.75)]
+    assert sent and all(n <= budget for n, _ in sent), sent
+
