@@ -1,10 +1,15 @@
 """Line dedup by winnowing: one line of every window of lines, the minimum in the
 order of (longest, smallest hash), is a fingerprint, so two texts that share a run of MIN_WORDS words in whole lines share
-one; where a fingerprint repeats, matches are extended both ways, window by window,
-and all but the first occurrence of a repeated run are deleted. Passages that aren't cut at
-line ends are found in the same way over words: the minimum of every window of
-SHINGLE_WORDS-grams is a fingerprint, and every window of the passage's length whose
-fingerprint repeats is looked up."""
+one. Passages that aren't cut at line ends are found in the same way over words: the
+minimum of every window of SHINGLE_WORDS-grams is a fingerprint.
+
+Positions of a fingerprint are joined with its first one, the source, and the match is
+extended both ways on the hashes of the source's words: windows that hold the fingerprint
+and agree with the source word by word are later occurrences and go. A window that
+doesn't agree with the source may still repeat another occurrence of the fingerprint;
+then that one doesn't agree with the source either. So in a second round these windows
+alone, by the hash of all of their words, are fingerprints; what both rounds delete is
+every run and passage but its first occurrence."""
 
 from __future__ import annotations
 
@@ -17,18 +22,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mesonlab.llm.common import mix, table, window_hashes, word_hashes, written
+from mesonlab.llm.common import mix, prepare, table, window_hashes, word_hashes, written
 
 #: Words that a repeated run has at least.
 MIN_WORDS = 25
 #: Words that a repeated passage has at least, wherever its lines end; and those of the
 #: grams that its fingerprints are taken from.
 PASSAGE_WORDS, SHINGLE_WORDS = 50, 16
-#: Keys of texts that may be broadcast (16 bytes each), and fingerprints with them (8
-#: bytes each); more are joined.
-BROADCAST_KEYS, BROADCAST_PRINTS = 250_000, 2_000_000
+#: Keys of documents that may be broadcast (16 bytes each); more are joined by a shuffle.
+BROADCAST_KEYS = 250_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _WEIGHT = np.random.default_rng(5).integers(1, 1 << 63, 1 << 12, dtype=np.uint64) | np.uint64(1)
+#: Told apart in the fingerprints: lines and passages.
+_LINE, _PASSAGE = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
 def lines(text: str | None) -> list[str]:
@@ -95,15 +101,28 @@ def _passages(hashes: np.ndarray, passage: int) -> tuple[np.ndarray, np.ndarray]
     return grams, _lowest(grams, passage - size + 1)
 
 
-def _keys(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id"), F.col("text"), F.xxhash64(F.col("doc_id").cast("string")).alias("k1"), F.xxhash64("text").alias("k2"))
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, k, tie, text): every document once, in the order of (doc_id, tie). Where no id
+    repeats, the id alone is a document's key; else the hash of the text goes with it."""
+    one = docs.select("doc_id", "text", F.xxhash64(F.col("doc_id").cast("string")).alias("k"))
+    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if again > 1:
+        return one.withColumn("tie", F.xxhash64("text")).dropDuplicates(["k", "tie"])
+    return one.withColumn("tie", F.lit(0).cast("long"))
+
+
+PRINTS = "fp long, line boolean, pos int, lo int, hi int"
 
 
 def _fingerprints(keyed: DataFrame, min_words: int, passage: int | None) -> DataFrame:
-    """(fp, line, k1, k2): fingerprints of lines and, if asked for, of passages."""
+    """Fingerprints of lines and, if asked for, of passages: ``pos`` is the fingerprint's first
+    word, ``lo`` to ``hi`` the words of all windows that chose it."""
+    kind = keyed.schema["doc_id"].dataType.simpleString()
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, single, ends, hashes, words, offsets in _hashed(x.as_py() for x in batch.column(0)):
+            for first, single, ends, hashes, words, offsets in _hashed(x.as_py() for x in batch.column(3)):
+                start = np.concatenate(([0], np.cumsum(words)))
                 runs = windows(words, offsets, min_words)
                 best, at = runs[:, 0].copy(), runs[:, 0].copy()
                 going = np.flatnonzero(at < runs[:, 1])
@@ -113,73 +132,202 @@ def _fingerprints(keyed: DataFrame, min_words: int, passage: int | None) -> Data
                     better = (words[new] > words[old]) | (words[new] == words[old]) & (hashes[new] < hashes[old])
                     best[going] = np.where(better, new, old)
                     going = going[at[going] < runs[going, 1]]
-                best = np.unique(best)
-                found = [(True, hashes[best], np.searchsorted(offsets, best, side="right") - 1)]
+                chosen, which = np.unique(best, return_inverse=True)
+                lo, hi = np.full(len(chosen), len(single)), np.zeros(len(chosen), np.int64)
+                np.minimum.at(lo, which, start[runs[:, 0]])
+                np.maximum.at(hi, which, start[runs[:, 1] + 1])
+                found = [(True, mix(hashes[chosen] ^ _LINE), start[chosen], lo, hi)]
                 if passage:
                     grams, low = _passages(single, passage)
-                    text = np.searchsorted(ends, np.arange(len(low)), side="right") - 1
-                    low = np.unique(low[np.arange(len(low)) + passage <= ends[text + 1]])  # windows inside a text
-                    found.append((False, grams[low], np.searchsorted(ends, low, side="right") - 1))
-                for line, prints, text in found:
+                    begin = np.arange(len(low))
+                    inside = begin + passage <= ends[np.searchsorted(ends, begin, side="right")]
+                    begin, low = begin[inside], low[inside]
+                    edge = np.flatnonzero(np.append(True, np.diff(low) != 0))[:len(low)]
+                    found.append((False, mix(grams[low[edge]] ^ _PASSAGE), low[edge], begin[edge], begin[np.append(edge[1:], len(low)) - 1] + passage if len(low) else low))
+                for line, prints, pos, lo, hi in found:
+                    text = np.searchsorted(ends, pos, side="right") - 1
                     row = pa.array(first + text)
-                    yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array(np.full(len(prints), line)), batch.column(1).take(row), batch.column(2).take(row)],
-                                                     ["fp", "line", "k1", "k2"])
-    return keyed.select("text", "k1", "k2").mapInArrow(rows, "fp long, line boolean, k1 long, k2 long")
+                    yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array(np.full(len(prints), line)), *[pa.array((x - ends[text]).astype(np.int32)) for x in (pos, lo, hi)],
+                                                      batch.column(0).take(row), batch.column(2).take(row)], ["fp", "line", "pos", "lo", "hi", "doc_id", "tie"])
+    return keyed.select("doc_id", "k", "tie", "text").mapInArrow(rows, f"{PRINTS}, doc_id {kind}, tie long")
 
 
-def _runs(keyed: DataFrame, min_words: int, passage: int | None) -> DataFrame:
-    """(run, doc_id, k2, s, e): the shortest runs of lines s to e, of texts with repeated
-    lines; of the others and of these, the passages with a repeated fingerprint, as
-    words s up to -e."""
-    kind = keyed.schema["doc_id"].dataType.simpleString()
+def _requests(prints: DataFrame) -> DataFrame:
+    """(doc_id, tie, from_id, from_tie, wanted): for every document and source the positions
+    whose fingerprint the source holds first, and how far these are apart."""
+    place = F.struct("doc_id", "tie", "pos")
+    # written, so that a fingerprint which occurs everywhere may be split in the join
+    first = written(prints.groupBy("fp", "line").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1").select("fp", "line", "at"), "first-places")
+    later = prints.join(first, ["fp", "line"]).where(place > F.col("at"))
+    wanted = F.struct((F.col("pos") - F.col("at.pos")).alias("apart"), "line", "lo", "hi")
+    pairs = later.select("doc_id", "tie", F.col("at.doc_id").alias("from_id"), F.col("at.tie").alias("from_tie"), wanted.alias("w"))
+    return written(pairs.groupBy("doc_id", "tie", "from_id", "from_tie").agg(F.collect_list("w").alias("wanted")), "requests")
+
+
+def _some(keyed: DataFrame, keys: DataFrame) -> DataFrame:
+    """The documents of ``keys`` (k, tie)."""
+    keys = keys.distinct()
+    return keyed.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, ["k", "tie"], "left_semi")
+
 
+def _signs(single: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Of each word 31 bits of its hash, and whether it ends a line."""
+    out = (single >> np.uint64(33)).astype(np.uint32) << np.uint32(1)
+    out[np.cumsum(sizes) - 1] |= np.uint32(1)
+    return out
+
+
+def _wanted(cell) -> tuple[np.ndarray, ...]:
+    """apart, line, lo, hi of a list of requests."""
+    return tuple(cell.values.field(c).to_numpy(zero_copy_only=False) for c in ("apart", "line", "lo", "hi"))
+
+
+def _slices(sources: DataFrame, kind: str) -> DataFrame:
+    """Per document and source the words of the source that the requests can match: ranges
+    (first word, words) and the words' signs, one after the other."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, signs = None, np.zeros(0, np.uint32)
         for batch in batches:
-            has = np.array(batch.column(3).to_pylist(), bool)
-            for first, single, ends, hashes, words, offsets in _hashed(x.as_py() for x in batch.column(1)):
-                runs = windows(words, offsets, min_words)
-                text = np.searchsorted(offsets, runs[:, 0], side="right") - 1
-                runs, text = runs[has[first + text]], text[has[first + text]]
-                run, at = np.zeros(len(runs), np.uint64), runs[:, 0].copy()
-                going = np.arange(len(runs))
-                while len(going):
-                    run[going] = mix(run[going] + hashes[at[going]])
-                    at[going] += 1
-                    going = going[at[going] <= runs[going, 1]]
-                inside = (runs - offsets[text][:, None]).astype(np.int32)
-                found = [(run, text, inside[:, 0], inside[:, 1])]
-                for k in range(len(ends) - 1 if passage else 0):
-                    own, prints = single[ends[k]:ends[k + 1]], batch.column(4)[first + k]
-                    if len(own) < passage or not len(prints):
-                        continue
-                    grams, low = _passages(own, passage)
-                    s = np.flatnonzero(np.isin(grams[low].view(np.int64), prints.values.to_numpy()))
-                    found.append((mix(window_hashes(own, passage)[s] + np.uint64(passage)), np.full(len(s), k), s.astype(np.int32), -(s + passage).astype(np.int32)))
-                run, text, s, e = (np.concatenate([f[c] for f in found]) for c in range(4))
-                row = pa.array(first + text)
-                yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), *[batch.column(k).take(row) for k in (0, 2)], pa.array(s), pa.array(e)],
-                                                 ["run", "doc_id", "k2", "s", "e"])
-    return keyed.select("doc_id", "text", "k2", "line", "prints").mapInArrow(rows, f"run long, doc_id {kind}, k2 long, s int, e int")
+            out = []
+            for i in range(len(batch)):
+                key = (batch.column(2)[i].as_py(), batch.column(3)[i].as_py())
+                if key != last:
+                    last = key
+                    signs = [_signs(single, words) for _, single, _, _, words, _ in _hashed([batch.column(4)[i].as_py()])][0]
+                apart, _, lo, hi = _wanted(batch.column(5)[i])
+                lo, hi = np.maximum(lo - apart - 1, 0), np.minimum(hi - apart, len(signs))  # a word more, whose line end tells a line's start
+                order = np.argsort(lo, kind="stable")
+                lo, reach = lo[order], np.maximum.accumulate(hi[order])
+                new = np.append(True, lo[1:] > reach[:-1])
+                at = np.flatnonzero(new)
+                start, end = lo[at], reach[np.append(at[1:], len(lo)) - 1]
+                out.append((start.astype(np.int32), (end - start).astype(np.int32), np.concatenate([signs[s:e] for s, e in zip(start, end)]).tobytes()))
+            columns = list(zip(*out)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(columns[0], pa.list_(pa.int32())), pa.array(columns[1], pa.list_(pa.int32())), pa.array(columns[2], pa.binary()), batch.column(5)],
+                                             ["k", "tie", "starts", "sizes", "signs", "wanted"])
+    return sources.mapInArrow(rows, f"k long, tie long, starts array<int>, sizes array<int>, signs binary, wanted {kind}")
+
+
+class Extension:
+    """One document's words, and which of its windows agree with a source."""
+
+    def __init__(self, single: np.ndarray, sizes: np.ndarray, min_words: int, passage: int | None):
+        self.single, self.signs, self.passage = single, _signs(single, sizes), passage or 0
+        self.line = np.concatenate(([0], np.cumsum(sizes)))
+        self.runs = windows(sizes, np.array([0, len(sizes)]), min_words)
+        self.from_, self.to = self.line[self.runs[:, 0]], self.line[self.runs[:, 1] + 1]
+        # of passages (by first word) and runs: looked up, and found again
+        self.asked = [np.zeros(len(single) + 1, bool), np.zeros(len(self.runs), bool)]
+        self.found = [np.zeros(len(single) + 1, bool), np.zeros(len(self.runs), bool)]
+
+    def compare(self, starts: np.ndarray, sizes: np.ndarray, signs: np.ndarray, wanted: tuple[np.ndarray, ...]) -> None:
+        step = max((1 << 22) // max(int((wanted[3] - wanted[2]).max(initial=1)), 1), 1)
+        for k in range(0, len(wanted[0]), step):
+            self._compare(starts, sizes, signs, *(c[k:k + step].astype(np.int64) for c in wanted))
+
+    def _compare(self, starts, sizes, signs, apart, line, lo, hi) -> None:
+        size = hi - lo
+        begin = np.concatenate(([0], np.cumsum(size)))
+        place = np.arange(begin[-1]) - np.repeat(begin[:-1] - lo, size)   # words of the document
+        source = place - np.repeat(apart, size)
+        offset = np.concatenate(([0], np.cumsum(sizes)))
+
+        def sign_at(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            at = np.maximum(np.searchsorted(starts, word, side="right") - 1, 0)
+            inside = (word >= starts[at]) & (word < starts[at] + sizes[at])
+            return inside, signs[np.where(inside, offset[at] + word - starts[at], 0)]
+        inside, theirs = sign_at(source)
+        differ = self.signs[place] ^ theirs
+        same = np.concatenate(([0], np.cumsum(inside & (differ >> np.uint32(1) == 0))))
+        whole = np.concatenate(([0], np.cumsum(inside & (differ == 0))))
+        n = np.where(line == 0, size - self.passage + 1, 0)
+        first = np.repeat(begin[:-1], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        if len(first):
+            ok = same[first + self.passage] - same[first] == self.passage
+            self.asked[0][place[first]] = True
+            self.found[0][place[first[ok]]] = True
+        for r in np.flatnonzero(line):
+            runs = np.arange(*np.searchsorted(self.from_, (lo[r], hi[r])))
+            runs = runs[self.to[runs] <= hi[r]]
+            s, e = begin[r] + self.from_[runs] - lo[r], begin[r] + self.to[runs] - lo[r]
+            before = self.from_[runs] - apart[r]
+            held, sign = sign_at(before - 1)
+            ok = (whole[e] - whole[s] == e - s) & ((before == 0) | held & (sign & np.uint32(1) == 1))
+            self.asked[1][runs] = True
+            self.found[1][runs[ok]] = True
+
+    def deleted(self) -> tuple[np.ndarray, np.ndarray]:
+        """First words and ends of what goes."""
+        s = np.flatnonzero(self.found[0])
+        s, e = np.concatenate((s, self.from_[self.found[1]])), np.concatenate((s + self.passage, self.to[self.found[1]]))
+        edge = np.zeros(len(self.single) + 2, np.int64)
+        np.add.at(edge, s, 1)
+        np.add.at(edge, e, -1)
+        cover = np.diff((np.cumsum(edge) > 0).astype(np.int8), prepend=0)
+        return np.flatnonzero(cover == 1), np.flatnonzero(cover == -1)
+
+    def open(self, hashes: np.ndarray) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray]]:
+        """(line, hashes of all words, first words, ends) of windows that were looked up in vain."""
+        if self.passage:
+            s = np.flatnonzero(self.asked[0] & ~self.found[0])
+            yield False, mix(window_hashes(self.single, self.passage)[s] ^ _PASSAGE) if len(s) else np.zeros(0, np.uint64), s, s + self.passage
+        runs = np.flatnonzero(self.asked[1] & ~self.found[1])
+        run, at, going = np.full(len(runs), _LINE), self.runs[runs, 0].copy(), np.arange(len(runs))
+        while len(going):
+            run[going] = mix(run[going] + hashes[at[going]])
+            at[going] += 1
+            going = going[at[going] <= self.runs[runs[going], 1]]
+        yield True, run, self.from_[runs], self.to[runs]
+
+
+def _extended(own: DataFrame, min_words: int, passage: int | None, kind: str) -> DataFrame:
+    """Of each document the words to delete (rows without ``fp``), and its open windows as
+    fingerprints of the next round."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for i in range(len(batch)):
+                (_, single, _, hashes, sizes, _), = _hashed([batch.column(2)[i].as_py()])
+                one = Extension(single, sizes, min_words, passage)
+                cell = batch.column(3)[i].values
+                for j in range(len(cell)):
+                    starts, lengths, signs = (cell.field(c)[j] for c in ("starts", "sizes", "signs"))
+                    one.compare(starts.values.to_numpy(), lengths.values.to_numpy(), np.frombuffer(signs.as_buffer(), np.uint32), _wanted(cell.field("wanted")[j]))
+                s, e = one.deleted()
+                out.append((i, None, np.zeros(len(s), np.int64), s, e))
+                out += [(i, line, fp.view(np.int64), s, e) for line, fp, s, e in one.open(hashes)]
+            row = np.concatenate([np.full(len(x[3]), x[0]) for x in out])
+            none = np.concatenate([np.full(len(x[3]), x[1] is None) for x in out])
+            line = np.concatenate([np.full(len(x[3]), bool(x[1])) for x in out])
+            fp, s, e = (np.concatenate([x[c] for x in out]) for c in (2, 3, 4))
+            s, e = s.astype(np.int32), e.astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(fp, mask=none), pa.array(line), pa.array(s), pa.array(s), pa.array(e), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))],
+                                             ["fp", "line", "pos", "lo", "hi", "doc_id", "tie"])
+    return own.mapInArrow(rows, f"{PRINTS}, doc_id {kind}, tie long")
+
+
+def _round(keyed: DataFrame, prints: DataFrame, min_words: int, passage: int | None) -> DataFrame:
+    """The matches of ``prints`` with their sources, extended: see _extended."""
+    kind = keyed.schema["doc_id"].dataType.simpleString()
+    requests = _requests(prints)
+    key = lambda c: F.xxhash64(F.col(c).cast("string"))
+    sources = _some(keyed, requests.select(key("from_id").alias("k"), F.col("from_tie").alias("tie"))).select(F.col("k").alias("from_k"), F.col("tie").alias("from_tie"), "text")
+    asked = requests.select(key("doc_id").alias("k"), "tie", key("from_id").alias("from_k"), "from_tie", "wanted")
+    joined = asked.join(sources, ["from_k", "from_tie"]).select("k", "tie", "from_k", "from_tie", "text", "wanted")
+    slices = _slices(joined, requests.schema["wanted"].dataType.simpleString())
+    slices = slices.groupBy("k", "tie").agg(F.collect_list(F.struct("starts", "sizes", "signs", "wanted")).alias("slices"))
+    own = _some(keyed, asked.select("k", "tie")).join(slices, ["k", "tie"]).select("doc_id", "tie", "text", "slices")
+    return written(_extended(own, min_words, passage, kind), "extended")
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, passage_words: int | None = None) -> DataFrame:
-    """(k1, k2, runs): by document, the (first, last) line numbers of runs that occur
-    earlier, in the order of doc_id, text hash and line; with ``passage_words``, also
-    (first, -end) word numbers of the windows of so many words that occur earlier."""
-    keyed = _keys(docs)
-    prints = written(_fingerprints(keyed, min_words, passage_words), "fingerprints")
-    again = prints.groupBy("fp", "line").agg(F.count("*").alias("n")).where("n > 1").select("fp", "line")
-    keys = prints.join(again, ["fp", "line"], "left_semi").groupBy("k1", "k2").agg(F.max("line").alias("line"), F.collect_set(F.when(~F.col("line"), F.col("fp"))).alias("prints"))
-    keys = written(keys, "line-keys")
-    n, held = keys.agg(F.count("*"), F.coalesce(F.sum(F.size("prints")), F.lit(0))).first()
-    keys = F.broadcast(keys) if n <= BROADCAST_KEYS and held <= BROADCAST_PRINTS else keys
-    runs = written(_runs(keyed.join(keys, ["k1", "k2"]), min_words, passage_words), "runs")
-    place = F.struct("doc_id", "k2", "s")
-    # written, so that a run which occurs everywhere may be split in the join
-    first = written(runs.groupBy("run").agg(F.min(place).alias("at"), F.count("*").alias("n")).where("n > 1").select("run", "at"), "first-runs")
-    later = runs.join(first, "run").where(place > F.col("at"))
-    k1 = F.xxhash64(F.col("doc_id").cast("string")).alias("k1")
-    return later.select(k1, "k2", F.struct("s", "e").alias("r")).groupBy("k1", "k2").agg(F.collect_set("r").alias("runs"))
+    """(doc_id, tie, runs): by document the (first, end) word numbers of what occurs earlier,
+    in the order of doc_id, hash of the text where ids repeat, and word."""
+    keyed = _keyed(docs)
+    one = _round(keyed, written(_fingerprints(keyed, min_words, passage_words), "fingerprints"), min_words, passage_words)
+    two = _round(keyed, one.where("fp IS NOT NULL"), min_words, passage_words)
+    gone = one.where("fp IS NULL").unionByName(two.where("fp IS NULL"))
+    return gone.groupBy("doc_id", "tie").agg(F.collect_list(F.struct(F.col("lo").alias("s"), F.col("hi").alias("e"))).alias("runs"))
 
 
 def _cleaned(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
@@ -194,9 +342,8 @@ def _cleaned(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
         line = np.concatenate(([0], np.cumsum([len(_WORD.findall(p)) for p in lines(text)])))  # first word of each
         gone = np.zeros(len(start), np.int64)
         for r in own:
-            s, e = (r["s"], -r["e"]) if r["e"] < 0 else (line[r["s"]], line[r["e"] + 1])
-            gone[s] += 1
-            gone[e] -= 1
+            gone[r["s"]] += 1
+            gone[r["e"]] -= 1
         drop = np.cumsum(gone)[:-1] > 0
         edge = np.flatnonzero(np.diff(drop, prepend=True, append=True))  # kept words from each even one to the next
         kept = "".join(text[start[a]:start[b]] for a, b in zip(edge[::2], edge[1::2]))
@@ -214,11 +361,15 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, passage_words: int
     lines end. Null and empty texts
     stay as they are. Rows that repeat both id and text count as one document and
     keep the same lines; null ids come first. Columns with the new names are replaced."""
+    prepare(docs.sparkSession)
     new = ("n_removed", "words_removed")
     names = [c for c in docs.columns if c not in new]
     one = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "doc_id", "text")
-    keyed = one.withColumn("k1", F.xxhash64(F.col("doc_id").cast("string"))).withColumn("k2", F.xxhash64("text"))
-    out = keyed.join(repeated_runs(one, min_words, passage_words), ["k1", "k2"], "left")
+    runs = repeated_runs(one, min_words, passage_words)
+    runs = runs.select(F.xxhash64(F.col("doc_id").cast("string")).alias("k"), "tie", "runs")
+    keyed = one.withColumn("k", F.xxhash64(F.col("doc_id").cast("string"))).withColumn("h", F.xxhash64("text"))
+    # a tie of 0 stands for any text of the id
+    out = keyed.join(runs, (keyed["k"] == runs["k"]) & ((runs["tie"] == 0) | (runs["tie"] == keyed["h"])), "left")
     out = out.withColumn("__new", F.pandas_udf(_cleaned, "text string, n_removed long, words_removed long")(F.when(F.col("runs").isNotNull(), F.col("text")), "runs"))
     return out.select(*[F.coalesce("__new.text", "text").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in names], *[F.col(f"__new.{c}") for c in new])
 
