@@ -4,12 +4,12 @@ net, its confidence calibrated by a temperature."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +22,8 @@ LANGUAGE_ROWS = 200
 BITS, ORDERS = 14, (1, 2, 3)
 ALPHA, BETA, L1, L2, EPOCHS, BATCH = 1.0, 1.0, 2e-3, 1e-3, 4, 128
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+#: A letter, in training and prediction: Unicode category L.
+_LETTER = regex.compile(r"\p{L}")
 _MUL = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _SLICE = 1 << 18
 
@@ -135,7 +136,7 @@ def _counted(texts: pd.Series) -> pd.DataFrame:
     at, count = [], []
     for t in texts:
         c = ngram_counts(t)
-        own = np.flatnonzero(c)
+        own = np.flatnonzero(c) if _LETTER.search(t) else np.zeros(0, np.int64)
         at.append(own.astype(np.int32))
         count.append(c[own].astype(np.int32))
     return pd.DataFrame({"at": at, "n": count})
@@ -145,13 +146,13 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fitted on about ``sample_rows`` whole texts of ``docs`` (doc_id, text, lang) at
     most, and more of languages that have fewer than LANGUAGE_ROWS of these; chosen by a
     hash of the key. Rows without text, letter or lang don't count."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     n = docs.where(F.col("lang").isNotNull()).count()
     share = min(sample_rows / max(n, 1), 1.0)
     shares = docs.groupBy("lang").agg(F.greatest(F.lit(share), F.lit(float(LANGUAGE_ROWS)) / F.count("*")).alias("share"))  # a row per language
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("language")), F.lit(1 << 30))
     chosen = rows.join(F.broadcast(shares), "lang").where(place < F.floor(F.least("share", F.lit(1.0)) * F.lit(1 << 30)))
-    got = chosen.select("lang", F.pandas_udf(_counted, "at array<int>, n array<int>")("text").alias("f")).select("lang", "f.at", "f.n").toPandas()
+    got = chosen.select("lang", F.pandas_udf(_counted, "at array<int>, n array<int>")("text").alias("f")).select("lang", "f.at", "f.n").where(F.size("at") > 0).toPandas()
     return fit([(lang, np.asarray(at, np.int64), np.asarray(c, np.float64)) for lang, at, c in sorted(zip(got.lang, got["at"], got.n), key=lambda r: (r[0], len(r[1]), int(np.sum(r[2]))))])
 
 

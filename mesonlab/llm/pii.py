@@ -94,18 +94,34 @@ def _confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+#: Matches whose offsets are added up in one go: a copy of the spans so far is never larger.
+CHUNK = 256
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _located(gaps: Column, hits: Column) -> Column:
     """Matches with their code point offsets and the text around them, from the
     matches and the texts between them (one more than matches)."""
     pairs = F.transform(hits, lambda m, i: F.struct(
         m.alias("m"), F.length(F.get(gaps, i)).alias("gap"),
         F.concat_ws(" ", F.substring(F.get(gaps, i), -CONTEXT, CONTEXT), F.substring(F.get(gaps, i + 1), 1, CONTEXT)).alias("near")))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<s:int,e:int,m:string,near:string>>)").alias("out"))
+    none = F.expr("cast(array() as array<struct<s:int,e:int,m:string,near:string>>)")
+
     def step(a, x):
         s = a["at"] + x["gap"]
         e = s + F.length(x["m"])
         return F.struct(e.alias("at"), F.concat(a["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"), x["near"].alias("near")))).alias("out"))
-    return F.aggregate(pairs, start, step, lambda a: a["out"])
+
+    def spans(chunks):
+        lengths = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x["gap"] + F.length(x["m"])))
+        begin = F.aggregate(lengths, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+        return _let(begin, lambda at: F.flatten(F.transform(chunks, lambda c, k: F.aggregate(c, F.struct(F.get(at, k).alias("at"), none.alias("out")), step, lambda a: a["out"]))))
+    chunks = lambda p: F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / CHUNK).cast("int")), lambda k: F.slice(p, k * CHUNK + 1, CHUNK))
+    return F.when(F.size(hits) == 0, none).otherwise(_let(pairs, lambda p: _let(chunks(p), spans)))
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> DataFrame:
@@ -126,11 +142,10 @@ def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> D
 
 def _scored(kind: Kind) -> Column:
     """The confirmed spans of one kind; those of an added kind need MIN_SCORE."""
-    col = F.col(f"__raw_{kind.name}")
-    spans = F.filter(_located(col["gaps"], col["hits"]), lambda x: _confirmed(kind.name, x["m"]))
+    spans = _let(F.col(f"__raw_{kind.name}"), lambda raw: F.filter(_located(raw["gaps"], raw["hits"]), lambda x: _confirmed(kind.name, x["m"])))
     spans = F.transform(spans, lambda x: F.struct(
         F.lit(kind.name).alias("kind"), x["s"].alias("start"), x["e"].alias("end"), F.lit(kind.base).alias("base"),
-        (F.lit(kind.prior) + F.when(F.lower(x["near"]).rlike(kind.context), 0.3).otherwise(0.0)).alias("score")))
+        F.least(F.lit(kind.prior) + F.when(F.lower(x["near"]).rlike(kind.context), 0.3).otherwise(0.0), F.lit(1.0)).alias("score")))
     return spans if kind.base else F.filter(spans, lambda x: x["score"] >= MIN_SCORE)
 
 

@@ -113,24 +113,22 @@ def _share(key: Column, share: float) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column], sample_rows: int = SAMPLE_ROWS) -> Model | float:
-    """The model, fitted on at most about ``sample_rows`` documents labelled 1 and as many
-    without a label, of the keys for which ``learn`` holds; where fewer than a tenth have
-    none, all of them are the unlabelled set. Just the class prior if no document is
-    labelled 1. The prior is the share of 1 among the labelled documents."""
+    """The model, fitted on at most about ``sample_rows`` documents labelled 1 and as many of
+    all documents, as the unlabelled set, of the keys for which ``learn`` holds. Just the
+    class prior if no document is labelled 1. The prior is the share of 1 among the labelled
+    documents. Of an id that repeats, the smallest text counts."""
     key = F.col("doc_id")
     known = labels.select(key, F.col("quality")).where(learn(key) & F.col("quality").isNotNull())
     marks = known.groupBy("doc_id").agg(F.max(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("mark"))
     keys = docs.select(key).where(learn(key)).distinct().join(marks, "doc_id", "left")
-    total, plain, ones = keys.agg(F.count("*"), F.count(F.when(F.col("mark").isNull(), 1)), F.count(F.when(F.col("mark") == 1, 1))).first()
-    prior = min(max(ones / (total - plain), 0.01), 0.99) if total > plain else 0.5
+    total, labelled, ones = keys.agg(F.count("*"), F.count("mark"), F.count(F.when(F.col("mark") == 1, 1))).first()
+    prior = min(max(ones / labelled, 0.01), 0.99) if labelled else 0.5
     if not ones:
         return prior
-    few = plain < min(sample_rows, total) / 10
-    kinds = F.array(F.when((F.col("mark") == 1) & _share(key, sample_rows / ones), 1),
-                    F.when((F.lit(True) if few else F.col("mark").isNull()) & _share(key, sample_rows / (total if few else plain)), 0))
+    kinds = F.array(F.when((F.col("mark") == 1) & _share(key, sample_rows / ones), 1), F.when(_share(key, sample_rows / total), 0))
     chosen = keys.select(key, F.explode(F.array_compact(kinds)).alias("kind"))  # about 2 * sample_rows, whatever the input
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-            .select("kind", F.pandas_udf(_measured, "array<double>")("text").alias("x")).toPandas())
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "kind").agg(F.min("text").alias("text"))  # one of an id's texts
+    rows = texts.select("kind", F.pandas_udf(_measured, "array<double>")("text").alias("x")).toPandas()
     x = {k: np.array(rows.x[rows.kind == k].tolist()).reshape(-1, N_FEATURES) for k in (0, 1)}
     return fit(x[1], x[0], prior) if len(x[0]) and len(x[1]) else prior
 

@@ -203,3 +203,23 @@ def test_tree_is_a_distribution_and_prefers_its_language():
             assert abs((10.0 ** tree.bytes[:256][S.CLASS == c]).sum() - 1) < 1e-9
     like, unlike = tree.spelled([b"the mat "]).sum(), tree.spelled([b"xqz jvk "]).sum()
     assert like > unlike
+
+
+def test_signs_that_are_no_letters_have_no_language(spark):
+    model = L.train(frame(spark, [(i, t, lang) for i in range(40) for t, lang in ((f"the cat and the dog {i}", "en"), (f"der Hund und die Katze {i}", "de"), ("½ ② ³ 12", "xx"))],
+                             "doc_id long, text string, lang string"))
+    assert model.langs == ["de", "en"]
+    df = frame(spark, [(1, "²½①"), (2, "12 __ --"), (3, "the cat"), (4, "ª"), (5, "ⅷ")])
+    got = {r.doc_id: r.lang_pred for r in L.identify(df, model).collect()}
+    assert (got[1], got[2], got[3], got[5]) == ("und", "und", "en", "und") and got[4] != "und"
+
+
+def test_quality_learns_from_labelled_documents_alone(spark):
+    """Every learnable document labelled: all of them are the unlabelled set."""
+    docs = spark.read.parquet(f"{SF2}/documents.parquet").join(spark.read.parquet(f"{SF2}/labels.parquet").select("doc_id"), "doc_id", "left_semi")
+    docs = docs.unionByName(docs.limit(50)).unionByName(docs.limit(50))  # ids that repeat
+    labels = spark.read.parquet(f"{SF2}/labels.parquet")
+    model = Q.train(docs, labels, Q.learned_keys)
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    rows = [r for r in Q.score_documents(docs.dropDuplicates(["doc_id"]), model).collect() if r.doc_id in known]
+    assert sum((r.score >= Q.THRESHOLD) == known[r.doc_id] for r in rows) / len(rows) > 0.93

@@ -79,3 +79,21 @@ def test_native(spark):
 @pytest.mark.parametrize("digits,ok", [("4111111111111111", True), ("4111111111111112", False)])
 def test_luhn(spark, digits, ok):
     assert spark.range(1).select(pii.luhn(F.lit(digits))).first()[0] is ok
+
+
+def test_a_hundred_thousand_spans_in_one_text(spark):
+    """A row's cost follows its text: ten times the spans take about ten times the time."""
+    import time
+    took = {}
+    for n in (1_000, 10_000, 100_000):
+        df = frame(spark, [(1, "a1@b.de 192.168.1.1 " * n)])
+        start = time.time()
+        got = pii.find_pii(df).selectExpr("size(pii) AS n", "pii[0] AS first", "pii[size(pii) - 1] AS last").first()
+        took[n] = time.time() - start
+        assert (got.n, got.first.kind, got.last.kind, got.last.start) == (2 * n, "email", "ip", 20 * n - 12)
+    assert took[100_000] < 40 * took[10_000] + 20
+
+
+def test_scores_stay_within_one(spark):
+    got = pii.find_pii(frame(spark, [(1, "Contact mail: someone@example.org, IBAN bank account DE89 3704 0044 0532 0130 00.")])).first()
+    assert [x.kind for x in got.pii] == ["email", "iban"] and all(0 < x.score <= 1 for x in got.pii)
