@@ -26,8 +26,19 @@ DROPPED = RAW | set("head nav footer aside form button select option input svg c
 CLOSES_P = BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 SCOPE = set("html body article section main div td th table li ul ol dd dl blockquote aside nav header footer form button figure".split())
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-FURNITURE = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|sponsor(?:ed)?|promo|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumbs?|header|masthead|footer|"
-                       r"cookies?|consent|notice|popup|modal|newsletter|subscribe|share|sharing|social|related|recommended|comments?|commentlist|disqus|replies|reply|widget|toolbar|pagination|pager|copyright|legal|hidden)(?:$|[\s_-])", re.I)
+# Names of page furniture; a class or id made of these alone, or of these and the neutral
+# words after them, is furniture. In any other name they make the element lighter.
+FURNITURE = set("""ad ads advert adverts advertisement banner sponsor sponsored promo sidebar menu nav navbar navigation breadcrumb breadcrumbs header masthead footer
+ cookie cookies consent gdpr privacy notice popup modal newsletter subscribe subscription signup share sharing social related recommended widget toolbar pagination pager copyright legal
+ hidden disclaimer paywall""".split())
+NEUTRAL = set("""site page global main top bottom left right side box bar block wrapper wrap container list links link area section slot unit inner outer content group item items row
+ col panel button buttons icon icons primary secondary posts articles stories overlay message text""".split())
+#: Names of readers' comments: alone, or before or after one other word.
+COMMENTS = set("comment comments commentlist discussion disqus reply replies respond responses feedback".split())
+LIGHTER = 0.4
+#: A marked part beside the article needs this share of its characters.
+TEASER = 0.2
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "alert", "alertdialog", "dialog", "toolbar"}
 
 _TAG = re.compile(r"""<!--|<!\[CDATA\[|<[!?]|</?([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</?([a-zA-Z][^\s/>]*)([^>]*)>""")
@@ -35,30 +46,52 @@ _ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "dropped", "main", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "dropped", "main", "chars", "tags", "link_chars", "link_tags", "density", "total", "light", "at", "end")
 
-    def __init__(self, tag, parent, dropped=False, main=False):
-        self.tag, self.parent, self.dropped, self.main = tag, parent, dropped, main
+    def __init__(self, tag, parent, dropped=False, main=False, light=False):
+        self.tag, self.parent, self.dropped, self.main, self.light = tag, parent, dropped, main, light
         self.parts: list = []  # strings and nodes in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.at = self.end = 0  # place in page order, and that of the first node after its subtree
 
 
-def _furniture(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
-    """(page furniture, marked as main content) by the element's tag and attributes."""
+def _named(names: str) -> tuple[bool, bool]:
+    """(furniture, named like it in part) by the words of a class or id."""
+    part = False
+    for name in names.split():
+        words = [w.lower() for w in _WORDS.findall(name)]
+        if not words:
+            continue
+        found = [w in FURNITURE for w in words]
+        if any(w in COMMENTS for w in words) and len(words) <= 3:
+            return True, True
+        if any(found) and all(f or w in NEUTRAL for w, f in zip(words, found)):
+            return True, True
+        part = part or any(found)
+    return False, part
+
+
+def _furniture(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, bool]:
+    """(page furniture, marked as main content, lighter) by the element's tag and attributes."""
     if tag in DROPPED or (tag == "header" and not in_article):
-        return True, False
-    if tag in ("article", "main"):
-        return False, True
+        return True, False, False
+    mark = tag in ("article", "main")
     if not attrs.strip() or tag in ("body", "html"):
-        return False, False
+        return False, mark, False
     found = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)}
     role = found.get("role", "").lower()
-    if role == "main" or "articlebody" in found.get("itemprop", "").lower():
-        return False, True
-    hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I)
-    named = FURNITURE.search(found.get("class", "")) or FURNITURE.search(found.get("id", ""))
-    return bool(hidden or role in ROLES or named), False
+    prop = found.get("itemprop", "").lower()
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
+        return True, False, False
+    if role == "main" or "articlebody" in prop:
+        return False, True, False
+    named, part = _named(found.get("class", "") + " " + found.get("id", ""))
+    if role in ROLES or role == "comment" or "comment" in prop or found.get("itemtype", "").lower().endswith("/comment"):
+        return True, False, False
+    if named and (not mark or any(w in COMMENTS for w in re.findall("[a-z]+", (found.get("class", "") + " " + found.get("id", "")).lower()))):
+        return True, False, False
+    return False, mark, part or named
 
 
 def parse(page: str) -> Node:
@@ -66,6 +99,13 @@ def parse(page: str) -> Node:
     implied end tags, unclosed elements, raw-text elements, comments."""
     root = node = Node("#root", None)
     at = articles = 0
+    opened: dict[str, int] = {}  # elements of each tag among the open ones
+
+    def shut() -> Node:
+        nonlocal articles
+        articles -= node.main
+        opened[node.tag] -= 1
+        return node.parent
     while at < len(page):
         m = _TAG.search(page, at)
         if not m:
@@ -82,7 +122,7 @@ def parse(page: str) -> Node:
             continue
         at = m.end()
         if token[1] == "/":
-            seek = node
+            seek = node if opened.get(tag) else root
             while seek is not root and seek.tag != tag:
                 if tag not in BLOCK and seek.tag in SCOPE:  # a stray inline end tag ends nothing
                     seek = root
@@ -90,14 +130,12 @@ def parse(page: str) -> Node:
                 seek = seek.parent
             if seek is not root:
                 while node is not seek:
-                    articles -= node.main
-                    node = node.parent
-                articles -= node.main
-                node = node.parent
+                    node = shut()
+                node = shut()
             continue
         if tag in CLOSES_P or tag in IMPLIED:
             ends = IMPLIED.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
-            seek, last = node, None
+            seek, last = node if any(opened.get(e) for e in ends) else root, None
             while seek is not root:
                 if seek.tag in ends:
                     last = seek
@@ -106,11 +144,11 @@ def parse(page: str) -> Node:
                 seek = seek.parent
             if last is not None:
                 while node is not last:
-                    node = node.parent
-                node = node.parent
+                    node = shut()
+                node = shut()
         attrs = m.group(2) or m.group(4) or ""
-        dropped, main = _furniture(tag, attrs, articles > 0)
-        child = Node(tag, node, dropped, main)
+        dropped, main, light = _furniture(tag, attrs, articles > 0)
+        child = Node(tag, node, dropped, main, light)
         node.parts.append(child)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
@@ -121,6 +159,7 @@ def parse(page: str) -> Node:
         elif tag not in VOID and not attrs.endswith("/"):
             node = child
             articles += main
+            opened[tag] = opened.get(tag, 0) + 1
     return root
 
 
@@ -137,7 +176,12 @@ def _measure(root: Node) -> list[Node]:
         for x in reversed(node.parts):
             if isinstance(x, Node) and not x.dropped:
                 stack.append((x, in_link))
+    for k, node in enumerate(order):
+        node.at = node.end = k
     for node in reversed(order):
+        node.end = max(node.end, node.at + 1)
+        if node.parent is not None and node is not root:
+            node.parent.end = max(node.parent.end, node.end)
         for x in node.parts:
             if isinstance(x, Node) and not x.dropped:
                 node.chars += x.chars
@@ -150,6 +194,7 @@ def _measure(root: Node) -> list[Node]:
         c, t, lc, lt = node.chars, max(node.tags, 1), max(node.link_chars, 1), max(node.link_tags, 1)
         base = math.log(c * lc / max(c - node.link_chars, 1) + ratio * c + math.e)
         node.density = c / t * math.log(max(c * t / (lc * lt), 1.0) + 1e-9) / math.log(max(base, 1.0 + 1e-9)) if c else 0.0
+        node.density *= LIGHTER if node.light else 1.0
     for node in reversed(order):
         if node.parent is not None and node is not root:
             node.parent.total += node.density
@@ -185,10 +230,11 @@ def _chosen(order: list[Node]) -> list[Node]:
     if marked is None and best.tag in ("body", "html", "#root"):
         return [best]
     own, out, covered = marked or best, [], set()
+    least = TEASER * own.chars if marked is not None else 0  # a small mark beside the article is a teaser
     for node in order:  # parents come before their children
         if node.parent in covered:
             covered.add(node)
-        elif node is own or (node.chars and node.density >= threshold and node.link_chars <= 0.5 * node.chars
+        elif node is own or (node.chars > least and node.density >= threshold and node.link_chars <= 0.5 * node.chars
                              and (node.main if marked is not None else node.tag in BLOCK and node is not body and _within(node, body)) and not _within(own, node)):
             covered.add(node)
             out.append(node)
@@ -196,9 +242,7 @@ def _chosen(order: list[Node]) -> list[Node]:
 
 
 def _within(node: Node, top: Node) -> bool:
-    while node is not None and node is not top:
-        node = node.parent
-    return node is top
+    return top.at <= node.at < top.end
 
 
 def _blocks(node: Node) -> Iterator[str]:
