@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mesonlab.llm.common import mix, prepare, table, window_hashes, word_hashes, written
 
@@ -29,8 +30,9 @@ MIN_WORDS = 25
 #: Words that a repeated passage has at least, wherever its lines end; and those of the
 #: grams that its fingerprints are taken from.
 PASSAGE_WORDS, SHINGLE_WORDS = 50, 16
-#: Keys of documents that may be broadcast (16 bytes each); more are joined by a shuffle.
-BROADCAST_KEYS = 250_000
+#: Keys of documents that may be broadcast (24 bytes each), and deleted runs with them (16
+#: bytes each); more are joined by a shuffle.
+BROADCAST_KEYS, BROADCAST_RUNS = 500_000, 1_000_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _WEIGHT = np.random.default_rng(5).integers(1, 1 << 63, 1 << 12, dtype=np.uint64) | np.uint64(1)
 #: Told apart in the fingerprints: lines and passages.
@@ -101,41 +103,49 @@ def _passages(hashes: np.ndarray, passage: int) -> tuple[np.ndarray, np.ndarray]
     return grams, _lowest(grams, passage - size + 1)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, k, tie, text): every document once, in the order of (doc_id, tie). Where no id
-    repeats, the id alone is a document's key; else the hash of the text goes with it."""
-    one = docs.select("doc_id", "text", F.xxhash64(F.col("doc_id").cast("string")).alias("k"))
-    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if again > 1:
-        return one.withColumn("tie", F.xxhash64("text")).dropDuplicates(["k", "tie"])
-    return one.withColumn("tie", F.lit(0).cast("long"))
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(num, text): every document once, with numbers below 2^32 in the order of id, null ids
+    first, and of the text's hash where ids repeat; and (k, tie, num) of the documents, or None
+    where ids are such numbers themselves."""
+    kind = docs.schema["doc_id"].dataType
+    whole = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    ends = [F.min("doc_id"), F.max("doc_id")] if whole else [F.lit(-1), F.lit(-1)]
+    rows, ids, low, high = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id"), *ends).first()
+    if not rows or whole and rows == ids and low >= 0 and high < 1 << 32:
+        return docs.select(F.col("doc_id").cast("long").alias("num"), "text"), None
+    one = docs.select("doc_id", "text", _key(), F.xxhash64("text").alias("tie"))
+    keys = written(one.select("doc_id", "k", "tie").distinct().sort("doc_id", "tie").select("k", "tie", F.monotonically_increasing_id().alias("at")), "numbers")
+    part, row = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
+    sizes = dict(keys.groupBy(part.alias("p")).agg(F.max(row)).collect())  # a row per partition of the sort
+    before, start = [], 0
+    for p in range(max(sizes) + 1):
+        before.append(start)
+        start += sizes[p] + 1 if p in sizes else 0
+    keys = keys.select("k", "tie", (F.element_at(F.array(*[F.lit(n).cast("long") for n in before]), part.cast("int") + 1) + row).alias("num"))
+    found = one.join(F.broadcast(keys) if start <= BROADCAST_KEYS else keys, ["k", "tie"]).select("num", "text")
+    return (found.dropDuplicates(["num"]) if start < rows else found), keys
 
 
-PRINTS = "fp long, line boolean, pos int, lo int, hi int"
+def _key():
+    return F.xxhash64(F.col("doc_id").cast("string"), F.col("doc_id").isNull()).alias("k")
+
+
+PRINTS = "fp long, num long, line boolean, pos int, lo int, hi int"
 
 
 def _fingerprints(keyed: DataFrame, min_words: int, passage: int | None) -> DataFrame:
     """Fingerprints of lines and, if asked for, of passages: ``pos`` is the fingerprint's first
     word, ``lo`` to ``hi`` the words of all windows that chose it."""
-    kind = keyed.schema["doc_id"].dataType.simpleString()
-
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, single, ends, hashes, words, offsets in _hashed(x.as_py() for x in batch.column(3)):
+            for first, single, ends, hashes, words, offsets in _hashed(x.as_py() for x in batch.column(1)):
                 start = np.concatenate(([0], np.cumsum(words)))
                 runs = windows(words, offsets, min_words)
-                best, at = runs[:, 0].copy(), runs[:, 0].copy()
-                going = np.flatnonzero(at < runs[:, 1])
-                while len(going):  # the longest line of each window, of equals that of the smallest hash
-                    at[going] += 1
-                    new, old = at[going], best[going]
-                    better = (words[new] > words[old]) | (words[new] == words[old]) & (hashes[new] < hashes[old])
-                    best[going] = np.where(better, new, old)
-                    going = going[at[going] < runs[going, 1]]
-                chosen, which = np.unique(best, return_inverse=True)
-                lo, hi = np.full(len(chosen), len(single)), np.zeros(len(chosen), np.int64)
-                np.minimum.at(lo, which, start[runs[:, 0]])
-                np.maximum.at(hi, which, start[runs[:, 1] + 1])
+                best = _longest(runs, words, hashes)
+                order = np.argsort(best, kind="stable")
+                edge = np.flatnonzero(np.diff(best[order], prepend=-1) != 0)
+                chosen = best[order][edge]
+                lo, hi = (np.minimum.reduceat(start[runs[order, 0]], edge), np.maximum.reduceat(start[runs[order, 1] + 1], edge)) if len(edge) else (chosen, chosen)
                 found = [(True, mix(hashes[chosen] ^ _LINE), start[chosen], lo, hi)]
                 if passage:
                     grams, low = _passages(single, passage)
@@ -146,28 +156,40 @@ def _fingerprints(keyed: DataFrame, min_words: int, passage: int | None) -> Data
                     found.append((False, mix(grams[low[edge]] ^ _PASSAGE), low[edge], begin[edge], begin[np.append(edge[1:], len(low)) - 1] + passage if len(low) else low))
                 for line, prints, pos, lo, hi in found:
                     text = np.searchsorted(ends, pos, side="right") - 1
-                    row = pa.array(first + text)
-                    yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array(np.full(len(prints), line)), *[pa.array((x - ends[text]).astype(np.int32)) for x in (pos, lo, hi)],
-                                                      batch.column(0).take(row), batch.column(2).take(row)], ["fp", "line", "pos", "lo", "hi", "doc_id", "tie"])
-    return keyed.select("doc_id", "k", "tie", "text").mapInArrow(rows, f"{PRINTS}, doc_id {kind}, tie long")
+                    yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), batch.column(0).take(pa.array(first + text)), pa.array(np.full(len(prints), line)),
+                                                      *[pa.array((x - ends[text]).astype(np.int32)) for x in (pos, lo, hi)]], ["fp", "num", "line", "pos", "lo", "hi"])
+    return keyed.mapInArrow(rows, PRINTS)
+
+
+def _longest(runs: np.ndarray, words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The longest line of each run, of equals that of the smallest hash."""
+    best, at = runs[:, 0].copy(), runs[:, 0].copy()
+    going = np.flatnonzero(at < runs[:, 1])
+    while len(going):
+        at[going] += 1
+        new, old = at[going], best[going]
+        better = (words[new] > words[old]) | (words[new] == words[old]) & (hashes[new] < hashes[old])
+        best[going] = np.where(better, new, old)
+        going = going[at[going] < runs[going, 1]]
+    return best
 
 
 def _requests(prints: DataFrame) -> DataFrame:
-    """(doc_id, tie, from_id, from_tie, wanted): for every document and source the positions
-    whose fingerprint the source holds first, and how far these are apart."""
-    place = F.struct("doc_id", "tie", "pos")
+    """(num, source, wanted): for every document and source the positions whose fingerprint
+    the source holds first, and how far these are apart."""
+    place = F.shiftleft("num", 31).bitwiseOR(F.col("pos").cast("long"))
     # written, so that a fingerprint which occurs everywhere may be split in the join
-    first = written(prints.groupBy("fp", "line").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1").select("fp", "line", "at"), "first-places")
-    later = prints.join(first, ["fp", "line"]).where(place > F.col("at"))
-    wanted = F.struct((F.col("pos") - F.col("at.pos")).alias("apart"), "line", "lo", "hi")
-    pairs = later.select("doc_id", "tie", F.col("at.doc_id").alias("from_id"), F.col("at.tie").alias("from_tie"), wanted.alias("w"))
-    return written(pairs.groupBy("doc_id", "tie", "from_id", "from_tie").agg(F.collect_list("w").alias("wanted")), "requests")
+    first = written(prints.groupBy("fp").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1").select("fp", "at"), "first-places")
+    later = prints.join(first.hint("shuffle_hash"), "fp").where(place > F.col("at"))
+    wanted = F.struct((F.col("pos") - F.col("at").bitwiseAND((1 << 31) - 1)).cast("int").alias("apart"), "line", "lo", "hi", "pos")
+    pairs = later.select("num", F.shiftrightunsigned("at", 31).alias("source"), wanted.alias("w"))
+    return written(pairs.groupBy("num", "source").agg(F.collect_list("w").alias("wanted")), "requests")
 
 
 def _some(keyed: DataFrame, keys: DataFrame) -> DataFrame:
-    """The documents of ``keys`` (k, tie)."""
+    """The documents whose numbers ``keys`` holds."""
     keys = keys.distinct()
-    return keyed.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, ["k", "tie"], "left_semi")
+    return keyed.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, "num", "left_semi")
 
 
 def _signs(single: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -178,78 +200,96 @@ def _signs(single: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _wanted(cell) -> tuple[np.ndarray, ...]:
-    """apart, line, lo, hi of a list of requests."""
-    return tuple(cell.values.field(c).to_numpy(zero_copy_only=False) for c in ("apart", "line", "lo", "hi"))
+    """apart, line, lo, hi, pos of a list of requests."""
+    return tuple(cell.values.field(c).to_numpy(zero_copy_only=False) for c in ("apart", "line", "lo", "hi", "pos"))
 
 
 def _slices(sources: DataFrame, kind: str) -> DataFrame:
     """Per document and source the words of the source that the requests can match: ranges
     (first word, words) and the words' signs, one after the other."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, signs = None, np.zeros(0, np.uint32)
         for batch in batches:
-            out = []
-            for i in range(len(batch)):
-                key = (batch.column(2)[i].as_py(), batch.column(3)[i].as_py())
-                if key != last:
-                    last = key
-                    signs = [_signs(single, words) for _, single, _, _, words, _ in _hashed([batch.column(4)[i].as_py()])][0]
-                apart, _, lo, hi = _wanted(batch.column(5)[i])
-                lo, hi = np.maximum(lo - apart - 1, 0), np.minimum(hi - apart, len(signs))  # a word more, whose line end tells a line's start
-                order = np.argsort(lo, kind="stable")
-                lo, reach = lo[order], np.maximum.accumulate(hi[order])
-                new = np.append(True, lo[1:] > reach[:-1])
-                at = np.flatnonzero(new)
-                start, end = lo[at], reach[np.append(at[1:], len(lo)) - 1]
-                out.append((start.astype(np.int32), (end - start).astype(np.int32), np.concatenate([signs[s:e] for s, e in zip(start, end)]).tobytes()))
+            source, out = batch.column(1).to_numpy(), [None] * len(batch)
+            some, at, which = np.unique(source, return_index=True, return_inverse=True)
+            by_source = np.argsort(which, kind="stable")
+            edge = np.searchsorted(which[by_source], np.arange(len(some) + 1))
+            for first, single, ends, _, words, offsets in _hashed(batch.column(2)[int(i)].as_py() for i in at):
+                signs = _signs(single, words)
+                for k in range(len(ends) - 1):
+                    own = signs[ends[k]:ends[k + 1]]
+                    for i in by_source[edge[first + k]:edge[first + k + 1]].tolist():
+                        apart, _, lo, hi, _ = _wanted(batch.column(3)[i])
+                        lo, hi = np.maximum(lo - apart - 1, 0), np.minimum(hi - apart, len(own))  # a word more, whose line end tells a line's start
+                        order = np.argsort(lo, kind="stable")
+                        lo, reach = lo[order], np.maximum.accumulate(hi[order])
+                        new = np.flatnonzero(np.append(True, lo[1:] > reach[:-1]))
+                        start, end = lo[new], reach[np.append(new[1:], len(lo)) - 1]
+                        out[i] = (start.astype(np.int32), (end - start).astype(np.int32), np.concatenate([own[s:e] for s, e in zip(start, end)]).tobytes())
             columns = list(zip(*out)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(columns[0], pa.list_(pa.int32())), pa.array(columns[1], pa.list_(pa.int32())), pa.array(columns[2], pa.binary()), batch.column(5)],
-                                             ["k", "tie", "starts", "sizes", "signs", "wanted"])
-    return sources.mapInArrow(rows, f"k long, tie long, starts array<int>, sizes array<int>, signs binary, wanted {kind}")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(columns[0], pa.list_(pa.int32())), pa.array(columns[1], pa.list_(pa.int32())), pa.array(columns[2], pa.binary()), batch.column(3)],
+                                             ["num", "starts", "sizes", "signs", "wanted"])
+    return sources.mapInArrow(rows, f"num long, starts array<int>, sizes array<int>, signs binary, wanted {kind}")
 
 
 class Extension:
-    """One document's words, and which of its windows agree with a source."""
+    """One document's words, and which of its windows agree with a source. In the second
+    round a request (``exact``) is for the one window that it spans."""
 
-    def __init__(self, single: np.ndarray, sizes: np.ndarray, min_words: int, passage: int | None):
-        self.single, self.signs, self.passage = single, _signs(single, sizes), passage or 0
-        self.line = np.concatenate(([0], np.cumsum(sizes)))
+    def __init__(self, single: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, min_words: int, passage: int | None, exact: bool = False):
+        self.single, self.signs, self.passage, self.exact = single, _signs(single, sizes), passage or 0, exact
+        line = np.concatenate(([0], np.cumsum(sizes)))
         self.runs = windows(sizes, np.array([0, len(sizes)]), min_words)
-        self.from_, self.to = self.line[self.runs[:, 0]], self.line[self.runs[:, 1] + 1]
+        self.from_, self.to = line[self.runs[:, 0]], line[self.runs[:, 1] + 1]
+        self.print = self.from_ if exact else line[_longest(self.runs, sizes, hashes)]
         # of passages (by first word) and runs: looked up, and found again
         self.asked = [np.zeros(len(single) + 1, bool), np.zeros(len(self.runs), bool)]
         self.found = [np.zeros(len(single) + 1, bool), np.zeros(len(self.runs), bool)]
 
     def compare(self, starts: np.ndarray, sizes: np.ndarray, signs: np.ndarray, wanted: tuple[np.ndarray, ...]) -> None:
-        step = max((1 << 22) // max(int((wanted[3] - wanted[2]).max(initial=1)), 1), 1)
-        for k in range(0, len(wanted[0]), step):
-            self._compare(starts, sizes, signs, *(c[k:k + step].astype(np.int64) for c in wanted))
-
-    def _compare(self, starts, sizes, signs, apart, line, lo, hi) -> None:
-        size = hi - lo
+        order = np.lexsort((wanted[2], wanted[0]))
+        total = np.cumsum(wanted[3][order].astype(np.int64) - wanted[2][order])
+        cuts = np.searchsorted(total, np.arange(0, total[-1] + 1, 1 << 22), side="left")
+        for k, n in zip(cuts, np.append(cuts[1:], len(order))):
+            if n > k:
+                self._compare(starts, sizes, signs, *(c[order[k:n]].astype(np.int64) for c in wanted))
+
+    def _compare(self, starts, sizes, signs, apart, line, lo, hi, pos) -> None:
+        """Requests in the order of (apart, lo): those that overlap share their words."""
+        lift = np.concatenate(([0], np.cumsum(np.diff(apart) != 0))) * (1 << 32)
+        reach = np.maximum.accumulate(lift + hi)
+        new = np.append(True, (lift + lo)[1:] > reach[:-1])
+        which, at = np.cumsum(new) - 1, np.flatnonzero(new)
+        left = lo[at]
+        size = (reach - lift)[np.append(at[1:], len(lo)) - 1] - left
         begin = np.concatenate(([0], np.cumsum(size)))
-        place = np.arange(begin[-1]) - np.repeat(begin[:-1] - lo, size)   # words of the document
-        source = place - np.repeat(apart, size)
-        offset = np.concatenate(([0], np.cumsum(sizes)))
+        place = np.arange(begin[-1]) - np.repeat(begin[:-1] - left, size)   # words of the document
+        source = place - np.repeat(apart[at], size)
+        offset = np.concatenate(([0], np.cumsum(sizes))) - np.append(starts, 0)
 
         def sign_at(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            at = np.maximum(np.searchsorted(starts, word, side="right") - 1, 0)
-            inside = (word >= starts[at]) & (word < starts[at] + sizes[at])
-            return inside, signs[np.where(inside, offset[at] + word - starts[at], 0)]
+            k = np.maximum(np.searchsorted(starts, word, side="right") - 1, 0)
+            inside = (word >= starts[k]) & (word < starts[k] + sizes[k])
+            return inside, signs[np.where(inside, offset[k] + word, 0)]
         inside, theirs = sign_at(source)
         differ = self.signs[place] ^ theirs
-        same = np.concatenate(([0], np.cumsum(inside & (differ >> np.uint32(1) == 0))))
-        whole = np.concatenate(([0], np.cumsum(inside & (differ == 0))))
-        n = np.where(line == 0, size - self.passage + 1, 0)
-        first = np.repeat(begin[:-1], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        same = np.concatenate(([0], np.cumsum(inside & (differ <= 1), dtype=np.int32)))
+        own = begin[which] - left[which]                                    # from words to places in these arrays
+        n = np.where(line == 0, hi - lo - self.passage + 1, 0)
+        first = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         if len(first):
-            ok = same[first + self.passage] - same[first] == self.passage
-            self.asked[0][place[first]] = True
-            self.found[0][place[first[ok]]] = True
-        for r in np.flatnonzero(line):
-            runs = np.arange(*np.searchsorted(self.from_, (lo[r], hi[r])))
-            runs = runs[self.to[runs] <= hi[r]]
-            s, e = begin[r] + self.from_[runs] - lo[r], begin[r] + self.to[runs] - lo[r]
+            to = first + np.repeat(own, n)
+            ok = same[to + self.passage] - same[to] == self.passage
+            self.asked[0][first] = True
+            self.found[0][first[ok]] = True
+        rows = np.flatnonzero(line)
+        if len(rows):
+            whole = np.concatenate(([0], np.cumsum(inside & (differ == 0), dtype=np.int32)))
+            k, e = np.searchsorted(self.from_, lo[rows]), np.searchsorted(self.from_, hi[rows])
+            r = np.repeat(rows, e - k)
+            runs = np.repeat(k, e - k) + np.arange(len(r)) - np.repeat(np.cumsum(e - k) - (e - k), e - k)
+            fits = (self.to[runs] == hi[r]) & (self.from_[runs] == lo[r]) if self.exact else (self.to[runs] <= hi[r]) & (self.print[runs] == pos[r])
+            runs, r = runs[fits], r[fits]
+            s, e = self.from_[runs] + own[r], self.to[runs] + own[r]
             before = self.from_[runs] - apart[r]
             held, sign = sign_at(before - 1)
             ok = (whole[e] - whole[s] == e - s) & ((before == 0) | held & (sign & np.uint32(1) == 1))
@@ -260,6 +300,8 @@ class Extension:
         """First words and ends of what goes."""
         s = np.flatnonzero(self.found[0])
         s, e = np.concatenate((s, self.from_[self.found[1]])), np.concatenate((s + self.passage, self.to[self.found[1]]))
+        if not len(s):
+            return s, e
         edge = np.zeros(len(self.single) + 2, np.int64)
         np.add.at(edge, s, 1)
         np.add.at(edge, e, -1)
@@ -268,9 +310,11 @@ class Extension:
 
     def open(self, hashes: np.ndarray) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray]]:
         """(line, hashes of all words, first words, ends) of windows that were looked up in vain."""
-        if self.passage:
-            s = np.flatnonzero(self.asked[0] & ~self.found[0])
-            yield False, mix(window_hashes(self.single, self.passage)[s] ^ _PASSAGE) if len(s) else np.zeros(0, np.uint64), s, s + self.passage
+        if self.exact:
+            return
+        s = np.flatnonzero(self.asked[0] & ~self.found[0])
+        if len(s):
+            yield False, mix(window_hashes(self.single, self.passage)[s] ^ _PASSAGE), s, s + self.passage
         runs = np.flatnonzero(self.asked[1] & ~self.found[1])
         run, at, going = np.full(len(runs), _LINE), self.runs[runs, 0].copy(), np.arange(len(runs))
         while len(going):
@@ -280,54 +324,52 @@ class Extension:
         yield True, run, self.from_[runs], self.to[runs]
 
 
-def _extended(own: DataFrame, min_words: int, passage: int | None, kind: str) -> DataFrame:
+def _extended(own: DataFrame, min_words: int, passage: int | None, exact: bool) -> DataFrame:
     """Of each document the words to delete (rows without ``fp``), and its open windows as
     fingerprints of the next round."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for i in range(len(batch)):
-                (_, single, _, hashes, sizes, _), = _hashed([batch.column(2)[i].as_py()])
-                one = Extension(single, sizes, min_words, passage)
-                cell = batch.column(3)[i].values
-                for j in range(len(cell)):
-                    starts, lengths, signs = (cell.field(c)[j] for c in ("starts", "sizes", "signs"))
-                    one.compare(starts.values.to_numpy(), lengths.values.to_numpy(), np.frombuffer(signs.as_buffer(), np.uint32), _wanted(cell.field("wanted")[j]))
-                s, e = one.deleted()
-                out.append((i, None, np.zeros(len(s), np.int64), s, e))
-                out += [(i, line, fp.view(np.int64), s, e) for line, fp, s, e in one.open(hashes)]
-            row = np.concatenate([np.full(len(x[3]), x[0]) for x in out])
-            none = np.concatenate([np.full(len(x[3]), x[1] is None) for x in out])
-            line = np.concatenate([np.full(len(x[3]), bool(x[1])) for x in out])
-            fp, s, e = (np.concatenate([x[c] for x in out]) for c in (2, 3, 4))
+            for first, single, ends, hashes, sizes, offsets in _hashed(x.as_py() for x in batch.column(1)):
+                for k in range(len(ends) - 1):
+                    lines_ = slice(offsets[k], offsets[k + 1])
+                    one = Extension(single[ends[k]:ends[k + 1]], sizes[lines_], hashes[lines_], min_words, passage, exact)
+                    cell = batch.column(2)[first + k].values
+                    starts, lengths, signs, wanted = (cell.field(c) for c in ("starts", "sizes", "signs", "wanted"))
+                    for j in range(len(cell)):
+                        one.compare(starts[j].values.to_numpy(), lengths[j].values.to_numpy(), np.frombuffer(signs[j].as_buffer(), np.uint32), _wanted(wanted[j]))
+                    s, e = one.deleted()
+                    out.append((first + k, None, np.zeros(len(s), np.int64), s, e))
+                    out += [(first + k, line, fp.view(np.int64), s, e) for line, fp, s, e in one.open(hashes[lines_])]
+            many = np.array([len(x[3]) for x in out], np.int64)
+            row, none, line = (np.repeat(np.array(x), many) for x in ([x[0] for x in out], [x[1] is None for x in out], [bool(x[1]) for x in out]))
+            fp, s, e = (np.concatenate([np.zeros(0, np.int64), *(x[c] for x in out)]) for c in (2, 3, 4))
             s, e = s.astype(np.int32), e.astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(fp, mask=none), pa.array(line), pa.array(s), pa.array(s), pa.array(e), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))],
-                                             ["fp", "line", "pos", "lo", "hi", "doc_id", "tie"])
-    return own.mapInArrow(rows, f"{PRINTS}, doc_id {kind}, tie long")
+            yield pa.RecordBatch.from_arrays([pa.array(fp, mask=none.astype(bool)), batch.column(0).take(pa.array(row.astype(np.int64))), pa.array(line.astype(bool)), pa.array(s), pa.array(s), pa.array(e)],
+                                             ["fp", "num", "line", "pos", "lo", "hi"])
+    return own.mapInArrow(rows, PRINTS)
 
 
-def _round(keyed: DataFrame, prints: DataFrame, min_words: int, passage: int | None) -> DataFrame:
+def _round(keyed: DataFrame, prints: DataFrame, min_words: int, passage: int | None, exact: bool) -> DataFrame:
     """The matches of ``prints`` with their sources, extended: see _extended."""
-    kind = keyed.schema["doc_id"].dataType.simpleString()
     requests = _requests(prints)
-    key = lambda c: F.xxhash64(F.col(c).cast("string"))
-    sources = _some(keyed, requests.select(key("from_id").alias("k"), F.col("from_tie").alias("tie"))).select(F.col("k").alias("from_k"), F.col("tie").alias("from_tie"), "text")
-    asked = requests.select(key("doc_id").alias("k"), "tie", key("from_id").alias("from_k"), "from_tie", "wanted")
-    joined = asked.join(sources, ["from_k", "from_tie"]).select("k", "tie", "from_k", "from_tie", "text", "wanted")
+    sources = _some(keyed, requests.select(F.col("source").alias("num"))).withColumnRenamed("num", "source")
+    joined = requests.join(sources, "source").select("num", "source", "text", "wanted")
     slices = _slices(joined, requests.schema["wanted"].dataType.simpleString())
-    slices = slices.groupBy("k", "tie").agg(F.collect_list(F.struct("starts", "sizes", "signs", "wanted")).alias("slices"))
-    own = _some(keyed, asked.select("k", "tie")).join(slices, ["k", "tie"]).select("doc_id", "tie", "text", "slices")
-    return written(_extended(own, min_words, passage, kind), "extended")
-
-
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, passage_words: int | None = None) -> DataFrame:
-    """(doc_id, tie, runs): by document the (first, end) word numbers of what occurs earlier,
-    in the order of doc_id, hash of the text where ids repeat, and word."""
-    keyed = _keyed(docs)
-    one = _round(keyed, written(_fingerprints(keyed, min_words, passage_words), "fingerprints"), min_words, passage_words)
-    two = _round(keyed, one.where("fp IS NOT NULL"), min_words, passage_words)
+    slices = slices.groupBy("num").agg(F.collect_list(F.struct("starts", "sizes", "signs", "wanted")).alias("slices"))
+    own = _some(keyed, requests.select("num")).join(slices, "num").select("num", "text", "slices")
+    return written(_extended(own, min_words, passage, exact), "extended")
+
+
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, passage_words: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(num, runs): by document the (first, end) word numbers of what occurs earlier, in the
+    order of id, hash of the text where ids repeat, and word; and the documents' numbers, as of
+    _keyed."""
+    keyed, numbers = _keyed(docs)
+    one = _round(keyed, written(_fingerprints(keyed, min_words, passage_words), "fingerprints"), min_words, passage_words, False)
+    two = _round(keyed, one.where("fp IS NOT NULL"), min_words, passage_words, True)
     gone = one.where("fp IS NULL").unionByName(two.where("fp IS NULL"))
-    return gone.groupBy("doc_id", "tie").agg(F.collect_list(F.struct(F.col("lo").alias("s"), F.col("hi").alias("e"))).alias("runs"))
+    return gone.groupBy("num").agg(F.collect_list(F.struct(F.col("lo").alias("s"), F.col("hi").alias("e"))).alias("runs")), numbers
 
 
 def _cleaned(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
@@ -339,7 +381,8 @@ def _cleaned(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
             continue
         start = np.array([m.start() for m in _WORD.finditer(text)] + [len(text)])
         start[0] = 0
-        line = np.concatenate(([0], np.cumsum([len(_WORD.findall(p)) for p in lines(text)])))  # first word of each
+        (_, _, _, _, sizes, _), = _hashed([text])
+        line = np.concatenate(([0], np.cumsum(sizes)))  # first word of each
         gone = np.zeros(len(start), np.int64)
         for r in own:
             gone[r["s"]] += 1
@@ -365,11 +408,15 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, passage_words: int
     new = ("n_removed", "words_removed")
     names = [c for c in docs.columns if c not in new]
     one = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "doc_id", "text")
-    runs = repeated_runs(one, min_words, passage_words)
-    runs = runs.select(F.xxhash64(F.col("doc_id").cast("string")).alias("k"), "tie", "runs")
-    keyed = one.withColumn("k", F.xxhash64(F.col("doc_id").cast("string"))).withColumn("h", F.xxhash64("text"))
-    # a tie of 0 stands for any text of the id
-    out = keyed.join(runs, (keyed["k"] == runs["k"]) & ((runs["tie"] == 0) | (runs["tie"] == keyed["h"])), "left")
+    runs, numbers = repeated_runs(one.select("doc_id", "text"), min_words, passage_words)
+    if numbers is None:
+        keyed, on = one.withColumn("num", F.col("doc_id").cast("long")), ["num"]
+    else:
+        keyed, on = one.withColumns({"k": _key(), "tie": F.xxhash64("text")}), ["k", "tie"]
+        runs = runs.join(numbers, "num").select("k", "tie", "runs")
+    runs = written(runs, "later-runs")
+    n, held = runs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()
+    out = keyed.join(F.broadcast(runs) if n <= BROADCAST_KEYS and held <= BROADCAST_RUNS else runs, on, "left")
     out = out.withColumn("__new", F.pandas_udf(_cleaned, "text string, n_removed long, words_removed long")(F.when(F.col("runs").isNotNull(), F.col("text")), "runs"))
     return out.select(*[F.coalesce("__new.text", "text").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in names], *[F.col(f"__new.{c}") for c in new])
 
