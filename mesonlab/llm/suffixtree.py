@@ -1,411 +1,338 @@
-"""Language model scoring with a probabilistic suffix tree of two layers.
-
-Words: the root knows how often each token occurred; a context, the token before, is
-kept if its next-token distribution diverges from the root's. A kept context v gives
-(max(c(v, w) - 1, 0) + left(v) P(w)) / c(v), where left(v) is what the subtracted ones
-and the pairs seen once leave; so only pairs seen twice or more are stored, and the
-distribution sums to 1. Other contexts give the root's P(w).
-
-Characters: the root's P(w) = (count + V p) / (N + V), where p is the probability of
-spelling the token by contexts of up to DEPTH symbols, each kept if its distribution
-diverges from its parent's, smoothed by it. New words are scored by this layer alone.
-
-Symbols are classes of UTF-8 bytes (fixed, at most 64), a byte's share of its class
-is scored apart; so this layer has at most 64^(DEPTH+1) counts. Words, pairs and
-contexts grow with the corpus: they are counted in buckets of keys and dealt back to
-the blocks of documents that hold them, never collected."""
+"""Language model scoring with a probabilistic suffix tree over words.
+
+The alphabet is that of the base score: the training tokens and one symbol for all other
+words. The root gives a token seen c times (c - D) / N and the other symbol D V / N. A
+context is the run of one to DEPTH tokens before a token, and starts no earlier than its
+text. It is a state if training holds it twice or more and its next-token distribution
+diverges from that of its suffix, the context without its first token: count * divergence
+in nats above DIVERGENCE. A state gives max(n - D, 0) / seen + D distinct / seen * P(its
+suffix), where n of its ``seen`` continuations are the token and ``distinct`` tokens
+follow; other contexts give what their suffix gives, so a token is scored by the longest
+state that ends before it. Each level's D is estimated from how many counts are 1 and 2.
+All distributions sum to 1.
+
+Documents are dealt to blocks where they are read. A block numbers its own tokens and sends
+its distinct words, and level by level its distinct pairs of context and next token, to
+buckets, where they are counted, contexts tested, and pairs seen twice numbered: they
+are the contexts of the next level. A block gets back an entry for each of its own, so the
+model grows with the corpus, and no part of it is gathered but a few numbers a bucket."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+from mesonlab.llm.alignment import _pack, _unpack
 from mesonlab.llm.common import crc_mod, prepare, table, word_hashes, written
 
-DEPTH, SYMBOLS = 3, 64
-#: A context is kept if count * divergence (in nats) from its parent exceeds this.
+#: Tokens of the longest contexts.
+DEPTH = 3
+#: A context is a state if count * divergence (in nats) from its suffix exceeds this.
 DIVERGENCE = 3.0
-#: Weight of the parent's distribution.
-SMOOTHING = 5.0
-#: Characters of a block of documents, about.
-BLOCK_CHARS, LEAST_BLOCKS = 10_000_000, 6
-#: Bits of a word's hash that tell contexts apart: all of them, whatever the corpus holds.
-CONTEXT_BITS = 64
-#: Leading bits of a key that its bucket follows from.
-BUCKET_BITS = 26
-END = 0
-_END_WORD = -7046029254386353131  # the end's key among word hashes
-_END_HASH = np.array([_END_WORD]).view(np.uint64)[0]
-WORD, GRAM, BYTE, PAIR, BLOCK_WORD, BLOCK_PAIRS = range(6)
-
-
-def _classes() -> np.ndarray:
-    """Class of each byte; 0 is the text's start and end."""
-    out = np.full(256, 33, np.int64)                       # other ASCII
-    out[97:123] = np.arange(1, 27)                         # letters
-    out[32], out[46], out[44], out[48:58] = 27, 28, 29, 30
-    out[0xC2], out[0xC3], out[0xC4:] = 31, 32, 34
-    out[0x80:0xA0] = 35 + (np.arange(0x80, 0xA0) - 0x80) // 4
-    out[0xA0:0xC0] = 43 + (np.arange(0xA0, 0xC0) - 0xA0) // 2
-    out[0xC0:0xC2] = 34
-    return out
-
-
-CLASS = _classes()
-
-
-def normalised(text: str | None) -> bytes:
-    """Lower-cased (A-Z) words, a space after each, as bytes."""
-    return b"".join(w + b" " for w in (text or "").encode("utf-8").lower().split())
-
-
-def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(packed grams of DEPTH + 1 symbols, one for each byte and each end; the bytes,
-    -1 for an end; offsets of the texts) of texts that start in DEPTH ends."""
-    raw = np.frombuffer((b"\x00" * 1).join(texts) + b"\x00", np.uint8)
-    offsets = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-    symbol, byte = CLASS[raw], raw.astype(np.int64)
-    ends = offsets[1:] - 1
-    symbol[ends], byte[ends] = END, -1
-    packed = symbol.copy()
-    for back in range(1, DEPTH + 1):
-        before = np.concatenate((np.zeros(back, np.int64), symbol[:-back]))[:len(symbol)]
-        for j in range(back):  # before a text's start there are only ends
-            at = offsets[:-1] + j
-            before[at[at < offsets[1:]]] = END
-        packed += before * SYMBOLS ** back
-    return packed, byte, offsets
-
-
-class Tree:
-    """Log10 probabilities of every gram, and of every byte given its class."""
-
-    def __init__(self, gram_counts: np.ndarray, byte_counts: np.ndarray):
-        s = SYMBOLS
-        total = gram_counts.sum()
-        levels = [gram_counts.reshape(-1, s)]                       # (contexts, symbols), longest first
-        for _ in range(DEPTH):
-            last = levels[-1]
-            levels.append(last.reshape(s, -1, s).sum(0))
-        prob = ((levels[-1] + 1.0) / (total + s)).reshape(1, s).astype(np.float64)
-        self.contexts = 1
-        for counts in reversed(levels[:-1]):
-            out = np.empty(counts.shape, np.float32)
-            for lo in range(0, len(counts), len(prob)):             # contexts with the same longer symbol
-                c = counts[lo:lo + len(prob)].astype(np.float64)
-                n = c.sum(1, keepdims=True)
-                share = c / np.maximum(n, 1)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    gain = np.where(c > 0, c * np.log(share / prob), 0).sum(1, keepdims=True)
-                kept = gain > DIVERGENCE
-                self.contexts += int(kept.sum())
-                out[lo:lo + len(prob)] = np.where(kept, (c + SMOOTHING * prob) / (n + SMOOTHING), prob)
-            prob = out
-        self.grams = np.log10(prob.ravel()).astype(np.float32)
-        of_class = np.bincount(CLASS, byte_counts, s)
-        many = np.bincount(CLASS, minlength=s)
-        self.bytes = np.append(np.log10((byte_counts + 1) / (of_class + many)[CLASS]), 0.0)  # the last one: an end
-
-    def spelled(self, texts: list[bytes]) -> np.ndarray:
-        """Of each token (a word and its space, or the end), the log10 probability of
-        its characters after those before it."""
-        packed, byte, _ = grams(texts)
-        last = np.flatnonzero((byte == 32) | (byte < 0))
-        return np.add.reduceat(self.grams[packed].astype(np.float64) + self.bytes[byte], np.concatenate(([0], last[:-1] + 1)))
-
-
-def _groups(texts, size: int = 1 << 20):
-    """Lists of texts of about ``size`` bytes, with the index of their first."""
-    group, held, first = [], 0, 0
-    for i, t in enumerate(texts):
-        if group and held + len(t) > size:
-            yield first, group
-            group, held, first = [], 0, i
-        group.append(t)
-        held += len(t) + 1
-    if group:
-        yield first, group
-
-
-def _tokens(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens of texts, ends included, and the token before each; before a text's
-    first token is an end."""
-    token = np.insert(hashes, offsets[1:], _END_HASH)
-    return token, np.concatenate(([_END_HASH], token[:-1]))
-
-
-#: Spreads keys over their range; an odd factor, so that it can be undone.
-_SPREAD = 0x9E3779B97F4A7C15
-_BACK = pow(_SPREAD, -1, 1 << 64)
-
-
-def _spread(key: np.ndarray, factor: int = _SPREAD) -> np.ndarray:
-    return key * np.uint64(factor)
-
-
-def _context(token: np.ndarray) -> np.ndarray:
-    return token >> np.uint64(64 - CONTEXT_BITS)
-
-
-def _pair(before: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """A key of 64 bits from all bits of both hashes; with the token, it gives the context."""
-    return _spread(_context(before)) + token
-
-
-def _before(pair: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """The context of a pair's key."""
-    return _spread(pair - token, _BACK)
-
-
-def _summed(key: np.ndarray, n: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The distinct keys in order, and the sum of ``n`` for each; columns that follow from
-    the key go along."""
-    if not len(key):
-        return key, n, *same
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    return key[first], np.add.reduceat(n[order], first), *(c[order][first] for c in same)
-
-
-def _found(key: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Position of each wanted key among the sorted ``key``; len(key) if it isn't there."""
-    if not len(key):
-        return np.zeros(len(wanted), np.int64)
-    at = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
-    return np.where(key[at] == wanted, at, len(key))
-
-
-_ZSTD = pa.Codec("zstd")
-
-
-def _pack(key: np.ndarray, *columns: np.ndarray) -> bytes:
-    """Sorted keys as steps, and columns of whole numbers; compressed with the first bytes
-    of all values together, then the second ones, and so on: most of them are 0."""
-    steps = np.diff(key.view(np.uint64), prepend=np.uint64(0))
-    raw = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8).T.tobytes() for c in (steps, *(c.astype(np.int64) for c in columns)))
-    return len(raw).to_bytes(8, "little") + (_ZSTD.compress(raw, asbytes=True) if raw else b"")
-
-
-def _unpack(data: bytes, columns: int) -> list[np.ndarray]:
-    size = int.from_bytes(data[:8], "little")
-    raw = np.frombuffer(_ZSTD.decompress(data[8:], size, asbytes=True) if size else b"", np.uint8).reshape(columns + 1, 8, -1)
-    key, *rest = (np.ascontiguousarray(c.T).view(np.int64).ravel() for c in raw)
-    return [np.cumsum(key.view(np.uint64), dtype=np.uint64), *rest]
-
-
-def _unpacked(cells, columns: int) -> list[np.ndarray]:
-    """The keys and columns of several packed cells, one after the other."""
-    parts = [_unpack(x.as_py(), columns) for x in cells]
-    return [np.concatenate([np.zeros(0, np.uint64 if c == 0 else np.int64), *(p[c] for p in parts)]) for c in range(columns + 1)]
-
-
-PACKED_DOCS = "block long, docs binary"
-PACKED = "bucket long, block long, kind long, data binary"
-MERGED = "kind long, bucket long, block long, key long, next long, n long, data binary"
-KNOWN = "block long, kind long, data binary"
-
-
-def _pack_docs(batches):
-    """Rows of a batch by block, each block's as one compressed Arrow table."""
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        block = np.array(rows["block"], np.int64)
-        own, packed = np.unique(block), []
-        for b in own:
-            sink = pa.BufferOutputStream()
-            part = rows.take(np.flatnonzero(block == b)).drop_columns(["block"])
-            with pa.ipc.new_stream(sink, part.schema, options=options) as out:
-                out.write_table(part)
-            packed.append(sink.getvalue().to_pybytes())
-        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(packed, pa.binary())], ["block", "docs"])
-
-
-def _docs(group: pa.Table) -> pa.Table:
-    return pa.concat_tables([pa.ipc.open_stream(x.as_py()).read_all() for x in group["docs"]])
-
-
-def _buckets(key: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket of sorted keys by their first BUCKET_BITS, in order."""
-    return ((key >> np.uint64(64 - BUCKET_BITS)) * np.uint64(buckets) >> np.uint64(BUCKET_BITS)).astype(np.int64)
-
-
-def _counter(buckets: int):
+#: Characters of a block of documents, and of a bucket's share of the corpus, about.
+BLOCK_CHARS, BUCKET_CHARS, LEAST_BUCKETS = 8_000_000, 16_000_000, 12
+#: A context with more occurrences than this, and than a 65,536th of all, is dealt to
+#: several buckets: at most 65,536 contexts are.
+HOT = 1 << 18
+#: Steps of a nat in which a suffix's probability travels with a pair.
+STEPS = 8
+END = np.uint64(0x9E3779B97F4A7C15)  # the text's end among word hashes
+
+
+def discount(ones: int, twos: int) -> float:
+    """What absolute discounting takes from each count."""
+    return min(max(ones / max(ones + 2 * twos, 1), 0.1), 0.9)
+
+
+def _lists(block: str, docs: list[pa.RecordBatch], sizes: list[np.ndarray], tokens: list[np.ndarray], buckets: int, schema: pa.Schema) -> pa.RecordBatch:
+    """A block as rows: its documents, with the tokens as places among its distinct words;
+    and the words' hashes with their training counts, by bucket."""
+    size, token = np.concatenate(sizes), np.concatenate(tokens)
+    rows = pa.Table.from_batches(docs)
+    learn = rows["learn"].to_numpy()
+    own, local = np.unique(token, return_inverse=True)
+    seen = np.bincount(local, np.repeat(learn, size), len(own)).astype(np.int64)
+    cuts = np.searchsorted((own >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
+    some = np.flatnonzero(np.diff(cuts))
+    cells = [_pack(np.diff(own[cuts[b]:cuts[b + 1]], prepend=np.uint64(0)), seen[cuts[b]:cuts[b + 1]]) for b in some]
+    n = len(cells)
+    columns = {"doc_id": pa.array([rows["doc_id"].combine_chunks()] + [None] * n, schema.field("doc_id").type),
+               "learn": pa.array([learn] + [None] * n, pa.list_(pa.bool_())), "held_out": pa.array([rows["held_out"].to_numpy()] + [None] * n, pa.list_(pa.bool_())),
+               "tokens": pa.array([_pack(size, local)] + [None] * n, pa.binary()),
+               "block": pa.array([block] * (n + 1)), "bucket": pa.array([None, *some.tolist()], pa.int64()), "data": pa.array([None, *cells], pa.binary())}
+    return pa.RecordBatch.from_arrays([columns[f.name] for f in schema], schema=schema)
+
+
+def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
+    """Blocks of ``docs`` (doc_id, text, learn, held_out), made where the documents are read."""
+    kind = docs.schema["doc_id"].dataType
+    schema = pa.schema([("block", pa.string()), ("doc_id", pa.list_(to_arrow_type(kind))), ("learn", pa.list_(pa.bool_())), ("held_out", pa.list_(pa.bool_())),
+                        ("tokens", pa.binary()), ("bucket", pa.int64()), ("data", pa.binary())])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        part, number = TaskContext.get().partitionId(), 0
+        held, sizes, tokens, chars = [], [], [], 0
+        for batch in batches:
+            ids = batch.select(["doc_id", "learn", "held_out"])
+            for first, hashes, offsets in word_hashes((x.as_py() for x in batch.column("text")), "nonspace"):
+                many = len(offsets) - 1
+                if held and chars + 6 * len(hashes) > BLOCK_CHARS:
+                    yield _lists(f"{part}-{number}", held, sizes, tokens, buckets, schema)
+                    held, sizes, tokens, chars, number = [], [], [], 0, number + 1
+                held.append(ids.slice(first, many))
+                sizes.append(np.diff(offsets) + 1)
+                tokens.append(np.insert(hashes, offsets[1:], END))
+                chars += 6 * len(hashes) + many
+        if held:
+            yield _lists(f"{part}-{number}", held, sizes, tokens, buckets, schema)
+    text = f"block string, doc_id array<{kind.simpleString()}>, learn array<boolean>, held_out array<boolean>, tokens binary, bucket long, data binary"
+    return docs.mapInArrow(rows, text)
+
+
+COUNTED = "block string, level int, bucket long, data binary, total long, many long, ones long, twos long, hot array<struct<context:long,seen:long,many:long,gain:double>>"
+
+
+def _replies(group: pa.Table, level: int, data: list[bytes], total: int, many: int, counts: np.ndarray, hot: list[dict]) -> pa.Table:
+    """A bucket's replies to the blocks, and a row without a block about the bucket."""
+    n = len(data)
+    nulls = [None] * n
+    return pa.table({"block": pa.array([*group["block"].to_pylist(), None], pa.string()), "level": pa.array([level] * (n + 1), pa.int32()), "bucket": pa.array([*group["bucket"].to_pylist(), group["bucket"][0].as_py()], pa.int64()),
+                     "data": pa.array([*data, None], pa.binary()), "total": pa.array([*nulls, total], pa.int64()), "many": pa.array([*nulls, many], pa.int64()),
+                     "ones": pa.array([*nulls, int((counts == 1).sum())], pa.int64()), "twos": pa.array([*nulls, int((counts == 2).sum())], pa.int64()),
+                     "hot": pa.array([*nulls, hot], pa.list_(pa.struct([("context", pa.int64()), ("seen", pa.int64()), ("many", pa.int64()), ("gain", pa.float64())])))})
+
+
+def _count_words(group: pa.Table) -> pa.Table:
+    """Numbers inside the bucket, and training counts, of each block's words. ``many`` is the
+    number of words, ``total`` that of words that training holds."""
+    cells = [_unpack(x) for x in group["data"].to_pylist()]
+    keys = [np.cumsum(c[0].view(np.uint64), dtype=np.uint64) for c in cells]
+    own, at = np.unique(np.concatenate(keys), return_inverse=True)
+    count = np.zeros(len(own), np.int64)
+    np.add.at(count, at, np.concatenate([c[1] for c in cells]))
+    cuts = np.cumsum([0, *map(len, keys)])
+    data = [_pack(np.diff(at[s:e], prepend=0), count[at[s:e]]) for s, e in zip(cuts[:-1], cuts[1:])]
+    hot = [{"context": 0, "seen": int(count.sum()), "many": 0, "gain": 0.0}]  # the tokens of the bucket
+    return _replies(group, 0, data, int((count > 0).sum()), len(own), count, hot)
+
+
+def _diverges(seen: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Whether count * divergence, from the sum over pairs of n (log n - log of the suffix's
+    probability), is above the threshold by more than rounding."""
+    return (seen >= 2) & (total - seen * np.log(np.maximum(seen, 1)) > DIVERGENCE + 1e-6)
+
+
+def _count_pairs(level: int, plain: int):
     def count(group: pa.Table) -> pa.Table:
-        """One block's words and pairs with their training occurrences, and the grams and
-        bytes of its training texts, dealt to buckets of keys."""
-        block = group["block"][0].as_py()
-        docs = _docs(group)
-        texts, learn = docs["text"].to_pylist(), np.array(docs["learn"].to_pylist(), bool)
-        del docs, group
-        # keys, counts, and of pairs the token
-        parts: dict[int, list] = {k: [(np.zeros(0, np.uint64), np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * (k == PAIR))] for k in (WORD, GRAM, BYTE, PAIR)}
-        for first, hashes, offsets in word_hashes(texts, "nonspace"):
-            token, before = _tokens(hashes, offsets)
-            weight = np.repeat(learn[first:first + len(offsets) - 1], np.diff(offsets) + 1).astype(np.int64)
-            parts[WORD].append(_summed(token, weight))
-            parts[PAIR].append(_summed(_pair(before, token), weight, token))
-        for _, part in _groups([normalised(t) for t, ok in zip(texts, learn) if ok]):
-            packed, byte, _ = grams(part)
-            own, n = np.unique(packed, return_counts=True)
-            parts[GRAM].append(_summed(_spread(own.astype(np.uint64)), n))
-            parts[BYTE].append((_spread(np.arange(256, dtype=np.uint64)), np.bincount(byte[byte >= 0], minlength=256)))
-        rows = []
-        for kind in parts:
-            key, *columns = _summed(*map(np.concatenate, zip(*parts[kind])))
-            parts[kind] = []
-            cuts = np.searchsorted(_buckets(key, buckets), np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(cuts)):
-                at = slice(cuts[b], cuts[b + 1])
-                rows.append((int(b), block, kind, _pack(key[at], *(c[at] for c in columns))))
-        return pa.table(dict(zip(("bucket", "block", "kind", "data"), map(list, zip(*rows)))))
+        """Of each block's pairs in the bucket, the training count and the number as a context of
+        the next level; of each of its contexts how often seen and how many tokens follow, 0
+        if it is no state. Buckets from ``plain`` on hold parts of hot contexts."""
+        cells = [_unpack(x) for x in group["data"].to_pylist()]
+        context = np.concatenate([np.repeat(np.cumsum(c[0]), c[1]) for c in cells])
+        following = np.concatenate([_following(c[1], c[2]) for c in cells])
+        contexts, c_at = np.unique(context, return_inverse=True)
+        _, f_at = np.unique(following, return_inverse=True)
+        pairs, first, at = np.unique(c_at << 32 | f_at, return_index=True, return_inverse=True)
+        n = np.zeros(len(pairs), np.int64)
+        np.add.at(n, at, np.concatenate([c[3] for c in cells]))
+        cost = np.concatenate([c[4] for c in cells])[first] / STEPS
+        start = np.searchsorted(pairs, np.arange(len(contexts)) << 32)
+        seen, many = np.add.reduceat(n, start), np.add.reduceat((n > 0).astype(np.int64), start)
+        sums = np.add.reduceat(n * (np.log(np.maximum(n, 1)) + cost), start)
+        hot = []
+        if group["bucket"][0].as_py() >= plain:
+            hot = [{"context": int(c), "seen": int(s), "many": int(m), "gain": float(g)} for c, s, m, g in zip(contexts, seen, many, sums)]
+            seen = many = np.zeros(len(contexts), np.int64)
+        else:
+            state = _diverges(seen, sums)
+            seen, many = np.where(state, seen, 0), np.where(state, many, 0)
+        child = np.where(n >= 2, np.cumsum(n >= 2), 0)
+        data, p, q = [], 0, 0
+        for c in cells:
+            own, ctx = at[p:p + len(c[2])], c_at[p:p + len(c[2])][np.cumsum(c[1]) - c[1]]
+            p, q = p + len(c[2]), q + len(c[0])
+            has = child[own][child[own] > 0]
+            data.append(_pack(n[own], np.diff(has, prepend=0), seen[ctx], many[ctx]))
+        return _replies(group, level, data, 0, int((n >= 2).sum()), n, hot)
     return count
 
 
-def _merge(group: pa.Table) -> pa.Table:
-    """Totals of one bucket's keys, and for each block the totals of its own words and
-    pairs. Pairs seen once in training are left out: they count nothing."""
-    bucket = group["bucket"][0].as_py()
-    out: list[pa.Table] = []
-
-    def emit(kind, size, block=None, key=None, next=None, n=None, data=None):
-        longs = {"block": block, "key": key, "next": next, "n": n}
-        out.append(pa.table({"kind": pa.array(np.full(size, kind)), "bucket": pa.array(np.full(size, bucket)),
-                             **{c: pa.nulls(size, pa.int64()) if v is None else pa.array(v, pa.int64()) for c, v in longs.items()},
-                             "data": pa.nulls(size, pa.binary()) if data is None else pa.array(data, pa.binary())}))
-
-    kinds = np.array(group["kind"])
-    for kind in (WORD, GRAM, BYTE, PAIR):
-        rows = np.flatnonzero(kinds == kind)
-        if not len(rows):
-            continue
-        part = group.take(pa.array(rows))
-        blocks = np.array(part["block"])
-        cells = [_unpack(x.as_py(), 2 if kind == PAIR else 1) for x in part["data"]]
-        key, n, *token = _summed(*map(np.concatenate, zip(*cells)))
-        if kind in (GRAM, BYTE):
-            emit(kind, 1, data=[_pack(key, n)])
-            continue
-        kept = n >= (1 if kind == WORD else 2)
-        key, n = key[kept], n[kept]
-        if kind == WORD:
-            emit(kind, len(key), key=key.view(np.int64), n=n)
-        else:
-            token = token[0][kept]
-            emit(kind, len(key), key=_before(key, token.view(np.uint64)).view(np.int64), next=token, n=n)
-        own, data = np.unique(blocks), []
-        for b in own:
-            at = [_found(key, cells[i][0]) for i in np.flatnonzero(blocks == b)]
-            at = np.unique(np.concatenate(at))
-            at = at[at < len(key)]
-            data.append(_pack(key[at], n[at]))
-        emit(BLOCK_WORD if kind == WORD else BLOCK_PAIRS, len(own), block=own, data=data)
-    return pa.concat_tables(out)
-
-
-def _with_states(words: pa.Table, states: pa.Table) -> pa.Table:
-    """Each block's words of one bucket with the states of the contexts they make: how
-    often seen and what is left for the root, 0 where the context isn't kept."""
-    context = states["context"].to_numpy().astype(np.uint64)
-    order = np.argsort(context)
-    context = context[order]
-    seen, left = (np.append(states[c].to_numpy()[order], 0) for c in ("seen", "left"))
-    data = []
-    for x in words["data"]:
-        key, n = _unpack(x.as_py(), 1)
-        at = _found(context, _context(key))
-        data.append(_pack(key, n, seen[at], left[at]))
-    return pa.table({"block": words["block"], "kind": words["kind"], "data": pa.array(data, pa.binary())})
-
-
-def _scorer(tree, total: int, distinct: int):
-    def score(docs: pa.Table, known_: pa.Table) -> pa.Table:
-        docs = _docs(docs)
-        texts = docs["text"].to_pylist()
-        kinds = np.array(known_["kind"], np.int64)
-        key, *columns = _unpacked(known_["data"].take(pa.array(np.flatnonzero(kinds == BLOCK_WORD))), 3)
-        docs = docs.drop_columns(["text"])
-        order = np.argsort(key)
-        key = key[order]
-        # after the last word: a token that training didn't hold
-        count, context, left = (np.append(c[order], 0) for c in columns)
-        pair, pair_n = _summed(*_unpacked(known_["data"].take(pa.array(np.flatnonzero(kinds == BLOCK_PAIRS))), 1))
-        pair_n = np.append(pair_n, 0)
-        bottom, novel = math.log10(total + distinct + 1), max(distinct, 1)
-        n, known, base, scores = (np.zeros(len(texts), t) for t in (np.int64, np.int64, float, float))
-        for first, hashes, offsets in word_hashes(texts, "nonspace"):
-            token, before = _tokens(hashes, offsets)
-            at = _found(key, token)
-            c = count[at].astype(np.float64)
-            spelled = tree.value.spelled([normalised(t) for t in texts[first:first + len(offsets) - 1]])
-            # the root: seen tokens have counts, new ones are spelled
-            root = np.where(c > 0, np.log10(np.maximum(c, 1) + novel * 10.0 ** spelled), math.log10(novel) + spelled) - math.log10(total + novel)
-            state = _found(key, before)
-            seen, rest = np.maximum(context[state], 1.0), np.maximum(left[state], 1.0)
-            again = np.maximum(pair_n[_found(pair, _pair(before, token))] - 1.0, 0)
-            longest = np.where(again > 0, np.log10(again + rest * 10.0 ** root), np.log10(rest) + root) - np.log10(seen)
-            starts = offsets[:-1] + np.arange(len(offsets) - 1)
-            rows = slice(first, first + len(starts))
-            n[rows] = np.diff(offsets) + 1
-            known[rows] = np.add.reduceat((c > 0).astype(np.int64), starts)
-            base[rows] = np.add.reduceat(np.log10(c + 1), starts)
-            scores[rows] = np.add.reduceat(np.where(context[state] > 0, longest, root), starts)
-        return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": n, "n_known": known, "train_tokens": np.full(len(texts), total),
-                         "base_score": base - n * bottom, "score": scores})
+def _following(sizes: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """Next tokens from the steps between those of a context, the first one from 0."""
+    run = np.cumsum(steps)
+    start = np.cumsum(sizes) - sizes
+    return run - np.repeat(run[start] - steps[start], sizes) if len(sizes) else run
+
+
+class Model:
+    """What all blocks share: a few numbers for each bucket."""
+
+    def __init__(self):
+        self.offsets: list[np.ndarray] = []       # of each level, the first number of each bucket
+        self.discounts: list[float] = []
+        self.hot: list[tuple[np.ndarray, ...]] = []   # of each level, hot contexts: number, seen, many
+        self.tokens = self.known = 0
+
+    def add(self, counted: DataFrame, level: int) -> None:
+        rows = counted.where("block IS NULL").select("bucket", "total", "many", "ones", "twos").collect()  # a row per bucket
+        offsets = np.zeros(max((r.bucket for r in rows), default=-1) + 2, np.int64)
+        for r in rows:
+            offsets[r.bucket + 1] = r.many
+        self.offsets.append(np.cumsum(offsets))
+        self.discounts.append(discount(sum(r.ones for r in rows), sum(r.twos for r in rows)))
+        parts = counted.where("block IS NULL").select(F.explode("hot").alias("h"))
+        if level == 0:
+            self.tokens, self.known = parts.agg(F.coalesce(F.sum("h.seen"), F.lit(0))).first()[0], sum(r.total for r in rows)
+            return
+        whole = parts.groupBy("h.context").agg(F.sum("h.seen").alias("seen"), F.sum("h.many").alias("many"), F.sum("h.gain").alias("gain")).collect()  # at most 65,536 contexts
+        kept = sorted((r.context, r.seen, r.many) for r in whole if _diverges(np.float64(r.seen), np.float64(r.gain)))
+        self.hot.append(tuple(np.array([k[c] for k in kept], np.int64) for c in range(3)))
+
+
+class Block:
+    """One block's tokens, and the probabilities that the levels counted so far give them."""
+
+    def __init__(self, tokens: bytes, learn: np.ndarray, replies: dict[int, dict[int, bytes]], model: Model, buckets: int):
+        self.sizes, self.token = _unpack(tokens)
+        self.model, self.buckets, self.weight = model, buckets, np.repeat(learn, self.sizes)
+        self.start = np.cumsum(self.sizes) - self.sizes
+        cells = [(b, *_unpack(x)) for b, x in sorted(replies[0].items())]
+        self.word = np.concatenate([model.offsets[0][b] + np.cumsum(steps) for b, steps, _ in cells])
+        self.count = np.concatenate([n for _, _, n in cells])
+        d, total = model.discounts[0], max(model.tokens, 1)
+        root = np.where(self.count > 0, (self.count - d) / total, d * model.known / total if model.tokens else 1.0)
+        self.p = root[self.token]
+        # contexts of the next level: their numbers and training counts, -1 where there is none
+        before = np.concatenate(([0], self.token[:-1]))
+        before[self.start] = self.token[self.sizes[0] - 1]  # an end stands before a text's first token
+        self.context, self.seen = self.word[before], self.count[before]
+        for level in range(1, max(replies) + 1):
+            self._climb(level, replies.get(level, {}))
+
+    def pairs(self) -> tuple[np.ndarray, ...]:
+        """At the positions that have a context seen twice: their places; and the distinct
+        pairs in the order of (bucket, context, next token): bucket, context, token, a position,
+        and at each place its pair."""
+        at = np.flatnonzero(self.seen >= 2)
+        contexts, c_at = np.unique(self.context[at], return_inverse=True)
+        key, first, pair = np.unique(c_at << 32 | self.token[at], return_index=True, return_inverse=True)
+        context, token, place = contexts[key >> 32], key & 0xFFFFFFFF, at[first]
+        spread = (context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+        least = max(HOT, self.model.tokens >> 16)
+        salts = -(-self.seen[place] // least)
+        salt = (self.word[token].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(33)) % salts.astype(np.uint64)
+        spread = (spread + salt * np.uint64(0x9E3779B1)) & np.uint64(0x7FFFFFFF)
+        bucket = (spread * np.uint64(self.buckets) >> np.uint64(31)).astype(np.int64) + np.where(salts > 1, self.buckets, 0)
+        order = np.argsort(bucket, kind="stable")
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return at, bucket[order], context[order], token[order], place[order], back[pair]
+
+    def _climb(self, level: int, replies: dict[int, bytes]) -> None:
+        at, bucket, context, token, _, pair = self.pairs()
+        cells = [(b, *_unpack(x)) for b, x in sorted(replies.items())]
+        none = np.zeros(0, np.int64)
+        n = np.concatenate([none, *(c[1] for c in cells)])
+        new = np.diff(context, prepend=-1) != 0
+        new |= np.diff(bucket, prepend=-1) != 0
+        which = np.cumsum(new) - 1
+        seen, many = (np.concatenate([none, *(c[k] for c in cells)])[which] for k in (3, 4))
+        hot, hot_seen, hot_many = self.model.hot[level - 1]
+        if len(hot):
+            k = np.minimum(np.searchsorted(hot, context), len(hot) - 1)
+            is_hot = (bucket >= self.buckets) & (hot[k] == context)
+            seen, many = np.where(is_hot, hot_seen[k], seen), np.where(is_hot, hot_many[k], many)
+        d = self.model.discounts[level]
+        state = seen > 0
+        own, rest = np.where(state, np.maximum(n - d, 0) / np.maximum(seen, 1), 0.0), np.where(state, d * many / np.maximum(seen, 1), 1.0)
+        self.p[at] = own[pair] + rest[pair] * self.p[at]
+        child = np.full(len(n), -1)
+        child[n >= 2] = np.concatenate([none, *(self.model.offsets[level][b] + np.cumsum(c) - 1 for b, _, c, _, _ in cells)])
+        # the context of the next level is this one and its token
+        here, count = np.full(len(self.token), -1), np.zeros(len(self.token), np.int64)
+        here[at], count[at] = child[pair], n[pair]
+        self.context, self.seen = np.concatenate(([-1], here[:-1])), np.concatenate(([0], count[:-1]))
+        self.context[self.start], self.seen[self.start] = -1, 0
+
+
+def _block(docs: pa.Table, replies: pa.Table, model: Model, buckets: int) -> Block:
+    held: dict[int, dict[int, bytes]] = {}
+    for level, bucket, data in zip(*(replies[c].to_pylist() for c in ("level", "bucket", "data"))):
+        held.setdefault(level, {})[bucket] = data
+    held.setdefault(len(model.offsets) - 1, {})
+    return Block(docs["tokens"][0].as_py(), docs["learn"][0].values.to_numpy(zero_copy_only=False), held, model, buckets)
+
+
+def _emitter(shared, buckets: int):
+    def emit(docs: pa.Table, replies: pa.Table) -> pa.Table:
+        """One block's pairs of the next level with their training counts and the cost of the
+        token after the suffix, by bucket."""
+        block = _block(docs, replies, shared.value, buckets)
+        at, bucket, context, token, place, pair = block.pairs()
+        n = np.bincount(pair, block.weight[at], len(bucket)).astype(np.int64)
+        cost = np.clip(np.rint(-STEPS * np.log(block.p[place])), 0, 255).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        out = []
+        for s, e in zip(cuts, np.append(cuts[1:], len(bucket))):
+            first = np.flatnonzero(np.diff(context[s:e], prepend=-1) != 0)
+            word = block.word[token[s:e]]
+            steps = np.diff(word, prepend=0)
+            steps[first] = word[first]
+            out.append(_pack(np.diff(context[s:e][first], prepend=0), np.diff(np.append(first, e - s)), steps, n[s:e], cost[s:e]))
+        return pa.table({"block": pa.array(docs["block"].to_pylist() * len(out), pa.string()), "bucket": pa.array(bucket[cuts]), "data": pa.array(out, pa.binary())})
+    return emit
+
+
+def _scorer(shared, buckets: int):
+    def score(docs: pa.Table, replies: pa.Table) -> pa.Table:
+        model = shared.value
+        block = _block(docs, replies, model, buckets)
+        known = block.count[block.token]
+        base = np.log10(known + 1.0) - math.log10(model.tokens + model.known + 1)
+        sums = lambda x: np.add.reduceat(x, block.start)
+        return pa.table({"doc_id": docs["doc_id"].combine_chunks().flatten(), "held_out": docs["held_out"].combine_chunks().flatten(), "n_tokens": block.sizes, "n_known": sums((known > 0).astype(np.int64)),
+                         "train_tokens": np.full(len(block.sizes), model.tokens), "base_score": sums(base), "score": sums(np.log10(np.minimum(block.p, 1.0)))})
     return score
 
 
-def contexts(words: DataFrame, pairs: DataFrame, total: int) -> DataFrame:
-    """Contexts to keep: ``context``, how often it was ``seen``, and what is ``left`` of that
-    for the root once its pairs took their counts less one. Kept is a context whose pairs'
-    count * divergence (in nats) from the root exceeds DIVERGENCE."""
-    seen = words.select(F.col("key").alias("context"), F.col("n").alias("seen"))
-    parent = words.select(F.col("key").alias("next"), F.col("n").alias("parent"))
-    own = (pairs.select(F.col("key").alias("context"), "next", "n").join(parent, "next").groupBy("context")
-           .agg(F.sum(F.col("n") - 1).alias("taken"), F.sum("n").alias("n"), F.sum(F.col("n") * F.log(F.col("n") / F.col("parent"))).alias("gain")))
-    gain = F.col("gain") + F.col("n") * F.log(F.lit(float(total)) / F.col("seen"))
-    return own.join(seen, "context").where(gain > DIVERGENCE).select("context", "seen", (F.col("seen") - F.col("taken")).alias("left"))
-
-
-def score_texts(docs: DataFrame, learn, held_out) -> DataFrame:
+def score_texts(docs: DataFrame, learn, held_out, depth: int = DEPTH) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score (unigrams with add-one smoothing) and score (the tree).
 
     ``learn`` and ``held_out`` are boolean columns of doc_id. A null text is empty: its
-    end alone. With no training rows all counts are 0. Repeated rows and null ids are
-    rows like others. Documents are dealt to blocks by a hash; a block's distinct words
-    and pairs meet the corpus counts in buckets of keys, so hot ones cost an entry per
-    block. Blocks and buckets grow in number with the input, not in size."""
+    end alone. With no training rows all counts are 0, and every token has probability 1 (the
+    one symbol there is). Repeated rows and null ids are rows like others. An empty table
+    gives none. A block sends and gets an entry for each of its distinct words and pairs, in a
+    cell for each bucket; hot ones cost an entry a block, and a context beyond HOT
+    occurrences is dealt to several buckets. Buckets and blocks grow in number with the
+    input, not in size."""
     spark = docs.sparkSession
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(-(-chars // BLOCK_CHARS), LEAST_BLOCKS)
-    dealt = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
-                        F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.length("text")), F.lit(blocks)).alias("block"))
     prepare(spark)
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = max(-(-chars // BUCKET_CHARS), LEAST_BUCKETS)
+    source = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    blocks = written(_blocks(source, buckets), "lm-blocks")
+    texts = blocks.where("tokens IS NOT NULL").select("block", "doc_id", "learn", "held_out", "tokens")
+    model, replies = Model(), None
+    counted = written(blocks.where("bucket IS NOT NULL").select("block", "bucket", "data").groupBy("bucket").applyInArrow(_count_words, COUNTED), "lm-words")
+    for level in range(depth + 1):
+        model.add(counted, level)
+        own = counted.where("block IS NOT NULL").select("block", "level", "bucket", "data")
+        replies = own if replies is None else replies.unionByName(own)
+        shared = spark.sparkContext.broadcast(model)
+        both = texts.groupBy("block").cogroup(replies.groupBy("block"))
+        if level < depth:
+            pairs = both.applyInArrow(_emitter(shared, buckets), "block string, bucket long, data binary")
+            counted = written(pairs.groupBy("bucket").applyInArrow(_count_pairs(level + 1, buckets), COUNTED), "lm-pairs")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    dealt = dealt.mapInArrow(_pack_docs, PACKED_DOCS)
-    packed = dealt.groupBy("block").applyInArrow(_counter(blocks), PACKED)
-    counts = written(packed.groupBy("bucket").applyInArrow(_merge, MERGED), "lm-counts")
-    words = counts.where(F.col("kind") == WORD).select("key", "n")
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    gram_counts, byte_counts = np.zeros(SYMBOLS ** (DEPTH + 1), np.int32 if total < 2**28 else np.int64), np.zeros(256)
-    for kind_, into in ((GRAM, gram_counts), (BYTE, byte_counts)):  # at most 64^4 + 256 keys, each once
-        for row in counts.where(F.col("kind") == kind_).select("data").toLocalIterator():
-            key, n = _unpack(row.data, 1)
-            into[_spread(key, _BACK).view(np.int64)] = n
-    tree = spark.sparkContext.broadcast(Tree(gram_counts, byte_counts))
-    states = contexts(words, counts.where(F.col("kind") == PAIR).select("key", "next", "n"), int(total))
-    states = states.withColumn("bucket", F.shiftright(F.shiftrightunsigned("context", 64 - BUCKET_BITS) * F.lit(blocks), BUCKET_BITS))
-    known = (counts.where(F.col("kind") == BLOCK_WORD).select("bucket", "block", "kind", "data").groupBy("bucket")
-             .cogroup(states.groupBy("bucket")).applyInArrow(_with_states, KNOWN))
-    known = known.unionByName(counts.where(F.col("kind") == BLOCK_PAIRS).select("block", "kind", "data"))
-    return dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-        _scorer(tree, int(total), int(distinct)), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return both.applyInArrow(_scorer(shared, buckets), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op7_lm_score(spark, sf_dir: str) -> DataFrame:
