@@ -72,7 +72,8 @@ _SPACE = re.compile(rb"[\x20\x09-\x0D]+")
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hashes' base and of its inverse, from 0 to n - 1."""
     if len(_powers[0]) < n:
         size = max(n, BLOCK_BYTES + 4096)
         for i, base in enumerate((_BASE, _BASE_INV)):
@@ -107,7 +108,7 @@ def _hash_block(data: bytes, word: np.ndarray, line_ends: list | None = None) ->
         line_ends.append(_line_ends(raw, start, end))
     if not len(start):
         return np.zeros(0, np.uint64), start
-    up, down = _power_tables(len(raw))
+    up, down = power_tables(len(raw))
     total = np.empty(len(raw) + 1, np.uint64)
     total[0] = 0
     np.cumsum(_VALUE[raw] * up, out=total[1:])
@@ -176,6 +177,11 @@ def word_places(data: bytes, words: str, starts: bool = False) -> tuple[np.ndarr
     return (hashes, *([start] if starts else []), size, ahead, back)
 
 
+def word_starts(data: bytes, words: str) -> np.ndarray:
+    """First bytes of the words of a text."""
+    return np.flatnonzero(np.diff(WORD_BYTES[words][np.frombuffer(data, np.uint8)].astype(np.int8), prepend=0) == 1)
+
+
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` consecutive word hashes."""
     n = max(len(hashes) - size + 1, 0)

@@ -19,11 +19,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mesonlab.llm.common import mix, prepare, table, window_hashes, word_hashes, written
+from mesonlab.llm.common import mix, power_tables, prepare, table, word_hashes, word_starts, written
 
 #: Words that a repeated run has at least.
 MIN_WORDS = 25
@@ -95,11 +96,20 @@ def _lowest(h: np.ndarray, window: int) -> np.ndarray:
     return at
 
 
+def run_hashes(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the runs from ``start`` up to ``end``: a polynomial of their members, from
+    running sums, so the cost doesn't follow the runs' lengths."""
+    up, down = power_tables(len(hashes) + 1)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * up[:-1])))
+    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 def _passages(hashes: np.ndarray, passage: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the grams that fingerprints are taken from, and the position of the
     fingerprint of each window of ``passage`` words."""
     size = min(SHINGLE_WORDS, passage)
-    grams = window_hashes(hashes, size)
+    begin = np.arange(max(len(hashes) - size + 1, 0))
+    grams = run_hashes(hashes, begin, begin + size)
     return grams, _lowest(grams, passage - size + 1)
 
 
@@ -235,10 +245,10 @@ class Extension:
     """One document's words, and which of its windows agree with a source. In the second
     round a request (``exact``) is for the one window that it spans."""
 
-    def __init__(self, single: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, min_words: int, passage: int | None, exact: bool = False):
+    def __init__(self, single: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, min_words: int, passage: int | None, by_line: bool, exact: bool):
         self.single, self.signs, self.passage, self.exact = single, _signs(single, sizes), passage or 0, exact
         line = np.concatenate(([0], np.cumsum(sizes)))
-        self.runs = windows(sizes, np.array([0, len(sizes)]), min_words)
+        self.runs = windows(sizes, np.array([0, len(sizes)]), min_words) if by_line else np.zeros((0, 2), np.int64)
         self.from_, self.to = line[self.runs[:, 0]], line[self.runs[:, 1] + 1]
         self.print = self.from_ if exact else line[_longest(self.runs, sizes, hashes)]
         # of passages (by first word) and runs: looked up, and found again
@@ -314,14 +324,10 @@ class Extension:
             return
         s = np.flatnonzero(self.asked[0] & ~self.found[0])
         if len(s):
-            yield False, mix(window_hashes(self.single, self.passage)[s] ^ _PASSAGE), s, s + self.passage
+            yield False, run_hashes(self.single, s, s + self.passage) ^ _PASSAGE, s, s + self.passage
         runs = np.flatnonzero(self.asked[1] & ~self.found[1])
-        run, at, going = np.full(len(runs), _LINE), self.runs[runs, 0].copy(), np.arange(len(runs))
-        while len(going):
-            run[going] = mix(run[going] + hashes[at[going]])
-            at[going] += 1
-            going = going[at[going] <= self.runs[runs[going], 1]]
-        yield True, run, self.from_[runs], self.to[runs]
+        if len(runs):
+            yield True, run_hashes(hashes, self.runs[runs, 0], self.runs[runs, 1] + 1) ^ _LINE, self.from_[runs], self.to[runs]
 
 
 def _extended(own: DataFrame, min_words: int, passage: int | None, exact: bool) -> DataFrame:
@@ -333,9 +339,10 @@ def _extended(own: DataFrame, min_words: int, passage: int | None, exact: bool)
             for first, single, ends, hashes, sizes, offsets in _hashed(x.as_py() for x in batch.column(1)):
                 for k in range(len(ends) - 1):
                     lines_ = slice(offsets[k], offsets[k + 1])
-                    one = Extension(single[ends[k]:ends[k + 1]], sizes[lines_], hashes[lines_], min_words, passage, exact)
                     cell = batch.column(2)[first + k].values
                     starts, lengths, signs, wanted = (cell.field(c) for c in ("starts", "sizes", "signs", "wanted"))
+                    by_line = pc.any(wanted.flatten().field("line")).as_py()
+                    one = Extension(single[ends[k]:ends[k + 1]], sizes[lines_], hashes[lines_], min_words, passage, by_line, exact)
                     for j in range(len(cell)):
                         one.compare(starts[j].values.to_numpy(), lengths[j].values.to_numpy(), np.frombuffer(signs[j].as_buffer(), np.uint32), _wanted(wanted[j]))
                     s, e = one.deleted()
@@ -374,23 +381,22 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, passage_words: in
 
 def _cleaned(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
     """The texts that have runs without them, the lines that lost words, and the words."""
-    out = []
-    for text, own in zip(texts, runs):
-        if own is None or text is None:
-            out.append((None, 0, 0))
-            continue
-        start = np.array([m.start() for m in _WORD.finditer(text)] + [len(text)])
-        start[0] = 0
-        (_, _, _, _, sizes, _), = _hashed([text])
-        line = np.concatenate(([0], np.cumsum(sizes)))  # first word of each
-        gone = np.zeros(len(start), np.int64)
-        for r in own:
-            gone[r["s"]] += 1
-            gone[r["e"]] -= 1
-        drop = np.cumsum(gone)[:-1] > 0
-        edge = np.flatnonzero(np.diff(drop, prepend=True, append=True))  # kept words from each even one to the next
-        kept = "".join(text[start[a]:start[b]] for a, b in zip(edge[::2], edge[1::2]))
-        out.append((kept, int(np.logical_or.reduceat(drop, line[:-1]).sum()), int(drop.sum())))
+    out: list[tuple] = [(None, 0, 0)] * len(texts)
+    some = [i for i, (text, own) in enumerate(zip(texts, runs)) if own is not None and text is not None]
+    for first, _, ends, _, sizes, offsets in _hashed(texts[i] for i in some):
+        for k in range(len(ends) - 1):
+            i, line = some[first + k], np.concatenate(([0], np.cumsum(sizes[offsets[k]:offsets[k + 1]])))  # first word of each
+            data = texts[i].encode("utf-8")
+            start = np.append(word_starts(data, "nonspace"), len(data))
+            start[0] = 0
+            gone = np.zeros(len(start), np.int64)
+            for r in runs[i]:
+                gone[r["s"]] += 1
+                gone[r["e"]] -= 1
+            drop = np.cumsum(gone)[:-1] > 0
+            edge = np.flatnonzero(np.diff(drop, prepend=True, append=True))  # kept words from each even one to the next
+            kept = b"".join(data[start[a]:start[b]] for a, b in zip(edge[::2], edge[1::2]))
+            out[i] = (kept.decode("utf-8"), int(np.logical_or.reduceat(drop, line[:-1]).sum()), int(drop.sum()))
     return pd.DataFrame(out, columns=["text", "n_removed", "words_removed"])
 
 
