@@ -50,14 +50,30 @@ def discount(ones: int, twos: int) -> float:
     return min(max(ones / max(ones + 2 * twos, 1), 0.1), 0.9)
 
 
+def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order, a place of each, and of every key its number among them."""
+    order = np.argsort(key)
+    ordered = key[order]
+    new = np.ones(len(key), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    at = np.empty(len(key), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], at
+
+
+def _sums(at: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    """Sums of ``n`` by ``at``: whole numbers, exact below 2^53."""
+    return np.bincount(at, n, size).astype(np.int64)
+
+
 def _lists(block: str, docs: list[pa.RecordBatch], sizes: list[np.ndarray], tokens: list[np.ndarray], buckets: int, schema: pa.Schema) -> pa.RecordBatch:
     """A block as rows: its documents, with the tokens as places among its distinct words;
     and the words' hashes with their training counts, by bucket."""
     size, token = np.concatenate(sizes), np.concatenate(tokens)
     rows = pa.Table.from_batches(docs)
     learn = rows["learn"].to_numpy()
-    own, local = np.unique(token, return_inverse=True)
-    seen = np.bincount(local, np.repeat(learn, size), len(own)).astype(np.int64)
+    own, _, local = _distinct(token)
+    seen = _sums(local, np.repeat(learn, size), len(own))
     cuts = np.searchsorted((own >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
     some = np.flatnonzero(np.diff(cuts))
     cells = [_pack(np.diff(own[cuts[b]:cuts[b + 1]], prepend=np.uint64(0)), seen[cuts[b]:cuts[b + 1]]) for b in some]
@@ -114,9 +130,8 @@ def _count_words(group: pa.Table) -> pa.Table:
     number of words, ``total`` that of words that training holds."""
     cells = [_unpack(x) for x in group["data"].to_pylist()]
     keys = [np.cumsum(c[0].view(np.uint64), dtype=np.uint64) for c in cells]
-    own, at = np.unique(np.concatenate(keys), return_inverse=True)
-    count = np.zeros(len(own), np.int64)
-    np.add.at(count, at, np.concatenate([c[1] for c in cells]))
+    own, _, at = _distinct(np.concatenate(keys))
+    count = _sums(at, np.concatenate([c[1] for c in cells]), len(own))
     cuts = np.cumsum([0, *map(len, keys)])
     data = [_pack(np.diff(at[s:e], prepend=0), count[at[s:e]]) for s, e in zip(cuts[:-1], cuts[1:])]
     hot = [{"context": 0, "seen": int(count.sum()), "many": 0, "gain": 0.0}]  # the tokens of the bucket
@@ -137,11 +152,10 @@ def _count_pairs(level: int, plain: int):
         cells = [_unpack(x) for x in group["data"].to_pylist()]
         context = np.concatenate([np.repeat(np.cumsum(c[0]), c[1]) for c in cells])
         following = np.concatenate([_following(c[1], c[2]) for c in cells])
-        contexts, c_at = np.unique(context, return_inverse=True)
-        _, f_at = np.unique(following, return_inverse=True)
-        pairs, first, at = np.unique(c_at << 32 | f_at, return_index=True, return_inverse=True)
-        n = np.zeros(len(pairs), np.int64)
-        np.add.at(n, at, np.concatenate([c[3] for c in cells]))
+        contexts, _, c_at = _distinct(context)
+        _, _, f_at = _distinct(following)
+        pairs, first, at = _distinct(c_at << 32 | f_at)
+        n = _sums(at, np.concatenate([c[3] for c in cells]), len(pairs))
         cost = np.concatenate([c[4] for c in cells])[first] / STEPS
         start = np.searchsorted(pairs, np.arange(len(contexts)) << 32)
         seen, many = np.add.reduceat(n, start), np.add.reduceat((n > 0).astype(np.int64), start)
@@ -209,10 +223,10 @@ class Block:
         d, total = model.discounts[0], max(model.tokens, 1)
         root = np.where(self.count > 0, (self.count - d) / total, d * model.known / total if model.tokens else 1.0)
         self.p = root[self.token]
-        # contexts of the next level: their numbers and training counts, -1 where there is none
-        before = np.concatenate(([0], self.token[:-1]))
-        before[self.start] = self.token[self.sizes[0] - 1]  # an end stands before a text's first token
-        self.context, self.seen = self.word[before], self.count[before]
+        # contexts of the next level: their places among ``numbers`` and training counts
+        self.context = np.concatenate(([0], self.token[:-1]))
+        self.context[self.start] = self.token[self.sizes[0] - 1]  # an end stands before a text's first token
+        self.numbers, self.seen = self.word, self.count[self.context]
         for level in range(1, max(replies) + 1):
             self._climb(level, replies.get(level, {}))
 
@@ -221,9 +235,8 @@ class Block:
         pairs in the order of (bucket, context, next token): bucket, context, token, a position,
         and at each place its pair."""
         at = np.flatnonzero(self.seen >= 2)
-        contexts, c_at = np.unique(self.context[at], return_inverse=True)
-        key, first, pair = np.unique(c_at << 32 | self.token[at], return_index=True, return_inverse=True)
-        context, token, place = contexts[key >> 32], key & 0xFFFFFFFF, at[first]
+        key, first, pair = _distinct(self.context[at] << 32 | self.token[at])
+        context, token, place = self.numbers[key >> 32], key & 0xFFFFFFFF, at[first]
         spread = (context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
         least = max(HOT, self.model.tokens >> 16)
         salts = -(-self.seen[place] // least)
@@ -255,11 +268,12 @@ class Block:
         self.p[at] = own[pair] + rest[pair] * self.p[at]
         child = np.full(len(n), -1)
         child[n >= 2] = np.concatenate([none, *(self.model.offsets[level][b] + np.cumsum(c) - 1 for b, _, c, _, _ in cells)])
-        # the context of the next level is this one and its token
-        here, count = np.full(len(self.token), -1), np.zeros(len(self.token), np.int64)
-        here[at], count[at] = child[pair], n[pair]
-        self.context, self.seen = np.concatenate(([-1], here[:-1])), np.concatenate(([0], count[:-1]))
-        self.context[self.start], self.seen[self.start] = -1, 0
+        # the context of the next level is this one and its token; pairs are in the order of their numbers
+        self.numbers = child
+        here, count = np.zeros(len(self.token), np.int64), np.zeros(len(self.token), np.int64)
+        here[at], count[at] = pair, n[pair]
+        self.context, self.seen = np.concatenate(([0], here[:-1])), np.concatenate(([0], count[:-1]))
+        self.seen[self.start] = 0
 
 
 def _block(docs: pa.Table, replies: pa.Table, model: Model, buckets: int) -> Block:
