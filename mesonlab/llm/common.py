@@ -93,26 +93,38 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _line_ends(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """True for the words that end a line: a sentence mark ends them, or a line break
     follows before the next word."""
-    breaks = np.concatenate(([0], np.cumsum(raw == 10)))
+    breaks = np.flatnonzero(raw == 10)
     after = np.append(start[1:], len(raw))
-    return np.isin(raw[end - 1], (33, 46, 63)) | (breaks[after] > breaks[end])
+    return _MARK[raw[end - 1]] | (np.searchsorted(breaks, after) > np.searchsorted(breaks, end))
 
 
-def _hash_block(data: bytes, word: np.ndarray, line_ends: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+_MARK = np.isin(np.arange(256), (33, 46, 63))
+#: Values of bytes, 0 for those of no word: words' sums can run on to the next word.
+_VALUES = {name: np.where(word, _VALUE, np.uint64(0)) for name, word in WORD_BYTES.items()}
+
+
+def _edges(raw: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes of the words, and the bytes after them."""
+    inside = word[raw]
+    turn = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(raw) and inside[0]:
+        turn = np.concatenate(([0], turn))
+    if len(raw) and inside[-1]:
+        turn = np.append(turn, len(raw))
+    return turn[::2], turn[1::2]
+
+
+def _hash_block(data: bytes, words: str, line_ends: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and byte starts of the words of one block."""
     raw = np.frombuffer(data, np.uint8)
-    inside = word[raw]
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    start, end = _edges(raw, WORD_BYTES[words])
     if line_ends is not None:
         line_ends.append(_line_ends(raw, start, end))
     if not len(start):
         return np.zeros(0, np.uint64), start
     up, down = power_tables(len(raw))
-    total = np.empty(len(raw) + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(_VALUE[raw] * up, out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)), start
+    total = np.add.reduceat(_VALUES[words][raw] * up, start)
+    return mix(total * down[start] + (end - start).astype(np.uint64)), start
 
 
 def _cuts(data: bytes) -> Iterator[bytes]:
@@ -136,13 +148,12 @@ def word_hashes(texts, words: str, line_ends: list | None = None) -> Iterator[tu
     their end) for groups of texts of about BLOCK_BYTES; a longer text is a
     group of its own. A-Z count as lower case; a null text has no words. Into
     ``line_ends`` go, for each group, arrays that tell which words end a line."""
-    word = WORD_BYTES[words]
     group: list[bytes] = []
     first = held = 0
 
     def flush():
         sizes = np.fromiter((len(x) + 1 for x in group), np.int64, len(group))
-        hashes, start = _hash_block(b" ".join(group), word, line_ends)
+        hashes, start = _hash_block(b" ".join(group), words, line_ends)
         return hashes, np.searchsorted(start, np.concatenate(([0], np.cumsum(sizes))))
 
     for i, text in enumerate(texts):
@@ -151,7 +162,7 @@ def word_hashes(texts, words: str, line_ends: list | None = None) -> Iterator[tu
             yield (first, *flush())
             group, held, first = [], 0, i
         if len(data) > BLOCK_BYTES:
-            hashes = np.concatenate([_hash_block(x, word, line_ends)[0] for x in _cuts(data)])
+            hashes = np.concatenate([_hash_block(x, words, line_ends)[0] for x in _cuts(data)])
             yield first, hashes, np.array([0, len(hashes)])
             first = i + 1
             continue
@@ -165,10 +176,10 @@ def word_places(data: bytes, words: str, starts: bool = False) -> tuple[np.ndarr
     """Of each word of one block: its hash, its first byte's place if asked for, its length,
     and its first and last eight bytes as numbers (A-Z as lower case; of a shorter word
     all of them)."""
-    hashes, start = _hash_block(data, WORD_BYTES[words])
+    hashes, start = _hash_block(data, words)
     raw = _LOWERED[np.frombuffer(data, np.uint8)]
-    end = np.flatnonzero(np.diff(WORD_BYTES[words][raw].astype(np.int8), append=0) == -1) + 1
-    size = end - start
+    size = _edges(raw, WORD_BYTES[words])[1] - start
+    end = start + size
     padded = np.concatenate((np.zeros(8, np.uint8), raw, np.zeros(8, np.uint8)))
     eight = np.lib.stride_tricks.as_strided(padded, (len(raw) + 9, 8), (1, 1))
     short = np.uint64(8) * (np.uint64(8) - np.minimum(size, 8).astype(np.uint64))
@@ -179,7 +190,7 @@ def word_places(data: bytes, words: str, starts: bool = False) -> tuple[np.ndarr
 
 def word_starts(data: bytes, words: str) -> np.ndarray:
     """First bytes of the words of a text."""
-    return np.flatnonzero(np.diff(WORD_BYTES[words][np.frombuffer(data, np.uint8)].astype(np.int8), prepend=0) == 1)
+    return _edges(np.frombuffer(data, np.uint8), WORD_BYTES[words])[0]
 
 
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:

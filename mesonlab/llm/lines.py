@@ -31,9 +31,9 @@ MIN_WORDS = 25
 #: Words that a repeated passage has at least, wherever its lines end; and those of the
 #: grams that its fingerprints are taken from.
 PASSAGE_WORDS, SHINGLE_WORDS = 50, 16
-#: Keys of documents that may be broadcast (24 bytes each), and deleted runs with them (16
-#: bytes each); more are joined by a shuffle.
-BROADCAST_KEYS, BROADCAST_RUNS = 500_000, 1_000_000
+#: Keys of documents that may be broadcast (24 bytes each), deleted runs with them (16 bytes
+#: each), and first places of fingerprints (16 bytes each); more are joined by a shuffle.
+BROADCAST_KEYS, BROADCAST_RUNS, BROADCAST_PRINTS = 500_000, 1_000_000, 2_000_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _WEIGHT = np.random.default_rng(5).integers(1, 1 << 63, 1 << 12, dtype=np.uint64) | np.uint64(1)
 #: Told apart in the fingerprints: lines and passages.
@@ -190,7 +190,8 @@ def _requests(prints: DataFrame) -> DataFrame:
     place = F.shiftleft("num", 31).bitwiseOR(F.col("pos").cast("long"))
     # written, so that a fingerprint which occurs everywhere may be split in the join
     first = written(prints.groupBy("fp").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1").select("fp", "at"), "first-places")
-    later = prints.join(first.hint("shuffle_hash"), "fp").where(place > F.col("at"))
+    first = F.broadcast(first) if first.count() <= BROADCAST_PRINTS else first.hint("shuffle_hash")
+    later = prints.join(first, "fp").where(place > F.col("at"))
     wanted = F.struct((F.col("pos") - F.col("at").bitwiseAND((1 << 31) - 1)).cast("int").alias("apart"), "line", "lo", "hi", "pos")
     pairs = later.select("num", F.shiftrightunsigned("at", 31).alias("source"), wanted.alias("w"))
     return written(pairs.groupBy("num", "source").agg(F.collect_list("w").alias("wanted")), "requests")
@@ -242,28 +243,36 @@ def _slices(sources: DataFrame, kind: str) -> DataFrame:
 
 
 class Extension:
-    """One document's words, and which of its windows agree with a source. In the second
-    round a request (``exact``) is for the one window that it spans."""
+    """The words of several documents, one after the other, and which of their windows agree
+    with a source. In the second round a request (``exact``) is for the one window that it spans."""
 
-    def __init__(self, single: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, min_words: int, passage: int | None, by_line: bool, exact: bool):
-        self.single, self.signs, self.passage, self.exact = single, _signs(single, sizes), passage or 0, exact
+    def __init__(self, single: np.ndarray, ends: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, offsets: np.ndarray, min_words: int, passage: int | None, by_line: bool, exact: bool):
+        self.single, self.ends, self.hashes, self.passage, self.exact = single, ends, hashes, passage or 0, exact
+        self.signs = _signs(single, sizes)
         line = np.concatenate(([0], np.cumsum(sizes)))
-        self.runs = windows(sizes, np.array([0, len(sizes)]), min_words) if by_line else np.zeros((0, 2), np.int64)
+        self.runs = windows(sizes, offsets, min_words) if by_line else np.zeros((0, 2), np.int64)
         self.from_, self.to = line[self.runs[:, 0]], line[self.runs[:, 1] + 1]
         self.print = self.from_ if exact else line[_longest(self.runs, sizes, hashes)]
         # of passages (by first word) and runs: looked up, and found again
         self.asked = [np.zeros(len(single) + 1, bool), np.zeros(len(self.runs), bool)]
         self.found = [np.zeros(len(single) + 1, bool), np.zeros(len(self.runs), bool)]
 
-    def compare(self, starts: np.ndarray, sizes: np.ndarray, signs: np.ndarray, wanted: tuple[np.ndarray, ...]) -> None:
-        order = np.lexsort((wanted[2], wanted[0]))
-        total = np.cumsum(wanted[3][order].astype(np.int64) - wanted[2][order])
-        cuts = np.searchsorted(total, np.arange(0, total[-1] + 1, 1 << 22), side="left")
+    def compare(self, document: np.ndarray, ranges: np.ndarray, starts: np.ndarray, sizes: np.ndarray, signs: np.ndarray, requests: np.ndarray, wanted: tuple[np.ndarray, ...]) -> None:
+        """Pairs of a document and a source, one after the other: each pair's document, its
+        number of ranges and of requests. Sources are laid out 2^33 words apart."""
+        apart, line, lo, hi, pos = (c.astype(np.int64) for c in wanted)
+        pair = np.repeat(np.arange(len(document)), requests)
+        base, lift = self.ends[document][pair], pair << 33
+        starts = starts + (np.repeat(np.arange(len(document)), ranges) << 33)
+        columns = (apart + base - lift, line, lo + base, hi + base, pos + base, lift)
+        order = np.lexsort((columns[2], columns[0]))
+        total = np.cumsum((hi - lo)[order])
+        cuts = np.searchsorted(total, np.arange(0, (total[-1] if len(total) else 0) + 1, 1 << 22), side="left")
         for k, n in zip(cuts, np.append(cuts[1:], len(order))):
             if n > k:
-                self._compare(starts, sizes, signs, *(c[order[k:n]].astype(np.int64) for c in wanted))
+                self._compare(starts, sizes, signs, *(c[order[k:n]] for c in columns))
 
-    def _compare(self, starts, sizes, signs, apart, line, lo, hi, pos) -> None:
+    def _compare(self, starts, sizes, signs, apart, line, lo, hi, pos, origin) -> None:
         """Requests in the order of (apart, lo): those that overlap share their words."""
         lift = np.concatenate(([0], np.cumsum(np.diff(apart) != 0))) * (1 << 32)
         reach = np.maximum.accumulate(lift + hi)
@@ -302,32 +311,30 @@ class Extension:
             s, e = self.from_[runs] + own[r], self.to[runs] + own[r]
             before = self.from_[runs] - apart[r]
             held, sign = sign_at(before - 1)
-            ok = (whole[e] - whole[s] == e - s) & ((before == 0) | held & (sign & np.uint32(1) == 1))
+            ok = (whole[e] - whole[s] == e - s) & ((before == origin[r]) | held & (sign & np.uint32(1) == 1))
             self.asked[1][runs] = True
             self.found[1][runs[ok]] = True
 
     def deleted(self) -> tuple[np.ndarray, np.ndarray]:
-        """First words and ends of what goes."""
+        """First words and ends of what goes; a range ends with its document."""
         s = np.flatnonzero(self.found[0])
         s, e = np.concatenate((s, self.from_[self.found[1]])), np.concatenate((s + self.passage, self.to[self.found[1]]))
-        if not len(s):
-            return s, e
-        edge = np.zeros(len(self.single) + 2, np.int64)
-        np.add.at(edge, s, 1)
-        np.add.at(edge, e, -1)
-        cover = np.diff((np.cumsum(edge) > 0).astype(np.int8), prepend=0)
-        return np.flatnonzero(cover == 1), np.flatnonzero(cover == -1)
-
-    def open(self, hashes: np.ndarray) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray]]:
+        edge = np.bincount(s, minlength=len(self.single) + 1) - np.bincount(e, minlength=len(self.single) + 1)
+        cover = np.cumsum(edge)[:-1] > 0
+        new = np.zeros(len(self.single) + 1, bool)
+        new[self.ends] = True
+        before = np.concatenate(([False], cover[:-1]))
+        after = np.concatenate((cover[1:], [False]))
+        return np.flatnonzero(cover & (~before | new[:-1])), np.flatnonzero(cover & (~after | new[1:])) + 1
+
+    def open(self) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray]]:
         """(line, hashes of all words, first words, ends) of windows that were looked up in vain."""
         if self.exact:
             return
         s = np.flatnonzero(self.asked[0] & ~self.found[0])
-        if len(s):
-            yield False, run_hashes(self.single, s, s + self.passage) ^ _PASSAGE, s, s + self.passage
+        yield False, run_hashes(self.single, s, s + self.passage) ^ _PASSAGE, s, s + self.passage
         runs = np.flatnonzero(self.asked[1] & ~self.found[1])
-        if len(runs):
-            yield True, run_hashes(hashes, self.runs[runs, 0], self.runs[runs, 1] + 1) ^ _LINE, self.from_[runs], self.to[runs]
+        yield True, run_hashes(self.hashes, self.runs[runs, 0], self.runs[runs, 1] + 1) ^ _LINE, self.from_[runs], self.to[runs]
 
 
 def _extended(own: DataFrame, min_words: int, passage: int | None, exact: bool) -> DataFrame:
@@ -335,25 +342,24 @@ def _extended(own: DataFrame, min_words: int, passage: int | None, exact: bool)
     fingerprints of the next round."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
             for first, single, ends, hashes, sizes, offsets in _hashed(x.as_py() for x in batch.column(1)):
-                for k in range(len(ends) - 1):
-                    lines_ = slice(offsets[k], offsets[k + 1])
-                    cell = batch.column(2)[first + k].values
-                    starts, lengths, signs, wanted = (cell.field(c) for c in ("starts", "sizes", "signs", "wanted"))
-                    by_line = pc.any(wanted.flatten().field("line")).as_py()
-                    one = Extension(single[ends[k]:ends[k + 1]], sizes[lines_], hashes[lines_], min_words, passage, by_line, exact)
-                    for j in range(len(cell)):
-                        one.compare(starts[j].values.to_numpy(), lengths[j].values.to_numpy(), np.frombuffer(signs[j].as_buffer(), np.uint32), _wanted(wanted[j]))
-                    s, e = one.deleted()
-                    out.append((first + k, None, np.zeros(len(s), np.int64), s, e))
-                    out += [(first + k, line, fp.view(np.int64), s, e) for line, fp, s, e in one.open(hashes[lines_])]
-            many = np.array([len(x[3]) for x in out], np.int64)
-            row, none, line = (np.repeat(np.array(x), many) for x in ([x[0] for x in out], [x[1] is None for x in out], [bool(x[1]) for x in out]))
-            fp, s, e = (np.concatenate([np.zeros(0, np.int64), *(x[c] for x in out)]) for c in (2, 3, 4))
-            s, e = s.astype(np.int32), e.astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(fp, mask=none.astype(bool)), batch.column(0).take(pa.array(row.astype(np.int64))), pa.array(line.astype(bool)), pa.array(s), pa.array(s), pa.array(e)],
-                                             ["fp", "num", "line", "pos", "lo", "hi"])
+                cells = batch.column(2).slice(first, len(ends) - 1)
+                pairs = cells.flatten()
+                starts, lengths, signs, wanted = (pairs.field(c) for c in ("starts", "sizes", "signs", "wanted"))
+                many = lambda lists: pc.list_value_length(lists).to_numpy()
+                asked = wanted.flatten()
+                columns = tuple(asked.field(c).to_numpy(zero_copy_only=False) for c in ("apart", "line", "lo", "hi", "pos"))
+                one = Extension(single, ends, sizes, hashes, offsets, min_words, passage, bool(columns[1].any()), exact)
+                one.compare(np.repeat(np.arange(len(cells)), many(cells)), many(starts), starts.flatten().to_numpy().astype(np.int64), lengths.flatten().to_numpy().astype(np.int64),
+                            np.frombuffer(b"".join(signs.to_pylist()), np.uint32), many(wanted), columns)
+                s, e = one.deleted()
+                out = [(None, np.zeros(len(s), np.int64), s, e), *((line, fp.view(np.int64), s, e) for line, fp, s, e in one.open())]
+                none, line = (np.concatenate([np.full(len(x[2]), v) for x, v in zip(out, flags)]) for flags in ([x[0] is None for x in out], [bool(x[0]) for x in out]))
+                fp, s, e = (np.concatenate([x[c] for x in out]) for c in (1, 2, 3))
+                document = np.searchsorted(ends, s, side="right") - 1
+                s, e = ((x - ends[document]).astype(np.int32) for x in (s, e))
+                yield pa.RecordBatch.from_arrays([pa.array(fp, mask=none), batch.column(0).take(pa.array(first + document)), pa.array(line), pa.array(s), pa.array(s), pa.array(e)],
+                                                 ["fp", "num", "line", "pos", "lo", "hi"])
     return own.mapInArrow(rows, PRINTS)
 
 
@@ -369,30 +375,27 @@ def _round(keyed: DataFrame, prints: DataFrame, min_words: int, passage: int | N
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, passage_words: int | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """(num, runs): by document the (first, end) word numbers of what occurs earlier, in the
-    order of id, hash of the text where ids repeat, and word; and the documents' numbers, as of
-    _keyed."""
+    """(num, s, e): by document the numbers of the words that start, and that end, what occurs
+    earlier, in the order of id, hash of the text where ids repeat, and word; and the documents'
+    numbers, as of _keyed."""
     keyed, numbers = _keyed(docs)
     one = _round(keyed, written(_fingerprints(keyed, min_words, passage_words), "fingerprints"), min_words, passage_words, False)
     two = _round(keyed, one.where("fp IS NOT NULL"), min_words, passage_words, True)
     gone = one.where("fp IS NULL").unionByName(two.where("fp IS NULL"))
-    return gone.groupBy("num").agg(F.collect_list(F.struct(F.col("lo").alias("s"), F.col("hi").alias("e"))).alias("runs")), numbers
+    return gone.groupBy("num").agg(F.collect_list("lo").alias("s"), F.collect_list("hi").alias("e")), numbers
 
 
-def _cleaned(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
+def _cleaned(texts: pd.Series, starts: pd.Series, ends_: pd.Series) -> pd.DataFrame:
     """The texts that have runs without them, the lines that lost words, and the words."""
     out: list[tuple] = [(None, 0, 0)] * len(texts)
-    some = [i for i, (text, own) in enumerate(zip(texts, runs)) if own is not None and text is not None]
+    some = [i for i, (text, own) in enumerate(zip(texts, starts)) if own is not None and text is not None]
     for first, _, ends, _, sizes, offsets in _hashed(texts[i] for i in some):
         for k in range(len(ends) - 1):
             i, line = some[first + k], np.concatenate(([0], np.cumsum(sizes[offsets[k]:offsets[k + 1]])))  # first word of each
             data = texts[i].encode("utf-8")
             start = np.append(word_starts(data, "nonspace"), len(data))
             start[0] = 0
-            gone = np.zeros(len(start), np.int64)
-            for r in runs[i]:
-                gone[r["s"]] += 1
-                gone[r["e"]] -= 1
+            gone = np.bincount(starts[i], minlength=len(start)) - np.bincount(ends_[i], minlength=len(start))
             drop = np.cumsum(gone)[:-1] > 0
             edge = np.flatnonzero(np.diff(drop, prepend=True, append=True))  # kept words from each even one to the next
             kept = b"".join(data[start[a]:start[b]] for a, b in zip(edge[::2], edge[1::2]))
@@ -419,11 +422,11 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, passage_words: int
         keyed, on = one.withColumn("num", F.col("doc_id").cast("long")), ["num"]
     else:
         keyed, on = one.withColumns({"k": _key(), "tie": F.xxhash64("text")}), ["k", "tie"]
-        runs = runs.join(numbers, "num").select("k", "tie", "runs")
+        runs = runs.join(numbers, "num").select("k", "tie", "s", "e")
     runs = written(runs, "later-runs")
-    n, held = runs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()
+    n, held = runs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("s")), F.lit(0))).first()
     out = keyed.join(F.broadcast(runs) if n <= BROADCAST_KEYS and held <= BROADCAST_RUNS else runs, on, "left")
-    out = out.withColumn("__new", F.pandas_udf(_cleaned, "text string, n_removed long, words_removed long")(F.when(F.col("runs").isNotNull(), F.col("text")), "runs"))
+    out = out.withColumn("__new", F.pandas_udf(_cleaned, "text string, n_removed long, words_removed long")(F.when(F.col("s").isNotNull(), F.col("text")), "s", "e"))
     return out.select(*[F.coalesce("__new.text", "text").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in names], *[F.col(f"__new.{c}") for c in new])
 
 
