@@ -1,7 +1,8 @@
 """Near-duplicate embeddings by an epsilon grid order join: vectors are sorted by the
 grid cells of their leading principal coordinates, the sequence is cut into
-intervals, and pairs of intervals are joined recursively, skipping those whose
-bounding boxes are provably further apart than epsilon."""
+intervals, and pairs of intervals are joined recursively: intervals of intervals level by
+level as Spark joins, the last ones halved inside a task, skipping those whose bounding
+boxes are provably further apart than epsilon."""
 
 from __future__ import annotations
 
@@ -21,20 +22,30 @@ COSINE = 0.9
 INTERVAL, LEAF = 4096, 256
 #: Principal coordinates that the grid order compares.
 GRID_DIMS = 6
+#: Intervals of a larger one.
+FAN = 16
 
 
 def _moments(classes: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and covariance of the unit vectors: d*(d+1)+1 sums, added up by Spark."""
+    """Mean and covariance of the unit vectors: d*(d+1)+1 sums, an array for each task, added
+    up in groups of tasks; the driver gets as many arrays as a square root of the tasks."""
+    size = dim * dim + dim + 1
+
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(dim * dim + dim + 1)
+        total = np.zeros(size)
         for batch in batches:
             x = _unit(batch.column(0), dim)
             total += np.concatenate([(x.T @ x).ravel(), x.sum(0), [len(x)]])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["k", "v"])
-    rows = classes.select("v").mapInArrow(sums, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()  # dim * (dim + 1) + 1 rows
-    total = np.zeros(dim * dim + dim + 1)
-    for k, v in rows:
-        total[k] = v
+        if total[-1]:
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["v"])
+
+    def added(group: pa.Table) -> pa.Table:
+        return pa.table({"v": pa.array([group["v"].combine_chunks().flatten().to_numpy().reshape(-1, size).sum(0)], pa.list_(pa.float64()))})
+    parts = classes.select("v").mapInArrow(sums, "v array<double>").withColumn("part", F.spark_partition_id())
+    parts = written(parts, "moments")
+    groups = max(int(parts.count() ** 0.5), 1)
+    rows = parts.groupBy(F.pmod("part", F.lit(groups)).alias("g")).applyInArrow(added, "v array<double>").toArrow()
+    total = rows["v"].combine_chunks().flatten().to_numpy().reshape(-1, size).sum(0)
     n = max(total[-1], 1)
     mean = total[dim * dim:-1] / n
     return mean, total[:dim * dim].reshape(dim, dim) / n - np.outer(mean, mean)
@@ -111,6 +122,29 @@ def _compare(dim: int, mean: np.ndarray, axes: np.ndarray, cosine: float, eps: f
     return compare
 
 
+def _near_boxes(box: DataFrame, count: int, eps: float) -> DataFrame:
+    """(a, b), a <= b: intervals whose boxes are within ``eps``. Boxes of FAN consecutive boxes
+    make a level; from the one box around all, pairs are opened level by level, and only
+    those within ``eps``."""
+    def around(group: pa.Table) -> pa.Table:
+        lo, hi = (np.stack(group[c].to_numpy()) for c in ("lo", "hi"))
+        return pa.table({"block": pa.array([group["up"][0].as_py()], pa.int64()), "lo": pa.array([lo.min(0).tolist()], pa.list_(pa.float64())), "hi": pa.array([hi.max(0).tolist()], pa.list_(pa.float64()))})
+    up = F.floor(F.col("block") / FAN).cast("long")
+    levels = [written(box, "boxes")]
+    while count > 1:
+        count = -(-count // FAN)
+        levels.append(written(levels[-1].withColumn("up", up).groupBy("up").applyInArrow(around, "block long, lo array<double>, hi array<double>"), "boxes"))
+    gap = lambda p, q: F.zip_with(p, q, lambda x, y: F.greatest(x - y, F.lit(0.0)))
+    square = lambda z: F.aggregate(z, F.lit(0.0), lambda s, x: s + x * x)
+    pairs = levels[-1].select(F.col("block").alias("a"), F.col("block").alias("b"))
+    for level in reversed(levels[:-1]):
+        left = level.select(up.alias("a"), F.col("block").alias("p"), F.col("lo").alias("plo"), F.col("hi").alias("phi"))
+        right = level.select(up.alias("b"), F.col("block").alias("q"), F.col("lo").alias("qlo"), F.col("hi").alias("qhi"))
+        both = pairs.join(left, "a").join(right, "b").where((F.col("p") <= F.col("q")) & (square(gap("plo", "qhi")) + square(gap("qlo", "phi")) <= eps * eps))
+        pairs = written(both.select(F.col("p").alias("a"), F.col("q").alias("b")), "near-boxes")
+    return pairs
+
+
 def _linked(classes: DataFrame, dim: int, cosine: float) -> DataFrame:
     """(rep, links, low) partial results of all interval pairs of one dimension."""
     eps = float(np.sqrt(2 - 2 * cosine)) + 1e-9
@@ -125,30 +159,26 @@ def _linked(classes: DataFrame, dim: int, cosine: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(cells), pa.list_(pa.int64())), pa.array(y[:, 0])], ["rep", "many", "v", "cells", "y0"])
     kind = classes.schema["v"].dataType.simpleString()
     n = classes.count()
-    parts = max(-(-n // (4 * INTERVAL)), 1)
     located_ = classes.select("rep", "many", "v").mapInArrow(located, f"rep long, many long, v {kind}, cells array<long>, y0 double")
 
-    def intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = 0
         for batch in batches:
-            at = np.arange(seen, seen + len(batch))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(seen, seen + len(batch)))], ["rep", "many", "v", "part", "at"])
             seen += len(batch)
-            part = batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array((part << 32) | (at // INTERVAL)), pa.array(at)], ["rep", "many", "v", "block", "at"])
-    ordered = located_.repartitionByRange(parts, "cells", "y0", "rep").sortWithinPartitions("cells", "y0", "rep")
-    ordered = written(ordered.select("rep", "many", "v", F.spark_partition_id().alias("part")).mapInArrow(intervals, f"rep long, many long, v {kind}, block long, at long"), "intervals")
+    ordered = located_.repartitionByRange(max(-(-n // (4 * INTERVAL)), 1), "cells", "y0", "rep").sortWithinPartitions("cells", "y0", "rep")
+    ordered = written(ordered.select("rep", "many", "v", F.spark_partition_id().alias("part")).mapInArrow(numbered, f"rep long, many long, v {kind}, part int, at long"), "sequence")
+    sizes = dict(ordered.groupBy("part").agg(F.count(F.lit(1))).collect())  # a row per partition of the sort
+    parts = sorted(sizes)
+    before = classes.sparkSession.createDataFrame(list(zip(parts, np.concatenate(([0], np.cumsum([sizes[p] for p in parts])[:-1])).tolist())), "part int, before long")
+    place = F.col("before") + F.col("at")
+    ordered = ordered.join(F.broadcast(before), "part").select("rep", "many", "v", F.floor(place / INTERVAL).cast("long").alias("block"), place.alias("at"))
 
     def boxes(group: pa.Table) -> pa.Table:
         y = (_unit(group["v"].combine_chunks(), dim) - mean) @ axes
         return pa.table({"block": pa.array([group["block"][0].as_py()], pa.int64()), "lo": pa.array([y.min(0).tolist()], pa.list_(pa.float64())), "hi": pa.array([y.max(0).tolist()], pa.list_(pa.float64()))})
-    box = written(ordered.select("block", "v").groupBy("block").applyInArrow(boxes, "block long, lo array<double>, hi array<double>"), "boxes")
-    # boxes within eps share, or neighbour on, a cell of the first coordinate
-    cell = lambda c: F.floor(F.get(c, F.lit(0)) / F.lit(eps))
-    one = box.select(F.col("block").alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"), F.explode(F.sequence(cell("lo") - 1, cell("hi") + 1)).alias("c"))
-    two = box.select(F.col("block").alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"), F.explode(F.sequence(cell("lo"), cell("hi"))).alias("c"))
-    gap = lambda p, q: F.zip_with(p, q, lambda x, y: F.greatest(x - y, F.lit(0.0)))
-    square = lambda z: F.aggregate(z, F.lit(0.0), lambda s, x: s + x * x)
-    pairs = one.join(two, "c").where((F.col("a") <= F.col("b")) & (square(gap("alo", "bhi")) + square(gap("blo", "ahi")) <= eps * eps)).select("a", "b").distinct()
+    box = ordered.select("block", "v").groupBy("block").applyInArrow(boxes, "block long, lo array<double>, hi array<double>")
+    pairs = _near_boxes(box, -(-n // INTERVAL), eps)
     sides = written(pairs, "interval-pairs")
     sides = sides.select("a", "b", F.col("a").alias("block")).union(sides.where("a < b").select("a", "b", "b"))
     tasks = ordered.join(sides, "block").select("a", "b", "block", "at", "rep", "many", "v")

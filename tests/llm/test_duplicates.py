@@ -117,6 +117,36 @@ def test_vectors(spark, tmp_path, monkeypatch):
     assert E.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 40])
+def test_links_between_distant_intervals_in_64_dimensions(spark, monkeypatch, parts):
+    """Links whose vectors lie far apart in the grid order, over several levels of boxes and
+    whatever the partitions; intervals are numbered over the whole sequence."""
+    for name, value in (("INTERVAL", 16), ("LEAF", 4), ("FAN", 3)):
+        monkeypatch.setattr(E, name, value)
+    made = []
+    near = E._near_boxes
+    monkeypatch.setattr(E, "_near_boxes", lambda box, count, eps: made.append((count, near(box, count, eps))) or made[-1][1])
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turned = rng.normal(size=(60, 64))
+    turned -= (turned * x[:60]).sum(1, keepdims=True) * x[:60]
+    turned /= np.linalg.norm(turned, axis=1, keepdims=True)
+    y = 0.92 * x[:60] + np.sqrt(1 - 0.92 ** 2) * turned  # cosines of 0.92: neighbouring cells on some coordinates
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(np.concatenate((x, y)))]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.near_vectors(frame(spark, rows, "vec_id long, embedding array<float>").repartition(parts)).collect()}
+    good = np.array([v for _, v in rows], np.float64)
+    good /= np.linalg.norm(good, axis=1, keepdims=True)
+    links = [(a, b) for a, b in zip(*np.nonzero(good @ good.T >= 0.9)) if a < b]
+    want, n = groups(range(660), links), defaultdict(int)
+    for a, b in links:
+        n[a] += 1
+        n[b] += 1
+    assert len(links) >= 60 and got == {i: (n[i], want[i]) for i in range(660)}
+    (count, pairs), = made
+    assert count == 42 and pairs.count() <= 42 * 43 // 2 and pairs.distinct().count() == pairs.count()
+
+
 def test_vectors_of_doubles(spark):
     tilt = lambda c: [c, float(np.sqrt(1 - c * c))]
     rows = [(1, [1.0, 0.0]), (2, tilt(0.9 - 2e-9)), (3, [-1e200, 0.0]), (4, [-2e200, 1e190]), (5, [0.0, -1e-200]), (6, [0.0, -3e-200])]
