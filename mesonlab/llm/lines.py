@@ -34,6 +34,8 @@ PASSAGE_WORDS, SHINGLE_WORDS = 50, 16
 #: Keys of documents that may be broadcast (24 bytes each), deleted runs with them (16 bytes
 #: each), and first places of fingerprints (16 bytes each); more are joined by a shuffle.
 BROADCAST_KEYS, BROADCAST_RUNS, BROADCAST_PRINTS = 500_000, 1_000_000, 2_000_000
+#: Words that are compared in a step (some 80 bytes each).
+COMPARED = 1 << 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _WEIGHT = np.random.default_rng(5).integers(1, 1 << 63, 1 << 12, dtype=np.uint64) | np.uint64(1)
 #: Told apart in the fingerprints: lines and passages.
@@ -267,7 +269,7 @@ class Extension:
         columns = (apart + base - lift, line, lo + base, hi + base, pos + base, lift)
         order = np.lexsort((columns[2], columns[0]))
         total = np.cumsum((hi - lo)[order])
-        cuts = np.searchsorted(total, np.arange(0, (total[-1] if len(total) else 0) + 1, 1 << 22), side="left")
+        cuts = np.searchsorted(total, np.arange(0, (total[-1] if len(total) else 0) + 1, COMPARED), side="left")
         for k, n in zip(cuts, np.append(cuts[1:], len(order))):
             if n > k:
                 self._compare(starts, sizes, signs, *(c[order[k:n]] for c in columns))
