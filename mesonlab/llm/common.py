@@ -37,7 +37,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     prepare(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def spent(*tables: DataFrame) -> None:
+    """Deletes the files of tables that came from ``written``, once all that was made of them
+    is written itself."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def lower_ascii(text: Column) -> Column:

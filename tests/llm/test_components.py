@@ -42,7 +42,7 @@ def test_a_star_is_spread_over_tasks(spark):
     """A million edges of one node: no task of the join gets more than a tenth of them."""
     star = spark.range(1, 1_000_001).select(F.lit(0).cast("long").alias("x"), F.col("id").alias("y")).repartition(25)
     both = star.union(star.select("y", "x"))
-    joined = C.with_least(both, "x", "y")
+    joined, _ = C.with_least(both, "x", "y")
     sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 2_000_000 and max(sizes) <= 200_000
     assert joined.where("x = 0 AND m <> 1").isEmpty() and joined.where("x > 0 AND m <> 0").isEmpty()
