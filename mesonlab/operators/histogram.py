@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, asdict
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,11 @@ from mesonlab.operators.stats import (
 REFERENCE_RELATIVE_ERROR = 0.01
 
 
+# Bits of a bin number (below 2^53) where it shares a whole number with its column's.
+BIN_BITS = 53
+MOST_COLUMNS = 512
+
+
 @dataclass(frozen=True)
 class Binning:
     n: int                 # all rows, nulls included
@@ -233,6 +239,9 @@ def column_histograms(df: DataFrame, columns: list[str], quantiles: str = "exact
     _batch_only(df)
     if not columns:
         raise ValueError("column_histograms needs at least one column")
+    if len(columns) > MOST_COLUMNS:  # a scan for each so many
+        parts = [column_histograms(df, columns[i:i + MOST_COLUMNS], quantiles, relative_error, digits) for i in range(0, len(columns), MOST_COLUMNS)]
+        return reduce(DataFrame.unionByName, parts)
     if quantiles not in ("exact", "approx"):
         raise ValueError("quantiles must be 'exact' or 'approx'")
     names = {f"c{i}": c for i, c in enumerate(columns)}
@@ -263,9 +272,11 @@ def column_histograms(df: DataFrame, columns: list[str], quantiles: str = "exact
             x = F.col(name)
             idx = (F.lit(0).cast("long") if b.degenerate
                    else F.floor((x - F.lit(b.min)) / F.lit(b.width)).cast("long"))
-            rows.append(F.when(finite(name), F.struct(F.lit(i).alias("k"), idx.alias("bin"))))
-        counted = (kept.frame.select(F.explode(F.array(*rows)).alias("r")).where(F.col("r").isNotNull())
-                   .select("r.k", "r.bin").groupBy("k", "bin").agg(F.count(F.lit(1)).alias("n")))
+            # column and bin in one whole number: an array of longs costs a row far less than structs
+            rows.append(F.when(finite(name), F.lit(i << BIN_BITS) + idx))
+        counted = (kept.frame.select(F.explode(F.array(*rows)).alias("kb")).where(F.col("kb").isNotNull())
+                   .groupBy("kb").agg(F.count(F.lit(1)).alias("n")))
+        counted = counted.select(F.shiftright("kb", BIN_BITS).cast("int").alias("k"), F.col("kb").bitwiseAND((1 << BIN_BITS) - 1).alias("bin"), "n")
         k = "k"
         lo = _per_column(k, [b.min for b in bins])
         width = _per_column(k, [b.width if not b.degenerate else 0.0 for b in bins])

@@ -199,3 +199,11 @@ def test_sql_function_has_no_python_in_its_plan(spark):
     from mesonlab.functions.udfs import register_sql_function
     with pytest.raises(ValueError):
         register_sql_function(spark, "nothing", {}, "DOUBLE", "1")
+
+
+def test_column_histograms_of_many_columns(spark, monkeypatch):
+    """More columns than a scan takes are done in several; the result is the same."""
+    df = spark.createDataFrame([(float(i % 17), float(i % 5) - 2, None if i % 3 else float(i)) for i in range(400)], "a double, b double, c double")
+    whole = sorted(map(tuple, H.column_histograms(df, ["a", "b", "c"]).collect()))
+    monkeypatch.setattr(H, "MOST_COLUMNS", 2)
+    assert sorted(map(tuple, H.column_histograms(df, ["a", "b", "c"]).collect())) == whole

@@ -20,10 +20,10 @@ NOTES = {
     "histogram_fd (final bin pass, lazy form)": "Bin index per row, partial count per task, one small shuffle "
                                                 "of (bin, count), final count; statistics are literals, no join.",
     "group_by_agg": "Partial (map-side) aggregate before the shuffle: one row per group and task crosses it; "
-                    "sums are integer cents (long arithmetic).",
+                    "sums are exact: limbs of the doubles, added as longs.",
     "sort_take": "TakeOrderedAndProject: a bounded top-n per task, no global sort.",
-    "bin_assign": "Bucketizer binary search per row, then a broadcast hash join with the size-checked "
-                  "bucket -> edge lookup (edges + 2 rows); the big side is not shuffled.",
+    "bin_assign": "Bucketizer binary search among the runs of edges, then one division; a projection: "
+                  "no join, no shuffle.",
     "exact quartiles: one bucket pass over the kept column": "In-memory scan of the kept column, range "
         "test + bucket number, partial aggregate per (interval, bucket), a shuffle of at most tasks x "
         "intervals x buckets rows, final aggregate, running count over that small table, filter to the "
