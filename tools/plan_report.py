@@ -29,7 +29,9 @@ NOTES = {
         "intervals x buckets rows, final aggregate, running count over that small table, filter to the "
         "bucket holding each rank; one row per target reaches the driver.",
     "column_histograms: bin counting pass over the kept columns": "One exploded (column, bin) pair per "
-        "finite value, partial count, small shuffle, final count; every column in the same pass.",
+        "finite value, as one whole number; partial count, small shuffle, final count; every column in the same pass.",
+    "bucketed_join": "Both tables are read by their buckets: no exchange; Spark sorts a bucket again in its task, though its file is in order.",
+    "sql_function": "The SQL function is an expression of the scan's projection: no Python node.",
 }
 
 
@@ -52,9 +54,11 @@ def cases(spark, sf):
     multi.stats()
     yield ("column_histograms: bin counting pass over the kept columns",
            multi.frame.select(F.explode(F.array(*[
-               F.when(S.finite(n), F.struct(F.lit(i).alias("k"), F.floor(F.col(n) / 100).cast("long").alias("bin")))
-               for i, n in enumerate(cols)])).alias("r")).where("r IS NOT NULL")
-           .select("r.k", "r.bin").groupBy("k", "bin").count())
+               F.when(S.finite(n), F.lit(i << H.BIN_BITS) + F.floor(F.col(n) / 100).cast("long"))
+               for i, n in enumerate(cols)])).alias("kb")).where("kb IS NOT NULL").groupBy("kb").count())
+    orders, lines = map(spark.table, Q._bucketed(spark, sf))
+    yield ("bucketed_join", orders.hint("merge").join(lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")), F.col("o_orderkey") == F.col("l_orderkey")))
+    yield "sql_function", Q.q_sql_function(spark, sf)
 
 
 def shorten(text: str, width: int = 170) -> str:
