@@ -19,6 +19,8 @@ from mesonlab.llm.common import crc_mod, table
 SAMPLE_ROWS = 5_000
 #: Rows that each language has in the sample, about, if it has as many.
 LANGUAGE_ROWS = 200
+#: Languages whose shares of the sample may be broadcast; more are joined.
+MOST_LANGUAGES = 100_000
 BITS, ORDERS = 14, (1, 2, 3)
 ALPHA, BETA, L1, L2, EPOCHS, BATCH = 1.0, 1.0, 2e-3, 1e-3, 4, 128
 UNKNOWN = "und"
@@ -151,7 +153,8 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     share = min(sample_rows / max(n, 1), 1.0)
     shares = docs.groupBy("lang").agg(F.greatest(F.lit(share), F.lit(float(LANGUAGE_ROWS)) / F.count("*")).alias("share"))  # a row per language
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("language")), F.lit(1 << 30))
-    chosen = rows.join(F.broadcast(shares), "lang").where(place < F.floor(F.least("share", F.lit(1.0)) * F.lit(1 << 30)))
+    shares = F.broadcast(shares) if shares.count() <= MOST_LANGUAGES else shares
+    chosen = rows.join(shares, "lang").where(place < F.floor(F.least("share", F.lit(1.0)) * F.lit(1 << 30)))
     got = chosen.select("lang", F.pandas_udf(_counted, "at array<int>, n array<int>")("text").alias("f")).select("lang", "f.at", "f.n").where(F.size("at") > 0).toPandas()
     return fit([(lang, np.asarray(at, np.int64), np.asarray(c, np.float64)) for lang, at, c in sorted(zip(got.lang, got["at"], got.n), key=lambda r: (r[0], len(r[1]), int(np.sum(r[2]))))])
 
