@@ -123,10 +123,9 @@ class Edges(Sequence):
     # ---- as columns ----
 
     def _column(self, name: str, run: Column) -> Column:
-        values = [getattr(r, name) for r in self.runs]
-        kind = "BIGINT" if name == "index" else "DOUBLE"
-        text = ",".join(repr(v) for v in values)
-        return F.element_at(F.expr(f"transform(split('{text}', ','), x -> CAST(x AS {kind}))"), run)  # a constant
+        # one constant array: folded when the query is planned, not made again for each row
+        kind = "L" if name == "index" else "D"
+        return F.element_at(F.expr(f"array({','.join(f'{getattr(r, name)!r}{kind}' for r in self.runs)})"), run)
 
     def _run(self, df: DataFrame, value: Column, starts: list[float], out: str) -> DataFrame:
         """Number (from 1) of the run that ``value`` lies in; beyond the first and the last
