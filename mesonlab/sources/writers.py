@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,9 +12,19 @@ SAVE_MODES = {"overwrite": "overwrite", "append": "append", "ignore": "ignore",
               "error": "errorifexists", "errorifexists": "errorifexists"}
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """Write JSON lines; fails if ``path`` exists (Spark's default mode)."""
-    df.write.json(path)
+#: Rows of a JSON file, at most: a compressed file is read by one task, whole.
+FILE_ROWS = 500_000
+
+
+def write_json(df: DataFrame, path: str, mode: str = "error", options: Mapping | None = None) -> None:
+    """Write JSON lines; fails if ``path`` exists (Spark's default mode).
+
+    JSON repeats the names in every row, so unless ``options`` say otherwise the files are
+    compressed, at the fastest level, and hold ``FILE_ROWS`` rows at most."""
+    if mode not in SAVE_MODES:
+        raise ValueError(f"unknown save mode {mode!r}; expected one of {sorted(SAVE_MODES)}")
+    defaults = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": FILE_ROWS}
+    df.write.mode(SAVE_MODES[mode]).options(**{**defaults, **camel_options(options)}).json(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str | None = None,

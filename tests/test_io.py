@@ -165,3 +165,44 @@ def test_histogram_sink_keeps_ranges_of_bins_together(spark, tmp_path, monkeypat
     W.write_histogram(hist.repartition(7), str(tmp_path / "h"))
     files = spark.read.schema(hist.schema).json(str(tmp_path / "h")).groupBy(F.input_file_name()).agg(F.min("bin").alias("lo"), F.max("bin").alias("hi"), F.count("bin").alias("n")).collect()
     assert len(files) > 5 and all(r.hi - r.lo + 1 == r.n for r in files)
+
+
+def test_json_is_compressed_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "FILE_ROWS", 1000)
+    df = spark.range(7000).select("id", (F.col("id") / 7).alias("a_long_name"), F.when(F.col("id") % 3 == 0, F.col("id")).alias("another_name")).coalesce(2)
+    path = str(tmp_path / "rows")
+    W.write_json(df, path)
+    df.write.json(str(tmp_path / "plain"))
+
+    def size(at):
+        return sum(f.stat().st_size for f in (tmp_path / at).glob("part-*"))
+    assert size("rows") < 0.4 * size("plain")
+    back = R.read_json(spark, path, options={"schema": df.schema})
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+    assert back.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 1000
+    with pytest.raises(AnalysisException):
+        W.write_json(df, path)
+    with pytest.raises(ValueError):
+        W.write_json(df, path, mode="upsert")
+    W.write_json(df, path, mode="append", options={"compression": "none", "max_records_per_file": 0})
+    assert R.read_json(spark, path, options={"schema": df.schema}).count() == 14_000
+    assert list((tmp_path / "rows").glob("*.json")) and list((tmp_path / "rows").glob("*.json.gz"))
+
+
+def _lineitem(spark, folder, rows):
+    spark.range(rows).selectExpr(
+        "id AS l_orderkey", "CAST(id % 7 + 1 AS INT) AS l_linenumber", "id % 13 AS l_partkey", "id % 5 AS l_suppkey", "CAST(id % 50 + 7 AS DOUBLE) AS l_quantity",
+        "900 + id * 1.37D AS l_extendedprice", "(id % 11) * 0.01D AS l_discount", "(id % 9) * 0.01D AS l_tax").coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["stream_momentum", "json_roundtrip", "candidate_scan"])
+def test_queries_keep_their_json_copy_small(spark, tmp_path, monkeypatch, name):
+    from mesonlab.plans import queries as P
+    from mesonlab.sources.candidates import candidates_from_lineitem
+    sf_dir = _lineitem(spark, tmp_path / "in", 3000)
+    monkeypatch.setattr(P, "scratch_path", lambda spark, kind: str(tmp_path / "scratch" / kind))
+    assert P.QUERIES[name](spark, sf_dir).count() == 3000
+    candidates_from_lineitem(spark, sf_dir).write.json(str(tmp_path / "plain"))
+    (copy,) = (tmp_path / "scratch").glob("*json")
+    assert sum(f.stat().st_size for f in copy.glob("part-*")) < 0.4 * sum(f.stat().st_size for f in (tmp_path / "plain").glob("part-*"))
