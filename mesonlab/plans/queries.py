@@ -429,9 +429,11 @@ def q_quarantine(spark, sf_dir):
 def q_stream_quarantine(spark, sf_dir):
     """The same on a stream, over two runs."""
     source, good, bad, checkpoint = (scratch_path(spark, f"line-stream-{n}") for n in ("in", "good", "bad", "checkpoint"))
+    most = _some_files(C.table(spark, sf_dir, "orders"))
     for part in (0, 1):
-        _orders_as_lines(spark, sf_dir).where(F.length("value") % 2 == part).repartition(2).write.mode("append").text(source)
-        streams.run_available(streams.start_quarantine(streams.line_stream(spark, source, 1), ORDER_LINE, good, bad, checkpoint))
+        _orders_as_lines(spark, sf_dir).where(F.length("value") % 2 == part).write.mode("append").option("maxRecordsPerFile", most).text(source)
+        lines = streams.line_stream(spark, source, _files_per_batch(spark.read.text(source), 2 * (part + 1)))
+        streams.run_available(streams.start_quarantine(lines, ORDER_LINE, good, bad, checkpoint))
     return _quarantine_counts(streams.read_sink(spark, good, ORDER_LINE), streams.read_sink(spark, bad, "value string"))
 
 
@@ -512,6 +514,17 @@ def _table_stream(spark, sf_dir, name):
     return streams.candidate_stream(spark, f"{sf_dir.rstrip('/')}/{name}.parque[t]", C.table(spark, sf_dir, name).schema, fmt="parquet")
 
 
+def _files_per_batch(arrived: DataFrame, batches: int) -> int:
+    """Files of a micro-batch, so that those which have arrived make so many batches or some
+    fewer: a batch keeps all cores busy, and their number doesn't grow with the table."""
+    return min(max(-(-len(arrived.inputFiles()) // batches), 1), streams.FILES_PER_TRIGGER)
+
+
+def _some_files(table: DataFrame) -> int:
+    """Rows of a file, so that also a small table arrives as several."""
+    return min(table.count() // 8 + 1, W.FILE_ROWS)
+
+
 def q_stream_momentum(spark, sf_dir):
     """JSON files with an explicit schema through ``with_momentum``."""
     source = scratch_path(spark, "candidates-json")
@@ -555,9 +568,11 @@ def q_stream_histogram(spark, sf_dir):
     checkpoint with its state."""
     edges = H.bin_edges(_mass_binning(spark, sf_dir))
     source, sink, checkpoint = scratch_path(spark, "binned"), *_folders(spark, "binned")
+    most = _some_files(C.table(spark, sf_dir, "lineitem"))
     for part in (0, 1):
-        _cand(spark, sf_dir).where(F.col("l_linenumber") % 2 == part).repartition(3).write.mode("append").json(source)
-        mass = streams.b_mass_stream(streams.candidate_stream(spark, source, KEYED_SCHEMA, 2))
+        W.write_json(_cand(spark, sf_dir).where(F.col("l_linenumber") % 2 == part), source, mode="append", options={"max_records_per_file": most})
+        files = _files_per_batch(R.read_json(spark, source, options={"schema": KEYED_SCHEMA}), 2 * (part + 1))
+        mass = streams.b_mass_stream(streams.candidate_stream(spark, source, KEYED_SCHEMA, files))
         streams.run_available(streams.start_histogram(mass, "B_M", edges, sink, checkpoint))
     return streams.read_histogram(spark, sink).select(_round_bin(), "n")
 

@@ -6,7 +6,9 @@ from mesonlab.operators.histogram import histogram_edges, histogram_fd
 from mesonlab.plans.queries import KEYED_SCHEMA
 from mesonlab.sources.candidates import candidates_from_lineitem, table
 from mesonlab import streaming as S
+from mesonlab.sources import writers as W
 from tests.conftest import SF_SMALL
+from tests.test_io import _lineitem
 
 
 def rows(df):
@@ -92,3 +94,36 @@ def test_histogram_fd_refuses_a_stream(spark, tmp_path):
     candidates_from_lineitem(spark, SF_SMALL).limit(10).write.json(str(tmp_path / "in"))
     with pytest.raises(ValueError):
         histogram_fd(S.candidate_stream(spark, str(tmp_path / "in"), KEYED_SCHEMA), "H1_PX")
+
+
+def _run_on_files(spark, tmp_path, monkeypatch, name, sf_dir, most):
+    """(rows, most rows of an arrived file, arrived files, micro-batches) of a query whose
+    files hold ``most`` rows at most."""
+    from mesonlab.plans import queries as P
+    monkeypatch.setattr(W, "FILE_ROWS", most)
+    monkeypatch.setattr(P, "scratch_path", lambda spark, kind: str(tmp_path / "scratch" / kind))
+    got = rows(P.QUERIES[name](spark, sf_dir))
+    (source,) = (f for f in (tmp_path / "scratch").iterdir() if f.name in ("binned", "arriving", "line-stream-in"))
+    per_file = spark.read.text(str(source)).groupBy(F.input_file_name()).count().agg(F.max("count"), F.count("count")).first()
+    (commits,) = (tmp_path / "scratch").glob("*checkpoint/commits")
+    return got, *per_file, len([f for f in commits.iterdir() if f.name.isdigit()])
+
+
+def test_stream_histogram_spreads_its_files(spark, tmp_path, monkeypatch):
+    """Not three files (and tasks) a part, however large the table; a small one has several
+    micro-batches a run too."""
+    from mesonlab.plans.queries import QUERIES
+    sf_dir = _lineitem(spark, tmp_path / "in", 4000)
+    want = rows(QUERIES["histogram_edges"](spark, sf_dir))
+    for most in (100, 500_000):
+        got, largest, files, batches = _run_on_files(spark, tmp_path / str(most), monkeypatch, "stream_histogram", sf_dir, most)
+        assert got == want
+        assert largest <= min(most, 501) and files >= 4000 / min(most, 1000) and 4 <= batches <= 6
+
+
+def test_stream_quarantine_spreads_its_files(spark, tmp_path, monkeypatch):
+    spark.range(3000).selectExpr("id AS o_orderkey", "id * 1.5D AS o_totalprice", "'O' AS o_orderstatus").coalesce(1).write.parquet(str(tmp_path / "in" / "orders.parquet"))
+    got, largest, files, batches = _run_on_files(spark, tmp_path, monkeypatch, "stream_quarantine", str(tmp_path / "in"), 100)
+    bad = sum(i % 7 == 0 or i % 11 == 0 for i in range(3000))
+    assert [r.split(",")[:2] for r in got] == [["('good'", f" {3000 - bad}"], ["('quarantined'", f" {bad}"]]
+    assert largest <= 100 and files >= 30 and 4 <= batches <= 6
