@@ -558,8 +558,9 @@ def q_stream_restart(spark, sf_dir):
     stopped, and the sink holds every row once."""
     source, sink, checkpoint = scratch_path(spark, "arriving"), *_folders(spark, "arriving")
     for part in range(3):
-        _cand(spark, sf_dir).where(F.col("l_linenumber") % 3 == part).write.mode("append").json(source)
-        out = streams.run(streams.momentum_stream(streams.candidate_stream(spark, source, KEYED_SCHEMA, 1)), sink, checkpoint)
+        W.write_json(_cand(spark, sf_dir).where(F.col("l_linenumber") % 3 == part), source, mode="append")
+        files = _files_per_batch(R.read_json(spark, source, options={"schema": KEYED_SCHEMA}), 2 * (part + 1))
+        out = streams.run(streams.momentum_stream(streams.candidate_stream(spark, source, KEYED_SCHEMA, files)), sink, checkpoint)
     return out
 
 

@@ -127,3 +127,14 @@ def test_stream_quarantine_spreads_its_files(spark, tmp_path, monkeypatch):
     bad = sum(i % 7 == 0 or i % 11 == 0 for i in range(3000))
     assert [r.split(",")[:2] for r in got] == [["('good'", f" {3000 - bad}"], ["('quarantined'", f" {bad}"]]
     assert largest <= 100 and files >= 30 and 4 <= batches <= 6
+
+
+def test_stream_restart_has_bounded_files_and_few_batches(spark, tmp_path, monkeypatch):
+    """A run's micro-batches don't grow in number with the table, nor its files in size."""
+    sf_dir = _lineitem(spark, tmp_path / "in", 4000)
+    got, largest, files, batches = _run_on_files(spark, tmp_path, monkeypatch, "stream_restart", sf_dir, 100)
+    batch = with_momentum(candidates_from_lineitem(spark, sf_dir), "H1_").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "H1_P2", "H1_P")
+    assert got == rows(batch)
+    assert largest <= 100 and files >= 40 and 3 <= batches <= 8
+    names = [f.name for f in (tmp_path / "scratch" / "arriving").glob("part-*")]
+    assert all(n.endswith(".gz") for n in names)
