@@ -104,9 +104,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _line_ends(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """True for the words that end a line: a sentence mark ends them, or a line break
     follows before the next word."""
-    breaks = np.flatnonzero(raw == 10)
-    after = np.append(start[1:], len(raw))
-    return _MARK[raw[end - 1]] | (np.searchsorted(breaks, after) > np.searchsorted(breaks, end))
+    out = _MARK[raw[end - 1]]
+    word = np.searchsorted(end, np.flatnonzero(raw == 10), side="right") - 1  # the last one before each break
+    out[word[word >= 0]] = True
+    return out
 
 
 _MARK = np.isin(np.arange(256), (33, 46, 63))
@@ -134,7 +135,9 @@ def _hash_block(data: bytes, words: str, line_ends: list | None = None) -> tuple
     if not len(start):
         return np.zeros(0, np.uint64), start
     up, down = power_tables(len(raw))
-    total = np.add.reduceat(_VALUES[words][raw] * up, start)
+    values = _VALUES[words][raw]
+    values *= up
+    total = np.add.reduceat(values, start)
     return mix(total * down[start] + (end - start).astype(np.uint64)), start
 
 

@@ -81,7 +81,9 @@ def windows(words: np.ndarray, offsets: np.ndarray, min_words: int) -> np.ndarra
     n = np.arange(len(words))
     lo, hi = np.repeat(offsets[:-1], np.diff(offsets)), np.repeat(offsets[1:], np.diff(offsets))
     ahead, back = end <= hi, (start >= lo) & (start >= 0)
-    code = np.unique(np.concatenate([(n << 32 | (end - 1))[ahead], (start << 32 | n)[back]]))
+    code = np.concatenate([(n << 32 | (end - 1))[ahead], (start << 32 | n)[back]])
+    code.sort(kind="stable")  # two ascending halves, which this sort merges
+    code = code[np.append(True, code[1:] != code[:-1])[:len(code)]]
     return np.stack([code >> 32, code & 0xFFFFFFFF], 1)
 
 
@@ -92,8 +94,8 @@ def _lowest(h: np.ndarray, window: int) -> np.ndarray:
         return at[:0]
     while span < window:
         step = min(span, window - span)
-        a, b = at[:-step], at[step:]
-        at = np.where(h[b] < h[a], b, a)
+        at = np.where(h[step:] < h[:-step], at[step:], at[:-step])
+        h = np.minimum(h[step:], h[:-step])
         span += step
     return at
 
@@ -175,14 +177,21 @@ def _fingerprints(keyed: DataFrame, min_words: int, passage: int | None) -> Data
 
 def _longest(runs: np.ndarray, words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """The longest line of each run, of equals that of the smallest hash."""
-    best, at = runs[:, 0].copy(), runs[:, 0].copy()
-    going = np.flatnonzero(at < runs[:, 1])
+    best = runs[:, 0].copy()
+    going = np.flatnonzero(best < runs[:, 1])
+    new, last = best[going], runs[going, 1]
+    old, size = new, words[new]
     while len(going):
-        at[going] += 1
-        new, old = at[going], best[going]
-        better = (words[new] > words[old]) | (words[new] == words[old]) & (hashes[new] < hashes[old])
-        best[going] = np.where(better, new, old)
-        going = going[at[going] < runs[going, 1]]
+        new = new + 1
+        other = words[new]
+        better = other > size
+        tie = np.flatnonzero(other == size)
+        better[tie] = hashes[new[tie]] < hashes[old[tie]]
+        old, size = np.where(better, new, old), np.where(better, other, size)
+        on = new < last
+        if not on.all():
+            best[going[~on]] = old[~on]
+            going, new, last, old, size = (x[on] for x in (going, new, last, old, size))
     return best
 
 
@@ -212,11 +221,6 @@ def _signs(single: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _wanted(cell) -> tuple[np.ndarray, ...]:
-    """apart, line, lo, hi, pos of a list of requests."""
-    return tuple(cell.values.field(c).to_numpy(zero_copy_only=False) for c in ("apart", "line", "lo", "hi", "pos"))
-
-
 def _slices(sources: DataFrame, kind: str) -> DataFrame:
     """Per document and source the words of the source that the requests can match: ranges
     (first word, words) and the words' signs, one after the other."""
@@ -226,12 +230,15 @@ def _slices(sources: DataFrame, kind: str) -> DataFrame:
             some, at, which = np.unique(source, return_index=True, return_inverse=True)
             by_source = np.argsort(which, kind="stable")
             edge = np.searchsorted(which[by_source], np.arange(len(some) + 1))
+            requests = batch.column(3).flatten()
+            aparts, los, his = (requests.field(c).to_numpy() for c in ("apart", "lo", "hi"))
+            upto = np.cumsum(np.append(0, pc.list_value_length(batch.column(3)).to_numpy())).tolist()
             for first, single, ends, _, words, offsets in _hashed(batch.column(2)[int(i)].as_py() for i in at):
                 signs = _signs(single, words)
                 for k in range(len(ends) - 1):
                     own = signs[ends[k]:ends[k + 1]]
                     for i in by_source[edge[first + k]:edge[first + k + 1]].tolist():
-                        apart, _, lo, hi, _ = _wanted(batch.column(3)[i])
+                        apart, lo, hi = (x[upto[i]:upto[i + 1]] for x in (aparts, los, his))
                         lo, hi = np.maximum(lo - apart - 1, 0), np.minimum(hi - apart, len(own))  # a word more, whose line end tells a line's start
                         order = np.argsort(lo, kind="stable")
                         lo, reach = lo[order], np.maximum.accumulate(hi[order])
@@ -287,11 +294,17 @@ class Extension:
         source = place - np.repeat(apart[at], size)
         offset = np.concatenate(([0], np.cumsum(sizes))) - np.append(starts, 0)
 
-        def sign_at(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            k = np.maximum(np.searchsorted(starts, word, side="right") - 1, 0)
+        # a piece's words mostly lie in one range of the source: its ends tell
+        near = np.searchsorted(starts, left - apart[at], side="right")
+        k = np.repeat(near, size)
+        far = np.flatnonzero(np.repeat(near != np.searchsorted(starts, left + size - 1 - apart[at], side="right"), size))
+        k[far] = np.searchsorted(starts, source[far], side="right")
+
+        def sign_at(word: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            k = np.maximum(k - 1, 0)
             inside = (word >= starts[k]) & (word < starts[k] + sizes[k])
             return inside, signs[np.where(inside, offset[k] + word, 0)]
-        inside, theirs = sign_at(source)
+        inside, theirs = sign_at(source, k)
         differ = self.signs[place] ^ theirs
         same = np.concatenate(([0], np.cumsum(inside & (differ <= 1), dtype=np.int32)))
         own = begin[which] - left[which]                                    # from words to places in these arrays
@@ -312,7 +325,7 @@ class Extension:
             runs, r = runs[fits], r[fits]
             s, e = self.from_[runs] + own[r], self.to[runs] + own[r]
             before = self.from_[runs] - apart[r]
-            held, sign = sign_at(before - 1)
+            held, sign = sign_at(before - 1, np.searchsorted(starts, before - 1, side="right"))
             ok = (whole[e] - whole[s] == e - s) & ((before == origin[r]) | held & (sign & np.uint32(1) == 1))
             self.asked[1][runs] = True
             self.found[1][runs[ok]] = True

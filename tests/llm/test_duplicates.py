@@ -254,3 +254,24 @@ def test_line_hashes_agree_with_lines(texts):
             parts = L.lines(texts[first + k])
             assert "".join(parts) == (texts[first + k] if parts else "")
             assert [len(p.split()) for p in parts] == words[offsets[k]:offsets[k + 1]].tolist()
+
+
+def test_line_ends_and_windows_equal_plain_code():
+    """Words that end a line, the shortest windows of each line, and each window's longest line."""
+    rng = np.random.default_rng(3)
+    for text in ("", "\n", "\n\na b\nc. d", "a\n", " a ", *("".join(rng.choice(list("ab \n.!\t"), 80)) for _ in range(40))):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        start, end = common._edges(raw, common.WORD_BYTES["nonspace"])
+        after = [*start[1:], len(text)]
+        assert common._line_ends(raw, start, end).tolist() == [text[e - 1] in ".!?" or "\n" in text[e:a] for e, a in zip(end, after)]
+    for _ in range(30):
+        words, hashes = rng.integers(1, 6, 40), rng.integers(0, 3, 40, dtype=np.uint64)
+        offsets = np.array([0, 0, 13, 30, 40])
+        runs = L.windows(words, offsets, 9)
+        want = set()
+        for lo, hi in zip(offsets, offsets[1:]):
+            for i in range(lo, hi):
+                want |= {(i, next((j for j in range(i, hi) if words[i:j + 1].sum() >= 9), None)), (next((j for j in range(i, lo - 1, -1) if words[j:i + 1].sum() >= 9), None), i)}
+        assert list(map(tuple, runs.tolist())) == sorted(w for w in want if None not in w)
+        assert L._longest(runs, words, hashes).tolist() == [min(range(a, b + 1), key=lambda i: (-words[i], hashes[i], i)) for a, b in runs.tolist()]
+    assert L.windows(np.zeros(0, np.int64), np.array([0]), 9).shape == (0, 2)
